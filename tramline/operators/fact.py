@@ -76,14 +76,16 @@ def build_fact(
     """
     if bound is not None and bound < 1:
         raise ValueError("the bound must be at least one second")
-    left = clean_positions(positions).select(*POSITION_COLUMNS)
     right = clean_updates(updates).select(*JOIN_KEYS, *UPDATE_COLUMNS)
     if bound is None:
+        left = clean_positions(positions).select(*POSITION_COLUMNS)
         return _join_measured(left, right, list(JOIN_KEYS), None, rows_per_task)
 
     # A null event time matches nothing; as a join key it would gather all such rows in one task.
-    timeless = left.filter(F.col("vehicle_timestamp").isNull())
-    left = left.filter(F.col("vehicle_timestamp").isNotNull())
+    # Both tests are on the stored column, so the scan can skip row groups by them.
+    timed = F.col("vehicle_timestamp").isNotNull()
+    left = clean_positions(positions.filter(timed)).select(*POSITION_COLUMNS)
+    timeless = clean_positions(positions.filter(~timed)).select(*POSITION_COLUMNS)
     right = right.filter(F.col("ingested_at").isNotNull())
     width = bound * SLOT_BOUNDS
     at = F.unix_micros("ingested_at")

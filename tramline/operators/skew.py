@@ -27,13 +27,15 @@ def cell(keys: Sequence[str]) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(CELLS)).cast("int")
 
 
-def _load(rows: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    return rows.groupBy(cell(keys).alias("cell")).agg(F.count(F.lit(1)).alias(name))
-
-
 def hot_cells(left: DataFrame, right: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """(cell, left_parts, right_parts) of the cells that need more than one task on either side."""
-    counts = _load(left, keys, "left_rows").join(_load(right, keys, "right_rows"), "cell", "full_outer").na.fill(0)
+    number = cell(keys).alias("cell")
+    counts = (
+        left.select(number, F.lit(1).alias("left"), F.lit(0).alias("right"))
+        .unionAll(right.select(number, F.lit(0), F.lit(1)))
+        .groupBy("cell")
+        .agg(F.sum("left").alias("left_rows"), F.sum("right").alias("right_rows"))
+    )
     all_cells = Window.partitionBy()  # at most CELLS rows
 
     def parts(rows: str) -> Column:

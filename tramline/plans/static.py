@@ -19,10 +19,12 @@ def load_static(
     load_number: str | None = None,
     files: dict[str, str] | None = None,
     multi_line: bool = False,
+    runs: list[AuditedRun] | None = None,
 ) -> list[AuditedRun]:
     """Replace the three bronze dimensions, all under one load number; returns one run per table.
 
     All inputs are resolved before the first write, so a missing file or column replaces nothing.
+    A list passed as ``runs`` also holds the failed run if a write raises.
     """
     load_number = load_number or new_load_number()
     dims = {
@@ -33,11 +35,11 @@ def load_static(
         )
         for name, columns in STATIC_DIMS.items()
     }
-    runs = []
+    runs = [] if runs is None else runs
     for name, dim in dims.items():
         run = AuditedRun(load_number, f"bronze.dim_{name}")
-        run.write(dim, lambda rows, name=name: write_table(rows, f"{bronze_dir}/dim_{name}"))
         runs.append(run)
+        run.write(dim, lambda rows, name=name: write_table(rows, f"{bronze_dir}/dim_{name}"))
     return runs
 
 

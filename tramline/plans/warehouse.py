@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.functions import clock_seconds, from_epoch, has_keys, known_epoch, service_time
+from tramline.functions import clock_seconds, from_epoch, has_keys, known_epoch, new_load_number, service_time
 from tramline.operators.dims import latest_vehicles
 from tramline.operators.lookup import lookup, shuffled_lookup
 from tramline.operators.quality import fk_orphans, pk_violations
-from tramline.schemas import FOREIGN_KEYS, PRIMARY_KEYS, STOP_TIMES, WAREHOUSE, ddl
+from tramline.plans.audit import AuditedRun, audit_rows
+from tramline.schemas import FOREIGN_KEYS, PRIMARY_KEYS, STATIC_DIMS, STOP_TIMES, WAREHOUSE, ddl
+from tramline.session import work_root
+from tramline.sources.tables import read_table, write_table
 
 VISIT = ["start_date", "route_id", "trip_id", "stop_id"]
 
@@ -105,9 +106,11 @@ def stop_delay(
     """One row per vehicle and stop visit with scheduled, predicted and actual arrival.
 
     Both bronze tables shrink to one row per visit before they are joined. The delay is that of
-    the actual arrival, else of the predicted one, and null without a schedule.
+    the actual arrival, else of the predicted one, and null without a schedule. The visits are
+    stored first: the join measures them before it reads them, and the big scan should run once.
     """
-    rows = shuffled_lookup(visits(positions), predictions(updates), VISIT)
+    work_root(positions.sparkSession)
+    rows = shuffled_lookup(visits(positions).checkpoint(), predictions(updates), VISIT)
     if stop_times is None:
         stop_times = positions.sparkSession.createDataFrame([], ddl(STOP_TIMES))
     rows = lookup(rows, schedule(stop_times), ["trip_id", "stop_id"])
@@ -156,6 +159,46 @@ def create_tables(spark: SparkSession, database: str, fmt: str = "parquet") -> N
         spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{table} ({ddl(columns)}) USING {fmt} {layout}")
 
 
-def save_table(rows: DataFrame, table: str, write: Callable[[DataFrame], None]) -> None:
-    """Write rows as a star table through the caller's writer (``saveAsTable``, ``jdbc``, files)."""
-    write(conform(rows, table))
+def build_warehouse(
+    spark: SparkSession,
+    bronze_dir: str,
+    target_dir: str,
+    load_number: str | None = None,
+    fmt: str = "parquet",
+    stop_times: DataFrame | None = None,
+    holidays: DataFrame | None = None,
+    zone: str = "UTC",
+    runs: list[AuditedRun] | None = None,
+) -> list[AuditedRun]:
+    """Replace all star tables from bronze and append one audit row per table."""
+    load_number = load_number or new_load_number()
+    positions = read_table(spark, f"{bronze_dir}/vehicle_positions", fmt)
+    updates = read_table(spark, f"{bronze_dir}/trip_updates", fmt)
+    day = F.try_to_date("start_date", "yyyyMMdd")
+    tables = {
+        f"dim_{name}": star_dim(read_table(spark, f"{bronze_dir}/dim_{name}"), f"dim_{name}") for name in STATIC_DIMS
+    }
+    tables["dim_vehicle"] = dim_vehicle(positions, load_number)
+    tables["dim_date"] = dim_date(F.min(day), F.max(day), positions.filter(has_keys()), holidays)
+    tables["fact_stop_delay"] = stop_delay(positions, updates, stop_times, load_number, zone)
+    runs = [] if runs is None else runs
+    try:
+        for table, rows in tables.items():
+            run = AuditedRun(load_number, f"warehouse.{table}")
+            runs.append(run)
+            run.write(rows, lambda counted, table=table: save_table(counted, f"{target_dir}/{table}", table))
+    finally:
+        write_table(audit_rows(spark, runs), f"{target_dir}/audit_pipeline_runs", mode="append")
+    return runs
+
+
+def save_table(rows: DataFrame, path: str, table: str) -> None:
+    """Write a star table as files, the fact laid out by date.
+
+    Rebalancing puts a date's rows into few files; adaptive execution cuts up a date that holds
+    too many rows for one task.
+    """
+    if table == "fact_stop_delay":
+        write_table(rows.hint("rebalance", "date_id"), path, partition_by=["date_id"])
+    else:
+        write_table(rows, path)

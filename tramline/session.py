@@ -25,12 +25,30 @@ STREAM_CONF = {
 }
 
 
+# Needed for the ``delta`` format, together with its package on the classpath.
+DELTA_CONF = {
+    "spark.sql.extensions": "io.delta.sql.DeltaSparkSessionExtension",
+    "spark.sql.catalog.spark_catalog": "org.apache.spark.sql.delta.catalog.DeltaCatalog",
+}
+
+# Shuffles start with this many partitions per task slot and are coalesced to what the data needs.
+PARTITIONS_PER_SLOT = 8
+
+
 def get_session(app_name: str, conf: dict[str, str] | None = None) -> SparkSession:
-    """Session for a job. The master is chosen at submit time, never here."""
+    """Session for a job. The master is chosen at submit time, never here.
+
+    Unless the caller sizes shuffles, they follow the cluster: 8,000 slots start with 64,000
+    partitions, about 1.5 GB each for 100 TB, and small inputs coalesce back to a few.
+    """
     builder = SparkSession.builder.appName(app_name)
     for key, value in {**SESSION_CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if not spark.sparkContext.getConf().contains("spark.sql.shuffle.partitions"):
+        partitions = spark.sparkContext.defaultParallelism * PARTITIONS_PER_SLOT
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
+    return spark
 
 
 def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
