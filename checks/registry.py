@@ -349,6 +349,10 @@ def _(spark, sf_dir):
         "dim_vehicle": warehouse.dim_vehicle(positions, LOAD_NUMBER).select("vehicle_id", "license_plate"),
         "dim_date": warehouse.dim_date(F.min(day), F.max(day), positions).select("date_id", "day_of_week"),
     }
+    lake = run_dir(spark, "star")
+    for name, dim in star.items():
+        write_table(dim, f"{lake}/{name}")
+    star = {name: read_table(spark, f"{lake}/{name}") for name in star}
     joined = warehouse.star_lookup(fact_rows, star)
     known = F.col("route_short_name").isNotNull()
     return comparable(joined.withColumn("known_route", known))

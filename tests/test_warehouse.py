@@ -173,13 +173,26 @@ def test_whole_warehouse(spark, bronze, tmp_path):
     assert set(warehouse.key_checks(tables)) >= {f"{name}.pk" for name in PRIMARY_KEYS}
 
 
+def test_tables_can_be_saved_elsewhere(spark, bronze, tmp_path):
+    saved = {}
+    runs = warehouse.build_warehouse(
+        spark, bronze, str(tmp_path / "star"), "L", save=lambda rows, table: saved.update({table: rows.count()})
+    )
+    assert saved == {run.layer.removeprefix("warehouse."): run.row_count for run in runs}
+    assert not (tmp_path / "star" / "dim_route").exists()
+
+
 def test_declared_tables_take_rows(spark, rows):
     warehouse.create_tables(spark, "star")
     try:
         for name, columns in WAREHOUSE.items():
             assert dict(spark.table(f"star.{name}").dtypes) == columns
         dim = warehouse.star_dim(rows(STATIC_DIMS["route"] | {"load_number": "string"}, {"route_id": "r"}), "dim_route")
-        dim.write.insertInto("star.dim_route")
+        warehouse.insert_rows(dim, "star", "dim_route")
         assert isinstance(spark.table("star.dim_route").first().created_at, datetime)
+        fact = rows(WAREHOUSE["fact_stop_delay"], {"fact_id": 1, "date_id": date(2024, 1, 2), "load_number": "L"})
+        warehouse.insert_rows(fact, "star", "fact_stop_delay")
+        (row,) = spark.table("star.fact_stop_delay").collect()
+        assert (row.fact_id, row.date_id, row.load_number) == (1, date(2024, 1, 2), "L")
     finally:
         spark.sql("DROP DATABASE star CASCADE")

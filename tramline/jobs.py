@@ -6,6 +6,7 @@ import argparse
 from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from tramline.functions import new_load_number
 from tramline.operators.fact import BOUND_SECONDS
@@ -19,31 +20,47 @@ from tramline.sources.tables import TWO_MINUTES, UNTIL_DRAINED, read_table, writ
 from tramline.streaming import jobs as streams
 
 
+def _finish(query: StreamingQuery) -> None:
+    """Wait for a query; a drained one reports what it read."""
+    query.awaitTermination()
+    read = sum(progress["numInputRows"] for progress in query.recentProgress)
+    print(f"{len(query.recentProgress)} batches, {read} rows read")
+
+
+def _options(args: argparse.Namespace) -> dict[str, str]:
+    return dict(option.split("=", 1) for option in args.source_option)
+
+
 def _publish(spark: SparkSession, args: argparse.Namespace) -> None:
-    streams.publish_feed(
-        spark,
-        args.snapshots,
-        args.part,
-        args.topic,
-        args.checkpoint,
-        args.topic_format,
-        args.servers,
-        UNTIL_DRAINED if args.once else None,
-    ).awaitTermination()
+    _finish(
+        streams.publish_feed(
+            spark,
+            args.snapshots,
+            args.part,
+            args.topic,
+            args.checkpoint,
+            args.topic_format,
+            args.servers,
+            UNTIL_DRAINED if args.once else None,
+        )
+    )
 
 
 def _bronze(spark: SparkSession, args: argparse.Namespace) -> None:
     start = {"bronze-positions": streams.bronze_positions, "bronze-updates": streams.bronze_updates}[args.job]
-    start(
-        spark,
-        args.topic,
-        args.path,
-        args.checkpoint,
-        args.topic_format,
-        args.servers,
-        args.format,
-        UNTIL_DRAINED if args.once else TWO_MINUTES,
-    ).awaitTermination()
+    _finish(
+        start(
+            spark,
+            args.topic,
+            args.path,
+            args.checkpoint,
+            args.topic_format,
+            args.servers,
+            args.format,
+            UNTIL_DRAINED if args.once else TWO_MINUTES,
+            _options(args),
+        )
+    )
 
 
 def _load_static(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -62,17 +79,20 @@ def _silver_dims(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _silver_fact(spark: SparkSession, args: argparse.Namespace) -> None:
-    streams.silver_fact(
-        stream_session(spark, args.state_partitions),
-        f"{args.bronze}/vehicle_positions",
-        f"{args.bronze}/trip_updates",
-        f"{args.silver}/fact",
-        args.checkpoint,
-        args.format,
-        UNTIL_DRAINED if args.once else None,
-        args.bound,
-        args.rows_per_task,
-    ).awaitTermination()
+    _finish(
+        streams.silver_fact(
+            stream_session(spark, args.state_partitions),
+            f"{args.bronze}/vehicle_positions",
+            f"{args.bronze}/trip_updates",
+            f"{args.silver}/fact",
+            args.checkpoint,
+            args.format,
+            UNTIL_DRAINED if args.once else None,
+            args.bound,
+            args.rows_per_task,
+            _options(args),
+        )
+    )
 
 
 def _backfill_fact(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -106,6 +126,7 @@ def parser() -> argparse.ArgumentParser:
     def stream(name: str, run, *required: str) -> argparse.ArgumentParser:
         command = job(name, run, *required, "checkpoint")
         command.add_argument("--once", action="store_true", help="stop when the input is drained")
+        command.add_argument("--source-option", action="append", default=[], metavar="NAME=VALUE")
         return command
 
     def topic(command: argparse.ArgumentParser) -> argparse.ArgumentParser:

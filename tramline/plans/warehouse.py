@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -169,8 +171,17 @@ def build_warehouse(
     holidays: DataFrame | None = None,
     zone: str = "UTC",
     runs: list[AuditedRun] | None = None,
+    save: Callable[[DataFrame, str], None] | None = None,
 ) -> list[AuditedRun]:
-    """Replace all star tables from bronze and append one audit row per table."""
+    """Replace all star tables from bronze and append one audit row per table.
+
+    ``save(rows, table)`` may write the tables elsewhere, such as to a catalog or over JDBC.
+    """
+    if save is None:
+
+        def save(rows: DataFrame, table: str) -> None:
+            save_table(rows, f"{target_dir}/{table}", table)
+
     load_number = load_number or new_load_number()
     positions = read_table(spark, f"{bronze_dir}/vehicle_positions", fmt)
     updates = read_table(spark, f"{bronze_dir}/trip_updates", fmt)
@@ -186,7 +197,7 @@ def build_warehouse(
         for table, rows in tables.items():
             run = AuditedRun(load_number, f"warehouse.{table}")
             runs.append(run)
-            run.write(rows, lambda counted, table=table: save_table(counted, f"{target_dir}/{table}", table))
+            run.write(rows, lambda counted, table=table: save(counted, table))
     finally:
         write_table(audit_rows(spark, runs), f"{target_dir}/audit_pipeline_runs", mode="append")
     return runs
@@ -202,3 +213,9 @@ def save_table(rows: DataFrame, path: str, table: str) -> None:
         write_table(rows.hint("rebalance", "date_id"), path, partition_by=["date_id"])
     else:
         write_table(rows, path)
+
+
+def insert_rows(rows: DataFrame, database: str, table: str) -> None:
+    """Append to a declared catalog table, columns matched by name."""
+    target = f"{database}.{table}"
+    conform(rows, table).select(*rows.sparkSession.table(target).columns).write.insertInto(target)

@@ -21,10 +21,10 @@ def read_topic(
     ``topic`` is a topic name for ``kafka`` and a folder for a file format. Starting offsets only
     matter for a query without a checkpoint.
     """
-    reader = spark.readStream.format(fmt)
+    reader = spark.readStream.format(fmt).options(**(options or {}))
     if fmt == "kafka":
         reader = reader.option("kafka.bootstrap.servers", servers).option("subscribe", topic)
-        return reader.options(**(options or {})).load().select("value")
+        return reader.load().select("value")
     if fmt == "text":
         return reader.load(topic).select(F.col("value").cast("binary"))
     return reader.schema(ddl(RAW_MESSAGE)).load(topic)

@@ -52,8 +52,10 @@ def bronze_positions(
     servers: str | None = None,
     fmt: str = "parquet",
     trigger: dict | None = TWO_MINUTES,
+    options: dict | None = None,
 ) -> StreamingQuery:
-    messages = read_topic(spark, topic, topic_fmt, servers, POSITIONS_OPTIONS)
+    """``options`` are further source options, such as a limit of offsets per batch."""
+    messages = read_topic(spark, topic, topic_fmt, servers, POSITIONS_OPTIONS | (options or {}))
     return append_stream(decode(messages, VEHICLE_POSITION), path, checkpoint, fmt, trigger).start()
 
 
@@ -66,10 +68,11 @@ def bronze_updates(
     servers: str | None = None,
     fmt: str = "parquet",
     trigger: dict | None = TWO_MINUTES,
+    options: dict | None = None,
     ingest_clock: Column | None = None,
 ) -> StreamingQuery:
     """``ingest_clock`` replaces the processing time when a recorded topic is replayed."""
-    messages = read_topic(spark, topic, topic_fmt, servers, UPDATES_OPTIONS)
+    messages = read_topic(spark, topic, topic_fmt, servers, UPDATES_OPTIONS | (options or {}))
     records = stamp_ingest(decode(messages, TRIP_UPDATE), ingest_clock)
     return append_stream(records, path, checkpoint, fmt, trigger).start()
 
@@ -84,14 +87,15 @@ def silver_fact(
     trigger: dict | None = None,
     bound: int = BOUND_SECONDS,
     rows_per_task: int | None = None,
+    options: dict | None = None,
 ) -> StreamingQuery:
     """Join the two bronze streams; ``spark`` is best a ``stream_session``.
 
     With ``rows_per_task`` the bronze tables are measured once, before the first start, and the
     positions of hot keys are split between state partitions for the life of the checkpoint.
     """
-    positions = stream_table(spark, positions_path, VEHICLE_POSITION, fmt)
-    updates = stream_table(spark, updates_path, BRONZE_TRIP_UPDATE, fmt)
+    positions = stream_table(spark, positions_path, VEHICLE_POSITION, fmt, options)
+    updates = stream_table(spark, updates_path, BRONZE_TRIP_UPDATE, fmt, options)
     hot = None
     if rows_per_task is not None:
         hot = _frozen_split(spark, positions_path, updates_path, checkpoint, fmt, rows_per_task)
