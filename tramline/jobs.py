@@ -16,7 +16,7 @@ from tramline.plans.static import load_static, write_silver_dims
 from tramline.plans.warehouse import build_warehouse
 from tramline.session import DELTA_CONF, get_session, stream_session
 from tramline.sources.static import read_schedule_file
-from tramline.sources.tables import TWO_MINUTES, UNTIL_DRAINED, read_table, write_table
+from tramline.sources.tables import FIFTEEN_SECONDS, TWO_MINUTES, UNTIL_DRAINED, read_table, write_table
 from tramline.streaming import jobs as streams
 
 
@@ -41,7 +41,7 @@ def _publish(spark: SparkSession, args: argparse.Namespace) -> None:
             args.checkpoint,
             args.topic_format,
             args.servers,
-            UNTIL_DRAINED if args.once else None,
+            UNTIL_DRAINED if args.once else FIFTEEN_SECONDS,
         )
     )
 

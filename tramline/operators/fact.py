@@ -141,14 +141,12 @@ def _join_hot(left: DataFrame, right: DataFrame, keys: list[str], bound: int | N
             .filter(~F.coalesce(has_partner, F.lit(False)))
         )
     lonely = skew.spread_weight(lonely.select(*left.columns, "left_weight"), "left_weight")
-    return pairs.select(*FACT).unionByName(
-        lonely.select(*POSITION_COLUMNS), allowMissingColumns=True
-    )
+    return pairs.select(*FACT).unionByName(lonely.select(*POSITION_COLUMNS), allowMissingColumns=True)
 
 
 def _any_update(right: DataFrame, keys: list[str], hot: DataFrame) -> DataFrame:
     """One row per hot key with updates, for every position part."""
-    known = skew.inside(right.select(*keys).distinct(), keys, hot)
+    known = skew.inside(right.select(*keys), keys, hot).select(*keys, "left_parts").distinct()
     return known.select(*keys, skew.every_part("left_parts").alias("left_part"))
 
 
@@ -160,24 +158,22 @@ def _nearest_updates(right: DataFrame, keys: list[str], bound: int, hot: DataFra
     the neighbours of a slot's first and last step inside the slot.
     """
     step = time_slot(F.unix_micros("ingested_at"), bound)
+    group = [*keys, "left_parts", "step"]
     steps = (
-        right.withColumn("step", step)
-        .groupBy(*keys, "step")
+        skew.inside(right, keys, hot)
+        .withColumn("step", step)
+        .groupBy(*group)
         .agg(F.min("ingested_at").alias("first"), F.max("ingested_at").alias("last"))
     )
     neighbours = F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))).alias("shift")
     near = (
         steps.select("*", neighbours)
         .withColumn("step", F.col("step") + F.col("shift"))
-        .groupBy(*keys, "step")
+        .groupBy(*group)
         .agg(
             F.max(F.col("shift") == 0).alias("here"),
             F.max(F.when(F.col("shift") == 1, F.col("last"))).alias("before"),
             F.min(F.when(F.col("shift") == -1, F.col("first"))).alias("after"),
         )
     )
-    return (
-        skew.inside(near, keys, hot)
-        .withColumn("left_part", skew.every_part("left_parts"))
-        .drop("left_parts", "right_parts")
-    )
+    return near.withColumn("left_part", skew.every_part("left_parts")).drop("left_parts")

@@ -17,7 +17,7 @@ from tramline.session import work_root
 CELLS = 65_536
 ROWS_PER_TASK = 2_000_000
 # A cell is split only if it is also this many times larger than the average cell.
-OVER_MEAN = 4
+OVER_MEAN = 2
 # Exact copies of a row travel as one row with a weight, cut into chunks of at least this weight.
 COPIES_PER_CHUNK = 1_000
 MAX_CHUNKS = 100_000

@@ -110,6 +110,9 @@ def stop_delay(
     Both bronze tables shrink to one row per visit before they are joined. The delay is that of
     the actual arrival, else of the predicted one, and null without a schedule. The visits are
     stored first: the join measures them before it reads them, and the big scan should run once.
+
+    The surrogate key is a hash of the natural key, the same on every run. Among some billions of
+    visits two may collide, which the key checks show; the natural key stays exact.
     """
     work_root(positions.sparkSession)
     rows = shuffled_lookup(visits(positions).checkpoint(), predictions(updates), VISIT)

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from tramline.schemas import Columns, ddl
 
+FIFTEEN_SECONDS = {"processingTime": "15 seconds"}
 TWO_MINUTES = {"processingTime": "2 minutes"}
 UNTIL_DRAINED = {"availableNow": True}
 

@@ -13,7 +13,7 @@ from tramline.operators.fact import BOUND_SECONDS, UPDATE_COLUMNS, clean_positio
 from tramline.operators.messages import decode, encode, stamp_ingest
 from tramline.schemas import BRONZE_TRIP_UPDATE, FACT, TRIP_UPDATE, VEHICLE_POSITION
 from tramline.sources.static import stream_snapshots
-from tramline.sources.tables import TWO_MINUTES, append_stream, read_table, stream_table
+from tramline.sources.tables import FIFTEEN_SECONDS, TWO_MINUTES, append_stream, read_table, stream_table
 from tramline.sources.topics import POSITIONS_OPTIONS, UPDATES_OPTIONS, read_topic
 
 LATENESS = "5 minutes"
@@ -27,7 +27,7 @@ def publish_feed(
     checkpoint: str,
     fmt: str = "kafka",
     servers: str | None = None,
-    trigger: dict | None = None,
+    trigger: dict | None = FIFTEEN_SECONDS,
 ) -> StreamingQuery:
     """Flatten arriving feed snapshots and send the records of one part to its topic.
 
