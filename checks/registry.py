@@ -12,6 +12,7 @@ from checks.inputs import EVENTS_SQL, LOAD_NUMBER, STOP_DELAY_SQL
 from tramline.functions import JOIN_KEYS, STOP_STATUS, TRIP_RELATIONSHIP, enum_name, from_epoch
 from tramline.operators import dims, feed, messages, quality
 from tramline.operators.fact import build_fact, clean_positions, clean_updates
+from tramline.operators.skew import ROWS_PER_TASK
 from tramline.plans import audit, static, warehouse
 from tramline.plans.fact import append_fact
 from tramline.schemas import STATIC_DIMS, TRIP_UPDATE, VEHICLE_POSITION
@@ -480,7 +481,7 @@ class StreamRun:
         for running_query in running:
             running_query.awaitTermination()
 
-    def fact(self, bound: int, rows_per_task: int | None = None) -> None:
+    def fact(self, bound: int, rows_per_task: int) -> None:
         jobs.silver_fact(
             self.spark,
             f"{self.lake}/bronze/vehicle_positions",
@@ -509,7 +510,7 @@ def _(spark, sf_dir):
     return comparable(read_table(spark, f"{run.lake}/bronze/trip_updates"))
 
 
-def stream_fact(bound: int, rows_per_task: int | None = None) -> Query:
+def stream_fact(bound: int, rows_per_task: int = ROWS_PER_TASK) -> Query:
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
         """Topics to bronze to fact, then once more with rows that flush the unmatched positions."""
         run = StreamRun(spark, sf_dir, "stream-fact")

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import values
+from tramline import session
 from tramline.operators import skew
 from tramline.operators.fact import build_fact
 from tramline.schemas import BRONZE_TRIP_UPDATE, FACT, VEHICLE_POSITION
@@ -127,7 +128,7 @@ def test_hot_key_is_split_evenly(spark, monkeypatch):
     hot = spark.range(10_000).select(F.lit("hot").alias("key"))
     rest = spark.range(20_000).select(F.concat(F.lit("k"), "id").alias("key"))
     left, right = hot.union(rest), rest
-    cells = skew.hot_cells(left, right, ["key"], rows_per_task=500)
+    cells = skew.hot_cells(skew.cell_counts(left, right, ["key"]), rows_per_task=500)
     (cell,) = cells.collect()
     assert cell.left_parts == 20 and cell.right_parts == 1
     parts = skew.collapse_copies(skew.inside(left, ["key"], cells), "left_parts", "part", "weight")
@@ -140,7 +141,9 @@ def test_hot_key_is_split_evenly(spark, monkeypatch):
 
 def test_cell_table_is_bounded_and_usually_empty(spark):
     table = spark.range(200_000).select(F.col("id").alias("key"))
-    assert skew.measured(skew.hot_cells(table, table, ["key"])) is None
+    counts = skew.measured(skew.cell_counts(table, table, ["key"]))
+    assert counts.count() <= skew.CELLS and skew.total_rows(counts) == 400_000
+    assert skew.measured(skew.hot_cells(counts)) is None
     assert skew.CELLS * 12 < 10 * 1024 * 1024
 
 
@@ -164,3 +167,18 @@ def test_usual_plan_is_one_join_with_pushed_filters(spark, rows, tmp_path):
 def test_bound_below_a_second_is_refused(rows):
     with pytest.raises(ValueError):
         build_fact(rows(VEHICLE_POSITION), rows(BRONZE_TRIP_UPDATE), 0)
+
+
+def test_shuffles_grow_with_the_rows(spark, rows, monkeypatch):
+    monkeypatch.setattr(session, "ROWS_PER_PARTITION", 10)
+    positions, updates = scattered(1, hot=True)
+    tables = rows(VEHICLE_POSITION, *positions), rows(BRONZE_TRIP_UPDATE, *updates)
+    try:
+        got = build_fact(*tables)
+        raised = int(spark.conf.get(session.INITIAL_PARTITIONS))
+        assert 30 <= raised <= 60
+        session.raise_partitions(spark, 1)
+        assert int(spark.conf.get(session.INITIAL_PARTITIONS)) == raised
+        assert joined(got) == brute_force(positions, updates, 600)
+    finally:
+        spark.conf.unset(session.INITIAL_PARTITIONS)

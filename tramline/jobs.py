@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tramline.functions import new_load_number
 from tramline.operators.fact import BOUND_SECONDS
+from tramline.operators.skew import ROWS_PER_TASK
 from tramline.plans.audit import audit_rows
 from tramline.plans.fact import append_fact
 from tramline.plans.static import load_static, write_silver_dims
@@ -144,7 +145,7 @@ def parser() -> argparse.ArgumentParser:
     job("silver-dims", _silver_dims, "bronze", "silver")
     fact = stream("silver-fact", _silver_fact, "bronze", "silver")
     fact.add_argument("--bound", type=int, default=BOUND_SECONDS, help="seconds either way")
-    fact.add_argument("--rows-per-task", type=int, help="measure and split keys with more positions than this")
+    fact.add_argument("--rows-per-task", type=int, default=ROWS_PER_TASK, help="split keys with more positions than this")
     fact.add_argument("--state-partitions", type=int, help="fixed by the first run of a checkpoint")
     backfill = job("backfill-fact", _backfill_fact, "bronze", "silver")
     backfill.add_argument("--bound", type=int, default=BOUND_SECONDS, help="seconds either way")

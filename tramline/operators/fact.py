@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tramline.functions import JOIN_KEYS, from_epoch, has_keys, time_slot
 from tramline.operators import skew
 from tramline.schemas import FACT
+from tramline.session import raise_partitions
 
 BOUND_SECONDS = 600
 # Join slots are this many bounds wide: an update is copied to 1 + 2 / 6 slots on average, and a
@@ -99,7 +100,11 @@ def build_fact(
 def _join_measured(
     left: DataFrame, right: DataFrame, keys: list[str], bound: int | None, rows_per_task: int
 ) -> DataFrame:
-    hot = skew.measured(skew.hot_cells(left, right, keys, rows_per_task))
+    counts = skew.measured(skew.cell_counts(left, right, keys))
+    if counts is None:
+        return join_updates(left, right, bound, keys)
+    raise_partitions(counts.sparkSession, skew.total_rows(counts))
+    hot = skew.measured(skew.hot_cells(counts, rows_per_task))
     if hot is None:
         return join_updates(left, right, bound, keys)
     cold = join_updates(skew.outside(left, keys, hot), skew.outside(right, keys, hot), bound, keys)

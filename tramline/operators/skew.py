@@ -27,15 +27,19 @@ def cell(keys: Sequence[str]) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(CELLS)).cast("int")
 
 
-def hot_cells(left: DataFrame, right: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """(cell, left_parts, right_parts) of the cells that need more than one task on either side."""
+def cell_counts(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(cell, left_rows, right_rows), in one pass over the key columns of both sides."""
     number = cell(keys).alias("cell")
-    counts = (
+    return (
         left.select(number, F.lit(1).alias("left"), F.lit(0).alias("right"))
         .unionAll(right.select(number, F.lit(0), F.lit(1)))
         .groupBy("cell")
         .agg(F.sum("left").alias("left_rows"), F.sum("right").alias("right_rows"))
     )
+
+
+def hot_cells(counts: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """(cell, left_parts, right_parts) of the cells that need more than one task on either side."""
     all_cells = Window.partitionBy()  # at most CELLS rows
 
     def parts(rows: str) -> Column:
@@ -54,6 +58,10 @@ def measured(stats: DataFrame) -> DataFrame | None:
     return None if stats.isEmpty() else stats
 
 
+def total_rows(counts: DataFrame) -> int:
+    return counts.agg(F.sum(F.col("left_rows") + F.col("right_rows"))).first()[0] or 0
+
+
 def outside(rows: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
     """Rows of cells that need no splitting."""
     return rows.withColumn("cell", cell(keys)).join(F.broadcast(hot), "cell", "left_anti").drop("cell")

@@ -14,8 +14,12 @@ TWO_MINUTES = {"processingTime": "2 minutes"}
 UNTIL_DRAINED = {"availableNow": True}
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(path)
+def read_table(spark: SparkSession, path: str, fmt: str = "parquet", columns: Columns | None = None) -> DataFrame:
+    """A stored table; given columns also make a folder readable that has no files yet."""
+    reader = spark.read.format(fmt)
+    if columns and fmt != "delta":
+        reader = reader.schema(ddl(columns))
+    return reader.load(path)
 
 
 def stream_table(

@@ -86,13 +86,13 @@ def silver_fact(
     fmt: str = "parquet",
     trigger: dict | None = None,
     bound: int = BOUND_SECONDS,
-    rows_per_task: int | None = None,
+    rows_per_task: int | None = skew.ROWS_PER_TASK,
     options: dict | None = None,
 ) -> StreamingQuery:
     """Join the two bronze streams; ``spark`` is best a ``stream_session``.
 
-    With ``rows_per_task`` the bronze tables are measured once, before the first start, and the
-    positions of hot keys are split between state partitions for the life of the checkpoint.
+    Unless ``rows_per_task`` is None, the bronze tables are measured once, before the first start,
+    and the positions of hot keys are split between state partitions for the life of the checkpoint.
     """
     positions = stream_table(spark, positions_path, VEHICLE_POSITION, fmt, options)
     updates = stream_table(spark, updates_path, BRONZE_TRIP_UPDATE, fmt, options)
@@ -142,8 +142,9 @@ def _frozen_split(
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        left = clean_positions(read_table(spark, positions_path, fmt))
-        right = clean_updates(read_table(spark, updates_path, fmt))
-        skew.hot_cells(left, right, JOIN_KEYS, rows_per_task).write.parquet(stored)
+        left = clean_positions(read_table(spark, positions_path, fmt, VEHICLE_POSITION))
+        right = clean_updates(read_table(spark, updates_path, fmt, BRONZE_TRIP_UPDATE))
+        counts = skew.cell_counts(left, right, JOIN_KEYS)
+        skew.hot_cells(counts, rows_per_task).write.parquet(stored)
         hot = read_table(spark, stored)
     return None if hot.isEmpty() else hot
