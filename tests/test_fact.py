@@ -128,7 +128,7 @@ def test_hot_key_is_split_evenly(spark, monkeypatch):
     hot = spark.range(10_000).select(F.lit("hot").alias("key"))
     rest = spark.range(20_000).select(F.concat(F.lit("k"), "id").alias("key"))
     left, right = hot.union(rest), rest
-    cells = skew.hot_cells(skew.cell_counts(left, right, ["key"]), rows_per_task=500)
+    cells = skew.plan_split(skew.stored(skew.cell_counts(left, right, ["key"])), rows_per_task=500).hot
     (cell,) = cells.collect()
     assert cell.left_parts == 20 and cell.right_parts == 1
     parts = skew.collapse_copies(skew.inside(left, ["key"], cells), "left_parts", "part", "weight")
@@ -141,9 +141,9 @@ def test_hot_key_is_split_evenly(spark, monkeypatch):
 
 def test_cell_table_is_bounded_and_usually_empty(spark):
     table = spark.range(200_000).select(F.col("id").alias("key"))
-    counts = skew.measured(skew.cell_counts(table, table, ["key"]))
-    assert counts.count() <= skew.CELLS and skew.total_rows(counts) == 400_000
-    assert skew.measured(skew.hot_cells(counts)) is None
+    counts = skew.stored(skew.cell_counts(table, table, ["key"]))
+    assert counts.count() <= skew.CELLS
+    assert skew.plan_split(counts) == skew.Split(400_000, None)
     assert skew.CELLS * 12 < 10 * 1024 * 1024
 
 

@@ -100,15 +100,12 @@ def build_fact(
 def _join_measured(
     left: DataFrame, right: DataFrame, keys: list[str], bound: int | None, rows_per_task: int
 ) -> DataFrame:
-    counts = skew.measured(skew.cell_counts(left, right, keys))
-    if counts is None:
+    split = skew.plan_split(skew.stored(skew.cell_counts(left, right, keys)), rows_per_task)
+    raise_partitions(left.sparkSession, split.rows)
+    if split.hot is None:
         return join_updates(left, right, bound, keys)
-    raise_partitions(counts.sparkSession, skew.total_rows(counts))
-    hot = skew.measured(skew.hot_cells(counts, rows_per_task))
-    if hot is None:
-        return join_updates(left, right, bound, keys)
-    cold = join_updates(skew.outside(left, keys, hot), skew.outside(right, keys, hot), bound, keys)
-    return cold.unionByName(_join_hot(left, right, keys, bound, hot))
+    cold = join_updates(skew.outside(left, keys, split.hot), skew.outside(right, keys, split.hot), bound, keys)
+    return cold.unionByName(_join_hot(left, right, keys, bound, split.hot))
 
 
 def _join_hot(left: DataFrame, right: DataFrame, keys: list[str], bound: int | None, hot: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tramline.operators.skew import ROWS_PER_TASK, measured
+from tramline.operators.skew import ROWS_PER_TASK, stored
 
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -53,7 +53,7 @@ def shuffled_lookup(
 ) -> DataFrame:
     keys = list(keys)
     # Keys beyond the largest MAX_HOT_KEYS hold under a thousandth of the rows each and shuffle well.
-    hot = measured(
+    hot = stored(
         rows.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("key_rows"))
         .filter(F.col("key_rows") > rows_per_task)
@@ -61,7 +61,7 @@ def shuffled_lookup(
         .limit(MAX_HOT_KEYS)
         .select(*keys)
     )
-    if hot is None:
+    if hot.isEmpty():
         return rows.join(dim, keys, "left")
     # Null keys match nothing but would all shuffle to one task, so null counts as a key here.
     in_hot = _same("rows", "hot", keys)

@@ -8,8 +8,9 @@ safe to broadcast. Splitting a cell only changes which task sees a row, never th
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tramline.session import work_root
@@ -38,28 +39,33 @@ def cell_counts(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataF
     )
 
 
-def hot_cells(counts: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """(cell, left_parts, right_parts) of the cells that need more than one task on either side."""
-    all_cells = Window.partitionBy()  # at most CELLS rows
+@dataclass(frozen=True)
+class Split:
+    """What measuring two join sides found: their size, and the cells to cut up, if any."""
 
-    def parts(rows: str) -> Column:
-        limit = F.greatest(F.lit(float(rows_per_task)), F.sum(rows).over(all_cells) * OVER_MEAN / CELLS)
-        return F.greatest(F.lit(1), F.ceil(F.col(rows) / limit)).cast("int")
+    rows: int
+    hot: DataFrame | None
 
-    return counts.select(
-        "cell", parts("left_rows").alias("left_parts"), parts("right_rows").alias("right_parts")
-    ).filter("left_parts > 1 or right_parts > 1")
 
-
-def measured(stats: DataFrame) -> DataFrame | None:
-    """Statistics computed once and cut off from their inputs; None if there are none."""
-    work_root(stats.sparkSession)
-    stats = stats.checkpoint()
-    return None if stats.isEmpty() else stats
+def plan_split(counts: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> Split:
+    """Hot cells, as (cell, left_parts, right_parts), from a table of cell counts."""
+    sides = ("left_rows", "right_rows")
+    totals = counts.agg(*(F.sum(side) for side in sides), *(F.max(side) for side in sides)).first()
+    rows, largest = [n or 0 for n in totals[:2]], [n or 0 for n in totals[2:]]
+    limits = [max(1, rows_per_task, n * OVER_MEAN // CELLS) for n in rows]
+    if all(n <= limit for n, limit in zip(largest, limits)):
+        return Split(sum(rows), None)
+    left_parts, right_parts = (
+        F.greatest(F.lit(1), F.ceil(F.col(side) / limit)).cast("int") for side, limit in zip(sides, limits)
+    )
+    hot = counts.select("cell", left_parts.alias("left_parts"), right_parts.alias("right_parts"))
+    return Split(sum(rows), hot.filter("left_parts > 1 or right_parts > 1"))
 
 
-def total_rows(counts: DataFrame) -> int:
-    return counts.agg(F.sum(F.col("left_rows") + F.col("right_rows"))).first()[0] or 0
+def stored(stats: DataFrame) -> DataFrame:
+    """Statistics computed once and cut off from their inputs."""
+    work_root(stats.sparkSession)
+    return stats.checkpoint()
 
 
 def outside(rows: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:

@@ -11,12 +11,13 @@ from tramline.functions import JOIN_KEYS
 from tramline.operators import feed, skew
 from tramline.operators.fact import BOUND_SECONDS, UPDATE_COLUMNS, clean_positions, clean_updates, join_updates
 from tramline.operators.messages import decode, encode, stamp_ingest
-from tramline.schemas import BRONZE_TRIP_UPDATE, FACT, TRIP_UPDATE, VEHICLE_POSITION
+from tramline.schemas import BRONZE_TRIP_UPDATE, FACT, TRIP_UPDATE, VEHICLE_POSITION, ddl
 from tramline.sources.static import stream_snapshots
 from tramline.sources.tables import FIFTEEN_SECONDS, TWO_MINUTES, append_stream, read_table, stream_table
 from tramline.sources.topics import POSITIONS_OPTIONS, UPDATES_OPTIONS, read_topic
 
 LATENESS = "5 minutes"
+SPLIT_COLUMNS = {"cell": "int", "left_parts": "int", "right_parts": "int"}
 
 
 def publish_feed(
@@ -144,7 +145,10 @@ def _frozen_split(
             raise
         left = clean_positions(read_table(spark, positions_path, fmt, VEHICLE_POSITION))
         right = clean_updates(read_table(spark, updates_path, fmt, BRONZE_TRIP_UPDATE))
-        counts = skew.cell_counts(left, right, JOIN_KEYS)
-        skew.hot_cells(counts, rows_per_task).write.parquet(stored)
+        counts = skew.stored(skew.cell_counts(left, right, JOIN_KEYS))
+        hot = skew.plan_split(counts, rows_per_task).hot
+        if hot is None:
+            hot = spark.createDataFrame([], ddl(SPLIT_COLUMNS))
+        hot.write.parquet(stored)
         hot = read_table(spark, stored)
     return None if hot.isEmpty() else hot
