@@ -16,8 +16,6 @@ LOAD_NUMBER = "20240131_120000"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One given table; its timestamps are UTC wall-clock values."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -182,7 +180,9 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
     )
     due = F.unix_seconds(F.col("o_orderdate").cast("timestamp"))
-    stop_numbers = F.filter(F.array(*map(F.lit, (1, 2, 3))), lambda i: i <= F.pmod(key, F.lit(4)))
+    # From four stops for an urgent order down to none for a low one.
+    stop_count = 5 - F.substring("o_orderpriority", 1, 1).cast("int")
+    stop_numbers = F.filter(F.array(*map(F.lit, (1, 2, 3, 4))), lambda i: i <= stop_count)
     stops = F.transform(
         stop_numbers,
         lambda i: F.struct(
@@ -256,7 +256,8 @@ select 't' || o_orderkey as entity_id, epoch_us(o_orderdate) // 1000000 as feed_
   case i when 2 then null when 3 then 0 else epoch_us(o_orderdate) // 1000000 + i end as arrival_time,
   case when i <> 2 then cast(60 as int) end as arrival_uncertainty,
   case when i <> 1 then epoch_us(o_orderdate) // 1000000 + i * 2 end as departure_time
-from orders, (values (1), (2), (3)) as stops(i) where i <= o_orderkey % 4"""
+from orders, (values (1), (2), (3), (4)) as stops(i)
+where i <= 5 - cast(left(o_orderpriority, 1) as int)"""
 
 
 # Schedule files: routes from parts, stops from customers, trips from orders; as in real files,

@@ -32,7 +32,12 @@ SIX_HOURS = 6 * 3600
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(build: Query) -> Query:
-        QUERIES[name] = build
+        def in_utc(spark: SparkSession, sf_dir: str) -> DataFrame:
+            """The given tables hold UTC wall-clock times."""
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return build(spark, sf_dir)
+
+        QUERIES[name] = in_utc
         if sql is not None:
             ORACLE[name] = sql
         return build
