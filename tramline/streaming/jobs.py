@@ -9,7 +9,15 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tramline.functions import JOIN_KEYS
 from tramline.operators import feed, skew
-from tramline.operators.fact import BOUND_SECONDS, UPDATE_COLUMNS, clean_positions, clean_updates, join_updates
+from tramline.operators.fact import (
+    BOUND_SECONDS,
+    POSITION_COLUMNS,
+    UPDATE_COLUMNS,
+    clean_positions,
+    clean_updates,
+    join_updates,
+    within,
+)
 from tramline.operators.messages import decode, encode, stamp_ingest
 from tramline.schemas import BRONZE_TRIP_UPDATE, FACT, TRIP_UPDATE, VEHICLE_POSITION, ddl
 from tramline.sources.static import stream_snapshots
@@ -93,7 +101,7 @@ def silver_fact(
     """Join the two bronze streams; ``spark`` is best a ``stream_session``.
 
     Unless ``rows_per_task`` is None, the bronze tables are measured once, before the first start,
-    and the positions of hot keys are split between state partitions for the life of the checkpoint.
+    and hot keys are split between state partitions for the life of the checkpoint.
     """
     positions = stream_table(spark, positions_path, VEHICLE_POSITION, fmt, options)
     updates = stream_table(spark, updates_path, BRONZE_TRIP_UPDATE, fmt, options)
@@ -109,28 +117,54 @@ def stream_fact(
     """Watermarked left outer join of two bronze streams.
 
     A position without an event time can neither match nor ever be given up on, and would stay in
-    the state for good, so it ends here. Rows later than the watermark are dropped by Spark.
+    the state for good, so it ends here, as does an update without one. Rows later than the watermark are dropped by Spark.
     """
-    keys = list(JOIN_KEYS)
     left = clean_positions(positions).filter(F.col("vehicle_timestamp").isNotNull())
-    right = clean_updates(updates).select(*JOIN_KEYS, *UPDATE_COLUMNS)
-    if hot is not None:
-        # Re-sent copies of a position differ in feed_timestamp, so the whole bronze row decides.
-        part = F.pmod(F.xxhash64(*left.columns), F.coalesce("left_parts", F.lit(1))).cast("int")
-        left = _with_parts(left, hot).withColumn("part", part)
-        right = _with_parts(right, hot).withColumn(
-            "part", F.explode(F.sequence(F.lit(0), F.coalesce("left_parts", F.lit(1)) - 1))
-        )
-        keys.append("part")
-    left = left.select(*keys, *(name for name in FACT if name not in (*keys, *UPDATE_COLUMNS)))
-    right = right.select(*keys, *UPDATE_COLUMNS)
-    return join_updates(
-        left.withWatermark("vehicle_timestamp", LATENESS), right.withWatermark("ingested_at", LATENESS), bound, keys
+    right = clean_updates(updates).filter(F.col("ingested_at").isNotNull())
+    if hot is None:
+        return join_updates(_timed(left, POSITION_COLUMNS), _timed(right, [*JOIN_KEYS, *UPDATE_COLUMNS]), bound)
+
+    # Re-sent rows differ in feed_timestamp, so the part comes from the whole bronze row.
+    left = _with_part(left, hot, "left_parts", "left_part")
+    right = _with_part(right, hot, "right_parts", "right_part")
+    left = _timed(left, [*POSITION_COLUMNS, "left_part", "right_parts"])
+    right = _timed(right, [*JOIN_KEYS, *UPDATE_COLUMNS, "right_part", "left_parts"])
+    keys = [*JOIN_KEYS, "left_part"]
+    if hot.filter("right_parts > 1").isEmpty():
+        return join_updates(left, _for_every_left_part(right), bound, keys)
+    return _stream_both_split(left, right, bound, keys)
+
+
+def _stream_both_split(left: DataFrame, right: DataFrame, bound: int, keys: list[str]) -> DataFrame:
+    """The outer join with both sides split: every pair of parts meets in one task, and positions
+    without a partner come from a second join with one row per key and ingest time."""
+    pairs = (
+        left.withColumn("right_part", skew.every_part("right_parts"))
+        .join(_for_every_left_part(right), [*keys, "right_part"])
+        .filter(within(bound))
     )
+    moments = right.select(*JOIN_KEYS, "ingested_at", "left_parts").dropDuplicates([*JOIN_KEYS, "ingested_at"])
+    no_values = {name: F.lit(None).cast(FACT[name]) for name in UPDATE_COLUMNS if name != "ingested_at"}
+    seen = _for_every_left_part(moments).withColumns(no_values)
+    lonely = join_updates(left, seen, bound, keys).filter(F.col("ingested_at").isNull())
+    return pairs.select(*FACT).unionByName(lonely)
 
 
-def _with_parts(rows: DataFrame, hot: DataFrame) -> DataFrame:
-    return rows.withColumn("cell", skew.cell(JOIN_KEYS)).join(F.broadcast(hot), "cell", "left")
+def _timed(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns a join needs, watermarked on the event time among them."""
+    time = "vehicle_timestamp" if "vehicle_timestamp" in columns else "ingested_at"
+    return rows.select(*columns).withWatermark(time, LATENESS)
+
+
+def _with_part(rows: DataFrame, hot: DataFrame, parts: str, part: str) -> DataFrame:
+    """Part numbers of both sides, 1 where nothing is hot, and the row's own part."""
+    marked = rows.withColumn("cell", skew.cell(JOIN_KEYS)).join(F.broadcast(hot), "cell", "left")
+    marked = marked.withColumns({name: F.coalesce(name, F.lit(1)) for name in ("left_parts", "right_parts")})
+    return marked.withColumn(part, F.pmod(F.xxhash64(*rows.columns), F.col(parts)).cast("int"))
+
+
+def _for_every_left_part(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("left_part", skew.every_part("left_parts")).drop("left_parts")
 
 
 def _frozen_split(
