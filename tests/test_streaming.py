@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 
 from tests.conftest import values
 from tests.test_fact import NOON, joined, position, scattered, update
-from tramline.operators.fact import build_fact
+from tramline.functions import JOIN_KEYS
+from tramline.operators import skew
+from tramline.operators.fact import build_fact, clean_positions
 from tramline.operators.messages import encode
 from tramline.schemas import BRONZE_TRIP_UPDATE, TRIP_UPDATE, VEHICLE_POSITION
 from tramline.session import stream_session
-from tramline.sources.tables import UNTIL_DRAINED, read_table, stream_table, write_table
+from tramline.sources.tables import UNTIL_DRAINED, read_table, stream_table, with_source_row, write_table
 from tramline.sources.topics import read_topic, write_topic
 from tramline.streaming import jobs
 
@@ -153,6 +155,15 @@ def test_split_is_fixed_for_a_checkpoint(spark, rows, tmp_path):
     assert sum(lake.fact().values()) == 20 * 2 + 100 * 2
 
 
+def test_stored_copies_are_spread_over_the_parts(spark, rows, tmp_path):
+    write_table(rows(VEHICLE_POSITION, *[position()] * 400).coalesce(1), f"{tmp_path}/p")
+    copies = clean_positions(with_source_row(read_table(spark, f"{tmp_path}/p")))
+    hot = copies.select(skew.cell(JOIN_KEYS).alias("cell"), F.lit(4).alias("left_parts"), F.lit(1).alias("right_parts"))
+    marked = jobs._with_part(copies, hot.distinct(), "left_parts", "left_part")
+    loads = values(marked.groupBy("left_part").count())
+    assert [part for part, _ in loads] == [0, 1, 2, 3] and all(60 <= load <= 140 for _, load in loads)
+
+
 def test_left_outer_join_needs_the_bound(spark, rows, tmp_path):
     write_table(rows(VEHICLE_POSITION), f"{tmp_path}/p")
     write_table(rows(BRONZE_TRIP_UPDATE), f"{tmp_path}/u")

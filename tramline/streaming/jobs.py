@@ -21,7 +21,7 @@ from tramline.operators.fact import (
 from tramline.operators.messages import decode, encode, stamp_ingest
 from tramline.schemas import BRONZE_TRIP_UPDATE, FACT, TRIP_UPDATE, VEHICLE_POSITION, ddl
 from tramline.sources.static import stream_snapshots
-from tramline.sources.tables import FIFTEEN_SECONDS, TWO_MINUTES, append_stream, read_table, stream_table
+from tramline.sources.tables import FIFTEEN_SECONDS, TWO_MINUTES, append_stream, read_table, stream_table, with_source_row
 from tramline.sources.topics import POSITIONS_OPTIONS, UPDATES_OPTIONS, read_topic
 
 LATENESS = "5 minutes"
@@ -108,6 +108,8 @@ def silver_fact(
     hot = None
     if rows_per_task is not None:
         hot = _frozen_split(spark, positions_path, updates_path, checkpoint, fmt, rows_per_task)
+    if hot is not None and fmt == "parquet":
+        positions, updates = with_source_row(positions), with_source_row(updates)
     return append_stream(stream_fact(positions, updates, bound, hot), path, checkpoint, fmt, trigger).start()
 
 
@@ -124,7 +126,8 @@ def stream_fact(
     if hot is None:
         return join_updates(_timed(left, POSITION_COLUMNS), _timed(right, [*JOIN_KEYS, *UPDATE_COLUMNS]), bound)
 
-    # Re-sent rows differ in feed_timestamp, so the part comes from the whole bronze row.
+    # Re-sent rows differ in feed_timestamp, and stored copies in their place if the source tells
+    # it, so the part comes from the whole bronze row.
     left = _with_part(left, hot, "left_parts", "left_part")
     right = _with_part(right, hot, "right_parts", "right_part")
     left = _timed(left, [*POSITION_COLUMNS, "left_part", "right_parts"])
