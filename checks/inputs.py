@@ -8,9 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-from tramline.schemas import FEED_SNAPSHOT, TRIP_UPDATE, VEHICLE_POSITION
+from tramline.schemas import TRIP_UPDATE, VEHICLE_POSITION
 
 LOAD_NUMBER = "20240131_120000"
 
@@ -182,22 +181,20 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
     )
     due = F.unix_seconds(F.col("o_orderdate").cast("timestamp"))
+
+    def stop(i: int) -> Column:
+        arrival = F.struct((due + i if i != 3 else F.lit(None).cast("bigint")).alias("time"), F.lit(60).alias("uncertainty"))
+        departure = F.struct((due + i * 2).alias("time"), F.lit(None).cast("int").alias("uncertainty"))
+        return F.struct(
+            F.when(status != "F", F.lit(i)).alias("stop_sequence"),
+            F.concat(F.lit("S"), customer + i).alias("stop_id"),
+            F.when(F.lit(i != 2), arrival).alias("arrival"),
+            F.when(F.lit(i != 1), departure).alias("departure"),
+        )
+
     # From four stops for an urgent order down to none for a low one.
     stop_count = 5 - F.substring("o_orderpriority", 1, 1).cast("int")
-    stop_numbers = F.filter(F.array(*map(F.lit, (1, 2, 3, 4))), lambda i: i <= stop_count)
-    stops = F.transform(
-        stop_numbers,
-        lambda i: F.struct(
-            F.when(status != "F", i).alias("stop_sequence"),
-            F.concat(F.lit("S"), customer + i).alias("stop_id"),
-            F.when(
-                i != 2, F.struct(F.when(i != 3, due + i).alias("time"), F.lit(60).alias("uncertainty"))
-            ).alias("arrival"),
-            F.when(
-                i != 1, F.struct((due + i * 2).alias("time"), F.lit(None).cast("int").alias("uncertainty"))
-            ).alias("departure"),
-        ),
-    )
+    stops = F.slice(F.array(*map(stop, (1, 2, 3, 4))), 1, stop_count)
     update = F.struct(trip.alias("trip"), stops.alias("stop_time_update"))
     entity = F.array(
         F.struct(
@@ -217,9 +214,7 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
     )
     orders = table(spark, sf_dir, "orders")
-    return orders.select(F.struct(due.alias("timestamp")).alias("header"), entity.alias("entity")).to(
-        StructType.fromDDL(FEED_SNAPSHOT)
-    )
+    return orders.select(F.struct(due.alias("timestamp")).alias("header"), entity.alias("entity"))
 
 
 _RELATIONSHIP_SQL = """case when o_orderstatus = 'P' then null when o_orderpriority = '1-URGENT' then 'SCHEDULED' else

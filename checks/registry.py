@@ -350,15 +350,14 @@ def _(spark, sf_dir):
         "vehicle_id", "route_id", "trip_id", "stop_id", "date_id", "actual_arrival", "delay_seconds"
     )
     day = F.to_date("start_date", "yyyyMMdd")
-    star = {
-        **inputs.star_dims(spark, sf_dir),
+    derived = {
         "dim_vehicle": warehouse.dim_vehicle(positions, LOAD_NUMBER).select("vehicle_id", "license_plate"),
         "dim_date": warehouse.dim_date(F.min(day), F.max(day), positions).select("date_id", "day_of_week"),
     }
     lake = run_dir(spark, "star")
-    for name, dim in star.items():
+    for name, dim in derived.items():
         write_table(dim, f"{lake}/{name}")
-    star = {name: read_table(spark, f"{lake}/{name}") for name in star}
+    star = inputs.star_dims(spark, sf_dir) | {name: read_table(spark, f"{lake}/{name}") for name in derived}
     joined = warehouse.star_lookup(fact_rows, star)
     known = F.col("route_short_name").isNotNull()
     return comparable(joined.withColumn("known_route", known))
