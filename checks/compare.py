@@ -58,7 +58,8 @@ def main(args: list[str]) -> int:
 
     sf_dir = args[0] if args else DEFAULT_DIR
     chosen = args[1:] or list(QUERIES)
-    spark = get_session("compare", {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.sql.shuffle.partitions": "8"})
+    quiet = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
+    spark = get_session("compare", {**quiet, "spark.sql.shuffle.partitions": "8"})
     spark.sparkContext.setLogLevel("ERROR")
     db = reference_db(sf_dir)
     failed = 0

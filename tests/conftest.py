@@ -1,5 +1,7 @@
+import io
 import os
 import sys
+from contextlib import redirect_stdout
 
 import pytest
 
@@ -42,3 +44,10 @@ def rows(spark):
 def values(df):
     """Rows as a sorted list of tuples, nulls first."""
     return sorted((tuple(row) for row in df.collect()), key=lambda row: tuple((v is not None, str(v)) for v in row))
+
+
+def plan_of(df):
+    text = io.StringIO()
+    with redirect_stdout(text):
+        df.explain()
+    return text.getvalue()

@@ -4,10 +4,10 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from tests.conftest import values
+from tests.conftest import plan_of, values
 from tramline.operators.dims import latest_vehicles, static_dim, vehicle_dim
 from tramline.plans.static import load_static, write_silver_dims
-from tramline.schemas import STATIC_DIMS, VEHICLE_POSITION
+from tramline.schemas import STATIC_DIMS, VEHICLE_POSITION, ddl
 from tramline.sources.static import read_schedule_file
 from tramline.sources.tables import read_table, write_table
 
@@ -67,7 +67,7 @@ def test_load_replaces_the_previous_load(spark, files, tmp_path):
         ("bronze.dim_stop", "SUCCESS", 2),
         ("bronze.dim_trip", "SUCCESS", 1),
     ]
-    write_table(spark.createDataFrame([], ", ".join(f"{n} {t}" for n, t in VEHICLE_POSITION.items())), f"{bronze}/vehicle_positions")
+    write_table(spark.createDataFrame([], ddl(VEHICLE_POSITION)), f"{bronze}/vehicle_positions")
     for _ in range(2):
         write_silver_dims(spark, bronze, silver)
     for name in STATIC_DIMS:
@@ -109,5 +109,5 @@ def test_vehicle_dim_combines_before_the_shuffle(spark):
         F.lit("l").alias("vehicle_label"),
         F.lit("p").alias("license_plate"),
     )
-    plan = vehicle_dim(table)._jdf.queryExecution().executedPlan().toString()
+    plan = plan_of(vehicle_dim(table))
     assert plan.count("HashAggregate") == 2 and plan.count("Exchange") == 1

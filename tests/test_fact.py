@@ -7,7 +7,7 @@ from datetime import datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from tests.conftest import values
+from tests.conftest import plan_of, values
 from tramline import session
 from tramline.operators import skew
 from tramline.operators.fact import build_fact
@@ -147,10 +147,6 @@ def test_cell_table_is_bounded_and_usually_empty(spark):
     assert skew.CELLS * 12 < 10 * 1024 * 1024
 
 
-def plan_of(df):
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
 def test_usual_plan_is_one_join_with_pushed_filters(spark, rows, tmp_path):
     rows(VEHICLE_POSITION, position()).write.parquet(str(tmp_path / "p"))
     rows(BRONZE_TRIP_UPDATE, update()).write.parquet(str(tmp_path / "u"))

@@ -35,7 +35,8 @@ def test_all_jobs(spark, lake):
         run(job, "--path", f"@bronze/{table}", "--checkpoint", f"@c/{job}", *topic)
     run("load-static", "--files", "@files", "--bronze", "@bronze", "--audit", "@audit")
     run("silver-dims", "--bronze", "@bronze", "--silver", "@silver")
-    run("silver-fact", "--bronze", "@bronze", "--silver", "@silver", "--checkpoint", "@c/fact", "--once", "--state-partitions", "2")
+    stream = ["--checkpoint", "@c/fact", "--once", "--state-partitions", "2"]
+    run("silver-fact", "--bronze", "@bronze", "--silver", "@silver", *stream)
     run("backfill-fact", "--bronze", "@bronze", "--silver", "@batch", "--unbounded")
     run("warehouse", "--bronze", "@bronze", "--target", "@star")
 

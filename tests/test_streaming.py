@@ -201,7 +201,8 @@ def test_bronze_from_topic_once_per_message(spark, rows, tmp_path, fmt):
 
 
 def test_bad_messages_do_not_stop_the_stream(spark, tmp_path):
-    write_topic(spark.createDataFrame([(b"not json",), (None,), (b'{"entity_id":"a"}',)], "value binary"), f"{tmp_path}/t", "parquet")
+    payloads = [(b"not json",), (None,), (b'{"entity_id":"a"}',)]
+    write_topic(spark.createDataFrame(payloads, "value binary"), f"{tmp_path}/t", "parquet")
     jobs.bronze_positions(
         spark, f"{tmp_path}/t", f"{tmp_path}/b", f"{tmp_path}/c", "parquet", trigger=UNTIL_DRAINED
     ).awaitTermination()
