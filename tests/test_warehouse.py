@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import values
 from tramline.operators import lookup as lookups
+from tramline.operators import skew
 from tramline.operators.quality import fk_orphans, pk_violations
 from tramline.plans import warehouse
 from tramline.plans.audit import AuditedRun, audit_rows
@@ -107,6 +108,14 @@ def test_lookup_with_a_repeated_hot_dimension_key(spark, monkeypatch):
     assert lookups.shuffled_lookup(fact, dim, ["k"], rows_per_task=2).count() == 18
 
 
+def test_hot_keys(spark):
+    keys = ["hot"] * 50 + [None] * 30 + ["edge"] * 10 + [f"k{i}" for i in range(500)]
+    fact = spark.createDataFrame([(key, 1) for key in keys], "k string, i int")
+    assert values(skew.hot_keys(fact, ["k"], 10)) == [(None,), ("hot",)]
+    assert skew.hot_keys(fact, ["k"], 50) is None
+    assert skew.hot_keys(fact.limit(0), ["k"]) is None
+
+
 def test_broadcast_size_check(spark):
     table = spark.range(1000).select(F.repeat(F.lit("x"), 100).alias("text"))
     assert lookups.fits_broadcast(table)

@@ -9,11 +9,10 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tramline.operators.skew import ROWS_PER_TASK, stored
+from tramline.operators.skew import ROWS_PER_TASK, hot_keys
 
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-MAX_HOT_KEYS = 1_000
 
 
 def fits_broadcast(table: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -51,17 +50,10 @@ def lookup(
 def shuffled_lookup(
     rows: DataFrame, dim: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
+    """Lookup in a dimension too large to broadcast, or not worth measuring."""
     keys = list(keys)
-    # Keys beyond the largest MAX_HOT_KEYS hold under a thousandth of the rows each and shuffle well.
-    hot = stored(
-        rows.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("key_rows"))
-        .filter(F.col("key_rows") > rows_per_task)
-        .orderBy(F.desc("key_rows"))
-        .limit(MAX_HOT_KEYS)
-        .select(*keys)
-    )
-    if hot.isEmpty():
+    hot = hot_keys(rows, keys, rows_per_task)
+    if hot is None:
         return rows.join(dim, keys, "left")
     # Null keys match nothing but would all shuffle to one task, so null counts as a key here.
     in_hot = _same("rows", "hot", keys)
@@ -70,6 +62,6 @@ def shuffled_lookup(
     hot_rows = rows.alias("rows").join(few, in_hot, "left_semi")
     hot_dim = dim.join(F.broadcast(hot), keys, "left_semi")
     if not fits_broadcast(hot_dim):
-        # Only possible if the dimension repeats its key.
+        # The dimension repeats its key or has huge rows; adaptive execution splits what it can.
         return rows.join(dim, keys, "left")
     return cold_rows.join(dim, keys, "left").unionByName(hot_rows.join(F.broadcast(hot_dim), keys, "left"))

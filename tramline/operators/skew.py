@@ -39,6 +39,11 @@ def cell_counts(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataF
     )
 
 
+def _limit(rows: int, rows_per_task: int) -> int:
+    """Rows a single cell or key may have before it counts as hot."""
+    return max(1, rows_per_task, rows * OVER_MEAN // CELLS)
+
+
 @dataclass(frozen=True)
 class Split:
     """What measuring two join sides found: their size, and the cells to cut up, if any."""
@@ -52,7 +57,7 @@ def plan_split(counts: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> Split:
     sides = ("left_rows", "right_rows")
     totals = counts.agg(*(F.sum(side) for side in sides), *(F.max(side) for side in sides)).first()
     rows, largest = [n or 0 for n in totals[:2]], [n or 0 for n in totals[2:]]
-    limits = [max(1, rows_per_task, n * OVER_MEAN // CELLS) for n in rows]
+    limits = [_limit(n, rows_per_task) for n in rows]
     if all(n <= limit for n, limit in zip(largest, limits)):
         return Split(sum(rows), None)
     left_parts, right_parts = (
@@ -68,6 +73,23 @@ def stored(stats: DataFrame) -> DataFrame:
     return stats.checkpoint()
 
 
+def hot_keys(rows: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame | None:
+    """The keys, null among them, that alone hold too many rows; at most ``CELLS / OVER_MEAN``.
+
+    Keys are only counted one by one inside cells that are themselves above the limit.
+    """
+    numbered = rows.select(*keys, cell(keys).alias("cell"))
+    counts = stored(numbered.groupBy("cell").agg(F.count(F.lit(1)).alias("cell_rows")))
+    total, largest = (n or 0 for n in counts.agg(F.sum("cell_rows"), F.max("cell_rows")).first())
+    limit = _limit(total, rows_per_task)
+    if largest <= limit:
+        return None
+    full = counts.filter(F.col("cell_rows") > limit).select("cell")
+    suspects = numbered.join(F.broadcast(full), "cell", "left_semi").groupBy(*keys).agg(F.count(F.lit(1)).alias("key_rows"))
+    hot = stored(suspects.filter(F.col("key_rows") > limit).select(*keys))
+    return None if hot.isEmpty() else hot
+
+
 def outside(rows: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
     """Rows of cells that need no splitting."""
     return rows.withColumn("cell", cell(keys)).join(F.broadcast(hot), "cell", "left_anti").drop("cell")
