@@ -117,18 +117,22 @@ def _join_hot(left: DataFrame, right: DataFrame, keys: list[str], bound: int | N
     """
     split_left = skew.collapse_copies(skew.inside(left, keys, hot), "left_parts", "left_part", "left_weight")
     split_right = skew.collapse_copies(skew.inside(right, keys, hot), "right_parts", "right_part", "right_weight")
-
-    pairs = split_left.withColumn("right_part", skew.every_part("right_parts")).join(
-        split_right.withColumn("left_part", skew.every_part("left_parts")).drop("left_parts", "right_parts"),
-        [*keys, "left_part", "right_part"],
-    )
+    # A given number of partitions, because adaptive execution would merge parts that look small
+    # until their weights are spread out again.
+    partitions = skew.split_partitions(hot)
+
+    on = [*keys, "left_part", "right_part"]
+    every_left = split_left.withColumn("right_part", skew.every_part("right_parts"))
+    every_right = split_right.withColumn("left_part", skew.every_part("left_parts")).drop("left_parts", "right_parts")
+    pairs = every_left.repartition(partitions, *on).join(every_right.repartition(partitions, *on), on)
     if bound is not None:
         pairs = pairs.filter(within(bound))
     pairs = skew.spread_weight(skew.spread_weight(pairs, "left_weight"), "right_weight")
 
     if bound is None:
         partnered = _any_update(right, keys, hot)
-        lonely = split_left.join(partnered, [*keys, "left_part"], "left_anti")
+        on = [*keys, "left_part"]
+        lonely = split_left.repartition(partitions, *on).join(partnered.repartition(partitions, *on), on, "left_anti")
     else:
         step = time_slot(F.unix_micros("vehicle_timestamp"), bound)
         near = _nearest_updates(right, keys, bound, hot)
@@ -137,9 +141,11 @@ def _join_hot(left: DataFrame, right: DataFrame, keys: list[str], bound: int | N
             | (F.col("before") >= F.col("vehicle_timestamp") - _interval(bound))
             | (F.col("after") <= F.col("vehicle_timestamp") + _interval(bound))
         )
+        on = [*keys, "step", "left_part"]
         lonely = (
             split_left.withColumn("step", step)
-            .join(near, [*keys, "step", "left_part"], "left_outer")
+            .repartition(partitions, *on)
+            .join(near.repartition(partitions, *on), on, "left_outer")
             .filter(~F.coalesce(has_partner, F.lit(False)))
         )
     lonely = skew.spread_weight(lonely.select(*left.columns, "left_weight"), "left_weight")

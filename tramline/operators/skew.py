@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tramline.session import work_root
+from tramline.session import PARTITIONS_PER_SLOT, task_slots, work_root
 
 CELLS = 65_536
 ROWS_PER_TASK = 2_000_000
@@ -67,6 +67,13 @@ def plan_split(counts: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> Split:
     return Split(sum(rows), hot.filter("left_parts > 1 or right_parts > 1"))
 
 
+def split_partitions(hot: DataFrame) -> int:
+    """One partition per pair of parts, as far as the cluster has use for them."""
+    spark = hot.sparkSession
+    pairs = hot.agg(F.sum(F.col("left_parts").cast("bigint") * F.col("right_parts"))).first()[0]
+    return min(pairs, task_slots(spark) * PARTITIONS_PER_SLOT)
+
+
 def stored(stats: DataFrame) -> DataFrame:
     """Statistics computed once and cut off from their inputs."""
     work_root(stats.sparkSession)
