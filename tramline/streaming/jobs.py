@@ -119,7 +119,8 @@ def stream_fact(
     """Watermarked left outer join of two bronze streams.
 
     A position without an event time can neither match nor ever be given up on, and would stay in
-    the state for good, so it ends here, as does an update without one. Rows later than the watermark are dropped by Spark.
+    the state for good, so it ends here, as does an update without one. Rows later than the
+    watermark are dropped by Spark.
     """
     left = clean_positions(positions).filter(F.col("vehicle_timestamp").isNotNull())
     right = clean_updates(updates).filter(F.col("ingested_at").isNotNull())
