@@ -15,7 +15,9 @@ def db():
 
 
 def test_every_query_has_sql():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql()) == set(QUERIES)
+    assert set(QUERIES) == set(ORACLE)
+    assert entry_point.queries().items() >= QUERIES.items()
+    assert entry_point.oracle_sql().items() >= ORACLE.items()
 
 
 @pytest.mark.parametrize("name", list(ORACLE))
