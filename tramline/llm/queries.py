@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from tramline.llm import quality
+from tramline.llm import chat, exact, quality
 
 QUERIES = {
+    "op6_exact_dedup": exact.op6_exact_dedup,
+    "op9_chat_formatting": chat.op9_chat_formatting,
     "op10_quality_rules": quality.op10_quality_rules,
 }
 
 ORACLE = {
+    "op6_exact_dedup": exact.OP6_SQL,
+    "op9_chat_formatting": chat.OP9_SQL,
     "op10_quality_rules": quality.OP10_SQL,
 }
