@@ -124,9 +124,8 @@ def _sketcher(size: int, bands: int, rows: int):
     def out(ids, marks, parts):
         return pd.DataFrame(
             {
-                "doc_id": pd.array(ids, "Int64"),
+                "doc_id": ids,
                 "node": marks,
-                "n": [len(keys) for keys, _ in parts],
                 "bands": band_hashes(parts),
             }
         )
@@ -202,17 +201,17 @@ def near_classes(
     of fewer words than a shingle are one shingle. Repeated rows and null ids stay; a class of null
     ids alone has a null class_id. Other columns are ignored. An empty table gives no rows.
     """
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sketched = staged(
-        text.mapInPandas(_sketcher(size, bands, rows), "doc_id long, node binary, n int, bands array<long>"), "sketches"
-    )
+    # Ids travel as text: pandas would turn whole numbers beside nulls into floats.
+    text = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    sketched = text.mapInPandas(_sketcher(size, bands, rows), "doc_id string, node binary, bands array<long>")
+    sketched = staged(sketched.withColumn("doc_id", F.col("doc_id").cast("long")), "sketches")
     # Copies meet first: a bucket holds each text once, however many rows have it.
     spread = sketched.select("node", F.explode("bands").alias("bucket")).groupBy("bucket", "node").agg(F.lit(1).alias("x"))
     spread = spread.select("bucket", "node")
     shared = spread.groupBy("bucket").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least <> most")
     members = staged(spread.join(shared.select("bucket"), "bucket", "left_semi"), "members")
     owners = sketched.join(members.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    needed_rows = owners.select("doc_id").distinct()
+    needed_rows = owners.select(F.col("doc_id").cast("string").alias("doc_id")).distinct()
     chosen = text.join(needed_rows, text["doc_id"].eqNullSafe(needed_rows["doc_id"]), "left_semi")
     sets = chosen.mapInPandas(_shingler(size), "node binary, set array<long>").dropDuplicates(["node"])
     sets = staged(sets.join(members.select("node").distinct(), "node", "left_semi"), "sets")

@@ -29,7 +29,7 @@ SLICE = 128
 GROUP_PIECES = 1024
 END_ID = 1
 
-PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+PIECES = "doc_id string, start long, length long, ids_crc32 long, doc_tokens long"
 
 
 def cuts(tokens: int, capacity: int = CAPACITY, slice_: int = SLICE) -> list[tuple[int, int]]:
@@ -130,9 +130,7 @@ def _cutter(ranks_path: str | None, capacity: int, slice_: int, end_id: int, wit
                     row = (doc_id, start, length, zlib.crc32(piece.tobytes()), len(ids))
                     out.append((*row, piece.astype(np.int32)) if with_ids else row)
             columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", *(["ids"] if with_ids else [])]
-            done = pd.DataFrame(out, columns=columns)
-            done["doc_id"] = done["doc_id"].astype("Int64")
-            yield done
+            yield pd.DataFrame(out, columns=columns)
 
     return cut
 
@@ -150,9 +148,11 @@ def token_pieces(
     ``ranks_path`` names the vocabulary, by default the public byte-level BPE one. A null text is
     empty and has the end id alone. Texts go whole, one at a time, through the tokenizer.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    # Ids travel as text: pandas would turn whole numbers beside nulls into floats.
+    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = PIECES + (", ids array<int>" if with_ids else "")
-    return rows.mapInPandas(_cutter(ranks_path, capacity, slice_, end_id, with_ids), schema)
+    pieces = rows.mapInPandas(_cutter(ranks_path, capacity, slice_, end_id, with_ids), schema)
+    return pieces.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES) -> DataFrame:

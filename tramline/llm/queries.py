@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tramline.llm import chat, exact, mixing, near, packing, quality
+from tramline.llm import chat, exact, mixing, near, packing, quality, toxicity
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op2_packing": packing.op2_packing,
+    "op3_toxicity": toxicity.op3_toxicity,
     "op5_minhash_near_dedup": near.op5_minhash_near_dedup,
     "op6_exact_dedup": exact.op6_exact_dedup,
     "op9_chat_formatting": chat.op9_chat_formatting,
