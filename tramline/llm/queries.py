@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tramline.llm import chat, exact, mixing, near, packing, quality, toxicity
+from tramline.llm import chat, exact, mixing, near, packing, quality, suffix_tree, toxicity
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_toxicity": toxicity.op3_toxicity,
     "op5_minhash_near_dedup": near.op5_minhash_near_dedup,
     "op6_exact_dedup": exact.op6_exact_dedup,
+    "op7_lm_scoring": suffix_tree.op7_lm_scoring,
     "op9_chat_formatting": chat.op9_chat_formatting,
     "op10_quality_rules": quality.op10_quality_rules,
 }
