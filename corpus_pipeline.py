@@ -1,17 +1,68 @@
-"""A training corpus from raw documents, in stages; each one reads what its predecessor kept."""
+"""A training corpus from raw documents, in stages; each one reads what its predecessor kept.
+
+Toxic documents go, then exact copies, then near copies but one of each class. What is left is mixed
+to source weights and packed into sequences. A row of the mixture is a run of words that the mix took
+from a document, so ids may repeat there; the last stage's rows are pieces of such rows.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES = []
+from tramline.llm.common import staged, table
+from tramline.llm.exact import drop_copies
+from tramline.llm.mixing import mixed_docs
+from tramline.llm.near import keep_one
+from tramline.llm.packing import packed_docs
+from tramline.llm.toxicity import clean_docs
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents not judged toxic."""
+    return clean_docs(docs, table(spark, sf_dir, "labels"))
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts."""
+    return drop_copies(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies."""
+    return keep_one(docs)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Runs of words, by source weight."""
+    return mixed_docs(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces with their places in sequences."""
+    return packed_docs(docs)
+
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", toxicity),
+    ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
+    ("mixing", mixing),
+    ("packing", packing),
+]
 
+# Scores, sketches, draws and tokenisation are not SQL; the tests hold each stage against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    """All stages over ``documents``, each result written before the next stage reads it."""
+    docs = table(spark, sf_dir, "documents")
+    for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if i < len(STAGES) - 1:
+            docs = staged(docs, name)
     return docs

@@ -1,0 +1,140 @@
+"""Toxicity on held-out rows and disguised words; language model against brute force."""
+
+import math
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tests.llm.helpers import SF, edge, empty
+from tramline.llm import suffix_tree, toxicity
+
+SF_MORE = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def decoder(spark):
+    return toxicity.Decoder(toxicity.letter_model(spark.read.parquet(f"{SF_MORE}/documents.parquet").select("text")))
+
+
+@pytest.mark.parametrize(
+    "disguised, plain",
+    [("l0ser", "loser"), ("m o r o n", "moron"), ("i.d.i.0.t", "idiot"), ("$tuuuupid", "stupid"), ("cl0wn", "clown"), ("tr@sh", "trash")],
+)
+def test_decoder_restores(decoder, disguised, plain):
+    assert decoder.restore(f"the {disguised} of") == f"the {plain} of"
+
+
+def test_decoder_leaves_plain_text(decoder):
+    text = "the thing, with 12 letters; less is more! ñandú – \n and so on."
+    assert decoder.restore(text) == text
+
+
+def test_fast_test_misses_no_pattern(spark):
+    _, kind = toxicity._classes()
+    texts = [toxicity.plain(r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").collect()]
+    texts += ["m o r o n", "x i.d.i.0.t", "a b", "l0ser", "", "looove", "aabbcc", "cl-o-wn", "no"]
+    flags = toxicity.suspicious(texts, kind)
+    for text, flag in zip(texts, flags, strict=True):
+        hit = toxicity.SPACED.search(text) or any(toxicity.SUSPECT.search(w.strip(toxicity.EDGES)) for w in text.split())
+        assert flag or not hit
+
+
+def test_toxicity_on_held_out_rows(spark):
+    docs, labels = spark.read.parquet(f"{SF_MORE}/documents.parquet"), spark.read.parquet(f"{SF_MORE}/labels.parquet")
+    got = toxicity.toxic_scores(docs, labels).join(labels, "doc_id").filter("held_out").toPandas()
+    assert got["score"].between(0, 1).all()
+    assert got[got["toxic"] == 0]["predicted"].mean() < 0.02
+    assert got[got["toxic"] == 1]["predicted"].mean() > 0.6  # rare words of small languages cannot be learned here
+    clean = toxicity.clean_docs(docs, labels)
+    assert clean.columns == docs.columns and clean.count() < docs.count()
+
+
+def test_toxicity_edges(spark):
+    labels = spark.createDataFrame([(4, 1), (5, None), (None, 0), (7, 0)], "doc_id long, toxic int")
+    got = toxicity.toxic_scores(edge(spark), labels).collect()
+    assert len(got) == 12 and all(0 <= r["score"] <= 1 for r in got)
+    assert toxicity.toxic_scores(edge(spark), labels.limit(0)).filter("predicted = 1").count() == 0
+    assert toxicity.toxic_scores(empty(spark), labels).count() == 0
+
+
+def test_chosen_features_take_the_longest_common_form():
+    a = {"loser ": 50, "lose": 50, "lowe": 40, "lowei": 40, "loweian ": 9, "the ": 80}
+    got = toxicity._chosen(a, {"lose": 30, "the ": 900}, 100, 900)
+    assert set(got) == {"loser ", "lowei"}
+
+
+def brute_scores(rows):
+    held = {i: zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2 for i, _ in rows}
+    tokens = [(i, [*(t or "").encode().lower().split(), "end"]) for i, t in rows]
+    c = Counter(w for i, ws in tokens if not held[i] for w in ws)
+    n, v = sum(c.values()), len(c)
+    return [(i, held[i], len(ws), sum(c[w] > 0 for w in ws), n, sum(math.log10((c[w] + 1) / (n + v + 1)) for w in ws)) for i, ws in tokens]
+
+
+def test_base_scores_equal_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    got = suffix_tree.op7_lm_scoring(spark, SF).orderBy("doc_id").collect()
+    want = sorted(brute_scores([(r["doc_id"], r["text"]) for r in docs.collect()]))
+    for g, w in zip(got, want, strict=True):
+        assert tuple(g)[:5] == w[:5] and math.isclose(g["base_score"], w[5], rel_tol=1e-9) and g["score"] <= 0
+    out = [r for r in got if r["held_out"]]
+    assert sum(r["score"] for r in out) > sum(r["base_score"] for r in out)
+
+
+def test_tree_scores_equal_a_plain_walk(spark):
+    """States, smoothing and rare words by dictionaries over whole texts."""
+    rng = np.random.default_rng(2)
+    follow = {"a": ["b"] * 9 + ["c"], "b": ["a", "c", "d"], "c": ["a", "b"], "d": ["a"]}
+    texts = []
+    for _ in range(60):
+        word, text = "a", []
+        for _ in range(40):
+            text.append(word)
+            word = str(rng.choice(follow[word]))
+        texts.append(" ".join(text))
+    rows = [(i, t) for i, t in enumerate(texts)] + [(100, "a b zzz a b"), (101, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in suffix_tree.scored_texts(frame, F.col("doc_id") >= 100).collect()}
+
+    tokens = {i: ["<", *(t or "").split(), "<"] for i, t in rows}
+    train = [ws for i, ws in tokens.items() if i < 100]
+    one = Counter(w for ws in train for w in ws[1:])
+    n, once, twice = sum(one.values()), sum(c == 1 for c in one.values()), sum(c == 2 for c in one.values())
+    off = min(max(once / (once + 2 * twice), 0.1), 0.9) if once else 0.5
+    pairs = Counter((tuple(ws[max(0, i - d) : i]), ws[i]) for ws in train for i in range(1, len(ws)) for d in (1, 2) if i - d >= 0)
+    totals = Counter()
+    for (s, _), k in pairs.items():
+        totals[s] += k
+    states = {}
+
+    def share(s, w):
+        if s not in states:
+            return share(s[1:], w) if s else ((one[w] - off) / n if one[w] else off * len(one) / n)
+        k = states[s].get(w, 0)
+        left = 1 - sum(x - 0.5 for x in states[s].values()) / totals[s]
+        return (k - 0.5 if k else 0) / totals[s] + left * share(s[1:], w)
+
+    for size in (1, 2):
+        for s in [s for s in totals if len(s) == size and totals[s] >= max(2, 5e-4 * n)]:
+            own = {w: k for (t, w), k in pairs.items() if t == s and k >= 2}
+            lower = {w: share(s[1:], w) for w in own}
+            rest, rest_lower = totals[s] - sum(own.values()), max(1 - sum(lower.values()), 1e-12)
+            gain = sum(k * math.log(k / totals[s] / lower[w]) for w, k in own.items())
+            gain += rest * math.log(rest / totals[s] / rest_lower) if rest else 0
+            if gain >= 20:
+                states[s] = own
+    assert len(states) > 1
+    for i, ws in tokens.items():
+        want = sum(math.log10(share(tuple(ws[max(0, j - 2) : j]), ws[j])) for j in range(1, len(ws)))
+        assert math.isclose(got[i], want, rel_tol=1e-9), i
+
+
+def test_scores_edges(spark):
+    got = suffix_tree.scored_texts(edge(spark), F.lit(False)).collect()
+    assert len(got) == 12 and all(math.isfinite(r["score"]) and math.isfinite(r["base_score"]) for r in got)
+    none = suffix_tree.scored_texts(edge(spark), F.lit(True)).collect()
+    assert {r["n_known"] for r in none} == {0} and {r["train_tokens"] for r in none} == {0}
+    assert suffix_tree.scored_texts(empty(spark), F.lit(False)).count() == 0

@@ -12,11 +12,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tramline.llm.common import staged, table
+from tramline.llm.common import staged, table, words
 from tramline.llm.graph import components
 
 SHINGLE = 5
@@ -24,9 +24,10 @@ SHINGLE = 5
 BANDS, ROWS = 24, 5
 # 10 * overlap >= NEEDED * union: similarity of 0.8 or more.
 NEEDED = 8
-# Shingles sketched together, and the leaders' rounds before the prefix filter.
+# Shingles sketched together.
 CHUNK = 1 << 19
-LEADER_ROUNDS = 3
+# Shingles a row of the prefix join carries to tell whether its pair has met before.
+EARLIER = 32
 
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -84,7 +85,12 @@ def prob_min_hash(doc: np.ndarray, keys: np.ndarray, weights: np.ndarray, docs:
 
 
 def _digest(tokens: list[bytes]) -> bytes:
-    return hashlib.blake2b(b" ".join(tokens), digest_size=16).digest()
+    """Name of a sequence of words; ``word_mark`` is the same as a column."""
+    return hashlib.md5(b" ".join(tokens), usedforsecurity=False).digest()
+
+
+def word_mark(text: Column) -> Column:
+    return F.unhex(F.md5(F.array_join(words(text), " ").cast("binary")))
 
 
 def _sketcher(size: int, bands: int, rows: int):
@@ -167,6 +173,17 @@ def _rooted(table_: DataFrame, roots: DataFrame, name: str) -> DataFrame:
     return table_.join(found, name, "left").withColumn(f"{name}_root", F.coalesce(f"{name}_root", name))
 
 
+def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots`` after ``links`` between their classes; only the classes are connected anew."""
+    if links.isEmpty():
+        return roots
+    ends = _rooted(_rooted(links, roots, "a"), roots, "b").select(F.col("a_root").alias("a"), F.col("b_root").alias("b"))
+    joined = staged(components(ends), "joined")
+    new = joined.select(F.col("node").alias("root"), F.col("root").alias("new"))
+    moved = roots.join(new, "root", "left").select("node", F.coalesce("new", "root").alias("root"))
+    return staged(moved.unionByName(joined.join(roots, "node", "left_anti").select("node", "root")), "roots")
+
+
 def _prefix_pairs(nodes: DataFrame, sets: DataFrame, needed: int) -> DataFrame:
     """Pairs of ``nodes`` (node, root) of different roots that can be similar enough: an exact filter.
 
@@ -181,11 +198,16 @@ def _prefix_pairs(nodes: DataFrame, sets: DataFrame, needed: int) -> DataFrame:
     # Overlap of at least needed/10 of n, so the place may be n - ceil(needed * n / 10) + 1 at most.
     first = ranked.filter(F.col("df").isNotNull() & (F.col("i") <= F.col("n") - F.ceil(F.col("n") * needed / 10) + 1))
     mixed = first.groupBy("s").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 <> r2").select("s")
-    first = first.join(mixed, "s", "left_semi").select("s", "node", "root", "n", "i")
-    other = first.select("s", *[F.col(c).alias(f"{c}2") for c in ("node", "root", "n", "i")])
+    first = first.join(mixed, "s", "left_semi")
+    # A pair is wanted at its first common shingle alone; the list spares most repeats, and distinct() the rest.
+    earlier = F.collect_list("s").over(W.partitionBy("node").orderBy("i").rowsBetween(W.unboundedPreceding, -1))
+    columns = ("node", "root", "n", "i", "earlier")
+    first = first.withColumn("earlier", F.slice(earlier, 1, EARLIER)).select("s", *columns)
+    other = first.select("s", *[F.col(c).alias(f"{c}2") for c in columns])
     able = F.expr(
         f"node > node2 AND root <> root2 AND 10 * n >= {needed} * n2 AND 10 * n2 >= {needed} * n"
         f" AND (10 + {needed}) * (1 + least(n - i, n2 - i2)) >= {needed} * (n + n2)"
+        " AND NOT arrays_overlap(earlier, earlier2)"
     )
     return first.join(other, ["s"]).filter(able).select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct()
 
@@ -193,9 +215,9 @@ def _prefix_pairs(nodes: DataFrame, sets: DataFrame, needed: int) -> DataFrame:
 def near_classes(
     docs: DataFrame, size: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, needed: int = NEEDED
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id, node, class_id, class_size, links.
+    """One row per row of ``docs``: doc_id, class_id, class_size, links, node, root.
 
-    ``node`` names the text's sequence of words, ``class_id`` is the smallest doc_id of the class, and
+    ``node`` names the text's sequence of words and ``root`` its class; ``class_id`` is the smallest doc_id of the class, and
     ``links`` is how many different texts of its class a text was found linked with. Texts with the
     same words are one node. Null and empty texts have no shingles; they are one node, alone. Texts
     of fewer words than a shingle are one shingle. Repeated rows and null ids stay; a class of null
@@ -216,25 +238,24 @@ def near_classes(
     sets = chosen.mapInPandas(_shingler(size), "node binary, set array<long>").dropDuplicates(["node"])
     sets = staged(sets.join(members.select("node").distinct(), "node", "left_semi"), "sets")
 
-    links = roots = None
-    for turn in range(LEADER_ROUNDS + 2):
-        if turn <= LEADER_ROUNDS:
-            leaders = members.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("node", F.lit(max(turn, 1))), "node")).alias("l"))
-            pairs = members.join(leaders, "bucket").select(F.col("l.node").alias("a"), F.col("node").alias("b")).filter("a <> b")
-            pairs = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("k"))
-            if turn == 0:  # the leader that a text shares most buckets with
-                pairs = pairs.groupBy("b").agg(F.max(F.struct("k", "a")).alias("l")).select(F.col("l.a").alias("a"), "b")
-            else:
-                pairs = _rooted(_rooted(pairs, roots, "a"), roots, "b").filter("a_root <> b_root").select("a", "b")
-        else:
-            rooted = _rooted(members, roots, "node")
-            split = rooted.groupBy("bucket").agg(F.min("node_root").alias("r1"), F.max("node_root").alias("r2")).filter("r1 <> r2")
-            contested = rooted.join(split, "bucket", "left_semi").select("node", F.col("node_root").alias("root")).distinct()
-            pairs = _prefix_pairs(contested, sets, needed)
-        found = staged(_verified(pairs, sets, needed), "links")
-        links = found if links is None else links.unionByName(found)
-        if turn == 0 or not found.isEmpty():
-            roots = staged(components(links), "roots")
+    # First each text with the leader it shares most buckets with, then what other leaders can add, then
+    # what buckets still hold of different classes.
+    leaders = members.groupBy("bucket").agg(F.min("node").alias("a"))
+    met = members.join(leaders, "bucket").select("a", F.col("node").alias("b")).filter("a <> b")
+    met = staged(met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("k")), "leaders")
+    best = met.groupBy("b").agg(F.max(F.struct("k", "a")).alias("l")).select(F.col("l.a").alias("a"), "b")
+    links = staged(_verified(best, sets, needed), "links")
+    roots = staged(components(links), "roots")
+
+    apart = _rooted(_rooted(met, roots, "a"), roots, "b").filter("a_root <> b_root").select("a", "b")
+    found = staged(_verified(apart, sets, needed), "links")
+    links, roots = links.unionByName(found), _merged(roots, found)
+
+    rooted = _rooted(members, roots, "node")
+    split = rooted.groupBy("bucket").agg(F.min("node_root").alias("r1"), F.max("node_root").alias("r2")).filter("r1 <> r2")
+    contested = rooted.join(split, "bucket", "left_semi").select("node", F.col("node_root").alias("root")).distinct()
+    found = staged(_verified(_prefix_pairs(contested, sets, needed), sets, needed), "links")
+    links, roots = links.unionByName(found), _merged(roots, found)
 
     degree = links.distinct().select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("links"))
     rooted = _rooted(sketched.select("doc_id", "node"), roots, "node").withColumnRenamed("node_root", "root")
@@ -242,9 +263,28 @@ def near_classes(
     return (
         rooted.join(classes, "root")
         .join(degree, "node", "left")
-        .select("doc_id", "class_id", "class_size", F.coalesce("links", F.lit(0)).cast("long").alias("links"), F.lower(F.hex("node")).alias("node"))
+        .select("doc_id", "class_id", "class_size", F.coalesce("links", F.lit(0)).cast("long").alias("links"), F.hex("node").alias("node"), F.hex("root").alias("root"))
     )
 
 
+def keep_one(docs: DataFrame, **options) -> DataFrame:
+    """One row of each class of ``docs``, with all its columns: that with the smallest id, a null id last.
+
+    Rows that repeat both id and words are one.
+    """
+    classes = near_classes(docs, **options)
+    first = classes.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "node")).alias("f"))
+    kept = first.select(_row_key(F.col("f.doc_id"), F.col("f.node")).alias("__key"))
+    # Texts go by id and words to the row that stays.
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
+    met = docs.select(row, _row_key(F.col("doc_id"), F.hex(word_mark(docs["text"]))).alias("__key")).join(kept, "__key")
+    order = W.partitionBy("__key").orderBy(F.lit(1))
+    return met.withColumn("__n", F.row_number().over(order)).filter("__n = 1").select("__row.*")
+
+
+def _row_key(doc_id: Column, mark: Column) -> Column:
+    return F.concat_ws(":", mark, doc_id.cast("string"))
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_classes(table(spark, sf_dir, "documents")).drop("node")
+    return near_classes(table(spark, sf_dir, "documents")).drop("node", "root")

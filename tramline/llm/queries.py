@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tramline.llm import chat, exact, mixing, near, packing, quality, suffix_tree, toxicity
+from tramline.llm import chat, exact, mixing, near, packing, paragraphs, quality, suffix_tree, toxicity
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op2_packing": packing.op2_packing,
     "op3_toxicity": toxicity.op3_toxicity,
+    "op4_substring_dedup": paragraphs.op4_substring_dedup,
     "op5_minhash_near_dedup": near.op5_minhash_near_dedup,
     "op6_exact_dedup": exact.op6_exact_dedup,
     "op7_lm_scoring": suffix_tree.op7_lm_scoring,

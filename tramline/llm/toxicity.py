@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.llm.common import remainder, staged, table
+from tramline.llm.common import remainder, staged, table, text_or_empty
 from tramline.llm.near import near_classes
 
 # Letters that a sign or digit may stand for.
@@ -406,6 +406,21 @@ def _scorer(model: Model, keep: list[str]):
     return score
 
 
+def _learned(docs: DataFrame, labels: DataFrame, fit_rows: int) -> Model:
+    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    known = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(labels["doc_id"]))
+    known = known.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("toxic").cast("int").alias("label"))
+    return fit(rows, known, fit_rows)
+
+
+def _score_series(model: Model):
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for frame in _scorer(model, [])(pd.DataFrame({"text": batch}) for batch in batches):
+            yield frame["score"]
+
+    return score
+
+
 def toxic_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, fit_rows: int = FIT_ROWS) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, score, predicted.
 
@@ -416,9 +431,7 @@ def toxic_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOL
     """
     # Ids travel as text: pandas would turn whole numbers beside nulls into floats.
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    known = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(labels["doc_id"]))
-    known = known.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("toxic").cast("int").alias("label"))
-    model = fit(rows, known, fit_rows)
+    model = _learned(docs, labels, fit_rows)
     scored = rows.mapInPandas(_scorer(model, ["doc_id"]), "doc_id string, score double")
     return scored.select(
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -428,6 +441,17 @@ def toxic_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOL
     )
 
 
+def clean_docs(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, fit_rows: int = FIT_ROWS) -> DataFrame:
+    """The rows of ``docs`` whose score is below ``threshold``, with all their columns.
+
+    Learns as ``toxic_scores`` does. Texts are scored where they are read; no row is moved.
+    """
+    model = _learned(docs, labels, fit_rows)
+    columns = docs.columns
+    judged = docs.withColumn("__score", F.pandas_udf(_score_series(model), "double", F.PandasUDFType.SCALAR_ITER)(text_or_empty(docs["text"])))
+    return judged.filter(F.col("__score") < threshold).select([F.col(f"`{c}`") for c in columns])
+
+
 def held_out(doc_id: Column) -> Column:
     return remainder(doc_id, 3) == 1
 
