@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tramline.llm import chat, exact, mixing, near, packing, paragraphs, quality, suffix_tree, toxicity
+from tramline.llm import chat, exact, mixing, near, packing, paragraphs, quality, repeats, suffix_tree, toxicity
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_minhash_near_dedup": near.op5_minhash_near_dedup,
     "op6_exact_dedup": exact.op6_exact_dedup,
     "op7_lm_scoring": suffix_tree.op7_lm_scoring,
+    "op8_suffix_array_dedup": repeats.op8_suffix_array_dedup,
     "op9_chat_formatting": chat.op9_chat_formatting,
     "op10_quality_rules": quality.op10_quality_rules,
 }
