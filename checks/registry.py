@@ -135,6 +135,43 @@ query("fact_interval_6h_split", fact_sql(SIX_HOURS))(fact(SIX_HOURS, rows_per_ta
 query("fact_unbounded_split", fact_sql(None))(fact(None, rows_per_task=8))
 
 
+MATCHED = """on p.trip_id = u.trip_id and p.route_id = u.route_id and p.stop_id = u.stop_id
+      and u.ingested_at between p.at - interval 6 hour and p.at + interval 6 hour"""
+
+
+@query(
+    "fact_split_signed",
+    f"""with {EVENTS_SQL}, p as (
+      select *, case current_stop_sequence % 4 when 0 then '-0' when 1 then '0' when 2 then 'nan' else '5' end as sign
+      from cvp, (values (1), (2)) as copies(copy))
+    select p.trip_id, p.vehicle_id, p.at as vehicle_timestamp, u.ingested_at, p.sign from p left join ctu u {MATCHED}""",
+)
+def _(spark, sf_dir):
+    """Splitting keeps 0.0, -0.0 and NaN apart, and every one of two stored copies."""
+    k, at = F.pmod("current_stop_sequence", F.lit(4)), F.col("longitude")
+    odd = F.when(k == 0, F.lit(-0.0)).when(k == 1, F.lit(0.0)).when(k == 2, F.lit(float("nan"))).otherwise(F.lit(5.0))
+    positions = inputs.positions(spark, sf_dir).withColumn("longitude", odd)
+    rows = build_fact(positions.union(positions), inputs.bronze_updates(spark, sf_dir), SIX_HOURS, rows_per_task=2)
+    zero = F.when(at.cast("string").startswith("-"), "-0").otherwise("0")
+    sign = F.when(F.isnan(at), "nan").when(at == 0, zero).otherwise("5").alias("sign")
+    return comparable(rows.select("trip_id", "vehicle_id", "vehicle_timestamp", "ingested_at", sign))
+
+
+@query(
+    "fact_bad_numbers",
+    f"""with {EVENTS_SQL}, p as (
+      select * replace (case when current_stop_sequence % 5 > 1 then at end as at) from cvp)
+    select p.trip_id, p.vehicle_id, p.at as vehicle_timestamp, u.ingested_at from p left join ctu u {MATCHED}""",
+)
+def _(spark, sf_dir):
+    """Times in microseconds and times before any calendar are no times."""
+    k, at = F.pmod("current_stop_sequence", F.lit(5)), F.col("vehicle_timestamp")
+    bad = F.when(k == 0, at * 1_000_000).when(k == 1, F.lit(-(1 << 62)).cast("bigint")).otherwise(at)
+    positions = inputs.positions(spark, sf_dir).withColumn("vehicle_timestamp", bad)
+    rows = build_fact(positions, inputs.bronze_updates(spark, sf_dir), SIX_HOURS)
+    return comparable(rows.select("trip_id", "vehicle_id", "vehicle_timestamp", "ingested_at"))
+
+
 @query("fact_batch_append", fact_sql(600))
 def _(spark, sf_dir):
     lake = run_dir(spark, "fact-batch")
@@ -268,6 +305,23 @@ def _(spark, sf_dir):
     return counts[0].union(counts[1]).union(counts[2]).union(counts[3])
 
 
+def silver_dim(name: str) -> Query:
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """One schedule file to bronze to silver, contents and not counts."""
+        lake = run_dir(spark, f"silver-{name}")
+        inputs.schedule_files(spark, sf_dir)[name].write.options(header=True, escape='"').csv(f"{lake}/files/{name}")
+        rows = dims.static_dim(static.read_schedule_file(spark, f"{lake}/files/{name}"), STATIC_DIMS[name], LOAD_NUMBER)
+        write_table(rows, f"{lake}/bronze/dim_{name}")
+        static.write_silver_dim(spark, f"{lake}/bronze", f"{lake}/silver", name)
+        return read_table(spark, f"{lake}/silver/{name}")
+
+    return build
+
+
+for _name in STATIC_DIMS:
+    query(f"silver_dim_{_name}", inputs.SCHEDULE_SQL[_name])(silver_dim(_name))
+
+
 @query("vehicle_dim", f"with {EVENTS_SQL} select distinct vehicle_id, vehicle_label, license_plate from cvp")
 def _(spark, sf_dir):
     return dims.vehicle_dim(inputs.positions(spark, sf_dir))
@@ -322,6 +376,57 @@ def _(spark, sf_dir):
     return comparable(_stop_delay(spark, sf_dir).drop("fact_id", "ingested_at"))
 
 
+@query(
+    "fact_ids",
+    f"""{STOP_DELAY_SQL} select cast(count(*) as bigint) as row_count, cast(count(distinct (start_date, route_id, trip_id,
+      stop_id, vehicle_id)) as bigint) as id_count from visits""",
+)
+def _(spark, sf_dir):
+    """The surrogate key is as distinct as the natural one."""
+    rows = _stop_delay(spark, sf_dir)
+    return rows.agg(F.count(F.lit(1)).alias("row_count"), F.countDistinct("fact_id").alias("id_count"))
+
+
+@query(
+    "warehouse_build",
+    f"""{STOP_DELAY_SQL}
+    select 'dim_route' as name, route_id as id, route_short_name as detail from ({inputs.SCHEDULE_SQL['route']})
+    union all select 'dim_stop', stop_id, stop_name from ({inputs.SCHEDULE_SQL['stop']})
+    union all select 'dim_trip', trip_id, trip_headsign from ({inputs.SCHEDULE_SQL['trip']})
+    union all select 'dim_vehicle', vehicle_id, null from (select distinct vehicle_id from cvp)
+    union all select 'fact_stop_delay', concat_ws('/', vehicle_id, route_id, trip_id, stop_id, strftime(date_id, '%Y-%m-%d')),
+      cast(delay_seconds as varchar) from stop_delays
+    union all select 'audit_pipeline_runs', '6', null""",
+)
+def _(spark, sf_dir):
+    """All star tables written by the plan and read back."""
+    lake = run_dir(spark, "warehouse")
+    write_table(inputs.positions(spark, sf_dir), f"{lake}/bronze/vehicle_positions")
+    write_table(inputs.bronze_updates(spark, sf_dir), f"{lake}/bronze/trip_updates")
+    for name, rows in inputs.schedule_files(spark, sf_dir).items():
+        text = rows.select(*(F.col(c).cast("string").alias(c) for c in rows.columns))
+        write_table(dims.static_dim(text, STATIC_DIMS[name], LOAD_NUMBER), f"{lake}/bronze/dim_{name}")
+    warehouse.build_warehouse(
+        spark, f"{lake}/bronze", f"{lake}/star", LOAD_NUMBER, stop_times=inputs.stop_times(spark, sf_dir)
+    )
+
+    def part(table: str, key: Column, detail: Column) -> DataFrame:
+        rows = read_table(spark, f"{lake}/star/{table}")
+        return rows.select(F.lit(table).alias("name"), key.alias("id"), detail.cast("string").alias("detail"))
+
+    natural = F.concat_ws("/", "vehicle_id", "route_id", "trip_id", "stop_id", F.col("date_id").cast("string"))
+    runs = read_table(spark, f"{lake}/star/audit_pipeline_runs").filter("status = 'SUCCESS'")
+    audited = runs.agg(F.count(F.lit(1)).cast("string").alias("id"))
+    return (
+        part("dim_route", F.col("route_id"), F.col("route_short_name"))
+        .union(part("dim_stop", F.col("stop_id"), F.col("stop_name")))
+        .union(part("dim_trip", F.col("trip_id"), F.col("trip_headsign")))
+        .union(part("dim_vehicle", F.col("vehicle_id"), F.lit(None)))
+        .union(part("fact_stop_delay", natural, F.col("delay_seconds")))
+        .union(audited.select(F.lit("audit_pipeline_runs"), "id", F.lit(None).cast("string")))
+    )
+
+
 @query(
     "segment_speed",
     f"""{STOP_DELAY_SQL} select start_date, route_id, trip_id, stop_id, vehicle_id, avg_speed_segment from visits""",
@@ -535,6 +640,24 @@ query("stream_fact_6h", fact_sql(SIX_HOURS, timeless=False))(stream_fact(SIX_HOU
 query("stream_fact_6h_split", fact_sql(SIX_HOURS, timeless=False))(stream_fact(SIX_HOURS, rows_per_task=8))
 
 
+@query("stream_late_rows", fact_sql(600, timeless=False))
+def _(spark, sf_dir):
+    """Rows that come after the watermark has passed them leave no trace."""
+    run = StreamRun(spark, sf_dir, "stream-late")
+    run.send_events()
+    run.bronze()
+    run.fact(600, ROWS_PER_TASK)
+    old = F.lit(10 * 365 * 86_400)
+    late = inputs.positions(run.spark, sf_dir).withColumn("vehicle_timestamp", F.col("vehicle_timestamp") - old)
+    late_updates = inputs.updates(run.spark, sf_dir).withColumn("feed_timestamp", F.col("feed_timestamp") - old)
+    run.send(late, late_updates)
+    run.send_flush()
+    run.bronze()
+    run.fact(600, ROWS_PER_TASK)
+    rows = read_table(spark, f"{run.lake}/silver/fact")
+    return comparable(rows.filter(~F.col("trip_id").startswith(FLUSH_TRIP)))
+
+
 def stream_publish(part: str, columns: dict[str, str]) -> Query:
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
         """Snapshot files arrive, are flattened and published; the topic is then read back."""

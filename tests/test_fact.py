@@ -122,6 +122,46 @@ def test_microsecond_past_the_bound(spark, rows):
         assert joined(got) == Counter({("k", NOON, None): 1})
 
 
+@pytest.mark.parametrize("bound", [600, None])
+def test_splitting_keeps_every_float_as_it_is(rows, bound):
+    odd = [-0.0, 0.0, float("nan"), float("inf"), None, 1.5]
+    positions = [position(latitude=x, speed=x, vehicle_id=f"v{i}") for i, x in enumerate(odd)] * 3
+
+    def text(rows_per_task):
+        fact = build_fact(rows(VEHICLE_POSITION, *positions), rows(BRONZE_TRIP_UPDATE, update(), update()), bound, rows_per_task)
+        return Counter(tuple(row) for row in fact.selectExpr("vehicle_id", "string(latitude)", "string(speed)").collect())
+
+    assert text(1) == text(skew.ROWS_PER_TASK)
+    assert text(1)[("v0", "-0.0", "-0.0")] == 6 and text(1)[("v1", "0.0", "0.0")] == 6
+
+
+def test_cells_are_judged_by_pairs_too(spark):
+    counts = spark.createDataFrame([(1, 1_900_000, 1_900_000), (2, 10, 10)], "cell int, left_rows bigint, right_rows bigint")
+    (hot,) = skew.plan_split(counts).hot.collect()
+    assert hot.cell == 1
+    assert 1_900_000 / hot.left_parts * (1_900_000 / hot.right_parts) <= skew.PAIRS_PER_TASK
+    assert hot.left_parts * hot.right_parts < 4 * 1_900_000**2 / skew.PAIRS_PER_TASK
+    one_sided = spark.createDataFrame([(1, 1_900_000, 3)], "cell int, left_rows bigint, right_rows bigint")
+    assert skew.plan_split(one_sided).hot is None
+    few = spark.createDataFrame([(1, 1_900_000, 4_000)], "cell int, left_rows bigint, right_rows bigint")
+    (hot,) = skew.plan_split(few, pairs_per_task=1000).hot.collect()
+    assert hot.right_parts <= 4_000
+
+
+def test_positions_without_a_time_are_spread(spark, rows):
+    positions = rows(VEHICLE_POSITION, *[position(at=None, vehicle_id=f"v{i}") for i in range(200)])
+    positions = positions.withColumn("vehicle_timestamp", F.when(F.col("vehicle_id") > "v5", F.lit(1 << 60)))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        fact = build_fact(positions, rows(BRONZE_TRIP_UPDATE, update()))
+        assert fact.count() == 200 and fact.filter("vehicle_timestamp is not null").isEmpty()
+        assert fact.select(F.spark_partition_id()).distinct().count() == 4
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_hot_key_is_split_evenly(spark, monkeypatch):
     """A third of all rows are copies of one position; no part holds much more than its share."""
     monkeypatch.setattr(skew, "COPIES_PER_CHUNK", 50)
@@ -155,8 +195,8 @@ def test_usual_plan_is_one_join_with_pushed_filters(spark, rows, tmp_path):
         plan = plan_of(build_fact(spark.read.parquet(str(tmp_path / "p")), spark.read.parquet(str(tmp_path / "u"))))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert plan.count("SortMergeJoin") == 1 and plan.count("Exchange") == 2
-    assert "IsNotNull(trip_id)" in plan and "IsNotNull(ingested_at)" in plan and "IsNull(vehicle_timestamp)" in plan
+    assert plan.count("SortMergeJoin") == 1 and plan.count("Exchange") == 2 and plan.count("FileScan") == 2
+    assert "IsNotNull(trip_id)" in plan and "IsNotNull(ingested_at)" in plan
     assert "license_plate" not in plan and "feed_timestamp" not in plan
 
 

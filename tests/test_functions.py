@@ -42,6 +42,19 @@ def test_epochs_of_the_repeated_hour_stay_apart(spark, zone):
     assert back == [0, None, 1729987200, 1729990800]
 
 
+def test_numbers_that_are_no_instants_are_null(spark):
+    bad = [1_704_067_200_000_000, 2**63 - 1, -(2**63), 253_402_300_800, -62_135_596_801]
+    good = [253_402_300_799, -62_135_596_800, 1]
+    epochs = spark.createDataFrame([(s,) for s in bad + good], "s bigint")
+    back = epochs.select(F.unix_seconds(from_epoch(F.col("s"))), known_epoch(F.col("s"))).collect()
+    assert [tuple(row) for row in back] == [(None, None)] * 5 + [(s, s) for s in good]
+
+
+def test_clock_text_out_of_range_is_null(spark):
+    texts = spark.createDataFrame([("999999999:00:00",), ("-2147483648:00:00",), ("1000:00:00",), ("1:99999999999:0",)], "c string")
+    assert [row[0] for row in texts.select(clock_seconds(F.col("c"))).collect()] == [None, None, 3_600_000, None]
+
+
 def test_zero_is_unknown(spark):
     epochs = spark.createDataFrame([(0,), (None,), (5,)], "s bigint")
     assert [row[0] for row in epochs.select(known_epoch(F.col("s"))).collect()] == [None, None, 5]

@@ -55,6 +55,47 @@ def test_a_missing_schedule_folder_fails(spark, lake):
         jobs.main(["load-static", "--files", f"{lake}/nowhere", "--bronze", f"{lake}/bronze"])
 
 
+def test_counts_outlast_what_a_query_remembers(capsys):
+    steps = [{"batchId": i, "numInputRows": i % 7} for i in range(1000)]
+    counts = jobs.BatchCounts()
+    for end in range(0, 1001, 60):
+        counts.add(steps[max(0, end - 100) : end])
+    counts.add(steps[-100:] + steps[-1:])
+    assert (counts.batches, counts.rows, counts.missed) == (1000, sum(s["numInputRows"] for s in steps), 0)
+    counts.add([{"batchId": 1004, "numInputRows": 1}])
+    assert counts.missed == 4
+    assert "batch 999" in capsys.readouterr().out
+
+
+def test_a_drained_query_reports_all_its_batches(spark, tmp_path):
+    for i in range(120):
+        (tmp_path / "in").mkdir(exist_ok=True)
+        (tmp_path / "in" / f"{i}.txt").write_text(f"{i}")
+    stream = spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(f"{tmp_path}/in").writeStream
+    query = stream.format("noop").option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start()
+    counts = jobs._finish(query, every=0.2)
+    assert (counts.batches, counts.rows, counts.missed) == (120, 120, 0)
+
+
+def test_bronze_jobs_run_every_two_minutes(monkeypatch, spark):
+    seen = {}
+
+    class Query:
+        recentProgress = []
+
+        def awaitTermination(self, every):
+            return True
+
+    def start(*args):
+        seen["trigger"] = args[7]
+        return Query()
+
+    monkeypatch.setattr(jobs.streams, "bronze_updates", start)
+    args = jobs.parser().parse_args(["bronze-updates", "--topic", "t", "--path", "p", "--checkpoint", "c"])
+    args.run(spark, args)
+    assert seen["trigger"] == {"processingTime": "2 minutes"}
+
+
 def test_formats_are_options():
     args = jobs.parser().parse_args(
         ["bronze-updates", "--topic", "t", "--path", "p", "--checkpoint", "c", "--servers", "h:9092", "--format", "delta"]

@@ -155,6 +155,50 @@ def test_split_is_fixed_for_a_checkpoint(spark, rows, tmp_path):
     assert sum(lake.fact().values()) == 20 * 2 + 100 * 2
 
 
+def test_one_bad_number_does_not_stop_the_fact(lake):
+    lake.add([position("bad", 1_704_067_200_000_000), position("good")], [update("good", NOON)])
+    lake.run()
+    lake.add([position("bad", 1 << 62), position("later", NOON + 60)], [update("later", NOON + 60)])
+    lake.run()
+    lake.flush()
+    assert lake.fact() == {("good", NOON, NOON): 1, ("later", NOON + 60, NOON + 60): 1}
+
+
+def test_half_written_split_is_written_anew(spark, rows, tmp_path):
+    lake = Lake(spark, rows, tmp_path, rows_per_task=5)
+    lake.add([position("k", NOON + i) for i in range(20)], [update("k")])
+    (tmp_path / "checkpoint-split" / "_temporary").mkdir(parents=True)
+    lake.run()
+    assert [row[1:] for row in values(read_table(spark, f"{tmp_path}/checkpoint-split"))] == [(4, 1)]
+    assert sum(lake.fact().values()) == 20
+
+
+def test_known_hot_keys_split_a_start_on_empty_tables(spark, rows, tmp_path):
+    history = rows(VEHICLE_POSITION, *[position("k", NOON + i) for i in range(20)])
+    known = jobs.plan_stream_split(history, rows(BRONZE_TRIP_UPDATE, *[update("k")] * 12), rows_per_task=5)
+    lake = Lake(spark, rows, tmp_path, rows_per_task=5)
+    lake.add()
+
+    def run():
+        paths = [f"{tmp_path}/{name}" for name in ("vehicle_positions", "trip_updates", "fact", "checkpoint")]
+        jobs.silver_fact(lake.spark, *paths, trigger=UNTIL_DRAINED, rows_per_task=5, split=known).awaitTermination()
+
+    run()
+    positions, updates = [position("k", NOON + i) for i in range(30)], [update("k", NOON + i) for i in range(9)]
+    lake.add(positions, updates)
+    run()
+    lake.add([position("~left", FAR)], [update("~right", FAR)])
+    run()
+    assert [row[1:] for row in values(read_table(spark, f"{tmp_path}/checkpoint-split"))] == [(4, 3)]
+    assert lake.fact() == joined(build_fact(rows(VEHICLE_POSITION, *positions), rows(BRONZE_TRIP_UPDATE, *updates)))
+
+
+def test_long_history_alone_is_not_hot(spark, rows):
+    """The state never holds it, so it needs no split."""
+    days = rows(VEHICLE_POSITION, *[position("k", NOON + 86_400 * i) for i in range(50)])
+    assert jobs.plan_stream_split(days, rows(BRONZE_TRIP_UPDATE, update("k")), rows_per_task=5) is None
+
+
 def test_stored_copies_are_spread_over_the_parts(spark, rows, tmp_path):
     write_table(rows(VEHICLE_POSITION, *[position()] * 400).coalesce(1), f"{tmp_path}/p")
     copies = clean_positions(with_source_row(read_table(spark, f"{tmp_path}/p")))

@@ -182,6 +182,31 @@ def test_whole_warehouse(spark, bronze, tmp_path):
     assert set(warehouse.key_checks(tables)) >= {f"{name}.pk" for name in PRIMARY_KEYS}
 
 
+@pytest.mark.parametrize("kept", [[], [KEYS | {"trip_id": " ", "vehicle_id": "v"}]])
+def test_warehouse_without_usable_positions(spark, bronze, rows, tmp_path, kept):
+    write_table(rows(VEHICLE_POSITION, *kept), f"{bronze}/vehicle_positions")
+    runs = warehouse.build_warehouse(spark, bronze, str(tmp_path / "star"), "L")
+    assert {run.status for run in runs} == {"SUCCESS"}
+    counts = {run.layer.removeprefix("warehouse."): run.row_count for run in runs}
+    assert counts["fact_stop_delay"] == counts["dim_vehicle"] == 0 and counts["dim_route"] == 1
+
+
+def test_a_save_that_does_nothing_fails_in_time(spark):
+    run = AuditedRun("L", "x")
+    with pytest.raises(RuntimeError, match="no action"):
+        run.write(spark.range(3), lambda rows: None, wait=1.0)
+    assert (run.status, run.row_count) == ("FAILED", None) and run.end_time is not None
+
+
+def test_numbers_too_large_for_the_star_are_null(rows):
+    positions = rows(VEHICLE_POSITION, KEYS | {"vehicle_id": "v"}, KEYS | {"vehicle_id": "w", "vehicle_timestamp": 1 << 60, "current_status": "STOPPED_AT"})
+    updates = rows(BRONZE_TRIP_UPDATE, KEYS | {"feed_timestamp": 1, "arrival_time": 4102444800}, KEYS | {"feed_timestamp": 2, "arrival_time": 1 << 60})
+    plan = rows(STOP_TIMES, {"trip_id": "t", "stop_id": "s", "arrival_time": "00:00:00"})
+    got = warehouse.stop_delay(positions, updates, plan, "L").select("vehicle_id", "actual_arrival", "estimated_arrival", "delay_seconds")
+    assert sorted((r.vehicle_id, r.actual_arrival, r.delay_seconds) for r in got.collect()) == [("v", None, None), ("w", None, None)]
+    assert {r.estimated_arrival.year for r in got.collect()} == {2100}
+
+
 def test_tables_can_be_saved_elsewhere(spark, bronze, tmp_path):
     saved = {}
     runs = warehouse.build_warehouse(

@@ -8,18 +8,29 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Epoch seconds of the years 1 to 9999; a feed that sends milliseconds or nonsense lies outside.
+FIRST_SECOND, LAST_SECOND = -62_135_596_800, 253_402_300_799
+# Hours that a clock text may have.
+MAX_HOURS = 1_000
+
+
+def in_range(seconds: Column) -> Column:
+    """The seconds, or null where they are no instant of a four-digit year."""
+    return F.when(seconds.between(FIRST_SECOND, LAST_SECOND), seconds)
+
+
 def from_epoch(seconds: Column) -> Column:
-    """Epoch seconds as an instant.
+    """Epoch seconds as an instant; a number that is no instant of the years 1 to 9999 gives null.
 
-    It never passes through local text, so the two passes of a repeated autumn hour stay apart
+    One bad number must not stop a stream that would read it again at each restart. It never passes through local text, so the two passes of a repeated autumn hour stay apart
     whatever the session zone is.
     """
-    return F.timestamp_seconds(seconds)
+    return F.timestamp_seconds(in_range(seconds))
 
 
 def known_epoch(seconds: Column) -> Column:
-    """Epoch seconds with the feed's 0 read as "unknown"."""
-    return F.nullif(seconds, F.lit(0).cast("bigint"))
+    """Epoch seconds with the feed's 0, and what is no instant, read as "unknown"."""
+    return F.nullif(in_range(seconds), F.lit(0).cast("bigint"))
 
 
 def new_load_number(now: datetime | None = None) -> str:
@@ -28,10 +39,15 @@ def new_load_number(now: datetime | None = None) -> str:
 
 
 def clock_seconds(clock: Column) -> Column:
-    """``HH:MM:SS`` as seconds; hours run past 24 for trips that cross midnight. Bad text is null."""
+    """``HH:MM:SS`` as seconds; hours run past 24 for trips that cross midnight.
+
+    Bad text is null, and so are more than ``MAX_HOURS`` hours either way.
+    """
     parts = F.split(F.trim(clock), ":")
     hours, minutes, seconds = (F.try_element_at(parts, F.lit(i)).try_cast("int") for i in (1, 2, 3))
-    return hours * 3600 + minutes * 60 + seconds
+    total = hours.cast("bigint") * 3600 + minutes.cast("bigint") * 60 + seconds
+    limit = MAX_HOURS * 3600
+    return F.when(total.between(-limit, limit), total.cast("int"))
 
 
 def service_time(service_date: Column, seconds: Column, zone: str) -> Column:

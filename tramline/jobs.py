@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import argparse
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -21,11 +21,42 @@ from tramline.sources.tables import FIFTEEN_SECONDS, TWO_MINUTES, UNTIL_DRAINED,
 from tramline.streaming import jobs as streams
 
 
-def _finish(query: StreamingQuery) -> None:
-    """Wait for a query; a drained one reports what it read."""
-    query.awaitTermination()
-    read = sum(progress["numInputRows"] for progress in query.recentProgress)
-    print(f"{len(query.recentProgress)} batches, {read} rows read")
+class BatchCounts:
+    """Rows read by a stream, added up while it runs.
+
+    A query remembers its last hundred batches only, so they are taken over as they appear. Should more
+    than that go by between two looks, their numbers are missing here and ``missed`` says how many.
+    """
+
+    def __init__(self) -> None:
+        self.batches = self.rows = self.missed = 0
+        self._last: int | None = None
+
+    def add(self, progress: Iterable[dict]) -> None:
+        """Take over what is new; a batch without rows may be reported more than once."""
+        for step in progress:
+            number = step["batchId"]
+            if self._last is not None and number <= self._last:
+                continue
+            self.missed += max(0, number - self._last - 1) if self._last is not None else 0
+            self._last = number
+            self.batches += 1
+            self.rows += step["numInputRows"]
+            if step["numInputRows"]:
+                print(f"batch {number}: {step['numInputRows']} rows read, {self.rows} in all", flush=True)
+
+
+def _finish(query: StreamingQuery, every: float = 0.5) -> BatchCounts:
+    """Wait for a query, reporting each batch while it runs, and all of them at its end."""
+    counts = BatchCounts()
+    try:
+        while not query.awaitTermination(every):
+            counts.add(query.recentProgress)
+    finally:
+        counts.add(query.recentProgress)
+        missed = f", {counts.missed} more not counted" if counts.missed else ""
+        print(f"{counts.batches} batches, {counts.rows} rows read{missed}", flush=True)
+    return counts
 
 
 def _options(args: argparse.Namespace) -> dict[str, str]:
@@ -145,7 +176,7 @@ def parser() -> argparse.ArgumentParser:
     job("silver-dims", _silver_dims, "bronze", "silver")
     fact = stream("silver-fact", _silver_fact, "bronze", "silver")
     fact.add_argument("--bound", type=int, default=BOUND_SECONDS, help="seconds either way")
-    fact.add_argument("--rows-per-task", type=int, default=ROWS_PER_TASK, help="split keys with more positions than this")
+    fact.add_argument("--rows-per-task", type=int, default=ROWS_PER_TASK, help="split keys with more positions or more updates than this")
     fact.add_argument("--state-partitions", type=int, help="fixed by the first run of a checkpoint")
     backfill = job("backfill-fact", _backfill_fact, "bronze", "silver")
     backfill.add_argument("--bound", type=int, default=BOUND_SECONDS, help="seconds either way")

@@ -23,6 +23,8 @@ BOUND_SECONDS = 600
 # Join slots are this many bounds wide: an update is copied to 1 + 2 / 6 slots on average, and a
 # position is compared with at most 8 bounds' worth of updates instead of a key's whole history.
 SLOT_BOUNDS = 6
+# Positions without a time are spread over this many slots from this number on.
+TIMELESS_SLOT, TIMELESS_SLOTS = -(1 << 62), 1 << 20
 
 UPDATE_COLUMNS = ["arrival_time", "departure_time", "arrival_uncertainty", "ingested_at"]
 POSITION_COLUMNS = [name for name in FACT if name not in UPDATE_COLUMNS]
@@ -82,19 +84,17 @@ def build_fact(
         left = clean_positions(positions).select(*POSITION_COLUMNS)
         return _join_measured(left, right, list(JOIN_KEYS), None, rows_per_task)
 
-    # A null event time matches nothing; as a join key it would gather all such rows in one task.
-    # Both tests are on the stored column, so the scan can skip row groups by them.
-    timed = F.col("vehicle_timestamp").isNotNull()
-    left = clean_positions(positions.filter(timed)).select(*POSITION_COLUMNS)
-    timeless = clean_positions(positions.filter(~timed)).select(*POSITION_COLUMNS)
+    left = clean_positions(positions).select(*POSITION_COLUMNS)
     right = right.filter(F.col("ingested_at").isNotNull())
     width = bound * SLOT_BOUNDS
     at = F.unix_micros("ingested_at")
     reach = bound * 1_000_000
-    left = left.withColumn("slot", time_slot(F.unix_micros("vehicle_timestamp"), width))
+    # A position without a time matches nothing; as a null key all would meet in one task. They get
+    # slots of their own, before any that an update can have, so one scan serves both kinds.
+    nowhere = F.lit(TIMELESS_SLOT) + F.pmod(F.xxhash64(*POSITION_COLUMNS), F.lit(TIMELESS_SLOTS))
+    left = left.withColumn("slot", F.coalesce(time_slot(F.unix_micros("vehicle_timestamp"), width), nowhere))
     right = right.withColumn("slot", F.explode(F.sequence(time_slot(at - reach, width), time_slot(at + reach, width))))
-    joined = _join_measured(left, right, [*JOIN_KEYS, "slot"], bound, rows_per_task)
-    return joined.unionByName(timeless, allowMissingColumns=True)
+    return _join_measured(left, right, [*JOIN_KEYS, "slot"], bound, rows_per_task)
 
 
 def _join_measured(

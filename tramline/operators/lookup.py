@@ -16,14 +16,10 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def fits_broadcast(table: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Whether the table was measured to be small enough to copy to every executor.
-
-    The row count of a file table comes from file footers; only a table with few rows is read.
-    """
-    if table.count() > max_rows:
-        return False
+    """Whether the table was measured, in one pass, to be small enough to copy to every executor."""
     size = F.octet_length(F.to_json(F.struct(*table.columns)))
-    return (table.agg(F.sum(size)).first()[0] or 0) <= max_bytes
+    rows, total = table.agg(F.count(F.lit(1)), F.sum(size)).first()
+    return rows <= max_rows and (total or 0) <= max_bytes
 
 
 def _same(left: str, right: str, keys: Sequence[str]) -> Column:
@@ -36,24 +32,31 @@ def lookup(
     keys: Sequence[str],
     broadcast_rows: int = BROADCAST_ROWS,
     rows_per_task: int = ROWS_PER_TASK,
+    measured: DataFrame | None = None,
 ) -> DataFrame:
     """Add the dimension's columns, null where the key is unknown.
 
+    ``measured`` has the same keys as ``rows`` and is cheaper to read, for the search for hot keys.
+
     A dimension measured to be small is broadcast. Otherwise both sides shuffle, except the rows
     of hot keys: these stay where they are and get the few dimension rows they need broadcast.
     """
     if fits_broadcast(dim, broadcast_rows):
         return rows.join(F.broadcast(dim), list(keys), "left")
-    return shuffled_lookup(rows, dim, keys, rows_per_task)
+    return shuffled_lookup(rows, dim, keys, rows_per_task, measured)
 
 
 def shuffled_lookup(
-    rows: DataFrame, dim: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK
+    rows: DataFrame,
+    dim: DataFrame,
+    keys: Sequence[str],
+    rows_per_task: int = ROWS_PER_TASK,
+    measured: DataFrame | None = None,
 ) -> DataFrame:
     """Lookup in a dimension too large to broadcast, or not worth measuring."""
     keys = list(keys)
-    hot = hot_keys(rows, keys, rows_per_task)
-    if hot is None:
+    hot = hot_keys(rows if measured is None else measured, keys, rows_per_task)
+    if hot is None or not fits_broadcast(hot):
         return rows.join(dim, keys, "left")
     # Null keys match nothing but would all shuffle to one task, so null counts as a key here.
     in_hot = _same("rows", "hot", keys)

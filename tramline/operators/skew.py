@@ -19,6 +19,9 @@ CELLS = 65_536
 ROWS_PER_TASK = 2_000_000
 # A cell is split only if it is also this many times larger than the average cell.
 OVER_MEAN = 2
+# Comparisons a single pair of parts may make. Cells are also judged by left rows times right rows, since
+# two sides of moderate size can still make more pairs than a task gets through.
+PAIRS_PER_TASK = 2_000_000_000
 # Exact copies of a row travel as one row with a weight, cut into chunks of at least this weight.
 COPIES_PER_CHUNK = 1_000
 MAX_CHUNKS = 100_000
@@ -39,6 +42,18 @@ def cell_counts(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataF
     )
 
 
+def window_counts(left: DataFrame, right: DataFrame, keys: Sequence[str], window: str) -> DataFrame:
+    """(cell, left_rows, right_rows) of each cell's fullest window, for each side."""
+    columns = [cell(keys).alias("cell"), F.col(window)]
+    per_window = (
+        left.select(*columns, F.lit(1).alias("left"), F.lit(0).alias("right"))
+        .unionAll(right.select(*columns, F.lit(0), F.lit(1)))
+        .groupBy("cell", window)
+        .agg(F.sum("left").alias("left"), F.sum("right").alias("right"))
+    )
+    return per_window.groupBy("cell").agg(F.max("left").alias("left_rows"), F.max("right").alias("right_rows"))
+
+
 def _limit(rows: int, rows_per_task: int) -> int:
     """Rows a single cell or key may have before it counts as hot."""
     return max(1, rows_per_task, rows * OVER_MEAN // CELLS)
@@ -52,16 +67,28 @@ class Split:
     hot: DataFrame | None
 
 
-def plan_split(counts: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> Split:
-    """Hot cells, as (cell, left_parts, right_parts), from a table of cell counts."""
+def plan_split(
+    counts: DataFrame, rows_per_task: int = ROWS_PER_TASK, pairs_per_task: int = PAIRS_PER_TASK
+) -> Split:
+    """Hot cells, as (cell, left_parts, right_parts), from a table of cell counts.
+
+    A side is cut so that no part has more rows than a task should; then both sides are cut further, by
+    the same factor, until no two parts make more pairs than a task should.
+    """
     sides = ("left_rows", "right_rows")
-    totals = counts.agg(*(F.sum(side) for side in sides), *(F.max(side) for side in sides)).first()
-    rows, largest = [n or 0 for n in totals[:2]], [n or 0 for n in totals[2:]]
+    product = F.col("left_rows").cast("double") * F.col("right_rows")
+    totals = counts.agg(*(F.sum(side) for side in sides), *(F.max(side) for side in sides), F.max(product)).first()
+    rows, largest = [n or 0 for n in totals[:2]], [n or 0 for n in totals[2:4]]
     limits = [_limit(n, rows_per_task) for n in rows]
-    if all(n <= limit for n, limit in zip(largest, limits)):
+    # A cell of average size holds many small keys, whose rows never meet each other's.
+    pairs = max(1.0, float(pairs_per_task), rows[0] * OVER_MEAN / CELLS * (rows[1] * OVER_MEAN / CELLS))
+    if all(n <= limit for n, limit in zip(largest, limits)) and (totals[4] or 0) <= pairs:
         return Split(sum(rows), None)
+    by_rows = [F.greatest(F.lit(1), F.ceil(F.col(side) / limit)) for side, limit in zip(sides, limits)]
+    further = F.sqrt(F.greatest(F.lit(1.0), product / by_rows[0] / by_rows[1] / F.lit(pairs)))
     left_parts, right_parts = (
-        F.greatest(F.lit(1), F.ceil(F.col(side) / limit)).cast("int") for side, limit in zip(sides, limits)
+        F.least(F.ceil(parts * further), F.greatest(F.col(side), F.lit(1))).cast("int")
+        for parts, side in zip(by_rows, sides)
     )
     hot = counts.select("cell", left_parts.alias("left_parts"), right_parts.alias("right_parts"))
     return Split(sum(rows), hot.filter("left_parts > 1 or right_parts > 1"))
@@ -110,14 +137,18 @@ def inside(rows: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
 def collapse_copies(rows: DataFrame, parts: str, part: str, weight: str) -> DataFrame:
     """Exact copies as weighted rows, each given a part by value.
 
-    A part drawn from the row's own values is the same when a lost task is run again, which a
+    Floating-point columns are told apart by their text, since grouping by the numbers would make one
+    row of 0.0 and -0.0. A part drawn from the row's own values is the same when a lost task is run again, which a
     random one would not be. Copies would all draw the same part, hence the numbered chunks.
     """
     size = F.greatest(F.lit(COPIES_PER_CHUNK), F.ceil(F.col("copies") / MAX_CHUNKS))
     chunk = F.posexplode(F.array_repeat(F.lit(0), F.ceil(F.col("copies") / F.col("size")).cast("int")))
+    exact = [F.col(c).cast("string").alias(c) if kind in ("float", "double") else F.col(c) for c, kind in rows.dtypes]
+    floats = {c: kind for c, kind in rows.dtypes if kind in ("float", "double")}
     return (
-        rows.groupBy(*rows.columns)
+        rows.groupBy(*exact)
         .agg(F.count(F.lit(1)).alias("copies"))
+        .withColumns({c: F.col(c).cast(kind) for c, kind in floats.items()})
         .withColumn("size", size)
         .select("*", chunk.alias("chunk", "_"))
         .withColumn(weight, F.least(F.col("size"), F.col("copies") - F.col("chunk") * F.col("size")).cast("int"))

@@ -43,13 +43,17 @@ def load_static(
     return runs
 
 
-def silver_dims(spark: SparkSession, bronze_dir: str, fmt: str = "parquet") -> dict[str, DataFrame]:
-    """The three static dimensions as they are, and the vehicles of all usable positions."""
-    dims = {name: read_table(spark, f"{bronze_dir}/dim_{name}") for name in STATIC_DIMS}
-    dims["vehicle"] = vehicle_dim(read_table(spark, f"{bronze_dir}/vehicle_positions", fmt))
-    return dims
+def silver_dim(spark: SparkSession, bronze_dir: str, name: str, fmt: str = "parquet") -> DataFrame:
+    """A static dimension as it is, or the vehicles of all usable positions."""
+    if name == "vehicle":
+        return vehicle_dim(read_table(spark, f"{bronze_dir}/vehicle_positions", fmt))
+    return read_table(spark, f"{bronze_dir}/dim_{name}")
+
+
+def write_silver_dim(spark: SparkSession, bronze_dir: str, silver_dir: str, name: str, fmt: str = "parquet") -> None:
+    write_table(silver_dim(spark, bronze_dir, name, fmt), f"{silver_dir}/{name}")
 
 
 def write_silver_dims(spark: SparkSession, bronze_dir: str, silver_dir: str, fmt: str = "parquet") -> None:
-    for name, dim in silver_dims(spark, bronze_dir, fmt).items():
-        write_table(dim, f"{silver_dir}/{name}")
+    for name in (*STATIC_DIMS, "vehicle"):
+        write_silver_dim(spark, bronze_dir, silver_dir, name, fmt)

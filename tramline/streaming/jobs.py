@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tramline.functions import JOIN_KEYS
+from tramline.functions import JOIN_KEYS, time_slot
 from tramline.operators import feed, skew
 from tramline.operators.fact import (
     BOUND_SECONDS,
@@ -24,7 +23,8 @@ from tramline.sources.static import stream_snapshots
 from tramline.sources.tables import FIFTEEN_SECONDS, TWO_MINUTES, append_stream, read_table, stream_table, with_source_row
 from tramline.sources.topics import POSITIONS_OPTIONS, UPDATES_OPTIONS, read_topic
 
-LATENESS = "5 minutes"
+LATENESS_SECONDS = 300
+LATENESS = f"{LATENESS_SECONDS} seconds"
 SPLIT_COLUMNS = {"cell": "int", "left_parts": "int", "right_parts": "int"}
 
 
@@ -97,17 +97,20 @@ def silver_fact(
     bound: int = BOUND_SECONDS,
     rows_per_task: int | None = skew.ROWS_PER_TASK,
     options: dict | None = None,
+    split: DataFrame | None = None,
 ) -> StreamingQuery:
     """Join the two bronze streams; ``spark`` is best a ``stream_session``.
 
     Unless ``rows_per_task`` is None, the bronze tables are measured once, before the first start,
-    and hot keys are split between state partitions for the life of the checkpoint.
+    and hot keys are split between state partitions for the life of the checkpoint. A first start on
+    empty tables has nothing to measure: a caller who knows the hot keys, from another deployment or
+    from ``plan_stream_split`` over any history, passes their cells as ``split``.
     """
     positions = stream_table(spark, positions_path, VEHICLE_POSITION, fmt, options)
     updates = stream_table(spark, updates_path, BRONZE_TRIP_UPDATE, fmt, options)
     hot = None
     if rows_per_task is not None:
-        hot = _frozen_split(spark, positions_path, updates_path, checkpoint, fmt, rows_per_task)
+        hot = _frozen_split(spark, positions_path, updates_path, checkpoint, fmt, bound, rows_per_task, split)
     if hot is not None and fmt == "parquet":
         positions, updates = with_source_row(positions), with_source_row(updates)
     return append_stream(stream_fact(positions, updates, bound, hot), path, checkpoint, fmt, trigger).start()
@@ -171,22 +174,55 @@ def _for_every_left_part(rows: DataFrame) -> DataFrame:
     return rows.withColumn("left_part", skew.every_part("left_parts")).drop("left_parts")
 
 
+def plan_stream_split(
+    positions: DataFrame, updates: DataFrame, bound: int = BOUND_SECONDS, rows_per_task: int = skew.ROWS_PER_TASK
+) -> DataFrame | None:
+    """Hot cells (cell, left_parts, right_parts) of two bronze tables, or None.
+
+    The state holds a key's rows for the bound and the lateness on either side, not its history, so rows
+    are counted per cell and window of that length, and a cell is judged by its fullest window.
+    """
+    width = 2 * (bound + LATENESS_SECONDS)
+    left = clean_positions(positions).filter(F.col("vehicle_timestamp").isNotNull())
+    right = clean_updates(updates).filter(F.col("ingested_at").isNotNull())
+    left = left.withColumn("slot", time_slot(F.unix_micros("vehicle_timestamp"), width))
+    right = right.withColumn("slot", time_slot(F.unix_micros("ingested_at"), width))
+    return skew.plan_split(skew.stored(skew.window_counts(left, right, JOIN_KEYS, "slot")), rows_per_task).hot
+
+
 def _frozen_split(
-    spark: SparkSession, positions_path: str, updates_path: str, checkpoint: str, fmt: str, rows_per_task: int
+    spark: SparkSession,
+    positions_path: str,
+    updates_path: str,
+    checkpoint: str,
+    fmt: str,
+    bound: int,
+    rows_per_task: int,
+    split: DataFrame | None,
 ) -> DataFrame | None:
-    """Hot cells, stored next to the checkpoint: state written under one split must be read under it."""
+    """Hot cells, stored next to the checkpoint: state written under one split must be read under it.
+
+    A folder without its success marker is what an interrupted start left; no batch has run under it, so
+    it is measured and written anew.
+    """
     stored = f"{checkpoint.rstrip('/')}-split"
-    try:
-        hot = read_table(spark, stored)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        left = clean_positions(read_table(spark, positions_path, fmt, VEHICLE_POSITION))
-        right = clean_updates(read_table(spark, updates_path, fmt, BRONZE_TRIP_UPDATE))
-        counts = skew.stored(skew.cell_counts(left, right, JOIN_KEYS))
-        hot = skew.plan_split(counts, rows_per_task).hot
-        if hot is None:
-            hot = spark.createDataFrame([], ddl(SPLIT_COLUMNS))
-        hot.write.parquet(stored)
-        hot = read_table(spark, stored)
+    if not _complete(spark, stored):
+        if split is None:
+            split = plan_stream_split(
+                read_table(spark, positions_path, fmt, VEHICLE_POSITION),
+                read_table(spark, updates_path, fmt, BRONZE_TRIP_UPDATE),
+                bound,
+                rows_per_task,
+            )
+        hot = spark.createDataFrame([], ddl(SPLIT_COLUMNS)) if split is None else split
+        hot.select([F.col(name).cast(kind).alias(name) for name, kind in SPLIT_COLUMNS.items()]).write.mode(
+            "overwrite"
+        ).parquet(stored)
+    hot = read_table(spark, stored, columns=SPLIT_COLUMNS)
     return None if hot.isEmpty() else hot
+
+
+def _complete(spark: SparkSession, folder: str) -> bool:
+    """Whether a write to the folder has ended."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
