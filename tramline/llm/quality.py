@@ -16,7 +16,7 @@ CAPITALS = "A-Z"
 NOT_BLANK = r"^\x20\x09-\x0D"
 WINDOW = 8
 # Rows from which cost and selectivity are estimated. They only order the rules.
-SAMPLE_ROWS = 1000
+SAMPLE_ROWS = 400
 
 
 def _count(text: Column, characters: str) -> Column:
@@ -144,10 +144,11 @@ def order_rules(docs: DataFrame, rules: Sequence[Rule], sample_rows: int = SAMPL
     Both are measured on ``sample_rows`` rows, a fixed bound whatever the size of the input: they
     only decide the order, never the verdict. Rules of an empty sample keep their order.
     """
-    sample = docs.select(text_or_empty(docs["text"]).alias("text")).limit(sample_rows).persist()
+    # Collecting a limit reads only as many partitions as it needs; as a step of a plan it would read all.
+    texts = docs.select(text_or_empty(docs["text"]).alias("text")).limit(sample_rows).collect()
+    sample = docs.sparkSession.createDataFrame(texts, "text string").persist()
     try:
-        rows = sample.count()
-        measured = []
+        rows, measured = sample.count(), []
         for rule in rules:
             took, share = float("inf"), 0.0
             for _ in range(2):  # the first run compiles
