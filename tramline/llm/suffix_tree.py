@@ -39,7 +39,8 @@ def _count_words(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if len(learned) > 1_000_000:
                 yield pd.DataFrame({"word": list(learned), "c": list(learned.values())})
                 learned.clear()
-    yield pd.DataFrame({"word": list(learned), "c": list(learned.values())})
+    if learned:  # an empty column has no kind
+        yield pd.DataFrame({"word": list(learned), "c": list(learned.values())})
 
 
 @dataclass(frozen=True)

@@ -284,7 +284,8 @@ def _feature_counts(costs: np.ndarray, only: frozenset[str] | None):
                 for text in _restored(frame["text"][start : start + 256].tolist(), decoder, kind):
                     found = features(text)
                     totals.update(found if only is None else found & only)
-        yield pd.DataFrame({"feature": list(totals), "n": list(totals.values())})
+        if totals:  # an empty column has no kind
+            yield pd.DataFrame({"feature": list(totals), "n": list(totals.values())})
 
     return count
 
@@ -448,7 +449,8 @@ def clean_docs(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
     """
     model = _learned(docs, labels, fit_rows)
     columns = docs.columns
-    judged = docs.withColumn("__score", F.pandas_udf(_score_series(model), "double", F.PandasUDFType.SCALAR_ITER)(text_or_empty(docs["text"])))
+    score = F.pandas_udf(_score_series(model), "double")
+    judged = docs.withColumn("__score", score(text_or_empty(docs["text"])))
     return judged.filter(F.col("__score") < threshold).select([F.col(f"`{c}`") for c in columns])
 
 
