@@ -11,6 +11,7 @@ from tests.conftest import plan_of, values
 from tramline import session
 from tramline.operators import skew
 from tramline.operators.fact import build_fact
+from tramline.plans.fact import fact_of_days
 from tramline.schemas import BRONZE_TRIP_UPDATE, FACT, VEHICLE_POSITION
 
 NOON = 1_700_000_000 // 3600 * 3600
@@ -200,6 +201,25 @@ def test_usual_plan_is_one_join_with_pushed_filters(spark, rows, tmp_path):
     assert "license_plate" not in plan and "feed_timestamp" not in plan
 
 
+def test_days_are_the_whole_fact_restricted(spark, rows, tmp_path):
+    day = NOON // 86_400 * 86_400
+    edges = [day + shift for shift in (-86_400, -1, 0, 300, 86_399, 86_400, 90_000)]
+    rows(VEHICLE_POSITION, *[position(at=at) for at in [*edges, None]]).write.parquet(str(tmp_path / "p"))
+    near = [update(at=at + shift) for at in edges for shift in (-600, 0, 600)]
+    rows(BRONZE_TRIP_UPDATE, *near).write.parquet(str(tmp_path / "u"))
+    tables = spark.read.parquet(str(tmp_path / "p")), spark.read.parquet(str(tmp_path / "u"))
+    when = datetime.fromtimestamp(day, timezone.utc).date()
+    part = fact_of_days(*tables, 600, when, when)
+    whole = joined(build_fact(*tables, 600))
+    assert joined(part) == Counter({row: n for row, n in whole.items() if row[1] and day <= row[1] < day + 86_400})
+    spark.conf.set("spark.sql.maxMetadataStringLength", 5000)
+    try:
+        plan = plan_of(part)
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(vehicle_timestamp" in plan and "LessThanOrEqual(ingested_at" in plan
+
+
 def test_bound_below_a_second_is_refused(rows):
     with pytest.raises(ValueError):
         build_fact(rows(VEHICLE_POSITION), rows(BRONZE_TRIP_UPDATE), 0)

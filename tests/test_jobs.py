@@ -86,7 +86,7 @@ def test_bronze_jobs_run_every_two_minutes(monkeypatch, spark):
         def awaitTermination(self, every):
             return True
 
-    def start(*args):
+    def start(*args, **more):
         seen["trigger"] = args[7]
         return Query()
 
@@ -96,6 +96,13 @@ def test_bronze_jobs_run_every_two_minutes(monkeypatch, spark):
     assert seen["trigger"] == {"processingTime": "2 minutes"}
 
 
+def test_bronze_can_be_laid_out_by_day():
+    args = jobs.parser().parse_args(
+        ["bronze-positions", "--topic", "t", "--path", "p", "--checkpoint", "c", "--partition-by", "start_date"]
+    )
+    assert args.partition_by == ["start_date"]
+
+
 def test_formats_are_options():
     args = jobs.parser().parse_args(
         ["bronze-updates", "--topic", "t", "--path", "p", "--checkpoint", "c", "--servers", "h:9092", "--format", "delta"]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Iterable, Sequence
+from datetime import date
 
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -91,6 +92,7 @@ def _bronze(spark: SparkSession, args: argparse.Namespace) -> None:
             args.format,
             UNTIL_DRAINED if args.once else TWO_MINUTES,
             _options(args),
+            partition_by=args.partition_by,
         )
     )
 
@@ -128,7 +130,8 @@ def _silver_fact(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _backfill_fact(spark: SparkSession, args: argparse.Namespace) -> None:
-    append_fact(spark, args.bronze, args.silver, None if args.unbounded else args.bound, args.format)
+    bound = None if args.unbounded else args.bound
+    append_fact(spark, args.bronze, args.silver, bound, args.format, args.first_day, args.last_day)
 
 
 def _warehouse(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -168,8 +171,9 @@ def parser() -> argparse.ArgumentParser:
 
     publish = topic(stream("publish-feed", _publish, "snapshots", "topic"))
     publish.add_argument("--part", required=True, choices=["vehicle_positions", "trip_updates"])
-    topic(stream("bronze-positions", _bronze, "topic", "path"))
-    topic(stream("bronze-updates", _bronze, "topic", "path"))
+    for name in ("bronze-positions", "bronze-updates"):
+        bronze = topic(stream(name, _bronze, "topic", "path"))
+        bronze.add_argument("--partition-by", action="append", default=[], metavar="COLUMN", help="such as start_date")
     static = job("load-static", _load_static, "files", "bronze")
     static.add_argument("--multi-line", action="store_true", help="fields may hold line breaks")
     static.add_argument("--audit", help="table to append the run audit to")
@@ -181,6 +185,8 @@ def parser() -> argparse.ArgumentParser:
     backfill = job("backfill-fact", _backfill_fact, "bronze", "silver")
     backfill.add_argument("--bound", type=int, default=BOUND_SECONDS, help="seconds either way")
     backfill.add_argument("--unbounded", action="store_true", help="match updates of any time")
+    for day in ("--first-day", "--last-day"):
+        backfill.add_argument(day, type=date.fromisoformat, metavar="YYYY-MM-DD", help="UTC day of positions, included")
     star = job("warehouse", _warehouse, "bronze", "target")
     star.add_argument("--stop-times", help="schedule file with the planned arrivals")
     star.add_argument("--holidays", help="table with a date_id per holiday")

@@ -2,20 +2,56 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from datetime import date, datetime, time, timedelta, timezone
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tramline.operators.fact import BOUND_SECONDS, build_fact
 from tramline.sources.tables import read_table, write_table
 
 
+def _second(day: date) -> int:
+    return int(datetime.combine(day, time(), timezone.utc).timestamp())
+
+
+def fact_of_days(
+    positions: DataFrame, updates: DataFrame, bound: int, first: date | None = None, last: date | None = None
+) -> DataFrame:
+    """The fact rows of positions between two UTC days, both included, and only the updates they can meet.
+
+    The tests are on stored columns, so files and row groups of other days are not read. Positions
+    without a time belong to no day. Without days it is the whole fact.
+    """
+    if first is not None:
+        start = _second(first)
+        positions = positions.filter(F.col("vehicle_timestamp") >= start)
+        updates = updates.filter(F.col("ingested_at") >= F.timestamp_seconds(F.lit(start - bound)))
+    if last is not None:
+        end = _second(last + timedelta(days=1))
+        positions = positions.filter(F.col("vehicle_timestamp") < end)
+        updates = updates.filter(F.col("ingested_at") <= F.timestamp_seconds(F.lit(end + bound)))
+    return build_fact(positions, updates, bound)
+
+
 def append_fact(
     spark: SparkSession,
     bronze_dir: str,
     silver_dir: str,
     bound: int | None = BOUND_SECONDS,
     fmt: str = "parquet",
+    first: date | None = None,
+    last: date | None = None,
 ) -> None:
-    """Append the fact rows of two whole bronze tables; use it for a backfill, not next to a stream."""
+    """Append the fact rows of two bronze tables; use it for a backfill, not next to a stream.
+
+    Whole tables, unless days are given. Without a bound a position meets updates of any time, so days
+    need one.
+    """
+    if bound is None and (first or last):
+        raise ValueError("days need a bound")
     positions = read_table(spark, f"{bronze_dir}/vehicle_positions", fmt)
     updates = read_table(spark, f"{bronze_dir}/trip_updates", fmt)
-    write_table(build_fact(positions, updates, bound), f"{silver_dir}/fact", fmt, mode="append")
+    days = first is not None or last is not None
+    rows = fact_of_days(positions, updates, bound, first, last) if days else build_fact(positions, updates, bound)
+    write_table(rows, f"{silver_dir}/fact", fmt, mode="append")

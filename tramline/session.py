@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -112,6 +114,7 @@ def work_root(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="tramline-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(root)
     return root

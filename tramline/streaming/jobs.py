@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -62,10 +64,14 @@ def bronze_positions(
     fmt: str = "parquet",
     trigger: dict | None = TWO_MINUTES,
     options: dict | None = None,
+    partition_by: Sequence[str] = (),
 ) -> StreamingQuery:
-    """``options`` are further source options, such as a limit of offsets per batch."""
+    """``options`` are further source options, such as a limit of offsets per batch.
+
+    ``partition_by`` lays the table out in folders, such as one per ``start_date``.
+    """
     messages = read_topic(spark, topic, topic_fmt, servers, POSITIONS_OPTIONS | (options or {}))
-    return append_stream(decode(messages, VEHICLE_POSITION), path, checkpoint, fmt, trigger).start()
+    return append_stream(decode(messages, VEHICLE_POSITION), path, checkpoint, fmt, trigger, partition_by).start()
 
 
 def bronze_updates(
@@ -79,11 +85,12 @@ def bronze_updates(
     trigger: dict | None = TWO_MINUTES,
     options: dict | None = None,
     ingest_clock: Column | None = None,
+    partition_by: Sequence[str] = (),
 ) -> StreamingQuery:
     """``ingest_clock`` replaces the processing time when a recorded topic is replayed."""
     messages = read_topic(spark, topic, topic_fmt, servers, UPDATES_OPTIONS | (options or {}))
     records = stamp_ingest(decode(messages, TRIP_UPDATE), ingest_clock)
-    return append_stream(records, path, checkpoint, fmt, trigger).start()
+    return append_stream(records, path, checkpoint, fmt, trigger, partition_by).start()
 
 
 def silver_fact(
