@@ -160,7 +160,7 @@ def _(spark, sf_dir):
 @query(
     "fact_bad_numbers",
     f"""with {EVENTS_SQL}, p as (
-      select * replace (case when current_stop_sequence % 5 > 1 then at end as at) from cvp)
+      select trip_id, route_id, stop_id, vehicle_id, case when current_stop_sequence % 5 > 1 then cvp.at end as at from cvp)
     select p.trip_id, p.vehicle_id, p.at as vehicle_timestamp, u.ingested_at from p left join ctu u {MATCHED}""",
 )
 def _(spark, sf_dir):
