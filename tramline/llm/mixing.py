@@ -272,7 +272,8 @@ def mix(
     numbered = rows.join(F.broadcast(sources.select("source_no", F.col("source").alias("s"))), F.col("source").eqNullSafe(F.col("s"))).drop("s")
     slots = slots_to_blocks(spark, plan, shard_slots)
     pieces = _pieces(numbered, block_words, sum(r["rows"] for r in found))
-    met = slots.join(pieces, ["source_no", "block"]).filter("take > at")
+    # Slots come from a short list of shards, so the planner would take them for few and broadcast them.
+    met = slots.hint("merge").join(pieces, ["source_no", "block"]).filter("take > at")
     taken = met.select(
         "shard", "slot", "pass", "key", "rep", "doc_id", "start", F.least(F.col("length"), F.col("take") - F.col("at")).alias("length")
     )
