@@ -26,7 +26,8 @@ from tramline.llm.exact import heavy_digests
 from tramline.llm.near import _mixed
 
 LENGTH = 50
-GRAM = 16
+# Shorter grams are fewer, but many texts share some by chance.
+GRAM = 24
 # Bytes of distinct pieces indexed together, about.
 INDEX_BYTES = 1 << 20
 # One text in so many is looked at to find anchors that very many texts have. They only travel another way.
@@ -45,8 +46,8 @@ def pieces(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     h, size = np.frombuffer(raw, np.uint8).astype(np.uint64) + np.uint64(1), 1
     with np.errstate(over="ignore"):
         while size < GRAM:
-            h = _mixed(h[:-size] * np.uint64(0x9E3779B97F4A7C15) + h[size:])
-            size *= 2
+            step = min(size, GRAM - size)  # the last two halves may overlap
+            h, size = _mixed(h[:-step] * np.uint64(0x9E3779B97F4A7C15) + h[step:]), size + step
     span, least = LENGTH - GRAM + 1, h
     size = 1
     while 2 * size <= span:
@@ -135,16 +136,16 @@ def first_holders(strings: list[bytes], docs: np.ndarray) -> list[np.ndarray]:
 def _anchors(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         names, found, size = [], [], 0
-        for row, text in zip(frame["row"], frame["text"], strict=True):
+        for name, text in zip(frame["name"], frame["text"], strict=True):
             anchor = np.unique(pieces(text.encode("utf-8", "replace"))[0])
-            names.append(np.full(len(anchor), row))
+            names.append(np.full(len(anchor), name))
             found.append(anchor)
             size += len(anchor)
             if size > 200_000:
-                yield pd.DataFrame({"anchor": np.concatenate(found), "row": np.concatenate(names)})
+                yield pd.DataFrame({"anchor": np.concatenate(found), "name": np.concatenate(names)})
                 names, found, size = [], [], 0
         if found:
-            yield pd.DataFrame({"anchor": np.concatenate(found), "row": np.concatenate(names)})
+            yield pd.DataFrame({"anchor": np.concatenate(found), "name": np.concatenate(names)})
 
 
 def _cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -218,18 +219,22 @@ def without_long_repeats(docs: DataFrame, with_bytes: bool = False) -> DataFrame
     heavy = staged(heavy_digests(facts.select("digest", "length", F.col("doc").alias("doc_id"))), "heavy")
     heavy = F.broadcast(heavy.select("digest", F.col("heavy_rank.d").alias("owner")))  # at most exact.HEAVY rows
     first = texts.join(heavy, "digest", "left").filter(F.col("owner").isNull() | (F.col("owner") == F.col("doc")))
-    first = first.select("row", "doc", "text")
+    # Anchors go by document, whose small numbers compress well; rows without one go by their hash.
+    first = first.select("row", "doc", F.when(F.col("doc") < LAST, F.col("doc")).otherwise(F.col("row")).alias("name"), "text")
 
-    anchors = first.select("row", "text").mapInPandas(_anchors, "anchor long, row long")
-    sample = first.filter(F.pmod("row", F.lit(SAMPLE)) == 0).select("row", "text").mapInPandas(_anchors, "anchor long, row long")
+    anchors = first.select("name", "text").mapInPandas(_anchors, "anchor long, name long")
+    sample = first.filter(F.pmod("row", F.lit(SAMPLE)) == 0).select("name", "text").mapInPandas(_anchors, "anchor long, name long")
     hot = sample.agg(F.expr(f"approx_top_k(anchor, {HOT}, {8 * HOT})").alias("top")).select(F.explode("top").alias("t"))
     # Seen in several sampled texts, so surely shared.
     hot = staged(hot.filter("t.count >= 16").select(F.col("t.item").alias("anchor"), F.lit(True).alias("hot")), "hot")
     marked = anchors.join(F.broadcast(hot), "anchor", "left")  # at most HOT numbers
-    over = W.partitionBy(F.when(F.col("hot"), F.struct("anchor", "row")).otherwise(F.struct("anchor", F.lit(0).cast("long").alias("row"))))
-    shared = marked.withColumn("a", F.min("row").over(over)).withColumn("z", F.max("row").over(over)).filter("hot OR a <> z")
-    shared = shared.groupBy("row").agg(F.collect_list("anchor").alias("shared"))
-    some = staged(first.join(shared, "row"), "shared")
+    # A hot anchor's rows need no company and go each its own way. Plain columns, so one shuffle serves all.
+    marked = marked.select("anchor", "name", "hot", F.when(F.col("hot"), F.col("name")).otherwise(0).alias("part"))
+    over = W.partitionBy("anchor", "part")
+    shared = marked.select("anchor", "name", "hot", F.min("name").over(over).alias("a"), F.max("name").over(over).alias("z"))
+    shared = shared.filter("hot OR a <> z")
+    shared = shared.groupBy("name").agg(F.collect_set("anchor").alias("shared"))
+    some = staged(first.join(shared, "name").drop("name"), "shared")
     cuts = some.mapInPandas(_cut, "row long, doc long, start long, anchor long, mark long, piece binary")
     cuts = staged(cuts, "cuts")
     distinct = cuts.groupBy("anchor", "mark").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.first("piece").alias("piece"))
