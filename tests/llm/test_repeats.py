@@ -63,7 +63,7 @@ def test_near_edges(spark):
 
 
 def test_paragraphs_equal_brute_force(spark, documents):
-    rows = [(i, p, b" ".join(w)) for i, t in documents for p, (_, w) in enumerate(paragraphs._parts(t)) if len(w) >= 8]
+    rows = [(i, p, b" ".join(w)) for i, t in documents for p, w in paragraphs._parts(t, 8)]
     sets = {u: helpers.shingles(u.split()) for _, _, u in rows}
     classes = helpers.Classes(sets)
     helpers.link_similar(sets, classes)

@@ -33,10 +33,11 @@ CUT = re.compile(rb"\n|(?<=[.!?])[ \t]+")
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _parts(text: str | None) -> list[tuple[bytes, list[bytes]]]:
-    """Paragraphs of a text, in order, with their words."""
-    raw = (text or "").encode("utf-8", "replace")
-    return [(part, part.split()) for part in CUT.split(raw)]
+def _parts(text: str | None, least: int) -> Iterator[tuple[int, list[bytes]]]:
+    """Place and words of each paragraph of a text that has ``least`` words or more."""
+    for place, part in enumerate(CUT.split((text or "").encode("utf-8", "replace"))):
+        if len(part) >= 2 * least - 1 and len(words := part.split()) >= least:
+            yield place, words
 
 
 def _hashed(parts: list[list[bytes]], size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -63,15 +64,15 @@ def _node(words: list[bytes]) -> int:
 def _cut(least: int):
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            rows = []
+            rows, places, nodes, sizes = [], [], [], []
             for row, text in zip(frame["row"], frame["text"], strict=True):
-                for place, (_, words) in enumerate(_parts(text)):
-                    if len(words) >= least:
-                        rows.append((row, place, _node(words), len(words)))
-                if len(rows) > 200_000:
-                    yield pd.DataFrame(rows, columns=["row", "place", "node", "n_words"])
-                    rows = []
-            yield pd.DataFrame(rows, columns=["row", "place", "node", "n_words"])
+                for place, words in _parts(text, least):
+                    rows.append(row)
+                    places.append(place)
+                    nodes.append(_node(words))
+                    sizes.append(len(words))
+            columns = {"row": rows, "place": places, "node": nodes, "n_words": sizes}
+            yield pd.DataFrame({name: np.array(values, np.int64) for name, values in columns.items()})
 
     return cut
 
@@ -82,8 +83,8 @@ def _distinct(frames: Iterator[pd.DataFrame], least: int) -> Iterator[dict[int,
     size = 0
     for frame in frames:
         for text in frame["text"]:
-            for _, words in _parts(text):
-                if len(words) >= least and (node := _node(words)) not in seen:
+            for _, words in _parts(text, least):
+                if (node := _node(words)) not in seen:
                     seen[node] = words
                     size += len(words)
             if size > 500_000:
@@ -114,28 +115,36 @@ def _sets(least: int, size: int):
     def sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for seen in _distinct(frames, least):
             shingles, owner = _hashed(list(seen.values()), size)
+            order = np.lexsort((shingles, owner))
+            shingles, owner = shingles[order], owner[order]
+            new = np.concatenate([[True], (shingles[1:] != shingles[:-1]) | (owner[1:] != owner[:-1])])
+            shingles, owner = shingles[new], owner[new]
             ends = np.flatnonzero(np.diff(owner, append=len(seen) + 1)) + 1
-            split = [np.unique(s).view(np.int64) for s in np.split(shingles, ends[:-1])]
-            yield pd.DataFrame({"node": np.array(list(seen), np.int64), "set": split})
+            yield pd.DataFrame({"node": np.array(list(seen), np.int64), "set": np.split(shingles.view(np.int64), ends[:-1])})
 
     return sets
 
 
+def _named(docs: DataFrame) -> DataFrame:
+    text = text_or_empty(docs["text"])
+    return docs.select(F.xxhash64("doc_id", text).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+
+
 def repeated_paragraphs(
     docs: DataFrame, least: int = LEAST_WORDS, size: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, needed: int = NEEDED
 ) -> tuple[DataFrame, DataFrame]:
-    """Rows of ``docs`` numbered (row, doc_id, text), and the paragraphs to remove from them.
+    """Rows of ``docs`` (row, doc_id), and the paragraphs to remove from them.
 
-    The second table has row, place, n_words, first_id, class_id: place counts the paragraphs of the
+    A row is named by the hash of its id and text, so rows that repeat both share a name. The second table has row, place, n_words, first_id, class_id: place counts the paragraphs of the
     text from 0, class_id names the class, and first_id is the document of the occurrence that stays, the
     one with the smallest doc_id, a null id last, then row and place. Repeats inside one text count as
-    well. Null and empty texts have no paragraphs. Repeated rows count each. Other columns are ignored.
+    well. Null and empty texts have no paragraphs. Rows that repeat id and text are one text, removed from
+    alike. Other columns are ignored.
     """
     if least < size:
         raise ValueError("paragraphs need as many words as a shingle")
-    # Written, so that a row keeps its number whatever is lost and computed again.
-    names = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty(docs["text"]).alias("text"))
-    names = staged(names.withColumn("row", F.monotonically_increasing_id()), "rows")
+    names = _named(docs)
+    ids = staged(names.select("row", "doc_id"), "ids")
     text = names.select("text")
     occurrences = staged(
         names.select("row", "text").mapInPandas(_cut(least), "row long, place long, node long, n_words long"), "places"
@@ -144,9 +153,11 @@ def repeated_paragraphs(
     spread = spread.select("bucket", "node")
     shared = spread.groupBy("bucket").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a <> z")
     members = staged(spread.join(shared.select("bucket", "a"), "bucket"), "members")
-    nodes = members.select("node").distinct()
-    sets = text.mapInPandas(_sets(least, size), "node long, set array<long>").join(nodes, "node", "left_semi")
-    sets = staged(sets.dropDuplicates(["node"]), "sets")
+    nodes = staged(members.select("node").distinct(), "nodes")
+    # One text that has the paragraph is read again for its shingles, not all of them.
+    holders = occurrences.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("row").alias("row")).select("row").distinct()
+    sets = names.join(holders, "row", "left_semi").select("text").mapInPandas(_sets(least, size), "node long, set array<long>")
+    sets = staged(sets.join(nodes, "node", "left_semi").dropDuplicates(["node"]), "sets")
 
     pairs = members.filter("a <> node").select("a", F.col("node").alias("b")).distinct()
     found = staged(_verified(pairs, sets, needed), "links")
@@ -157,11 +168,12 @@ def repeated_paragraphs(
     roots = _merged(roots, staged(_verified(_prefix_pairs(contested, sets, needed), sets, needed), "links"))
 
     placed = _rooted(occurrences, roots, "node").withColumnRenamed("node_root", "root")
-    placed = placed.join(names.select("row", "doc_id"), "row")
+    placed = placed.join(ids.dropDuplicates(["row"]), "row")
     order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "row", "place")
     first = placed.groupBy("root").agg(F.min(order).alias("f"), F.count(F.lit(1)).alias("k")).filter("k > 1")
     removed = placed.join(first, "root").filter((F.col("row") != F.col("f.row")) | (F.col("place") != F.col("f.place")))
-    return names, removed.select("row", "place", "n_words", F.col("f.doc_id").alias("first_id"), F.col("root").alias("class_id"))
+    found = removed.select("row", "place", "n_words", F.col("f.doc_id").alias("first_id"), F.col("root").alias("class_id"))
+    return ids, found.distinct()
 
 
 def _without(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -180,7 +192,7 @@ def _without(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def without_repeats(docs: DataFrame, **options) -> DataFrame:
     """doc_id and text of every row of ``docs`` without its repeated paragraphs."""
-    names, removed = repeated_paragraphs(docs, **options)
+    names, (_, removed) = _named(docs), repeated_paragraphs(docs, **options)
     places = removed.groupBy("row").agg(F.collect_list("place").alias("places"))
     met = names.join(places, "row", "left").select(F.col("doc_id").cast("string").alias("doc_id"), "text", "places")
     return met.mapInPandas(_without, "doc_id string, text string").withColumn("doc_id", F.col("doc_id").cast("long"))
@@ -192,7 +204,7 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     class_id is the smallest id among the documents whose paragraphs stay for it, or its own; links is
     how many classes of paragraphs were removed.
     """
-    names, removed = repeated_paragraphs(table(spark, sf_dir, "documents"))
+    ids, removed = repeated_paragraphs(table(spark, sf_dir, "documents"))
     sums = removed.groupBy("row").agg(
         F.count(F.lit(1)).alias("n_removed"),
         F.sum("n_words").alias("removed_words"),
@@ -201,8 +213,7 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     zero = F.lit(0).cast("long")
     return (
-        names.select("row", "doc_id")
-        .join(sums, "row", "left")
+        ids.join(sums, "row", "left")
         .select(
             "doc_id",
             F.least("doc_id", "first_id").alias("class_id"),
