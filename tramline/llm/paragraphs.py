@@ -149,8 +149,10 @@ def repeated_paragraphs(
     occurrences = staged(
         names.select("row", "text").mapInPandas(_cut(least), "row long, place long, node long, n_words long"), "places"
     )
-    spread = text.mapInPandas(_bander(least, size, bands, rows), "bucket long, node long").groupBy("bucket", "node").agg(F.lit(1).alias("x"))
-    spread = spread.select("bucket", "node")
+    # Each chunk of a task names a node once, so a paragraph of very many texts is already few rows here;
+    # dealt by bucket, they need no other shuffle up to the join.
+    spread = text.mapInPandas(_bander(least, size, bands, rows), "bucket long, node long")
+    spread = spread.repartition("bucket").dropDuplicates(["bucket", "node"])
     shared = spread.groupBy("bucket").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a <> z")
     members = staged(spread.join(shared.select("bucket", "a"), "bucket"), "members")
     nodes = staged(members.select("node").distinct(), "nodes")
