@@ -138,3 +138,16 @@ def test_scores_edges(spark):
     none = suffix_tree.scored_texts(edge(spark), F.lit(True)).collect()
     assert {r["n_known"] for r in none} == {0} and {r["train_tokens"] for r in none} == {0}
     assert suffix_tree.scored_texts(empty(spark), F.lit(False)).count() == 0
+
+
+def test_contexts_need_a_count_and_no_share(spark):
+    """A context seen 40 times in 100,000 tokens is a state, one of three tokens counts, and what is held changes nothing."""
+    rng = np.random.default_rng(7)
+    rows = [(i, " ".join(f"w{k}" for k in rng.integers(0, 300, 500))) for i in range(200)]
+    rows += [(1000 + i, f"key lock x{i % 2} u v door{i % 2} w{i}") for i in range(80)]
+    rows += [(2000, "key lock"), (2001, "key w5"), (2002, "x0 u v door0"), (2003, "x1 u v door0")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in suffix_tree.scored_texts(frame, F.col("doc_id") >= 2000).collect()}
+    assert got[2000] > got[2001] + 1 and got[2002] > got[2003] + 0.5
+    far = suffix_tree.scored_texts(frame, F.col("doc_id") >= 2000, held=3).collect()
+    assert all(math.isclose(got[r["doc_id"]], r["score"], rel_tol=1e-9) for r in far)

@@ -1,10 +1,15 @@
 """Language-model scores by a probabilistic suffix tree over tokens.
 
-A state is a context of up to two tokens. A context that precedes a sufficient share of all tokens
-stays if its next-token distribution diverges from that of its own suffix by more than its counts
-explain; suffixes of states are states. A token is scored by the longest suffix of what came before
-that is a state. Distributions are smoothed by absolute discounting down to the root, and the root's
-discount is the probability of the one symbol that stands for all tokens never seen in training.
+A state is a context of up to DEPTH tokens that precedes LEAST_STATE tokens or more and whose next-token
+distribution diverges from that of its own suffix by more than its counts explain. A token is scored by
+the longest suffix of what came before that is a state. Distributions are smoothed by absolute
+discounting down to the root, and the root's discount is the probability of the one symbol that stands
+for all tokens never seen in training.
+
+Each state changes the logarithm of a token's probability by a number of its own: by what it leaves to
+its suffix, and, for continuations it has seen, by one more. So a text's score is a sum of numbers found
+by context and by context and token. All of them stand in one distributed table; the HELD most used ones
+are also held where texts are read, which changes what travels but no result.
 """
 
 from __future__ import annotations
@@ -12,6 +17,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -19,16 +25,26 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tramline.llm.common import remainder, staged, table, text_or_empty
+from tramline.llm.near import _mixed
 
 # Least share of all tokens that a word needs to be held where texts are read: at most 1 / LEAST_WORD words.
 LEAST_WORD = 1e-6
-# Least share of tokens that a context precedes, and least count of a continuation of its own, as a share.
-LEAST_STATE = 5e-4
-LEAST_PAIR = 1e-6
+# Longest context, least number of tokens that one precedes, and least count of a continuation of its own.
+DEPTH = 3
+LEAST_STATE = 8
+LEAST_PAIR = 2
 # Nats by which a context must describe its next tokens better than its suffix does.
 DIVERGENCE = 20.0
 # Taken off each count of a state other than the root.
 DISCOUNT = 0.5
+# Numbers of the tree held where texts are read, at most.
+HELD = 300_000
+# Bits of a filter; keys beyond what it can tell apart only travel for nothing.
+BITS = 25
+# Bits by which keys turn from token to token, so that order counts.
+TURN = 13
+SEED = 42  # of Spark's xxhash64
+END = np.uint64(0x98B1582B0977E704)  # xxhash64 of no bytes
 
 
 def _count_words(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -54,18 +70,12 @@ class Words:
     texts: int
     once: int  # words seen once, and twice
     twice: int
-    least: float
 
     @property
     def end(self) -> int:
         """The end of a text as a symbol; it is also the token before the first."""
         return len(self.names)
 
-    @property
-    def heads(self) -> np.ndarray:
-        """Which symbols precede enough tokens to be contexts."""
-        return np.append(self.counts, self.texts) >= max(2.0, self.least * self.tokens)
-
     def discount(self) -> float:
         """Taken off each count at the root, from how many words were seen once and twice."""
         return min(max(self.once / (self.once + 2 * self.twice), 0.1), 0.9) if self.once else 0.5
@@ -86,120 +96,159 @@ def _places(text: str, at: dict[bytes, int], end: int) -> tuple[list[bytes], np.
     return tokens, np.append(places, end)
 
 
-def _contexts(places: np.ndarray, words: Words, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Number of the context of one and of two tokens before each token; -1 where it cannot be a state."""
-    before = np.concatenate([[words.end], places[:-1]])
-    one = np.where(before >= 0, rank[before], -1)
-    first = np.concatenate([[-1], one[:-1]])
-    heads = int(rank.max()) + 1
-    return one, np.where((one >= 0) & (first >= 0), heads + first * heads + one, -1)
+def _hashes(tokens: list[bytes]) -> np.ndarray:
+    """Hash of each token and of the end, as Spark's xxhash64 gives it."""
+    import xxhash
+
+    found = np.fromiter(map(xxhash.xxh64_intdigest, tokens, repeat(SEED)), np.uint64, len(tokens))
+    return np.append(found, END)
+
+
+def _levels(h: np.ndarray, depth: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For contexts of 1 to ``depth`` tokens: key of each, key of its suffix, and what follows.
+
+    A context's key is that of its last token after the others, so its count is already known from there.
+    """
+    state, suffix = np.concatenate([h[-1:], h[:-1]]), np.zeros(len(h), np.uint64)
+    yield state, suffix, h
+    for size in range(2, min(depth, len(h)) + 1):
+        state, suffix = _after(state[:-1], h[size - 2 : -1]), state[1:]
+        yield state, suffix, h[size - 1 :]
+
+
+def _after(state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+    """Key of a token after a context."""
+    return ((state << np.uint64(TURN)) | (state >> np.uint64(64 - TURN))) ^ symbol
+
+
+def _after_column(state: Column, symbol: Column) -> Column:
+    return F.shiftleft(state, TURN).bitwiseOR(F.shiftrightunsigned(state, 64 - TURN)).bitwiseXOR(symbol)
 
 
-def _ranks(words: Words) -> np.ndarray:
-    heads = words.heads
-    return np.where(heads, np.cumsum(heads) - 1, -1)
+def _bits(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    mixed, mask = _mixed(keys), np.uint64((1 << BITS) - 1)
+    return (mixed & mask).astype(np.int64), (mixed >> np.uint64(64 - BITS)).astype(np.int64)
 
 
-def _count_pairs(words: Words):
+def _filter(keys: DataFrame) -> np.ndarray:
+    """A filter of fixed size that lets all ``keys`` (one column of longs) through."""
+    name = keys.columns[0]
+
+    def fill(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bits = np.zeros(1 << BITS, bool)
+        for frame in frames:
+            for place in _bits(frame[name].to_numpy(np.int64).view(np.uint64)):
+                bits[place] = True
+        yield pd.DataFrame({"bits": [np.packbits(bits, bitorder="little").tobytes()]})
+
+    out = np.zeros(1 << (BITS - 3), np.uint8)
+    for row in keys.coalesce(4).mapInPandas(fill, "bits binary").toLocalIterator():  # at most 4 filters
+        out |= np.frombuffer(row["bits"], np.uint8)
+    return out
+
+
+def _passes(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    a, b = _bits(keys)
+    return ((bits[a >> 3] >> (a & 7).astype(np.uint8)) & (bits[b >> 3] >> (b & 7).astype(np.uint8)) & 1).astype(bool)
+
+
+def _count_pairs(size: int, bits: np.ndarray):
+    """Counts what follows contexts of ``size`` tokens, of those that ``bits`` let through."""
+
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, rank = {w: i for i, w in enumerate(words.names)}, _ranks(words)
-        width = words.end + 2  # symbols, and one for all other tokens
-        held: list[np.ndarray] = []
-        size = 0
+        held: list[tuple[np.ndarray, ...]] = []
+        waiting = 0
 
         def out():
-            keys, n = np.unique(np.concatenate(held), return_counts=True)
-            return pd.DataFrame({"state": keys // width, "symbol": keys % width, "n": n})
+            state, suffix, symbol = (np.concatenate(x) for x in zip(*held, strict=True))
+            _, at, n = np.unique(_after(state, symbol), return_index=True, return_counts=True)
+            columns = {"state": state[at], "suffix": suffix[at], "symbol": symbol[at]}
+            return pd.DataFrame({name: x.view(np.int64) for name, x in columns.items()} | {"n": n})
 
         for frame in frames:
             for text in frame["text"]:
-                _, places = _places(text, at, words.end)
-                symbol = np.where(places < 0, words.end + 1, places)
-                for state in _contexts(places, words, rank):
-                    use = state >= 0
-                    held.append(state[use] * width + symbol[use])
-                    size += len(held[-1])
-                if size > 4_000_000:
+                h = _hashes(text.encode("utf-8", "replace").lower().split())
+                for level, (state, suffix, symbol) in enumerate(_levels(h, size), 1):
+                    if level == size:
+                        use = _passes(bits, state)
+                        held.append((state[use], suffix[use], symbol[use]))
+                        waiting += len(held[-1][0])
+                if waiting > 1_000_000:
                     yield out()
-                    held, size = [], 0
-        if held:
+                    held, waiting = [], 0
+        if waiting:
             yield out()
 
     return count
 
 
-@dataclass(frozen=True)
-class Tree:
-    """States but the root: for each its totals, and its continuations as state * width + symbol in order."""
+def _grown(training: DataFrame, counted: DataFrame, words: Words, divergence: float, depth: int) -> DataFrame:
+    """key, value, n: what each state and each of its continuations adds to the logarithm of a probability."""
+    ends = training.sparkSession.createDataFrame([(int(END.view(np.int64)), words.texts)], "symbol long, c long")
+    counts = counted.select(F.xxhash64("word").alias("symbol"), "c").unionByName(ends.filter("c > 0"))
+    lower = staged(counts.select("symbol", ((F.col("c") - words.discount()) / max(words.tokens, 1)).alias("lower")), "root")
+    totals, on, parts = counts.filter(F.col("c") >= LEAST_STATE).select(F.col("symbol").alias("state"), F.col("c").alias("t")), ["symbol"], []
+    totals = staged(totals, "totals")
+    key = _after_column(F.col("state"), F.col("symbol"))
+    for size in range(1, depth + 1):
+        pairs = training.mapInPandas(_count_pairs(size, _filter(totals.select("state"))), "state long, suffix long, symbol long, n long")
+        pairs = pairs.groupBy("state", "symbol").agg(F.sum("n").alias("n"), F.first("suffix").alias("suffix"))
+        # What follows a context LEAST_PAIR times follows its suffix as often, so it is found there.
+        kept = staged(pairs.filter(F.col("n") >= LEAST_PAIR).join(lower, on), "kept")
+        sums = kept.groupBy("state").agg(
+            F.sum(F.col("n") * F.log(F.col("n") / F.col("lower"))).alias("g"),
+            F.sum("n").alias("k"),
+            F.sum(F.col("n") - DISCOUNT).alias("own"),
+            F.sum("lower").alias("l"),
+        )
+        # All other continuations count as one, so this is a lower bound of the divergence.
+        rest = F.col("t") - F.col("k")
+        other = F.when(rest > 0, rest * F.log(rest / F.col("t") / F.greatest(1 - F.col("l"), F.lit(1e-12)))).otherwise(0.0)
+        states = totals.join(sums, "state").withColumn("gain", F.col("g") - F.col("k") * F.log("t") + other)
+        states = staged(states.select("state", "t", (1 - F.col("own") / F.col("t")).alias("left"), (F.col("gain") >= divergence).alias("is")), "states")
+        grown = kept.join(states, "state")
+        grown = grown.withColumn("p", F.when(F.col("is"), (F.col("n") - DISCOUNT) / F.col("t") + F.col("left") * F.col("lower")).otherwise(F.col("lower")))
+        grown = staged(grown.select("state", "symbol", "n", "is", "left", "lower", "p"), "grown")
+        parts.append(states.filter("is").select(F.bitwise_not("state").alias("key"), F.log10("left").alias("value"), F.col("t").alias("n")))
+        added = F.log10("p") - F.log10("lower") - F.log10("left")
+        parts.append(grown.filter("is").select(key.alias("key"), added.alias("value"), "n"))
+        totals = staged(grown.filter(F.col("n") >= LEAST_STATE).select(key.alias("state"), F.col("n").alias("t")), "totals")
+        lower, on = grown.select(F.col("state").alias("suffix"), "symbol", F.col("p").alias("lower")), ["suffix", "symbol"]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return staged(out, "tree")
+
+
+def _score(words: Words, held: pd.DataFrame, bits: np.ndarray, depth: int):
+    """Sums what is held, and names what must be looked up: rare words, and keys that ``bits`` let through."""
+    held_keys = held["key"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(held_keys)
+    held_keys, held_values = held_keys[order], held["value"].to_numpy(float)[order]
+    near = np.zeros(1 << (BITS - 3), np.uint8)
+    for place in _bits(held_keys):
+        np.bitwise_or.at(near, place >> 3, np.left_shift(1, place & 7).astype(np.uint8))
 
-    states: np.ndarray
-    totals: np.ndarray
-    left: np.ndarray  # share of the suffix's distribution in the state's own
-    keys: np.ndarray
-    counts: np.ndarray
-    width: int
-
-    def shares(self, state: np.ndarray, symbol: np.ndarray, lower: np.ndarray) -> np.ndarray:
-        """Probability of each symbol in its state, given that in its suffix; ``lower`` where it is no state."""
-        if not len(self.states):
-            return lower
-        at = np.minimum(np.searchsorted(self.states, state), len(self.states) - 1)
-        key = state * self.width + symbol
-        found = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        n = np.where(self.keys[found] == key, self.counts[found] - DISCOUNT, 0.0)
-        return np.where(self.states[at] == state, n / self.totals[at] + self.left[at] * lower, lower)
-
-
-def _grow(pairs: pd.DataFrame, totals: pd.DataFrame, words: Words, divergence: float) -> Tree:
-    """The tree from counts of frequent continuations, shorter contexts first."""
-    width, rank = words.end + 2, _ranks(words)
-    heads = int(rank.max()) + 1 if len(rank) else 0
-    base = words.root(np.append(words.counts, words.texts).astype(float))
-    none = np.zeros(0)
-    tree = Tree(none.astype(np.int64), none, none, none.astype(np.int64), none, width)
-    total_of = dict(zip(totals["state"], totals["t"], strict=True))
-    parts = []
-    for own in (pairs["state"] < heads, pairs["state"] >= heads):  # one token, then two
-        for state, group in pairs[own].sort_values(["state", "symbol"]).groupby("state"):
-            symbols, n, total = group["symbol"].to_numpy(), group["n"].to_numpy().astype(float), float(total_of[state])
-            suffix = np.full(len(symbols), (state - heads) % heads if state >= heads else -1)
-            lower = tree.shares(suffix, symbols, base[symbols])
-            # All other continuations count as one, so this is a lower bound of the divergence.
-            rest, rest_lower = total - n.sum(), max(1 - lower.sum(), 1e-12)
-            gain = (n * np.log(n / total / lower)).sum() + (rest * np.log(rest / total / rest_lower) if rest > 0 else 0)
-            if gain >= divergence:
-                parts.append((state, total, 1 - (n - DISCOUNT).sum() / total, state * width + symbols, n))
-        if parts:
-            parts.sort(key=lambda p: p[0])
-            tree = Tree(
-                np.array([p[0] for p in parts], np.int64),
-                np.array([p[1] for p in parts]),
-                np.array([p[2] for p in parts]),
-                np.concatenate([p[3] for p in parts]),
-                np.concatenate([p[4] for p in parts]),
-                width,
-            )
-    return tree
-
-
-def _score(words: Words, tree: Tree):
     def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, rank = {w: i for i, w in enumerate(words.names)}, _ranks(words)
+        at = {w: i for i, w in enumerate(words.names)}
         counts = np.append(words.counts, words.texts)
         base = np.log10((counts + 1) / (words.tokens + words.distinct + 1))
-        root = words.root(counts.astype(float))
+        root = np.log10(words.root(counts.astype(float)))
         for frame in frames:
             rows = []
             for doc_id, held_out, text in zip(frame["doc_id"], frame["held_out"], frame["text"], strict=True):
                 tokens, places = _places(text, at, words.end)
-                one, two = _contexts(places, words, rank)
-                frequent = places >= 0
-                # A rare token has no count of its own in any state: its share is left, times its root's.
-                share = np.where(frequent, root[places], 1.0)
-                share = tree.shares(one, np.where(frequent, places, words.end + 1), share)
-                share = tree.shares(two, np.where(frequent, places, words.end + 1), share)
-                rare = Counter(w for w, known in zip(tokens, frequent, strict=False) if not known)
-                known = places[frequent]
+                h = _hashes(tokens)
+                known = places[places >= 0]
+                keys = []
+                for state, _, symbol in _levels(h, depth):
+                    keys += [~state, _after(state, symbol)]
+                keys = np.concatenate(keys)
+                maybe = keys[_passes(near, keys)]
+                found = np.minimum(np.searchsorted(held_keys, maybe), len(held_keys) - 1) if len(held_keys) else None
+                own = held_values[found][held_keys[found] == maybe].sum() if len(held_keys) else 0.0
+                rare, n = np.unique(h[places < 0], return_counts=True)
+                far, m = np.unique(keys[_passes(bits, keys)], return_counts=True)
                 rows.append(
                     (
                         doc_id,
@@ -207,16 +256,17 @@ def _score(words: Words, tree: Tree):
                         len(places),
                         int((counts[known] > 0).sum()),
                         float(base[known].sum()),
-                        float(np.log10(share).sum()),
-                        [{"word": w, "n": n} for w, n in rare.items()],
+                        float(root[known].sum() + own),
+                        np.concatenate([rare, far]).view(np.int64),
+                        np.concatenate([n, -m]),  # keys of the tree below zero
                     )
                 )
-            yield pd.DataFrame(rows, columns=["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rare"])
+            yield pd.DataFrame(rows, columns=["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "keys", "counts"])
 
     return score
 
 
-def scored_texts(docs: DataFrame, held_out: Column, divergence: float = DIVERGENCE) -> DataFrame:
+def scored_texts(docs: DataFrame, held_out: Column, divergence: float = DIVERGENCE, depth: int = DEPTH, held: int = HELD) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Tokens are the words, A to Z in lower case, then one end. The tree and the counts come from rows
@@ -224,8 +274,9 @@ def scored_texts(docs: DataFrame, held_out: Column, divergence: float = DIVERGEN
     each scored by itself. Without training rows nothing is known, and the symbol for the unseen has
     all probability. Other columns are ignored. An empty table gives no rows.
 
-    The driver and the tasks hold the frequent words and the continuations of states, both bounded by
-    least shares of all tokens, whatever the input. All other words are scored after a shuffle by word.
+    The driver and the tasks hold the frequent words, at most ``held`` numbers of the tree and filters of
+    fixed size, whatever the input. All other words and numbers are looked up after a shuffle by key. Keys
+    are hashes of 64 bits.
     """
     # Ids travel as text: pandas would turn whole numbers beside nulls into floats.
     rows = docs.select(
@@ -252,36 +303,40 @@ def scored_texts(docs: DataFrame, held_out: Column, divergence: float = DIVERGEN
         texts,
         sums["once"],
         sums["twice"],
-        LEAST_STATE,
     )
-    pairs = training.mapInPandas(_count_pairs(words), "state long, symbol long, n long")
-    pairs = staged(pairs.groupBy("state", "symbol").agg(F.sum("n").alias("n")), "pairs")
-    states = pairs.groupBy("state").agg(F.sum("n").alias("t")).filter(F.col("t") >= max(2.0, LEAST_STATE * tokens))
-    states = staged(states, "states")  # at most 1 / LEAST_STATE for either length
-    kept = pairs.filter((F.col("symbol") <= words.end) & (F.col("n") >= max(2.0, LEAST_PAIR * tokens)))
-    kept = kept.join(F.broadcast(states.select("state")), "state", "left_semi").toPandas()  # at most 2 / LEAST_PAIR
-    tree = _grow(kept, states.toPandas(), words, divergence)
-
-    schema = "doc_id string, held_out boolean, n_tokens long, n_known long, base double, score double, rare array<struct<word:binary,n:long>>"
-    read = rows.mapInPandas(_score(words, tree), schema).withColumn("row", F.monotonically_increasing_id())
-    # The row's own sums stand beside its first rare word alone.
+    tree = _grown(training, counted, words, divergence, depth)
+    top = tree.orderBy(F.desc("n"), "key").limit(held).toPandas()  # at most ``held`` rows
+    far = tree
+    if len(top):
+        n, key = int(top["n"].iloc[-1]), int(top["key"].iloc[-1])
+        far = tree.filter((F.col("n") < n) | ((F.col("n") == n) & (F.col("key") > key)))
+
+    schema = "doc_id string, held_out boolean, n_tokens long, n_known long, base double, score double, keys array<long>, counts array<long>"
+    read = rows.mapInPandas(_score(words, top, _filter(far.select("key")), depth), schema)
+    read = read.withColumn("row", F.monotonically_increasing_id())
+    # The row's own sums stand beside its first key alone.
     own = ["doc_id", "held_out", "n_tokens", "n_known", "base", "score"]
-    spread = read.select("row", *own, F.posexplode_outer("rare"))
+    spread = read.select("row", *own, F.posexplode_outer(F.arrays_zip("keys", "counts")))
     first = F.coalesce(F.col("pos"), F.lit(0)) == 0
     spread = spread.select(
-        "row", *[F.when(first, F.col(c)).alias(c) for c in own], F.col("col.word").alias("word"), F.col("col.n").alias("n")
+        "row", *[F.when(first, F.col(c)).alias(c) for c in own], F.col("col.keys").alias("key"), F.col("col.counts").alias("m")
     )
-    met = spread.join(counted.filter(~is_frequent), "word", "left")
+    # Words and numbers of the tree are kinds of their own, so one join serves both.
+    spread = spread.withColumn("is_word", F.col("m") > 0).withColumn("m", F.abs("m"))
+    looked = counted.filter(~is_frequent).select(F.xxhash64("word").alias("key"), F.lit(True).alias("is_word"), "c", F.lit(None).cast("double").alias("value"))
+    looked = looked.unionByName(far.select("key", F.lit(False).alias("is_word"), F.lit(None).cast("long").alias("c"), "value"))
+    met = spread.join(looked, ["key", "is_word"], "left")
     c = F.coalesce("c", F.lit(0))
     word_base = F.log10((c + 1) / F.lit(float(tokens + words.distinct + 1)))
     word_root = F.log10(F.when(c > 0, (c - words.discount()) / float(max(tokens, 1))).otherwise(words.unseen()))
+    added = F.when(F.col("is_word"), word_root).otherwise(F.coalesce("value", F.lit(0.0)))
     summed = met.groupBy("row").agg(
         F.max("doc_id").cast("long").alias("doc_id"),
         F.max("held_out").alias("held_out"),
         F.max("n_tokens").alias("n_tokens"),
-        (F.sum("n_known") + F.coalesce(F.sum(F.when(c > 0, F.col("n"))), F.lit(0))).alias("n_known"),
-        (F.sum("base") + F.coalesce(F.sum(F.col("n") * word_base), F.lit(0.0))).alias("base_score"),
-        (F.sum("score") + F.coalesce(F.sum(F.col("n") * word_root), F.lit(0.0))).alias("score"),
+        (F.sum("n_known") + F.coalesce(F.sum(F.when(c > 0, F.col("m"))), F.lit(0))).alias("n_known"),
+        (F.sum("base") + F.coalesce(F.sum(F.when(F.col("is_word"), F.col("m") * word_base)), F.lit(0.0))).alias("base_score"),
+        (F.sum("score") + F.coalesce(F.sum(F.col("m") * added), F.lit(0.0))).alias("score"),
     )
     return summed.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score"
