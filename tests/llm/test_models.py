@@ -151,3 +151,22 @@ def test_contexts_need_a_count_and_no_share(spark):
     assert got[2000] > got[2001] + 1 and got[2002] > got[2003] + 0.5
     far = suffix_tree.scored_texts(frame, F.col("doc_id") >= 2000, held=3).collect()
     assert all(math.isclose(got[r["doc_id"]], r["score"], rel_tol=1e-9) for r in far)
+
+
+@pytest.mark.parametrize(
+    "disguised, plain",
+    [
+        *[("trrash", "trash"), ("idiiot", "idiot"), ("stuupid", "stupid"), ("sscum", "scum"), ("l053r", "loser"), ("l053", "lose")],
+        *[("7r45h", "trash"), ("+rash", "trash"), ("m  o  r  o  n", "moron"), ("s/c/u/m", "scum"), ("sc.um", "scum"), ("lo-ser", "loser")],
+    ],
+)
+def test_decoder_is_reached_by_every_disguise(decoder, disguised, plain):
+    _, kind = toxicity._classes()
+    learned = toxicity.Decoder(np.array(decoder.costs), {"trash ", "idiot ", "stupid ", "scum "})
+    assert toxicity._restored([f"the {disguised} of"], learned, kind) == [f"the {plain} of"]
+
+
+def test_doubled_letters_of_plain_words_stay(decoder):
+    learned = toxicity.Decoder(np.array(decoder.costs), {"trash ", "scum "})
+    text = "less letters in 1055 books by a committee of 12, 100% well-known $$$"
+    assert learned.restore(text) == text

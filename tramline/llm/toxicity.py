@@ -2,9 +2,10 @@
 
 A writer is taken to have put a plain word through a channel that swaps letters for look-alikes, puts
 signs between letters and repeats letters. A Viterbi search over the lattice of what each character
-may have been finds the word that is likeliest under a character language model of the corpus. Text
-in which the channel can have done nothing has a lattice of one path and passes as it is. The
-restored text is scored by words and word beginnings that labelled documents show to be toxic.
+may have been finds the word that is likeliest under a character language model of the corpus. A sign may
+also have stood in the plain text, so numbers and punctuation are one of the paths. Every token with a
+look-alike, a sign between letters or a repeated letter is decoded, and every run of fragments of one
+or two letters; other tokens have a lattice of one path and pass as they are. The restored text is scored by words and word beginnings that labelled documents show to be toxic.
 """
 
 from __future__ import annotations
@@ -13,8 +14,9 @@ import math
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from dataclasses import dataclass
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -62,6 +64,9 @@ SIZE = len(LETTERS) + 2
 
 # Costs in nats of what the channel did.
 SWAPPED, LOST_SIGN, FILLED, WORD_GAP, REPEATED, DOUBLED = 0.5, 9.0, 0.3, 6.0, 0.2, 4.0
+# A look-alike that stood in the plain text, beside letters and in a number; a sign between letters put in, and
+# a gap between longer fragments.
+MEANT, NUMBER, PARTED, SHORT_GAP = 6.0, 0.5, 1.0, 0.0
 BEAM = 48
 
 # Labelled rows the model is fitted on, at most; taken by the hash of their id.
@@ -77,14 +82,22 @@ WORD = re.compile(r"[^\W\d_]+")
 TOKEN = re.compile(r"\S+")
 EDGES = ".,;:?\"()[]{}<>%&"
 _L = r"[^\W\d_]"
-# Four or more letters one by one, with a filler between.
-SPACED = re.compile(r"(?<!\w)[\w@$!|+](?:[ .\-_*~'][\w@$!|+](?!\w)){3,}")
-# A sign among letters or at an end; letters three times or all doubled; fillers between single letters.
+# Four or more letters one by one, or fragments of one or two, with up to three signs or blanks between.
+_F, _G = r"(?:[^\W_]|[@$!|+*#])", r"[\W_]{1,3}?"
+SPACED = re.compile(rf"(?<!\w){_F}(?:{_G}{_F}(?!\w)){{3,}}")
+FRAGMENTS = re.compile(rf"(?<!\w){_F}{{1,2}}(?:{_G}{_F}{{1,2}}(?!\w)){{3,}}")
+# A look-alike or unseen sign, signs between letters, or a letter repeated.
 BETWEEN = "\n\n\n"
-SUSPECT = re.compile(
-    rf"{_L}[0-9@$!|+*#{UNSEEN}]{{1,2}}{_L}|^[0-9@$!|]{_L}|{_L}[0-9@$+]$|({_L})\1\1"
-    rf"|({_L})\2({_L})\3({_L})\4|{_L}[.\-_*~]{_L}[.\-_*~]{_L}|[аеорсухі]"
-)
+SIGNS = "".join(re.escape(c) for c in LOOK_ALIKES) + UNSEEN
+SUSPECT = re.compile(rf"[{SIGNS}]|({_L})\1|{_L}[\W_]+{_L}")
+SUSPECT_LETTER = re.compile(f"[{''.join(c for c in LOOK_ALIKES if c.isalpha())}]")
+ONLY_LETTERS = re.compile(rf"{_L}+")
+TRIPLE = re.compile(r"(.)\1\1")
+PAIR, DOUBLES = re.compile(rf"({_L})\1"), re.compile(rf"(?:({_L})\1){{3,}}")
+# Signs at the end of a token that may well be punctuation.
+CLOSING = re.compile(r"(?:!+|([$*#+|@])\1+)$")
+# Doubled letters of a word that are tried together.
+MOST_PAIRS = 4
 
 
 def _classes() -> tuple[np.ndarray, np.ndarray]:
@@ -141,29 +154,52 @@ def letter_model(texts: DataFrame) -> np.ndarray:
     return -np.log(p)
 
 
+def _learned_word(word: str, words: Collection[str]) -> bool:
+    return f"{word} " in words or any(word[:n] in words for n in PREFIXES if n < len(word))
+
+
 class Decoder:
     """Restores disguised words; remembers what it has decoded, within a bound."""
 
     REMEMBERED = 200_000
 
-    def __init__(self, costs: np.ndarray):
+    def __init__(self, costs: np.ndarray, words: Collection[str] = ()):
         self.costs = costs.tolist()
+        self.words = words
         self.code = {c: i + 2 for i, c in enumerate(LETTERS)}
         self.known: dict[str, str] = {}
+        self.tokens: dict[str, str] = {}
 
-    def options(self, sign: str, run: int) -> list[tuple[str, float]]:
+    def options(self, sign: str, run: int, put: float, gap: float, meant: float) -> list[tuple[str, float]]:
         """Letters that ``sign`` may have been, with costs; an empty one if it was put in.
 
-        ``run`` counts equal letters around a repeated one, or is 0.
+        ``run`` counts equal letters around a repeated one, or is 0; ``put`` and ``gap`` are the costs of a
+        filler that was put in and of one that was there, and ``meant`` of a look-alike that was.
         """
-        if sign.isspace():
-            return [("", FILLED), (" ", WORD_GAP)]
+        if sign in UNSEEN:
+            return [("", FILLED)]
         swaps = [(c, SWAPPED) for c in LOOK_ALIKES.get(sign, "")]
         if swaps:
-            return [*swaps, ("", FILLED if run > 1 or sign in FILLERS else LOST_SIGN)]
+            kept = [] if sign.isalpha() else [(sign, meant)]
+            return [*swaps, *kept, ("", FILLED if meant == MEANT and run > 1 or sign in FILLERS else LOST_SIGN)]
         if sign.isalpha():
             return [(sign, 0.0)] + ([("", REPEATED if run > 2 else DOUBLED)] if run else [])
-        return [("", FILLED)]
+        return [("", put), (" " if sign.isspace() else sign, gap)]
+
+    def undoubled(self, word: str) -> str:
+        """``word`` with as few doubled letters written once as make it a learned word, if any do.
+
+        Letters alone do not tell: many plain words have pairs that are as rare as a disguise.
+        """
+        if not self.words or _learned_word(word, self.words):
+            return word
+        pairs = [m.start() for m in PAIR.finditer(word)][:MOST_PAIRS]
+        for size in range(1, len(pairs) + 1):
+            for gone in combinations(pairs, size):
+                other = "".join(c for i, c in enumerate(word) if i not in gone)
+                if _learned_word(other, self.words):
+                    return other
+        return word
 
     def decode(self, span: str) -> str:
         """The likeliest plain spelling of ``span``, by Viterbi search over two letters of history."""
@@ -176,16 +212,23 @@ class Decoder:
 
     def _search(self, span: str) -> str:
         runs = [len(m[0]) for m in re.finditer(r"(.)\1*", span, re.S) for _ in m[0]]
-        doubled = re.fullmatch(rf"(?:({_L})\1)+", span) is not None
+        doubled = DOUBLES.fullmatch(span) is not None
+        fragments = re.findall(r"[^\W_]+", span)
+        one_by_one = len(fragments) > 2 and max(map(len, fragments)) == 1
+        put, gap = (FILLED, WORD_GAP) if one_by_one else (PARTED, SHORT_GAP)
+        meant = MEANT if any(map(str.isalpha, span)) else NUMBER
+        closing = end.start() if (end := CLOSING.search(span)) else len(span)
         beam: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
         for i, sign in enumerate(span):
             repeat = i > 0 and span[i - 1] == sign
-            options = self.options(sign, (3 if doubled else runs[i]) if repeat else 0)
+            options = self.options(sign, (3 if doubled else runs[i]) if repeat else 0, put, gap, 0.0 if i >= closing else meant)
             following: dict[tuple[int, int], tuple[float, tuple | None]] = {}
             for (p, q), (cost, path) in beam.items():
                 for letter, extra in options:
-                    if letter:
-                        c = self.code.get(letter, 0 if letter == " " else 1)
+                    if letter and not letter.isalpha() and q == 0:  # one boundary, however many signs
+                        key, total, way = (p, q), cost + extra, (letter, path)
+                    elif letter:
+                        c = self.code.get(letter, 1 if letter.isalpha() else 0)
                         key, total, way = (q, c), cost + extra + self.costs[p][q][c], (letter, path)
                     else:
                         key, total, way = (p, q), cost + extra, path
@@ -194,53 +237,58 @@ class Decoder:
             if len(following) > BEAM:
                 following = dict(sorted(following.items(), key=lambda x: x[1][0])[:BEAM])
             beam = following
-        _, path = min((cost + self.costs[p][q][0], i, path) for i, ((p, q), (cost, path)) in enumerate(beam.items()))[1:]
+        _, path = min((cost + (self.costs[p][q][0] if q else 0.0), i, path) for i, ((p, q), (cost, path)) in enumerate(beam.items()))[1:]
         letters = []
         while path is not None:
             letters.append(path[0])
             path = path[1]
         return "".join(reversed(letters))
 
-    def restore(self, text: str) -> str:
-        """Lower-case ``text`` with every suspicious span decoded."""
-        text = SPACED.sub(lambda m: self.decode(m[0]), text)
-
-        def token(match: re.Match) -> str:
-            word = match[0]
-            core = word.strip(EDGES)
-            if not SUSPECT.search(core):
-                return word
-            return word.replace(core, self.decode(core), 1)
+    def token(self, word: str) -> str:
+        """A token of a text, decoded if anything in it is suspicious."""
+        found = self.tokens.get(word)
+        if found is None:
+            if len(self.tokens) >= self.REMEMBERED:
+                self.tokens.clear()
+            core, found = word.strip(EDGES), word
+            if SUSPECT.search(core):
+                pairs = ONLY_LETTERS.fullmatch(core) and not TRIPLE.search(core) and not SUSPECT_LETTER.search(core)
+                if pairs and not DOUBLES.fullmatch(core):
+                    found = word.replace(core, self.undoubled(core), 1)
+                else:
+                    found = word.replace(core, self.undoubled(self._search(core)), 1)
+            self.tokens[word] = found
+        return found
 
-        return TOKEN.sub(token, text)
+    def restore(self, text: str, fragments: bool = True) -> str:
+        """Lower-case ``text`` with every suspicious span decoded."""
+        if fragments:
+            text = SPACED.sub(lambda m: self.decode(m[0]), text)
+            text = FRAGMENTS.sub(lambda m: self.decode(m[0]), text)
+        changed = {w: new for w in set(text.split()) if (new := self.token(w)) != w}
+        return TOKEN.sub(lambda m: changed.get(m[0], m[0]), text) if changed else text
 
 
 def suspicious(texts: list[str], kind: np.ndarray) -> np.ndarray:
-    """Which lower-case texts may hold something disguised; a fast test that misses none of the patterns."""
+    """Which lower-case texts may hold something disguised, 2 if fragments; a fast test that misses none of the patterns."""
     points = _points(BETWEEN + BETWEEN.join(texts) + 8 * "\n")
     k = kind[points]
     count = len(points) - 8
-
-    def at(i: int, *kinds: int) -> np.ndarray:
-        part = k[i : i + count]
-        out = part == kinds[0]
-        for other in kinds[1:]:
-            out |= part == other
-        return out
-
-    same = points[1:] == points[:-1]
-    letter, blank = at(0, 1), at(0, 0)
-    flags = letter & same[:count] & same[1 : count + 1]
-    flags |= letter & same[:count] & same[2 : count + 2] & same[4 : count + 4]
-    flags |= letter & at(1, 2) & (at(2, 0, 1, 4) | (at(2, 2) & at(3, 1)))
-    flags |= blank & at(1, 2) & at(2, 1)
-    flags |= letter & at(1, 2, 3) & at(2, 1) & at(3, 2, 3) & at(4, 1)
-    flags |= at(0, 1, 2) & at(1, 0, 2, 3) & at(2, 1, 2) & at(3, 0, 2, 3) & at(4, 1, 2) & at(5, 0, 2, 3) & at(6, 1, 2)
-    flags |= (points[:count] >= 0x430) & (points[:count] <= 0x456)
+    letter, blank, filler = k == 1, k == 0, (k == 3) | (k == 4)
+    flags = (k == 2)[:count]
+    flags |= filler[:count] & ~blank[1 : count + 1] & np.concatenate([[False], ~blank[: count - 1]])
+    flags |= letter[:count] & (points[1 : count + 1] == points[:count])
+    # Four fragments of one or two characters in a row.
+    edges = np.flatnonzero(np.diff(((k == 1) | (k == 2) | (points >= 0x2000)).astype(np.int8)))
+    begins, ends = edges[::2], edges[1::2]
+    short = ends - begins <= 2
+    joined = short[:-1] & short[1:] & (begins[1:] - ends[:-1] <= 3)
+    runs = begins[:-3][joined[:-2] & joined[1:-1] & joined[2:]] + 1 if len(joined) > 2 else begins[:0]
     places = np.flatnonzero(flags)
     starts = np.cumsum([0, *[len(t) + len(BETWEEN) for t in texts]])
-    out = np.zeros(len(texts), bool)
-    out[np.minimum(np.searchsorted(starts, places, side="right") - 1, len(texts) - 1)] = True
+    out = np.zeros(len(texts), np.uint8)
+    out[np.clip(np.searchsorted(starts, places, side="right") - 1, 0, len(texts) - 1)] = 1
+    out[np.clip(np.searchsorted(starts, runs, side="right") - 1, 0, len(texts) - 1)] = 2
     return out
 
 
@@ -254,7 +302,7 @@ def _restored(texts: list[str | None], decoder: Decoder, kind: np.ndarray) -> li
     lower = [plain(t) for t in texts]
     if not lower:
         return []
-    return [decoder.restore(t) if odd else t for t, odd in zip(lower, suspicious(lower, kind), strict=True)]
+    return [decoder.restore(t, odd == 2) if odd else t for t, odd in zip(lower, suspicious(lower, kind), strict=True)]
 
 
 def features(text: str) -> set[str]:
@@ -373,7 +421,7 @@ def _scorer(model: Model, keep: list[str]):
     def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import ahocorasick
 
-        decoder, (_, kind) = Decoder(model.costs), _classes()
+        decoder, (_, kind) = Decoder(model.costs, model.weights), _classes()
         machine = ahocorasick.Automaton()
         for stem in {f.rstrip(" ") for f in model.weights}:
             machine.add_word(stem, (len(stem), model.weights.get(f"{stem} ", 0.0), model.weights.get(stem, 0.0)))
