@@ -113,3 +113,11 @@ def test_many_copies_are_settled_alike(spark):
     frame = spark.createDataFrame(docs, "doc_id long, text string").withColumn("length", F.lit("x"))
     got = repeats.without_long_repeats(frame).orderBy("doc_id").collect()
     assert [r["n_removed"] for r in got] == [0] + [65] * 99
+
+
+def test_every_holder_is_linked(spark):
+    p, q = "one two three four five six seven eight nine.", "red green blue black white pink grey brown gold."
+    docs = [(5, p), (12, q), (30, f"{p} {q}"), (31, "nothing of this is anywhere else in the table")]
+    found = paragraphs.repeated_paragraphs(spark.createDataFrame(docs, "doc_id long, text string"))
+    got = {r["doc_id"]: [(x["first_id"], x["words"]) for x in r["linked"]] for r in paragraphs.linked_docs(*found).collect()}
+    assert got == {5: [], 12: [], 30: [(5, 9), (12, 9)], 31: []}

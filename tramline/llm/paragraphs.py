@@ -203,15 +203,23 @@ def without_repeats(docs: DataFrame, **options) -> DataFrame:
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document: what is removed from it, and the class it falls in by that.
 
-    class_id is the smallest id among the documents whose paragraphs stay for it, or its own; links is
-    how many classes of paragraphs were removed.
+    class_id is the smallest id among the documents whose paragraphs stay for it, or its own; it is no
+    component. links is how many classes of paragraphs were removed, and linked names each: the document
+    whose paragraph stays, the class of paragraphs and the words removed for it.
     """
     ids, removed = repeated_paragraphs(table(spark, sf_dir, "documents"))
-    sums = removed.groupBy("row").agg(
-        F.count(F.lit(1)).alias("n_removed"),
-        F.sum("n_words").alias("removed_words"),
-        F.countDistinct("class_id").alias("links"),
+    return linked_docs(ids, removed)
+
+
+def linked_docs(ids: DataFrame, removed: DataFrame) -> DataFrame:
+    """The rows of ``ids`` with what is removed from each, as ``repeated_paragraphs`` gives both."""
+    links = removed.groupBy("row", "class_id", "first_id").agg(F.count(F.lit(1)).alias("n"), F.sum("n_words").alias("words"))
+    sums = links.groupBy("row").agg(
+        F.sum("n").alias("n_removed"),
+        F.sum("words").alias("removed_words"),
+        F.count(F.lit(1)).alias("links"),
         F.min("first_id").alias("first_id"),
+        F.sort_array(F.collect_list(F.struct("first_id", "class_id", "words"))).alias("linked"),
     )
     zero = F.lit(0).cast("long")
     return (
@@ -222,5 +230,6 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.coalesce("links", zero).alias("links"),
             F.coalesce("n_removed", zero).alias("n_removed"),
             F.coalesce("removed_words", zero).alias("removed_words"),
+            F.coalesce("linked", F.array().cast("array<struct<first_id:bigint,class_id:bigint,words:bigint>>")).alias("linked"),
         )
     )
