@@ -121,3 +121,17 @@ def test_every_holder_is_linked(spark):
     found = paragraphs.repeated_paragraphs(spark.createDataFrame(docs, "doc_id long, text string"))
     got = {r["doc_id"]: [(x["first_id"], x["words"]) for x in r["linked"]] for r in paragraphs.linked_docs(*found).collect()}
     assert got == {5: [], 12: [], 30: [(5, 9), (12, 9)], 31: []}
+
+
+def test_large_anchors_are_not_indexed_together(spark):
+    """One gram in ever new surroundings: no group indexes all its pieces, and the result is the same."""
+    rng = np.random.default_rng(3)
+    passage = "this sentence stands in very many of the texts"
+    around = ["".join(map(chr, rng.integers(97, 123, 30))) for _ in range(120)]
+    docs = [(i, f"{around[i]} {passage} {around[(i * 7) % 60]}") for i in range(120)]
+    docs += [(200 + i, f"{around[i]} {passage}, and more") for i in range(20)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    columns = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    got = repeats.without_long_repeats(frame, anchor_bytes=500).collect()
+    assert sorted(tuple(r[c] for c in columns) for r in got) == helpers.long_repeats(docs)
+    assert any(r["n_removed"] for r in got)

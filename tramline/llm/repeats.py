@@ -3,7 +3,8 @@
 Every string of LENGTH bytes has an anchor: the k-gram in it with the smallest hash, the same wherever
 the string occurs. Neighbouring strings with one anchor form a piece of text. Only pieces whose anchor
 another text has as well can hold a repeat; they are cut out and grouped by anchor, so that all occurrences of a
-string meet in one group, whose distinct pieces are indexed together. The index keeps the runs of the
+string meet in one group, whose distinct pieces are indexed together; an anchor with more than ANCHOR_BYTES of
+them is not indexed, its strings meet one by one in a join. The index keeps the runs of the
 transform, the text places at their ends, and for each interval of suffixes that agree on LENGTH bytes the first
 document. Pieces stream through it from right to left by the last-to-first step over runs; the interval a
 place falls into tells whether an earlier document has its string.
@@ -33,6 +34,8 @@ INDEX_BYTES = 1 << 20
 # One text in so many is looked at to find anchors that very many texts have. They only travel another way.
 SAMPLE = 64
 HOT = 512
+# Bytes of distinct pieces of one anchor that are still indexed; the strings of others meet one by one.
+ANCHOR_BYTES = 16 * INDEX_BYTES
 SEPARATOR = 0xFF  # in no UTF-8 text
 
 LAST = (1 << 63) - 1
@@ -179,6 +182,27 @@ def _indexed(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["anchor", "mark", "from", "to", "first"])
 
 
+def _strings(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for frame in frames:
+        out = []
+        for anchor, mark, low, piece in zip(frame["anchor"], frame["mark"], frame["low"], frame["piece"], strict=True):
+            out += [(anchor, mark, low, i, bytes(piece[i : i + LENGTH])) for i in range(len(piece) - LENGTH + 1)]
+            if len(out) > 100_000:
+                yield pd.DataFrame(out, columns=["anchor", "mark", "low", "from", "string"])
+                out = []
+        if out:
+            yield pd.DataFrame(out, columns=["anchor", "mark", "low", "from", "string"])
+
+
+def _by_string(distinct: DataFrame) -> DataFrame:
+    """The spans that ``_indexed`` finds, by a join on the strings themselves; no task holds an anchor's pieces."""
+    strings = distinct.select("anchor", "mark", "low", "piece").mapInPandas(_strings, "anchor long, mark long, low long, from long, string binary")
+    strings = staged(strings, "strings")
+    first = strings.groupBy("string").agg(F.min("low").alias("first"))  # combined map-side, however many hold it
+    met = strings.drop("low").join(first, "string")
+    return met.select("anchor", "mark", "from", (F.col("from") + LENGTH).alias("to"), "first")
+
+
 def _removed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         out = []
@@ -195,7 +219,7 @@ def _removed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["row", "n_removed", "n_spans", "kept_sha256", "kept"])
 
 
-def without_long_repeats(docs: DataFrame, with_bytes: bool = False) -> DataFrame:
+def without_long_repeats(docs: DataFrame, with_bytes: bool = False, anchor_bytes: int = ANCHOR_BYTES) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256, on demand kept.
 
     A byte goes if a string of LENGTH bytes that covers it also starts in a document of smaller doc_id,
@@ -239,10 +263,14 @@ def without_long_repeats(docs: DataFrame, with_bytes: bool = False) -> DataFrame
     cuts = staged(cuts, "cuts")
     distinct = cuts.groupBy("anchor", "mark").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.first("piece").alias("piece"))
     distinct = staged(distinct, "pieces")
+    sizes = distinct.groupBy("anchor").agg(F.sum(F.octet_length("piece")).alias("size"))
+    large = staged(sizes.filter(F.col("size") > anchor_bytes).select("anchor"), "large")
     size = distinct.agg(F.sum(F.octet_length("piece"))).first()[0] or 0
     groups = max(1, -(-size // INDEX_BYTES))
-    spans = distinct.groupBy(F.pmod(F.xxhash64("anchor"), F.lit(groups)).alias("group"))
+    small = distinct.join(large, "anchor", "left_anti")
+    spans = small.groupBy(F.pmod(F.xxhash64("anchor"), F.lit(groups)).alias("group"))
     spans = spans.applyInPandas(_indexed, "anchor long, mark long, from long, to long, first long")
+    spans = spans.unionByName(_by_string(distinct.join(large, "anchor", "left_semi")))
     met = cuts.select("row", "doc", "start", "anchor", "mark").join(spans, ["anchor", "mark"]).filter("first < doc")
     span = F.struct((F.col("start") + F.col("from")).alias("from"), (F.col("start") + F.col("to")).alias("to"))
     ranges = met.select("row", span.alias("span")).distinct().groupBy("row").agg(F.collect_list("span").alias("spans"))
