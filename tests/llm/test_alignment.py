@@ -3,6 +3,8 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from tests.llm.helpers import SF, edge, empty
 from tramline.llm import alignment
@@ -132,3 +134,32 @@ def test_a_million_blanks_letters_and_line_ends(spark, sides):
     texts = [(i, c * 1_000_000) for i, c in enumerate((" ", "\n", "a"))]
     got = alignment.aligned_docs(spark.createDataFrame(texts, "doc_id long, text string"))[0].collect()
     assert len(got) == 3 and all(r["n_groups"] > 0 for r in got)
+
+
+MIX = st.text(st.sampled_from(" \t\n\r'sdmtrevlABz09é²ªß·×ſɏ-.,<|>_\xa0\x85\x1c▁日😀"), max_size=60)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(MIX, max_size=4))
+def test_ids_of_words_are_the_tokenizers_own(texts):
+    a = ids_side()
+    whole = a.tokenizer.encode_batch([" " + t for t in texts], add_special_tokens=False)
+    assert a.encode(texts) == [e.ids for e in whole]
+
+
+def ids_side(kept=[]):
+    if not kept:
+        kept.append(alignment.ByteLevel(alignment.default_a()))
+    return kept[0]
+
+
+def test_ids_of_whole_texts_and_a_small_memory(monkeypatch):
+    import pyarrow.parquet as pq
+
+    texts = [t or "" for t in pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"])["text"].to_pylist()]
+    a = ids_side()
+    whole = a.tokenizer.encode_batch([" " + t for t in texts], add_special_tokens=False)
+    assert a.encode(texts) == [e.ids for e in whole]
+    monkeypatch.setattr(alignment, "KNOWN_WORDS", 50)
+    assert a.encode(texts[:50]) == [e.ids for e in whole[:50]]
+    assert len(a.known) < 100_000

@@ -13,7 +13,9 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -24,8 +26,10 @@ from pyspark.sql import functions as F
 from tramline.llm.common import staged, table
 
 # Bytes of text tokenised together, and pairs of documents in a block; one text may hold more of either.
-BATCH_BYTES = 1 << 20
-BLOCK_PAIRS = 1 << 21
+BATCH_BYTES = 1 << 18
+BLOCK_PAIRS = 1 << 19
+# Words, and letters of them, whose ids a task remembers.
+KNOWN_WORDS, KNOWN_LETTERS = 1 << 17, 1 << 22
 # Groups with more links than this are counted by distinct ids instead of link by link.
 WIDE = 4096
 
@@ -60,7 +64,17 @@ class Side:
         return b"".join(map(self.bytes.__getitem__, ids)) == raw
 
 
+# Anything but signs whose class (letter, number, blank, other) is the same in every Unicode version and library.
+UNSURE = re.compile("[^\t\n\r -~\xa1-\xac\xae-\u024f]")
+
+
 class ByteLevel(Side):
+    """A byte-level BPE in JSON form.
+
+    Its words are cut and merged one by one, and words repeat, so a task remembers their ids. Texts with
+    signs that libraries may class differently go whole through the tokenizer.
+    """
+
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
@@ -70,10 +84,47 @@ class ByteLevel(Side):
         alphabet = byte_alphabet()
         names = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
         super().__init__([bytes(alphabet[c] for c in n) if all(c in alphabet for c in n) else n.encode() for n in names])
+        self.cut = self._cutter()
+        self.letters = {b: c for c, b in alphabet.items()}
+        self.known: dict[str, list[int]] = {}
+        self.known_letters = 0
+
+    def _cutter(self):
+        """The function that cuts a text into words, if the tokenizer is of the plain kind whose pattern is public."""
+        import json
+
+        import public_tokenizers
+        import regex
+
+        form = json.loads(self.tokenizer.to_str())
+        cut = form["pre_tokenizer"] or {}
+        plain = cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space") and cut.get("use_regex", True)
+        if form["normalizer"] is None and plain and form["model"]["type"] == "BPE":
+            return regex.compile(public_tokenizers.PATTERN).findall
+        return None
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        found = self.tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        return [e.ids for e in found]
+        """Ids of each text with a blank before it."""
+        unsure = [i for i, t in enumerate(texts) if self.cut is None or UNSURE.search(t)]
+        whole = self.tokenizer.encode_batch_fast([" " + texts[i] for i in unsure], add_special_tokens=False)
+        found = {i: e.ids for i, e in zip(unsure, whole, strict=True)}
+        return [found[i] if i in found else self._by_word(" " + t) for i, t in enumerate(texts)]
+
+    def _by_word(self, text: str) -> list[int]:
+        words, known = self.cut(text), self.known
+        try:
+            found = [known[w] for w in words]
+        except KeyError:
+            for w in words:
+                if w not in known:
+                    spelled = w.encode().decode("latin-1").translate(self.letters)
+                    known[w] = [t.id for t in self.tokenizer.model.tokenize(spelled)]
+                    self.known_letters += len(w)
+            found = [known[w] for w in words]
+            if len(known) > KNOWN_WORDS or self.known_letters > KNOWN_LETTERS:
+                known.clear()
+                self.known_letters = 0
+        return list(chain.from_iterable(found))
 
 
 class Pieces(Side):
@@ -131,8 +182,8 @@ class Aligned:
         docs = len(a_lists)
         a_count = np.array([len(x) for x in a_lists], np.int64)
         b_count = np.array([len(x) for x in b_lists], np.int64)
-        a_ids = np.fromiter((i for x in a_lists for i in x), np.int64, int(a_count.sum()))
-        b_ids = np.fromiter((i for x in b_lists for i in x), np.int64, int(b_count.sum()))
+        a_ids = np.fromiter(chain.from_iterable(a_lists), np.int64, int(a_count.sum()))
+        b_ids = np.fromiter(chain.from_iterable(b_lists), np.int64, int(b_count.sum()))
         a_ends, b_ends = np.cumsum(self.a.lengths[a_ids]), np.cumsum(self.b.lengths[b_ids])
         label = terminals(a_ends, b_ends)
         ends_group = label[: len(a_ids)] == np.arange(len(a_ids))
