@@ -117,10 +117,22 @@ def stop_delay(
     The surrogate key is a hash of the natural key, the same on every run. Among some billions of
     visits two may collide, which the key checks show; the natural key stays exact.
     """
-    work_root(positions.sparkSession)
-    rows = shuffled_lookup(visits(positions).checkpoint(), predictions(updates), VISIT)
+    return delays(visits(positions), predictions(updates), stop_times, load_number, zone, ingested_at)
+
+
+def delays(
+    visited: DataFrame,
+    predicted: DataFrame,
+    stop_times: DataFrame | None,
+    load_number: str,
+    zone: str = "UTC",
+    ingested_at: Column | None = None,
+) -> DataFrame:
+    """The delay fact of visits and predictions, however they were put together."""
+    work_root(visited.sparkSession)
+    rows = shuffled_lookup(visited.checkpoint(), predicted, VISIT)
     if stop_times is None:
-        stop_times = positions.sparkSession.createDataFrame([], ddl(STOP_TIMES))
+        stop_times = visited.sparkSession.createDataFrame([], ddl(STOP_TIMES))
     rows = lookup(rows, schedule(stop_times), ["trip_id", "stop_id"])
     date = F.try_to_date("start_date", "yyyyMMdd")
     rows = rows.withColumns(

@@ -118,6 +118,12 @@ WAREHOUSE = {
     ),
 }
 
+# What a load remembers between runs: a record per committed run, and partial results per stop visit.
+COMMIT = _columns("number bigint, run string, items array<string>, replaces array<string>")
+_VISIT = "start_date string, route_id string, trip_id string, stop_id string"
+VISIT_STATE = _columns(f"{_VISIT}, vehicle_id string, first_stopped bigint, speed_sum double, speed_count bigint")
+PREDICTION_STATE = _columns(f"{_VISIT}, feed_timestamp bigint, arrival bigint")
+
 PRIMARY_KEYS = {
     "dim_route": ["route_id"],
     "dim_stop": ["stop_id"],
