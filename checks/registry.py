@@ -14,6 +14,7 @@ from tramline.operators import dims, feed, messages, quality
 from tramline.operators.fact import build_fact, clean_positions, clean_updates
 from tramline.operators.skew import ROWS_PER_TASK
 from tramline.plans import audit, incremental, static, warehouse
+from tramline.plans.dimensions import DimensionTable
 from tramline.plans.fact import append_fact
 from tramline.schemas import STATIC_DIMS, TRIP_UPDATE, VEHICLE_POSITION, WAREHOUSE
 from tramline.session import run_dir, stream_session
@@ -507,6 +508,49 @@ def _(spark, sf_dir):
     return comparable(stacked)
 
 
+# Three loads of the stops: some come late, some are gone for a load, some change their name.
+HISTORY_SQL = """
+with loads(l) as (values (1), (2), (3)),
+states as (
+  select c_custkey as k, l, case l when 1 then c_custkey % 7 <> 0 when 2 then c_custkey % 5 <> 0 else true end as here,
+    case when l > 1 and c_custkey % 3 = 0 then c_name || '!' else c_name end as name
+  from customer, loads),
+before as (select *, lag(here) over (partition by k order by l) as was, lag(name) over (partition by k order by l) as old from states),
+changes as (
+  select k, l, here, name, lead(l) over (partition by k order by l) as until
+  from before where was is null or here <> was or (here and name <> old)),
+first as (select k, min(l) as l from states where here group by 1)
+select cast(c.k as varchar) as stop_id, c.name as stop_name, make_timestamp(first.l * 1000000) as created_at,
+  make_timestamp(c.l * 1000000) as updated_at, make_timestamp(c.l * 1000000) as valid_from,
+  make_timestamp(c.until * 1000000) as valid_to, 'load' || c.l as load_number
+from changes c join first on c.k = first.k where c.here"""
+
+
+def _stop_loads(spark: SparkSession, sf_dir: str) -> DimensionTable:
+    stops, key = inputs.table(spark, sf_dir, "customer"), F.col("c_custkey")
+    dim = DimensionTable(spark, run_dir(spark, "history"), "dim_stop")
+    for load, here in ((1, key % 7 != 0), (2, key % 5 != 0), (3, F.lit(True))):
+        name = F.when((key % 3 == 0) & F.lit(load > 1), F.concat("c_name", F.lit("!"))).otherwise(F.col("c_name"))
+        rows = stops.filter(here).select(key.cast("string").alias("stop_id"), name.alias("stop_name"))
+        stamp = F.timestamp_seconds(F.lit(load))
+        dim.merge(rows, f"load{load}", stamp)
+        dim.merge(rows, f"load{load}", stamp)  # run again by mistake
+    return dim
+
+
+@query("dim_history", HISTORY_SQL)
+def _(spark, sf_dir):
+    rows = _stop_loads(spark, sf_dir).history()
+    return comparable(
+        rows.select("stop_id", "stop_name", "created_at", "updated_at", "valid_from", "valid_to", "load_number")
+    )
+
+
+@query("dim_history_current", f"select stop_id, stop_name, created_at, load_number from ({HISTORY_SQL}) where valid_to is null")
+def _(spark, sf_dir):
+    return comparable(_stop_loads(spark, sf_dir).current().select("stop_id", "stop_name", "created_at", "load_number"))
+
+
 @query(
     "pk_violations",
     """select l_orderkey, l_linenumber, cast(count(*) as bigint) as row_count

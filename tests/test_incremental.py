@@ -161,3 +161,32 @@ def test_plan_reads_only_the_touched_dates(spark, lake):
     assert "PartitionFilters: [" in plan and "date_id" in plan.split("PartitionFilters: [")[1].split("]")[0]
     assert states.count() == 1 and len({f.rpartition("/")[0] for f in states.inputFiles()}) >= 1
     assert [r[0] for r in states.select(F.input_file_name()).distinct().collect()][0].count("date_id=2024-01-03") == 1
+
+
+def test_warehouse_updates(spark, lake, rows):
+    from tramline.schemas import STATIC_DIMS
+
+    def static(names):
+        for table, columns in STATIC_DIMS.items():
+            key = f"{table}_id"
+            dims = rows({**columns, "load_number": "string"}, *[{key: n, "load_number": "S"} for n in names])
+            write_table(dims, f"{lake.bronze}/dim_{table}")
+
+    def read(table):
+        return read_table(spark, f"{lake.star}/{table}", columns=WAREHOUSE[table])
+
+    for i, (load, names) in enumerate(zip(LOADS, ("st", "s", "rst"), strict=True)):
+        lake.arrive(load)
+        static(names)
+        stamp = F.timestamp_seconds(F.lit(i + 1))
+        runs = incremental.update_warehouse(spark, lake.bronze, lake.star, f"L{i}", lake.times, now=stamp)
+        assert [run.status for run in runs] == ["SUCCESS"] * 6
+        assert lake.kept(spark) == lake.whole(spark)
+        assert read("dim_route").count() == len(names)
+    created = read("dim_stop").select("stop_id", F.unix_seconds("created_at"), "load_number")
+    assert values(created) == [("r", 3, "L2"), ("s", 1, "L0"), ("t", 1, "L2")]  # t was gone and came back
+    assert values(read("dim_vehicle").select("vehicle_id", F.unix_seconds("created_at"))) == [("v", 1), ("w", 2)]
+    assert values(read("dim_date").select("date_id")) == [(date(2024, 1, 2),), (date(2024, 1, 3),)]
+    assert read("audit_pipeline_runs").count() == 18
+    again = incremental.update_warehouse(spark, lake.bronze, lake.star, "L9", lake.times)
+    assert again[-1].row_count == 0 and lake.kept(spark) == lake.whole(spark)

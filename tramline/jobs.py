@@ -14,6 +14,7 @@ from tramline.operators.fact import BOUND_SECONDS
 from tramline.operators.skew import ROWS_PER_TASK
 from tramline.plans.audit import audit_rows
 from tramline.plans.fact import append_fact
+from tramline.plans.incremental import update_warehouse
 from tramline.plans.static import load_static, write_silver_dims
 from tramline.plans.warehouse import build_warehouse
 from tramline.session import DELTA_CONF, get_session, stream_session
@@ -135,14 +136,13 @@ def _backfill_fact(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _warehouse(spark: SparkSession, args: argparse.Namespace) -> None:
+    stop_times = read_schedule_file(spark, args.stop_times) if args.stop_times else None
+    holidays = read_table(spark, args.holidays) if args.holidays else None
+    if args.update:
+        update_warehouse(spark, args.bronze, args.target, None, stop_times, holidays, args.zone)
+        return
     build_warehouse(
-        spark,
-        args.bronze,
-        args.target,
-        fmt=args.format,
-        stop_times=read_schedule_file(spark, args.stop_times) if args.stop_times else None,
-        holidays=read_table(spark, args.holidays) if args.holidays else None,
-        zone=args.zone,
+        spark, args.bronze, args.target, fmt=args.format, stop_times=stop_times, holidays=holidays, zone=args.zone
     )
 
 
@@ -190,6 +190,7 @@ def parser() -> argparse.ArgumentParser:
     star = job("warehouse", _warehouse, "bronze", "target")
     star.add_argument("--stop-times", help="schedule file with the planned arrivals")
     star.add_argument("--holidays", help="table with a date_id per holiday")
+    star.add_argument("--update", action="store_true", help="take in new bronze files only, and keep dimension history")
     star.add_argument("--zone", default="UTC", help="time zone of the schedule")
     return top
 

@@ -29,20 +29,29 @@ def vehicle_dim(positions: DataFrame) -> DataFrame:
     return positions.filter(has_keys()).select(*VEHICLE_DIM).dropDuplicates()
 
 
-def latest_vehicles(positions: DataFrame) -> DataFrame:
-    """One row per known vehicle id: its most recently reported attributes.
-
-    The first aggregation hashes and combines map-side down to distinct attributes; only those
-    reach the ordered one.
-    """
-    seen = (
+def seen_vehicles(positions: DataFrame) -> DataFrame:
+    """Distinct attributes of known vehicles and when each was last reported; such tables merge."""
+    return (
         positions.filter(has_keys() & F.col("vehicle_id").isNotNull())
         .groupBy(*VEHICLE_DIM)
         .agg(F.max("vehicle_timestamp").alias("seen_at"))
     )
+
+
+def newest_vehicles(seen: DataFrame) -> DataFrame:
+    """One row per vehicle id: its most recently reported attributes."""
     newest = F.max(F.struct("seen_at", "vehicle_label", "license_plate"))
     return (
         seen.groupBy("vehicle_id")
         .agg(newest.alias("newest"))
         .select("vehicle_id", "newest.vehicle_label", "newest.license_plate")
     )
+
+
+def latest_vehicles(positions: DataFrame) -> DataFrame:
+    """One row per known vehicle id: its most recently reported attributes.
+
+    The first aggregation hashes and combines map-side down to distinct attributes; only those
+    reach the ordered one.
+    """
+    return newest_vehicles(seen_vehicles(positions))

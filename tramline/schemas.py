@@ -122,6 +122,7 @@ WAREHOUSE = {
 COMMIT = _columns("number bigint, run string, items array<string>, replaces array<string>")
 _VISIT = "start_date string, route_id string, trip_id string, stop_id string"
 VISIT_STATE = _columns(f"{_VISIT}, vehicle_id string, first_stopped bigint, speed_sum double, speed_count bigint")
+VEHICLE_STATE = {**VEHICLE_DIM, "seen_at": "bigint"}
 PREDICTION_STATE = _columns(f"{_VISIT}, feed_timestamp bigint, arrival bigint")
 
 PRIMARY_KEYS = {

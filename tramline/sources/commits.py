@@ -28,6 +28,12 @@ def stored_or_empty(spark: SparkSession, path: str, columns: Columns) -> DataFra
         return spark.createDataFrame([], ddl(columns))
 
 
+def remove_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder of any file system Spark reaches; False if there was none."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
 def new_run(label: str) -> str:
     """A name no other run has, sorting by its label."""
     return f"{label}-{uuid.uuid4().hex[:12]}"
