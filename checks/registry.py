@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from tramline.operators.fact import build_fact, clean_positions, clean_updates
 from tramline.operators.skew import ROWS_PER_TASK
 from tramline.plans import audit, incremental, static, warehouse
 from tramline.plans.dimensions import DimensionTable
-from tramline.plans.fact import append_fact
+from tramline.plans.fact import append_fact, backfill_fact
 from tramline.schemas import STATIC_DIMS, TRIP_UPDATE, VEHICLE_POSITION, WAREHOUSE
 from tramline.session import run_dir, stream_session
 from tramline.sources.static import read_snapshots
@@ -182,6 +183,20 @@ def _(spark, sf_dir):
     return comparable(read_table(spark, f"{lake}/silver/fact"))
 
 
+@query("fact_backfill_once", fact_sql(600))
+def _(spark, sf_dir):
+    """Everything once, then the last days twice and once more by a run that breaks before its commit."""
+    lake = run_dir(spark, "fact-once")
+    write_table(inputs.positions(spark, sf_dir), f"{lake}/bronze/vehicle_positions")
+    write_table(inputs.bronze_updates(spark, sf_dir), f"{lake}/bronze/trip_updates")
+    backfill_fact(spark, f"{lake}/bronze", f"{lake}/silver")
+    last = inputs.table(spark, sf_dir, "events").agg(F.max("ts").cast("date")).first()[0]
+    for _ in range(2):
+        table = backfill_fact(spark, f"{lake}/bronze", f"{lake}/silver", first=last - timedelta(days=2), last=last)
+    table.read().withColumn("day", F.lit(last)).write.partitionBy("day").parquet(f"{table.path}/data/run=broken")
+    return comparable(table.read())
+
+
 # --- bronze parse ----------------------------------------------------------------------------
 
 

@@ -13,7 +13,7 @@ from tramline.functions import new_load_number
 from tramline.operators.fact import BOUND_SECONDS
 from tramline.operators.skew import ROWS_PER_TASK
 from tramline.plans.audit import audit_rows
-from tramline.plans.fact import append_fact
+from tramline.plans.fact import append_fact, backfill_fact
 from tramline.plans.incremental import update_warehouse
 from tramline.plans.static import load_static, write_silver_dims
 from tramline.plans.warehouse import build_warehouse
@@ -132,7 +132,8 @@ def _silver_fact(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def _backfill_fact(spark: SparkSession, args: argparse.Namespace) -> None:
     bound = None if args.unbounded else args.bound
-    append_fact(spark, args.bronze, args.silver, bound, args.format, args.first_day, args.last_day)
+    load = backfill_fact if args.replace else append_fact
+    load(spark, args.bronze, args.silver, bound, args.format, args.first_day, args.last_day)
 
 
 def _warehouse(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -185,6 +186,7 @@ def parser() -> argparse.ArgumentParser:
     backfill = job("backfill-fact", _backfill_fact, "bronze", "silver")
     backfill.add_argument("--bound", type=int, default=BOUND_SECONDS, help="seconds either way")
     backfill.add_argument("--unbounded", action="store_true", help="match updates of any time")
+    backfill.add_argument("--replace", action="store_true", help="replace the days in a table by day instead of appending")
     for day in ("--first-day", "--last-day"):
         backfill.add_argument(day, type=date.fromisoformat, metavar="YYYY-MM-DD", help="UTC day of positions, included")
     star = job("warehouse", _warehouse, "bronze", "target")
