@@ -12,11 +12,13 @@ from checks import inputs
 from checks.inputs import EVENTS_SQL, LOAD_NUMBER, STOP_DELAY_SQL
 from tramline.functions import JOIN_KEYS, STOP_STATUS, TRIP_RELATIONSHIP, enum_name, from_epoch
 from tramline.operators import dims, feed, messages, quality
+from tramline.operators.account import NO_TIME
 from tramline.operators.fact import build_fact, clean_positions, clean_updates
 from tramline.operators.skew import ROWS_PER_TASK
 from tramline.plans import audit, incremental, static, warehouse
 from tramline.plans.dimensions import DimensionTable
 from tramline.plans.fact import append_fact, backfill_fact
+from tramline.plans.repair import RepairedFact
 from tramline.schemas import STATIC_DIMS, TRIP_UPDATE, VEHICLE_POSITION, WAREHOUSE
 from tramline.session import run_dir, stream_session
 from tramline.sources.static import read_snapshots
@@ -735,6 +737,60 @@ def _(spark, sf_dir):
     return comparable(rows.filter(~F.col("trip_id").startswith(FLUSH_TRIP)))
 
 
+LATE_SECONDS = 10 * 365 * 86_400
+
+
+def _late_run(spark: SparkSession, sf_dir: str) -> StreamRun:
+    """All rows once in time, then once more ten years too late for the watermark."""
+    run = StreamRun(spark, sf_dir, "stream-repair")
+    run.send_events()
+    run.bronze()
+    run.fact(600, ROWS_PER_TASK)
+    late = inputs.positions(run.spark, sf_dir).withColumn("vehicle_timestamp", F.col("vehicle_timestamp") - LATE_SECONDS)
+    late_updates = inputs.updates(run.spark, sf_dir).withColumn("feed_timestamp", F.col("feed_timestamp") - LATE_SECONDS)
+    run.send(late, late_updates)
+    run.send_flush()
+    run.bronze()
+    run.fact(600, ROWS_PER_TASK)
+    return run
+
+
+# The batch join of both sendings; late positions without a time are those of the first once more.
+LATE_SQL = f"""with {EVENTS_SQL},
+  both_p as (select *, cvp.at as t from cvp union all select *, cvp.at - interval {LATE_SECONDS} second from cvp),
+  both_u as (select *, ingested_at as t from ctu union all select *, ingested_at - interval {LATE_SECONDS} second from ctu),
+  expected as (
+    select p.trip_id, p.route_id, p.stop_id, p.vehicle_id, p.latitude, p.longitude,
+      cast(p.speed as double) as speed, cast(p.bearing as double) as bearing, p.current_status,
+      p.t as vehicle_timestamp, u.arrival_time, u.departure_time, u.arrival_uncertainty, u.t as ingested_at
+    from both_p p left join both_u u on p.trip_id = u.trip_id and p.route_id = u.route_id and p.stop_id = u.stop_id
+      and u.t between p.t - interval 600 second and p.t + interval 600 second)"""
+
+
+@query("stream_late_repaired", f"{LATE_SQL} select * from expected")
+def _(spark, sf_dir):
+    """The windows that the stream lost are found and joined again; read with them it is the batch join."""
+    run = _late_run(spark, sf_dir)
+    fact = RepairedFact(spark, f"{run.lake}/silver")
+    fact.repair(f"{run.lake}/bronze", 600)
+    return comparable(fact.read().filter(~F.col("trip_id").startswith(FLUSH_TRIP)))
+
+
+@query(
+    "stream_lost_windows",
+    f"""{LATE_SQL}
+    select epoch_us(vehicle_timestamp) // 3600000000 as hour_no, cast(count(*) as bigint) as lost_rows
+    from expected where vehicle_timestamp is null or vehicle_timestamp < (select date_trunc('hour', min(ts)) from events) group by 1""",
+)
+def _(spark, sf_dir):
+    """How many rows each window lacks, by accounts alone; null are positions without a time."""
+    run = _late_run(spark, sf_dir)
+    lost = RepairedFact(spark, f"{run.lake}/silver").lost(f"{run.lake}/bronze", 600)
+    lost = lost.filter(F.col("window") < FLUSH_SECOND // 3600)  # what flushes is itself still to be emitted
+    hour = F.nullif(F.col("window"), F.lit(NO_TIME)).alias("hour_no")
+    return lost.groupBy(hour).agg(F.sum(F.col("expected_rows") - F.col("given_rows")).alias("lost_rows"))
+
+
 def stream_publish(part: str, columns: dict[str, str]) -> Query:
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
         """Snapshot files arrive, are flattened and published; the topic is then read back."""

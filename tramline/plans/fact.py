@@ -8,13 +8,15 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tramline.functions.times import FIRST_SECOND, LAST_SECOND
 from tramline.operators.fact import BOUND_SECONDS, build_fact
 from tramline.schemas import FACT, ddl
 from tramline.sources.commits import CommitLog, new_run, remove_folder
 from tramline.sources.tables import read_table, write_table
 
 
-def _second(day: date) -> int:
+def second_of(day: date) -> int:
+    """The first second of a UTC day."""
     return int(datetime.combine(day, time(), timezone.utc).timestamp())
 
 
@@ -26,12 +28,14 @@ def fact_of_days(
     The tests are on stored columns, so files and row groups of other days are not read. Positions
     without a time belong to no day. Without days it is the whole fact.
     """
+    if first is not None or last is not None:
+        positions = positions.filter(F.col("vehicle_timestamp").between(FIRST_SECOND, LAST_SECOND))
     if first is not None:
-        start = _second(first)
+        start = second_of(first)
         positions = positions.filter(F.col("vehicle_timestamp") >= start)
         updates = updates.filter(F.col("ingested_at") >= F.timestamp_seconds(F.lit(start - bound)))
     if last is not None:
-        end = _second(last + timedelta(days=1))
+        end = second_of(last + timedelta(days=1))
         positions = positions.filter(F.col("vehicle_timestamp") < end)
         updates = updates.filter(F.col("ingested_at") <= F.timestamp_seconds(F.lit(end + bound)))
     return build_fact(positions, updates, bound)

@@ -124,6 +124,10 @@ _VISIT = "start_date string, route_id string, trip_id string, stop_id string"
 VISIT_STATE = _columns(f"{_VISIT}, vehicle_id string, first_stopped bigint, speed_sum double, speed_count bigint")
 VEHICLE_STATE = {**VEHICLE_DIM, "seen_at": "bigint"}
 PREDICTION_STATE = _columns(f"{_VISIT}, feed_timestamp bigint, arrival bigint")
+# Accounts of fact rows by key cell and time window, and the windows in which two differ.
+_PLACE = _columns("cell int, window bigint")
+ACCOUNT = {**_PLACE, "row_count": "bigint", "digest": "decimal(38,0)"}
+LOST_WINDOW = {**_PLACE, "expected_rows": "bigint", "given_rows": "bigint"}
 
 PRIMARY_KEYS = {
     "dim_route": ["route_id"],
