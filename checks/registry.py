@@ -24,7 +24,7 @@ from tramline.session import run_dir, stream_session
 from tramline.sources.static import read_snapshots
 from tramline.sources.tables import UNTIL_DRAINED, read_table, write_table
 from tramline.sources.topics import write_topic
-from tramline.streaming import jobs
+from tramline.streaming import jobs, state
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -199,6 +199,32 @@ def _(spark, sf_dir):
     return comparable(table.read())
 
 
+POLLS = 40
+RESENT_SQL = f"""with {EVENTS_SQL}, resent as (
+      select * replace (ingested_at + to_seconds(15 * poll) as ingested_at) from ctu, (select unnest(range({POLLS})) as poll))
+    select p.trip_id, p.route_id, p.stop_id, p.vehicle_id, p.latitude, p.longitude,
+      cast(p.speed as double) as speed, cast(p.bearing as double) as bearing, p.current_status,
+      p.at as vehicle_timestamp, u.arrival_time, u.departure_time, u.arrival_uncertainty, u.ingested_at
+    from cvp p left join resent u on p.trip_id = u.trip_id and p.route_id = u.route_id and p.stop_id = u.stop_id
+      and u.ingested_at between p.at - interval 600 second and p.at + interval 600 second"""
+
+
+def _polls(updates: DataFrame) -> DataFrame:
+    """Every update sent again at each of the next polls, one after 15 seconds."""
+    poll = F.explode(F.sequence(F.lit(0), F.lit(POLLS - 1)))
+    later = updates.withColumn("poll", poll).withColumn("feed_timestamp", F.col("feed_timestamp") + 15 * F.col("poll"))
+    return later.drop("poll")
+
+
+query("fact_interval_10m_resent", fact_sql(600))(fact(600, resent=True))
+
+
+@query("fact_resent_polls", RESENT_SQL)
+def _(spark, sf_dir):
+    updates = _polls(inputs.updates(spark, sf_dir)).withColumn("ingested_at", inputs.replay_clock())
+    return comparable(build_fact(inputs.positions(spark, sf_dir), updates, 600, resent=True))
+
+
 # --- bronze parse ----------------------------------------------------------------------------
 
 
@@ -669,7 +695,7 @@ class StreamRun:
         for running_query in running:
             running_query.awaitTermination()
 
-    def fact(self, bound: int, rows_per_task: int) -> None:
+    def fact(self, bound: int, rows_per_task: int, resent: bool = False) -> None:
         jobs.silver_fact(
             self.spark,
             f"{self.lake}/bronze/vehicle_positions",
@@ -679,6 +705,7 @@ class StreamRun:
             trigger=UNTIL_DRAINED,
             bound=bound,
             rows_per_task=rows_per_task,
+            resent=resent,
         ).awaitTermination()
 
 
@@ -737,6 +764,48 @@ def _(spark, sf_dir):
     return comparable(rows.filter(~F.col("trip_id").startswith(FLUSH_TRIP)))
 
 
+@query("stream_fact_resent", f"select * from ({RESENT_SQL}) where vehicle_timestamp is not null")
+def _(spark, sf_dir):
+    """Polls of equal updates are one row of the join's state."""
+    run = StreamRun(spark, sf_dir, "stream-resent")
+    run.send(inputs.positions(run.spark, sf_dir), _polls(inputs.updates(run.spark, sf_dir)))
+    for _ in range(2):
+        run.bronze()
+        run.fact(600, ROWS_PER_TASK, resent=True)
+        run.send_flush()
+    rows = read_table(spark, f"{run.lake}/silver/fact")
+    return comparable(rows.filter(~F.col("trip_id").startswith(FLUSH_TRIP)))
+
+
+@query(
+    "stream_state_waiting",
+    f"""with {EVENTS_SQL},
+    waits as (
+      select least((select max(cvp.at) from cvp), (select max(ingested_at) from ctu)) - interval 900 second as since),
+    held as (
+      select 'left' as side, trip_id, route_id, stop_id from cvp, waits where cvp.at >= since
+      union all select 'right', trip_id, route_id, stop_id from ctu, waits where ingested_at >= since)
+    select 'before' as flush, side, cast(count(*) as bigint) as row_count,
+      cast(count(distinct (trip_id, route_id, stop_id)) as bigint) as key_count from held group by side""",
+)
+def _(spark, sf_dir):
+    """What the join holds when the input is drained, read from its checkpoint; after a flush, nothing."""
+    run = StreamRun(spark, sf_dir, "stream-state")
+    run.send_events()
+    reports = []
+    for flush in ("before", "after"):
+        run.bronze()
+        run.fact(600, ROWS_PER_TASK)
+        held = state.waiting_rows(run.spark, f"{run.lake}/checkpoints/fact").filter(~F.col("trip_id").startswith(FLUSH_TRIP))
+        counts = held.groupBy(F.lit(flush).alias("flush"), "side").agg(
+            F.count(F.lit(1)).alias("row_count"), F.countDistinct(*JOIN_KEYS).alias("key_count")
+        )
+        write_table(counts, f"{run.lake}/report/{flush}")
+        reports.append(read_table(spark, f"{run.lake}/report/{flush}"))
+        run.send_flush()
+    return reports[0].unionByName(reports[1])
+
+
 LATE_SECONDS = 10 * 365 * 86_400
 
 

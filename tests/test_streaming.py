@@ -24,9 +24,9 @@ FAR = NOON + 10_000_000
 class Lake:
     """Bronze tables that grow by appended files, and the fact stream over them."""
 
-    def __init__(self, spark, rows, path, rows_per_task=None):
+    def __init__(self, spark, rows, path, rows_per_task=None, resent=False):
         self.spark, self.rows, self.path = stream_session(spark, 2), rows, str(path)
-        self.rows_per_task = rows_per_task
+        self.rows_per_task, self.resent = rows_per_task, resent
 
     def add(self, positions=(), updates=()):
         for name, columns, new in (
@@ -44,6 +44,7 @@ class Lake:
             f"{self.path}/checkpoint",
             trigger=UNTIL_DRAINED,
             rows_per_task=self.rows_per_task,
+            resent=self.resent,
         )
         query.awaitTermination()
         self.last = query

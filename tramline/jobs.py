@@ -126,6 +126,7 @@ def _silver_fact(spark: SparkSession, args: argparse.Namespace) -> None:
             args.bound,
             args.rows_per_task,
             _options(args),
+            resent=args.resent,
         )
     )
 
@@ -182,6 +183,7 @@ def parser() -> argparse.ArgumentParser:
     fact = stream("silver-fact", _silver_fact, "bronze", "silver")
     fact.add_argument("--bound", type=int, default=BOUND_SECONDS, help="seconds either way")
     fact.add_argument("--rows-per-task", type=int, default=ROWS_PER_TASK, help="split keys with more positions or more updates than this")
+    fact.add_argument("--resent", action="store_true", help="keep updates that are sent again unchanged as one row of state")
     fact.add_argument("--state-partitions", type=int, help="fixed by the first run of a checkpoint")
     backfill = job("backfill-fact", _backfill_fact, "bronze", "silver")
     backfill.add_argument("--bound", type=int, default=BOUND_SECONDS, help="seconds either way")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tramline.functions import JOIN_KEYS, from_epoch, has_keys, time_slot
 from tramline.operators import skew
+from tramline.operators.resent import join_stretches, stretches
 from tramline.schemas import FACT
 from tramline.session import raise_partitions
 
@@ -70,15 +71,21 @@ def build_fact(
     updates: DataFrame,
     bound: int | None = BOUND_SECONDS,
     rows_per_task: int = skew.ROWS_PER_TASK,
+    resent: bool = False,
 ) -> DataFrame:
     """Fact table of two bronze batch tables; without a bound, every update of the key matches.
 
+    ``resent`` joins the polls of equal updates as one row, for feeds that repeat them; the result is the
+    same. Keys that are hot even so are split as ever, poll by poll.
+
     Trips run again every day under the same id, so the time slot is part of the hash key: without
     it one key would collect its whole history. Keys that stay hot within a slot are measured
     first and split; usually there are none and the plan is the single join.
     """
     if bound is not None and bound < 1:
         raise ValueError("the bound must be at least one second")
+    if bound is None and resent:
+        raise ValueError("only a join with a bound takes updates together")
     right = clean_updates(updates).select(*JOIN_KEYS, *UPDATE_COLUMNS)
     if bound is None:
         left = clean_positions(positions).select(*POSITION_COLUMNS)
@@ -94,17 +101,23 @@ def build_fact(
     nowhere = F.lit(TIMELESS_SLOT) + F.pmod(F.xxhash64(*POSITION_COLUMNS), F.lit(TIMELESS_SLOTS))
     left = left.withColumn("slot", F.coalesce(time_slot(F.unix_micros("vehicle_timestamp"), width), nowhere))
     right = right.withColumn("slot", F.explode(F.sequence(time_slot(at - reach, width), time_slot(at + reach, width))))
-    return _join_measured(left, right, [*JOIN_KEYS, "slot"], bound, rows_per_task)
+    return _join_measured(left, right, [*JOIN_KEYS, "slot"], bound, rows_per_task, resent)
+
+
+def _join_cold(left: DataFrame, right: DataFrame, keys: list[str], bound: int | None, resent: bool) -> DataFrame:
+    if resent:
+        return join_stretches(left, stretches(right, keys, bound), bound, keys)
+    return join_updates(left, right, bound, keys)
 
 
 def _join_measured(
-    left: DataFrame, right: DataFrame, keys: list[str], bound: int | None, rows_per_task: int
+    left: DataFrame, right: DataFrame, keys: list[str], bound: int | None, rows_per_task: int, resent: bool = False
 ) -> DataFrame:
     split = skew.plan_split(skew.stored(skew.cell_counts(left, right, keys)), rows_per_task)
     raise_partitions(left.sparkSession, split.rows)
     if split.hot is None:
-        return join_updates(left, right, bound, keys)
-    cold = join_updates(skew.outside(left, keys, split.hot), skew.outside(right, keys, split.hot), bound, keys)
+        return _join_cold(left, right, keys, bound, resent)
+    cold = _join_cold(skew.outside(left, keys, split.hot), skew.outside(right, keys, split.hot), keys, bound, resent)
     return cold.unionByName(_join_hot(left, right, keys, bound, split.hot))
 
 

@@ -20,6 +20,7 @@ from tramline.operators.fact import (
     within,
 )
 from tramline.operators.messages import decode, encode, stamp_ingest
+from tramline.operators.resent import join_stretches, streamed_stretches
 from tramline.schemas import BRONZE_TRIP_UPDATE, FACT, TRIP_UPDATE, VEHICLE_POSITION, ddl
 from tramline.sources.static import stream_snapshots
 from tramline.sources.tables import FIFTEEN_SECONDS, TWO_MINUTES, append_stream, read_table, stream_table, with_source_row
@@ -105,9 +106,12 @@ def silver_fact(
     rows_per_task: int | None = skew.ROWS_PER_TASK,
     options: dict | None = None,
     split: DataFrame | None = None,
+    resent: bool = False,
 ) -> StreamingQuery:
     """Join the two bronze streams; ``spark`` is best a ``stream_session``.
 
+    ``resent`` as in ``stream_fact``; a checkpoint keeps to the choice it was started with.
+
     Unless ``rows_per_task`` is None, the bronze tables are measured once, before the first start,
     and hot keys are split between state partitions for the life of the checkpoint. A first start on
     empty tables has nothing to measure: a caller who knows the hot keys, from another deployment or
@@ -120,20 +124,35 @@ def silver_fact(
         hot = _frozen_split(spark, positions_path, updates_path, checkpoint, fmt, bound, rows_per_task, split)
     if hot is not None and fmt == "parquet":
         positions, updates = with_source_row(positions), with_source_row(updates)
-    return append_stream(stream_fact(positions, updates, bound, hot), path, checkpoint, fmt, trigger).start()
+    return append_stream(stream_fact(positions, updates, bound, hot, resent), path, checkpoint, fmt, trigger).start()
 
 
 def stream_fact(
-    positions: DataFrame, updates: DataFrame, bound: int = BOUND_SECONDS, hot: DataFrame | None = None
+    positions: DataFrame,
+    updates: DataFrame,
+    bound: int = BOUND_SECONDS,
+    hot: DataFrame | None = None,
+    resent: bool = False,
 ) -> DataFrame:
     """Watermarked left outer join of two bronze streams.
 
+    ``resent`` keeps equal updates of a stretch of one bound as one row of state, for feeds that repeat
+    them; rows are then given out one stretch later, and an update is late only when its stretch is over.
+    Split keys are joined poll by poll.
+
     A position without an event time can neither match nor ever be given up on, and would stay in
     the state for good, so it ends here, as does an update without one. Rows later than the
     watermark are dropped by Spark.
     """
     left = clean_positions(positions).filter(F.col("vehicle_timestamp").isNotNull())
     right = clean_updates(updates).filter(F.col("ingested_at").isNotNull())
+    if hot is None and resent:
+        right = streamed_stretches(_timed(right, [*JOIN_KEYS, *UPDATE_COLUMNS]), JOIN_KEYS, bound)
+        # A stretch ends at held_at; its polls are up to one bound before, and reach one further either way.
+        reached = F.expr(
+            f"vehicle_timestamp BETWEEN held_at - INTERVAL {2 * bound + 1} SECONDS AND held_at + INTERVAL {bound + 1} SECONDS"
+        )
+        return join_stretches(_timed(left, POSITION_COLUMNS), right, bound, JOIN_KEYS, reached)
     if hot is None:
         return join_updates(_timed(left, POSITION_COLUMNS), _timed(right, [*JOIN_KEYS, *UPDATE_COLUMNS]), bound)
 
