@@ -498,9 +498,7 @@ def _(spark, sf_dir):
     return warehouse.visits(inputs.positions(spark, sf_dir)).drop("actual_arrival")
 
 
-@query(
-    "star_lookup",
-    f"""{STOP_DELAY_SQL}, newest as (
+STAR_SQL = f"""{STOP_DELAY_SQL}, newest as (
       select *, row_number() over (partition by vehicle_id order by vehicle_timestamp desc nulls last,
         vehicle_label desc nulls last, license_plate desc nulls last) as rank from cvp)
     select d.vehicle_id, d.route_id, d.trip_id, d.stop_id, d.date_id, d.actual_arrival, d.delay_seconds,
@@ -510,9 +508,10 @@ def _(spark, sf_dir):
     left join newest v on v.rank = 1 and d.vehicle_id = v.vehicle_id
     left join nation n on d.route_id = 'R' || n.n_nationkey
     left join customer c on d.trip_id = cast(c.c_custkey as varchar)
-    left join region r on d.stop_id = 'S' || r.r_regionkey""",
-)
-def _(spark, sf_dir):
+    left join region r on d.stop_id = 'S' || r.r_regionkey"""
+
+
+def _star(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, DataFrame]]:
     positions = inputs.positions(spark, sf_dir)
     fact_rows = _stop_delay(spark, sf_dir).select(
         "vehicle_id", "route_id", "trip_id", "stop_id", "date_id", "actual_arrival", "delay_seconds"
@@ -525,12 +524,42 @@ def _(spark, sf_dir):
     lake = run_dir(spark, "star")
     for name, dim in derived.items():
         write_table(dim, f"{lake}/{name}")
-    star = inputs.star_dims(spark, sf_dir) | {name: read_table(spark, f"{lake}/{name}") for name in derived}
-    joined = warehouse.star_lookup(fact_rows, star)
+    return fact_rows, inputs.star_dims(spark, sf_dir) | {name: read_table(spark, f"{lake}/{name}") for name in derived}
+
+
+@query("star_lookup", STAR_SQL)
+def _(spark, sf_dir):
+    joined = warehouse.star_lookup(*_star(spark, sf_dir))
     known = F.col("route_short_name").isNotNull()
     return comparable(joined.withColumn("known_route", known))
 
 
+BUCKETS = 8
+
+
+@query("star_lookup_bucketed", STAR_SQL)
+def _(spark, sf_dir):
+    """Fact and trips stored in buckets by trip: the same lookup without a shuffle of the fact."""
+    fact_rows, dims_ = _star(spark, sf_dir)
+    lake = run_dir(spark, "buckets")
+    database = "buckets_" + lake.rpartition("-")[2]
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{lake}'")
+    warehouse.store_bucketed(fact_rows, f"{database}.fact_stop_delay", "trip_id", BUCKETS)
+    warehouse.store_bucketed(dims_["dim_trip"], f"{database}.dim_trip", "trip_id", BUCKETS)
+    star = dims_ | {"dim_trip": spark.table(f"{database}.dim_trip")}
+    joined = warehouse.bucketed_lookup(spark.table(f"{database}.fact_stop_delay"), star, "trip_id")
+    return comparable(joined.withColumn("known_route", F.col("route_short_name").isNotNull()))
+
+
+@query("fact_for_filters", f"{STOP_DELAY_SQL} select {_DELAY_COLUMNS} from stop_delays")
+def _(spark, sf_dir):
+    """The fact laid out along a curve over route and date, and read back."""
+    lake = run_dir(spark, "layout")
+    write_table(_stop_delay(spark, sf_dir), f"{lake}/fact")
+    warehouse.save_for_filters(read_table(spark, f"{lake}/fact"), f"{lake}/laid_out", rows_per_file=1000)
+    return comparable(read_table(spark, f"{lake}/laid_out").drop("fact_id", "ingested_at", "load_number"))
+
+
 @query(
     "star_dims",
     f"""select 'dim_route' as dim, route_id as id, load_number, created_at from (

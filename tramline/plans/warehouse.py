@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tramline.functions import clock_seconds, from_epoch, has_keys, known_epoch, new_load_number, service_time
 from tramline.operators.dims import latest_vehicles
-from tramline.operators.lookup import lookup, shuffled_lookup
+from tramline.operators.layout import laid_out
+from tramline.operators.lookup import BROADCAST_ROWS, lookup, shuffled_lookup
 from tramline.operators.quality import fk_orphans, pk_violations
 from tramline.plans.audit import AuditedRun, audit_rows
 from tramline.schemas import FOREIGN_KEYS, PRIMARY_KEYS, STATIC_DIMS, STOP_TIMES, WAREHOUSE, ddl
@@ -239,3 +240,52 @@ def insert_rows(rows: DataFrame, database: str, table: str) -> None:
     """Append to a declared catalog table, columns matched by name."""
     target = f"{database}.{table}"
     conform(rows, table).select(*rows.sparkSession.table(target).columns).write.insertInto(target)
+
+
+# Rows of a fact file whose layout is meant for skipping: enough for long column chunks, few enough to be skipped.
+ROWS_PER_FILE = 2_000_000
+
+
+def save_for_filters(
+    fact: DataFrame, path: str, columns: Sequence[str] = ("route_id", "date_id"), rows_per_file: int = ROWS_PER_FILE
+) -> int:
+    """Write the fact in an order that serves filters on any of its indexed columns; returns the number of files.
+
+    Every file and row group then holds narrow ranges of all the columns, which Spark compares with a filter
+    before it reads them. ``fact`` should be stored already.
+    """
+    files = max(1, -(-fact.count() // rows_per_file))
+    laid_out(fact, columns, files).write.mode("overwrite").parquet(path)
+    return files
+
+
+def store_bucketed(rows: DataFrame, table: str, key: str, buckets: int) -> None:
+    """Replace a catalog table cut and sorted by a key, so that joins on it need no shuffle.
+
+    Its number of buckets is for good, and the same for all tables joined on the key: about one per 1 GB of
+    the largest. A key with very many rows makes one large bucket; look those up by ``star_lookup``.
+    """
+    writer = rows.repartition(buckets, key).write.mode("overwrite").format("parquet")
+    writer.bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+
+
+def bucketed_lookup(
+    fact: DataFrame, dims: dict[str, DataFrame], key: str, broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """``star_lookup`` of a fact stored in buckets by ``key``, with the dimension of that key stored alike.
+
+    That dimension, which is too large to broadcast, is merged bucket by bucket; the others are broadcast
+    once measured to be small, which leaves the fact's buckets as they are. So no row of the fact is
+    shuffled. A further dimension that is too large falls back to a lookup that shuffles.
+    """
+    rows = fact
+    for child, column, parent in FOREIGN_KEYS:
+        if child != "fact_stop_delay" or parent not in dims:
+            continue
+        names = [name for name in dims[parent].columns if name == column or name not in rows.columns]
+        dim = dims[parent].select(*names)
+        if column == key:
+            rows = rows.join(dim.hint("merge"), column, "left")
+        else:
+            rows = lookup(rows, dim, [column], broadcast_rows, measured=fact.select(column))
+    return rows
