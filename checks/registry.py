@@ -25,7 +25,7 @@ from tramline.session import run_dir, stream_session
 from tramline.sources.static import read_snapshots
 from tramline.sources.tables import UNTIL_DRAINED, read_table, write_table
 from tramline.sources.topics import write_topic
-from tramline.streaming import jobs, state
+from tramline.streaming import adaptive, jobs, state
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -892,6 +892,33 @@ def _(spark, sf_dir):
     return reports[0].unionByName(reports[1])
 
 
+@query("stream_fact_hot_later", fact_sql(SIX_HOURS, timeless=False))
+def _(spark, sf_dir):
+    """The first day is quiet; keys that the later days make hot are split when the stream starts again."""
+    run = StreamRun(spark, sf_dir, "stream-hot")
+    day = inputs.table(spark, sf_dir, "events").agg(F.min("ts").cast("date")).first()[0] + timedelta(days=1)
+    early = F.col("start_date") <= day.strftime("%Y%m%d")
+    positions, updates = inputs.positions(run.spark, sf_dir), inputs.updates(run.spark, sf_dir)
+    for later in (False, True, None):
+        if later is None:
+            run.send_flush()
+        else:
+            run.send(*(rows.filter(~early if later else early) for rows in (positions, updates)))
+        run.bronze()
+        adaptive.silver_fact_adaptive(
+            run.spark,
+            f"{run.lake}/bronze/vehicle_positions",
+            f"{run.lake}/bronze/trip_updates",
+            f"{run.lake}/silver/fact",
+            f"{run.lake}/checkpoints/fact",
+            UNTIL_DRAINED,
+            SIX_HOURS,
+            rows_per_task=4,
+        ).awaitTermination()
+    rows = read_table(spark, f"{run.lake}/silver/fact")
+    return comparable(rows.filter(~F.col("trip_id").startswith(FLUSH_TRIP)))
+
+
 LATE_SECONDS = 10 * 365 * 86_400
 
 

@@ -124,6 +124,11 @@ _VISIT = "start_date string, route_id string, trip_id string, stop_id string"
 VISIT_STATE = _columns(f"{_VISIT}, vehicle_id string, first_stopped bigint, speed_sum double, speed_count bigint")
 VEHICLE_STATE = {**VEHICLE_DIM, "seen_at": "bigint"}
 PREDICTION_STATE = _columns(f"{_VISIT}, feed_timestamp bigint, arrival bigint")
+# Rows of a stream's key cells by window, and since when (epoch microseconds) a cell has how many parts.
+ROUTE_COUNT = _columns(
+    "cell int, slot bigint, left_rows bigint, right_rows bigint, latest bigint, processed boolean"
+)
+ROUTE = _columns("cell int, since bigint, left_parts int, right_parts int, generation int")
 # Accounts of fact rows by key cell and time window, and the windows in which two differ.
 _PLACE = _columns("cell int, window bigint")
 ACCOUNT = {**_PLACE, "row_count": "bigint", "digest": "decimal(38,0)"}

@@ -147,28 +147,28 @@ def stream_fact(
     left = clean_positions(positions).filter(F.col("vehicle_timestamp").isNotNull())
     right = clean_updates(updates).filter(F.col("ingested_at").isNotNull())
     if hot is None and resent:
-        right = streamed_stretches(_timed(right, [*JOIN_KEYS, *UPDATE_COLUMNS]), JOIN_KEYS, bound)
+        right = streamed_stretches(timed(right, [*JOIN_KEYS, *UPDATE_COLUMNS]), JOIN_KEYS, bound)
         # A stretch ends at held_at; its polls are up to one bound before, and reach one further either way.
         reached = F.expr(
             f"vehicle_timestamp BETWEEN held_at - INTERVAL {2 * bound + 1} SECONDS AND held_at + INTERVAL {bound + 1} SECONDS"
         )
-        return join_stretches(_timed(left, POSITION_COLUMNS), right, bound, JOIN_KEYS, reached)
+        return join_stretches(timed(left, POSITION_COLUMNS), right, bound, JOIN_KEYS, reached)
     if hot is None:
-        return join_updates(_timed(left, POSITION_COLUMNS), _timed(right, [*JOIN_KEYS, *UPDATE_COLUMNS]), bound)
+        return join_updates(timed(left, POSITION_COLUMNS), timed(right, [*JOIN_KEYS, *UPDATE_COLUMNS]), bound)
 
     # Re-sent rows differ in feed_timestamp, and stored copies in their place if the source tells
     # it, so the part comes from the whole bronze row.
     left = _with_part(left, hot, "left_parts", "left_part")
     right = _with_part(right, hot, "right_parts", "right_part")
-    left = _timed(left, [*POSITION_COLUMNS, "left_part", "right_parts"])
-    right = _timed(right, [*JOIN_KEYS, *UPDATE_COLUMNS, "right_part", "left_parts"])
+    left = timed(left, [*POSITION_COLUMNS, "left_part", "right_parts"])
+    right = timed(right, [*JOIN_KEYS, *UPDATE_COLUMNS, "right_part", "left_parts"])
     keys = [*JOIN_KEYS, "left_part"]
     if hot.filter("right_parts > 1").isEmpty():
         return join_updates(left, _for_every_left_part(right), bound, keys)
-    return _stream_both_split(left, right, bound, keys)
+    return both_sides_split(left, right, bound, keys)
 
 
-def _stream_both_split(left: DataFrame, right: DataFrame, bound: int, keys: list[str]) -> DataFrame:
+def both_sides_split(left: DataFrame, right: DataFrame, bound: int, keys: list[str]) -> DataFrame:
     """The outer join with both sides split: every pair of parts meets in one task, and positions
     without a partner come from a second join with one row per key and ingest time."""
     pairs = (
@@ -183,7 +183,7 @@ def _stream_both_split(left: DataFrame, right: DataFrame, bound: int, keys: list
     return pairs.select(*FACT).unionByName(lonely)
 
 
-def _timed(rows: DataFrame, columns: list[str]) -> DataFrame:
+def timed(rows: DataFrame, columns: list[str]) -> DataFrame:
     """The columns a join needs, watermarked on the event time among them."""
     time = "vehicle_timestamp" if "vehicle_timestamp" in columns else "ingested_at"
     return rows.select(*columns).withWatermark(time, LATENESS)
