@@ -94,3 +94,15 @@ def test_pack_edges(spark):
     assert len(pieces[pieces["start"] == 0]) == 12
     assert (pieces["ids"].map(len) == pieces["length"]).all()
     assert packing.packed_docs(empty(spark)).count() == 0
+
+
+@pytest.mark.parametrize("letter", [" ", "\n", "x", " \n"])
+def test_a_million_of_one_sign(spark, letter):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    text = letter * (1_000_000 // len(letter))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    pieces = packing.token_pieces(docs, with_ids=True).orderBy("start").collect()
+    whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert [i for p in pieces for i in p["ids"]] == whole.encode(text, add_special_tokens=False).ids + [1]

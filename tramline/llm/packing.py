@@ -116,13 +116,34 @@ def _encoder(ranks_path: str):
     return tiktoken.Encoding("bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
 
-def _cutter(ranks_path: str | None, capacity: int, slice_: int, end_id: int, with_ids: bool):
+class _Ids:
+    """Ids of a text. The quick encoder gives up on very long runs of blanks; these go through the JSON form's own."""
+
+    def __init__(self, ranks_path: str | None, json_path: str | None) -> None:
+        self.quick = _encoder(ranks_path or default_ranks())
+        self.json_path, self.whole = json_path, None
+
+    def __call__(self, text: str) -> list[int]:
+        try:
+            return self.quick.encode(text, allowed_special="all")
+        except ValueError:
+            import public_tokenizers
+            from tokenizers import Tokenizer
+
+            if self.whole is None:
+                self.whole = Tokenizer.from_file(self.json_path or public_tokenizers.path("byte_bpe_50k.json"))
+            return self.whole.encode(text, add_special_tokens=False).ids
+
+
+def _cutter(
+    ranks_path: str | None, capacity: int, slice_: int, end_id: int, with_ids: bool, json_path: str | None = None
+):
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = _encoder(ranks_path or default_ranks())
+        encode = _Ids(ranks_path, json_path)
         for frame in frames:
             out = []
             for doc_id, text in zip(frame["doc_id"], frame["text"], strict=True):
-                ids = encoder.encode(text, allowed_special="all") if text else []
+                ids = encode(text) if text else []
                 ids.append(end_id)
                 raw = np.array(ids, "<u4")
                 for start, length in cuts(len(ids), capacity, slice_):
@@ -142,16 +163,18 @@ def token_pieces(
     slice_: int = SLICE,
     end_id: int = END_ID,
     with_ids: bool = False,
+    json_path: str | None = None,
 ) -> DataFrame:
     """Pieces of every row of ``docs``: doc_id, start, length, ids_crc32, doc_tokens, on demand ids.
 
-    ``ranks_path`` names the vocabulary, by default the public byte-level BPE one. A null text is
-    empty and has the end id alone. Texts go whole, one at a time, through the tokenizer.
+    ``ranks_path`` and ``json_path`` name the vocabulary in its two forms, by default the public byte-level
+    BPE one. A null or empty text has the end id alone. Texts go whole, one at a time, through the tokenizer.
+    Repeated rows and null ids stay; an empty table gives no rows.
     """
     # Ids travel as text: pandas would turn whole numbers beside nulls into floats.
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = PIECES + (", ids array<int>" if with_ids else "")
-    pieces = rows.mapInPandas(_cutter(ranks_path, capacity, slice_, end_id, with_ids), schema)
+    pieces = rows.mapInPandas(_cutter(ranks_path, capacity, slice_, end_id, with_ids, json_path), schema)
     return pieces.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
