@@ -170,3 +170,22 @@ def test_doubled_letters_of_plain_words_stay(decoder):
     learned = toxicity.Decoder(np.array(decoder.costs), {"trash ", "scum "})
     text = "less letters in 1055 books by a committee of 12, 100% well-known $$$"
     assert learned.restore(text) == text
+
+
+def test_clean_docs_keep_the_callers_columns(spark):
+    docs = spark.createDataFrame(
+        [(1, "plain words", 0.25, 0.5, "a"), (None, None, 0.75, None, "b")], "doc_id long, text string, __score double, score double, `a.b` string"
+    )
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    kept = toxicity.clean_docs(docs, labels)
+    assert kept.columns == docs.columns
+    assert sorted(map(str, kept.collect())) == sorted(map(str, docs.collect()))
+
+
+def test_the_decoders_memory_is_bounded_by_letters(decoder):
+    small = toxicity.Decoder(np.array(decoder.costs))
+    small.LETTERS = 100
+    for i in range(50):
+        small.token(f"w0rd{i}")
+        small.decode("a b c d" + "e" * i)
+    assert sum(map(len, small.tokens)) <= 100 and sum(map(len, small.known)) <= 100 + 57

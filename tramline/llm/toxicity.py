@@ -159,9 +159,9 @@ def _learned_word(word: str, words: Collection[str]) -> bool:
 
 
 class Decoder:
-    """Restores disguised words; remembers what it has decoded, within a bound."""
+    """Restores disguised words; remembers what it has decoded, up to so many entries and letters of either kind."""
 
-    REMEMBERED = 200_000
+    REMEMBERED, LETTERS = 50_000, 2_000_000
 
     def __init__(self, costs: np.ndarray, words: Collection[str] = ()):
         self.costs = costs.tolist()
@@ -169,6 +169,15 @@ class Decoder:
         self.code = {c: i + 2 for i, c in enumerate(LETTERS)}
         self.known: dict[str, str] = {}
         self.tokens: dict[str, str] = {}
+        self.letters = {id(self.known): 0, id(self.tokens): 0}
+
+    def _remember(self, memory: dict[str, str], key: str, found: str) -> str:
+        used = self.letters[id(memory)] + len(key) + len(found)
+        if len(memory) >= self.REMEMBERED or used > self.LETTERS:
+            memory.clear()
+            used = len(key) + len(found)
+        memory[key], self.letters[id(memory)] = found, used
+        return found
 
     def options(self, sign: str, run: int, put: float, gap: float, meant: float) -> list[tuple[str, float]]:
         """Letters that ``sign`` may have been, with costs; an empty one if it was put in.
@@ -205,9 +214,7 @@ class Decoder:
         """The likeliest plain spelling of ``span``, by Viterbi search over two letters of history."""
         found = self.known.get(span)
         if found is None:
-            if len(self.known) >= self.REMEMBERED:
-                self.known.clear()
-            found = self.known[span] = self._search(span)
+            found = self._remember(self.known, span, self._search(span))
         return found
 
     def _search(self, span: str) -> str:
@@ -248,8 +255,6 @@ class Decoder:
         """A token of a text, decoded if anything in it is suspicious."""
         found = self.tokens.get(word)
         if found is None:
-            if len(self.tokens) >= self.REMEMBERED:
-                self.tokens.clear()
             core, found = word.strip(EDGES), word
             if SUSPECT.search(core):
                 pairs = ONLY_LETTERS.fullmatch(core) and not TRIPLE.search(core) and not SUSPECT_LETTER.search(core)
@@ -257,7 +262,7 @@ class Decoder:
                     found = word.replace(core, self.undoubled(core), 1)
                 else:
                     found = word.replace(core, self.undoubled(self._search(core)), 1)
-            self.tokens[word] = found
+            self._remember(self.tokens, word, found)
         return found
 
     def restore(self, text: str, fragments: bool = True) -> str:
@@ -496,10 +501,11 @@ def clean_docs(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
     Learns as ``toxic_scores`` does. Texts are scored where they are read; no row is moved.
     """
     model = _learned(docs, labels, fit_rows)
-    columns = docs.columns
     score = F.pandas_udf(_score_series(model), "double")
-    judged = docs.withColumn("__score", score(text_or_empty(docs["text"])))
-    return judged.filter(F.col("__score") < threshold).select([F.col(f"`{c}`") for c in columns])
+    # Packed, so that no column of the caller can clash with the score.
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    judged = docs.select(row, score(text_or_empty(docs["text"])).alias("score"))
+    return judged.filter(F.col("score") < threshold).select("row.*")
 
 
 def held_out(doc_id: Column) -> Column:
