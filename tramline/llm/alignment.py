@@ -13,8 +13,10 @@ from __future__ import annotations
 
 import gc
 import hashlib
+import json
 import os
 import re
+import unicodedata
 from collections.abc import Iterator
 from itertools import chain
 
@@ -29,8 +31,8 @@ from tramline.llm.common import staged, table
 # Bytes of text tokenised together, and pairs of documents in a block; one text may hold more of either.
 BATCH_BYTES = 1 << 18
 BLOCK_PAIRS = 1 << 19
-# Words, and letters of them, whose ids a task remembers.
-KNOWN_WORDS, KNOWN_LETTERS = 1 << 17, 1 << 22
+# Words, and letters of them, whose ids a task remembers; it holds twice as many at most.
+KNOWN_WORDS, KNOWN_LETTERS = 1 << 16, 1 << 21
 # Groups with more links than this are counted by distinct ids instead of link by link.
 WIDE = 4096
 
@@ -69,6 +71,21 @@ class Side:
 UNSURE = re.compile("[^\t\n\r -~\xa1-\xac\xae-\u024f]")
 
 
+def words_of_sure_signs():
+    """The byte-level pattern (endings after an apostrophe, letters, numbers, others, blanks) for sure signs alone."""
+    sure = [c for c in map(chr, range(0x250)) if not UNSURE.match(c)]
+    blank = "\t\n\r "
+
+    def signs(kinds: str, but: str = "") -> str:
+        return "".join(re.escape(c) for c in sure if c not in but and (unicodedata.category(c)[0] in kinds))
+
+    letters, numbers, others = signs("L"), signs("N"), signs("MPSZC", blank)
+    endings = "'(?:[stmd]|re|ve|ll)"
+    return re.compile(
+        f"{endings}| ?[{letters}]+| ?[{numbers}]+| ?[{others}]+|[{blank}]+(?![^{blank}])|[{blank}]+"
+    ).findall
+
+
 class ByteLevel(Side):
     """A byte-level BPE in JSON form.
 
@@ -88,21 +105,15 @@ class ByteLevel(Side):
         self.cut = self._cutter()
         self.letters = {b: c for c, b in alphabet.items()}
         self.known: dict[str, list[int] | None] = {}
+        self.before: dict[str, list[int] | None] = {}
         self.known_letters = 0
 
     def _cutter(self):
-        """The function that cuts a text into words, if the tokenizer is of the plain kind whose pattern is public."""
-        import json
-
-        import public_tokenizers
-        import regex
-
+        """The function that cuts a text of sure signs into words, if the tokenizer is of the plain byte-level kind."""
         form = json.loads(self.tokenizer.to_str())
         cut = form["pre_tokenizer"] or {}
         plain = cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space") and cut.get("use_regex", True)
-        if form["normalizer"] is None and plain and form["model"]["type"] == "BPE":
-            return regex.compile(public_tokenizers.PATTERN).findall
-        return None
+        return words_of_sure_signs() if form["normalizer"] is None and plain and form["model"]["type"] == "BPE" else None
 
     def encode(self, texts: list[str]) -> list[list[int] | None]:
         """Ids of each text with a blank before it, or nothing if their bytes are not the text's."""
@@ -113,6 +124,11 @@ class ByteLevel(Side):
         }
         return [found[i] if i in found else self._by_word(" " + t) for i, t in enumerate(texts)]
 
+    def _merged(self, word: str) -> list[int] | None:
+        spelled = word.encode().decode("latin-1").translate(self.letters)
+        ids = [t.id for t in self.tokenizer.model.tokenize(spelled)]
+        return ids if self.spells(ids, word.encode()) else None
+
     def _by_word(self, text: str) -> list[int] | None:
         words, known = self.cut(text), self.known
         try:
@@ -120,14 +136,12 @@ class ByteLevel(Side):
         except KeyError:
             for w in words:
                 if w not in known:
-                    spelled = w.encode().decode("latin-1").translate(self.letters)
-                    ids = [t.id for t in self.tokenizer.model.tokenize(spelled)]
-                    known[w] = ids if self.spells(ids, w.encode()) else None
+                    known[w] = self.before[w] if w in self.before else self._merged(w)
                     self.known_letters += len(w)
             found = [known[w] for w in words]
             if len(known) > KNOWN_WORDS or self.known_letters > KNOWN_LETTERS:
-                known.clear()
-                self.known_letters = 0
+                # Words in use are taken over from the memory before; the rest goes with the next.
+                self.before, self.known, self.known_letters = known, {}, 0
         return None if None in found else list(chain.from_iterable(found))
 
 
