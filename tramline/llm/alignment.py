@@ -104,8 +104,8 @@ class ByteLevel(Side):
         super().__init__([bytes(alphabet[c] for c in n) if all(c in alphabet for c in n) else n.encode() for n in names])
         self.cut = self._cutter()
         self.letters = {b: c for c, b in alphabet.items()}
-        self.known: dict[str, list[int] | None] = {}
-        self.before: dict[str, list[int] | None] = {}
+        self.known: dict[str, list[int]] = {}
+        self.before: dict[str, list[int]] = {}
         self.known_letters = 0
 
     def _cutter(self):
@@ -130,19 +130,20 @@ class ByteLevel(Side):
         return ids if self.spells(ids, word.encode()) else None
 
     def _by_word(self, text: str) -> list[int] | None:
-        words, known = self.cut(text), self.known
-        try:
-            found = [known[w] for w in words]
-        except KeyError:
-            for w in words:
-                if w not in known:
-                    known[w] = self.before[w] if w in self.before else self._merged(w)
-                    self.known_letters += len(w)
-            found = [known[w] for w in words]
-            if len(known) > KNOWN_WORDS or self.known_letters > KNOWN_LETTERS:
-                # Words in use are taken over from the memory before; the rest goes with the next.
-                self.before, self.known, self.known_letters = known, {}, 0
-        return None if None in found else list(chain.from_iterable(found))
+        known, ids = self.known, []
+        for word in self.cut(text):
+            own = known.get(word)
+            if own is None:
+                own = self.before[word] if word in self.before else self._merged(word)
+                if own is None:
+                    return None
+                known[word] = own
+                self.known_letters += len(word)
+            ids.extend(own)
+        if len(known) > KNOWN_WORDS or self.known_letters > KNOWN_LETTERS:
+            # Words in use are taken over from the memory before; the rest goes with the next.
+            self.before, self.known, self.known_letters = known, {}, 0
+        return ids
 
 
 class Pieces(Side):
