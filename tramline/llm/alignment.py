@@ -30,7 +30,7 @@ from tramline.llm.common import staged, table
 
 # Bytes of text tokenised together, and pairs of documents in a block; one text may hold more of either.
 BATCH_BYTES = 1 << 18
-BLOCK_PAIRS = 1 << 19
+BLOCK_PAIRS = 1 << 18
 # Words, and letters of them, whose ids a task remembers; it holds twice as many at most.
 KNOWN_WORDS, KNOWN_LETTERS = 1 << 16, 1 << 21
 # Groups with more links than this are counted by distinct ids instead of link by link.
@@ -304,7 +304,7 @@ def _blocks(a_path: str | None, b_path: str | None, batch_bytes: int, block_pair
             yield ids, texts
 
     def blocks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # Millions of small lists and no cycles: looking for those costs a tenth of the time.
+        # Millions of small lists: looking for cycles costs a tenth of the time, so that is done once per block.
         gc.disable()
         try:
             yield from made(frames)
@@ -333,6 +333,7 @@ def _blocks(a_path: str | None, b_path: str | None, batch_bytes: int, block_pair
             if held >= block_pairs or len(docs) >= block_pairs:
                 yield _block(number, docs)
                 number, held, docs = number + 1, 0, []
+                gc.collect()
         if docs:
             yield _block(number, docs)
 
