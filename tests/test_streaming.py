@@ -6,7 +6,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from tests.conftest import values
+from tests.conftest import plan_of, values
 from tests.test_fact import NOON, joined, position, scattered, update
 from tramline.functions import JOIN_KEYS
 from tramline.operators import skew
@@ -17,6 +17,7 @@ from tramline.session import stream_session
 from tramline.sources.tables import UNTIL_DRAINED, read_table, stream_table, with_source_row, write_table
 from tramline.sources.topics import read_topic, write_topic
 from tramline.streaming import jobs
+from tramline.streaming.state import waiting_rows
 
 FAR = NOON + 10_000_000
 
@@ -200,6 +201,30 @@ def test_long_history_alone_is_not_hot(spark, rows):
     assert jobs.plan_stream_split(days, rows(BRONZE_TRIP_UPDATE, update("k")), rows_per_task=5) is None
 
 
+@pytest.mark.parametrize("options", [{}, {"resent": True}, {"rows_per_task": 5}])
+def test_history_of_a_key_is_joined_slot_by_slot(spark, rows, tmp_path, options):
+    """A first batch holds all history; without the slot each row would be held against all of its key."""
+    edge = NOON + 1800
+    positions = [position("k", edge + 3600 * day + i) for day in range(0, 120, 24) for i in (-601, -600, -1, 0, 1, 599, 600)]
+    updates = [update("k", edge + 3600 * day + i) for day in range(0, 120, 24) for i in (-1201, -600, -1, 0, 599, 600, 1200)]
+    lake = Lake(spark, rows, tmp_path, **options)
+    lake.add(positions, updates)
+    lake.run()
+    joins = [line for line in plan_of(lake.last).splitlines() if "SymmetricHashJoin" in line]
+    assert joins and all("slot#" in line.split("]")[0] for line in joins)
+    lake.flush()
+    assert lake.fact() == joined(build_fact(rows(VEHICLE_POSITION, *positions), rows(BRONZE_TRIP_UPDATE, *updates)))
+
+
+def test_update_in_reach_of_two_slots_waits_once(lake):
+    edge = NOON + 1800
+    lake.add([position("k", edge)], [update("k", edge + i) for i in (-1, 0, 600)])
+    lake.run()
+    assert lake.last.lastProgress["stateOperators"][0]["numRowsTotal"] > 4
+    held = waiting_rows(lake.spark, f"{lake.path}/checkpoint").groupBy("side").count()
+    assert values(held) == [("left", 1), ("right", 3)]
+
+
 def test_stored_copies_are_spread_over_the_parts(spark, rows, tmp_path):
     write_table(rows(VEHICLE_POSITION, *[position()] * 400).coalesce(1), f"{tmp_path}/p")
     copies = clean_positions(with_source_row(read_table(spark, f"{tmp_path}/p")))

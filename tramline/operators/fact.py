@@ -53,6 +53,26 @@ def within(bound: int) -> Column:
     return F.col("ingested_at").between(at - _interval(bound), at + _interval(bound))
 
 
+def slot_of(at: Column, bound: int) -> Column:
+    """Number of the time slot an instant (epoch microseconds) falls into in a stream's join.
+
+    Slots begin half a slot off the round hours, around which timetables and so updates crowd.
+    """
+    width = bound * SLOT_BOUNDS
+    return time_slot(at + F.lit(width * 500_000), width)
+
+
+def slotted(rows: DataFrame, time: str, bound: int) -> DataFrame:
+    """Positions with the slot of their time, so that a key's history is not one group."""
+    return rows.withColumn("slot", slot_of(F.unix_micros(time), bound))
+
+
+def in_reach(rows: DataFrame, bound: int, first: str = "ingested_at", last: str = "ingested_at") -> DataFrame:
+    """Updates, or stretches of them, once in every slot that holds positions within the bound of them."""
+    since, until = F.unix_micros(first) - bound * 1_000_000, F.unix_micros(last) + bound * 1_000_000
+    return rows.withColumn("slot", F.explode(F.sequence(slot_of(since, bound), slot_of(until, bound))))
+
+
 def join_updates(
     left: DataFrame, right: DataFrame, bound: int | None, keys: Sequence[str] = JOIN_KEYS
 ) -> DataFrame:

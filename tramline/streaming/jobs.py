@@ -16,7 +16,9 @@ from tramline.operators.fact import (
     UPDATE_COLUMNS,
     clean_positions,
     clean_updates,
+    in_reach,
     join_updates,
+    slotted,
     within,
 )
 from tramline.operators.messages import decode, encode, stamp_ingest
@@ -143,6 +145,10 @@ def stream_fact(
     A position without an event time can neither match nor ever be given up on, and would stay in
     the state for good, so it ends here, as does an update without one. Rows later than the
     watermark are dropped by Spark.
+
+    The watermark moves between batches only, so a first batch over a stored history holds all of it. As in
+    batch the time slot is part of the key, or every update would be held against its key's whole history;
+    updates are copied to the slots they can reach.
     """
     left = clean_positions(positions).filter(F.col("vehicle_timestamp").isNotNull())
     right = clean_updates(updates).filter(F.col("ingested_at").isNotNull())
@@ -152,9 +158,14 @@ def stream_fact(
         reached = F.expr(
             f"vehicle_timestamp BETWEEN held_at - INTERVAL {2 * bound + 1} SECONDS AND held_at + INTERVAL {bound + 1} SECONDS"
         )
-        return join_stretches(timed(left, POSITION_COLUMNS), right, bound, JOIN_KEYS, reached)
+        left = slotted(timed(left, POSITION_COLUMNS), "vehicle_timestamp", bound)
+        return join_stretches(left, in_reach(right, bound, "first", "last"), bound, [*JOIN_KEYS, "slot"], reached)
     if hot is None:
-        return join_updates(timed(left, POSITION_COLUMNS), timed(right, [*JOIN_KEYS, *UPDATE_COLUMNS]), bound)
+        left, right = timed(left, POSITION_COLUMNS), timed(right, [*JOIN_KEYS, *UPDATE_COLUMNS])
+        if bound is None:  # Spark refuses to start it: no position could ever be given up on
+            return join_updates(left, right, None)
+        left, right = slotted(left, "vehicle_timestamp", bound), in_reach(right, bound)
+        return join_updates(left, right, bound, [*JOIN_KEYS, "slot"])
 
     # Re-sent rows differ in feed_timestamp, and stored copies in their place if the source tells
     # it, so the part comes from the whole bronze row.
@@ -164,21 +175,23 @@ def stream_fact(
     right = timed(right, [*JOIN_KEYS, *UPDATE_COLUMNS, "right_part", "left_parts"])
     keys = [*JOIN_KEYS, "left_part"]
     if hot.filter("right_parts > 1").isEmpty():
-        return join_updates(left, _for_every_left_part(right), bound, keys)
+        left = slotted(left, "vehicle_timestamp", bound)
+        return join_updates(left, in_reach(_for_every_left_part(right), bound), bound, [*keys, "slot"])
     return both_sides_split(left, right, bound, keys)
 
 
 def both_sides_split(left: DataFrame, right: DataFrame, bound: int, keys: list[str]) -> DataFrame:
     """The outer join with both sides split: every pair of parts meets in one task, and positions
     without a partner come from a second join with one row per key and ingest time."""
+    left, keys = slotted(left, "vehicle_timestamp", bound), [*keys, "slot"]
     pairs = (
         left.withColumn("right_part", skew.every_part("right_parts"))
-        .join(_for_every_left_part(right), [*keys, "right_part"])
+        .join(in_reach(_for_every_left_part(right), bound), [*keys, "right_part"])
         .filter(within(bound))
     )
     moments = right.select(*JOIN_KEYS, "ingested_at", "left_parts").dropDuplicates([*JOIN_KEYS, "ingested_at"])
     no_values = {name: F.lit(None).cast(FACT[name]) for name in UPDATE_COLUMNS if name != "ingested_at"}
-    seen = _for_every_left_part(moments).withColumns(no_values)
+    seen = in_reach(_for_every_left_part(moments).withColumns(no_values), bound)
     lonely = join_updates(left, seen, bound, keys).filter(F.col("ingested_at").isNull())
     return pairs.select(*FACT).unionByName(lonely)
 
