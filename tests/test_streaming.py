@@ -20,6 +20,7 @@ from tramline.streaming import jobs
 from tramline.streaming.state import waiting_rows
 
 FAR = NOON + 10_000_000
+SIDES = ["left_rows", "right_rows"]
 
 
 class Lake:
@@ -225,6 +226,44 @@ def test_update_in_reach_of_two_slots_waits_once(lake):
     assert values(held) == [("left", 1), ("right", 3)]
 
 
+def test_parts_of_a_split_do_not_grow_with_the_table(spark):
+    """Each part is a copy of all rows of the other side, so many equal cells need but two."""
+    for size in (1, 50):
+        even = spark.range(1000).select(F.col("id").cast("int").alias("cell"), *(F.lit(20 * size).alias(n) for n in SIDES))
+        hot = skew.plan_split(even, rows_per_task=8, tasks=4).hot
+        assert hot.select("left_parts", "right_parts").distinct().collect() == [(2, 2)] and hot.count() == 1000
+    one = spark.createDataFrame([(1000, 10_000, 5_000)], ["cell", *SIDES])
+    hot = skew.plan_split(even.union(one), rows_per_task=8, tasks=400).hot
+    assert hot.filter("cell = 1000").select("left_parts", "right_parts").first() == (32, 16)
+
+
+def test_lonely_positions_are_found_by_steps_and_late_updates_do_not_hide_them(spark, rows, tmp_path):
+    """Both sides split: many updates of a step are one row of the second join, and one too late counts nowhere."""
+    lake = Lake(spark, rows, tmp_path, rows_per_task=5)
+    positions = [position("k", NOON + 20 * i) for i in range(20)]
+    updates = [update("k", NOON + 5 * i) for i in range(100)]
+    lake.add([*positions, position("k", NOON + 3600)], [*updates, update("k", NOON + 3600)])
+    first = lake.run()
+    joins = [o for o in first.recentProgress[0]["stateOperators"] if o["operatorName"] == "symmetricHashJoin"]
+    assert len(joins) == 2 and joins[1]["numRowsUpdated"] <= 40  # 21 positions, and the steps in each part
+    watermark = NOON + 3600 - 300  # in the middle of a step
+    lake.add([position("k", watermark + 10 - 600)], [update("k", watermark - 100)])
+    lake.add([position("k", watermark + 500)], [])
+    late = lake.run()
+    assert dropped_late(late) > 0
+    lake.flush()
+    want = joined(build_fact(rows(VEHICLE_POSITION, *positions), rows(BRONZE_TRIP_UPDATE, *updates)))
+    assert lake.fact() == want | {("k", NOON + 3600, NOON + 3600): 1, ("k", watermark + 500, NOON + 3600): 1}
+    alone = Lake(spark, rows, tmp_path / "alone", rows_per_task=5)
+    alone.add(positions, updates)
+    alone.add([position("other", NOON + 3600)], [update("other", NOON + 3600)])
+    alone.run()
+    alone.add([position("k", watermark + 100)], [update("k", watermark - 100)])
+    alone.run()
+    alone.flush()
+    assert alone.fact() == want | {("other", NOON + 3600, NOON + 3600): 1, ("k", watermark + 100, None): 1}
+
+
 def test_stored_copies_are_spread_over_the_parts(spark, rows, tmp_path):
     write_table(rows(VEHICLE_POSITION, *[position()] * 400).coalesce(1), f"{tmp_path}/p")
     copies = clean_positions(with_source_row(read_table(spark, f"{tmp_path}/p")))

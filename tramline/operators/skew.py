@@ -22,6 +22,9 @@ OVER_MEAN = 2
 # Comparisons a single pair of parts may make. Cells are also judged by left rows times right rows, since
 # two sides of moderate size can still make more pairs than a task gets through.
 PAIRS_PER_TASK = 2_000_000_000
+# A stream's hot cell is cut into two parts, and further only while a part is more than one of this many shares
+# of a state partition: smaller parts even nothing out, but every row is copied to all parts of the other side.
+SHARES_PER_TASK = 8
 # Exact copies of a row travel as one row with a weight, cut into chunks of at least this weight.
 COPIES_PER_CHUNK = 1_000
 MAX_CHUNKS = 100_000
@@ -68,12 +71,16 @@ class Split:
 
 
 def plan_split(
-    counts: DataFrame, rows_per_task: int = ROWS_PER_TASK, pairs_per_task: int = PAIRS_PER_TASK
+    counts: DataFrame,
+    rows_per_task: int = ROWS_PER_TASK,
+    pairs_per_task: int = PAIRS_PER_TASK,
+    tasks: int | None = None,
 ) -> Split:
     """Hot cells, as (cell, left_parts, right_parts), from a table of cell counts.
 
     A side is cut so that no part has more rows than a task should; then both sides are cut further, by
-    the same factor, until no two parts make more pairs than a task should.
+    the same factor, until no two parts make more pairs than a task should. Given the number of ``tasks`` the
+    rows are dealt to, parts need be no smaller than is of use to them.
     """
     sides = ("left_rows", "right_rows")
     product = F.col("left_rows").cast("double") * F.col("right_rows")
@@ -85,6 +92,10 @@ def plan_split(
     if all(n <= limit for n, limit in zip(largest, limits)) and (totals[4] or 0) <= pairs:
         return Split(sum(rows), None)
     by_rows = [F.greatest(F.lit(1), F.ceil(F.col(side) / limit)) for side, limit in zip(sides, limits)]
+    if tasks is not None:
+        shares = [-(-n // (tasks * SHARES_PER_TASK)) for n in rows]
+        enough = [F.greatest(F.lit(2), F.ceil(F.col(side) / max(1, n))) for side, n in zip(sides, shares)]
+        by_rows = [F.least(parts, most) for parts, most in zip(by_rows, enough)]
     further = F.sqrt(F.greatest(F.lit(1.0), product / by_rows[0] / by_rows[1] / F.lit(pairs)))
     left_parts, right_parts = (
         F.least(F.ceil(parts * further), F.greatest(F.col(side), F.lit(1))).cast("int")

@@ -102,6 +102,11 @@ def stream_session(spark: SparkSession, state_partitions: int | None = None) ->
     return session
 
 
+def state_partitions(spark: SparkSession) -> int:
+    """Partitions that a stream first started in this session deals its state to."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def work_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and staged tables: ``spark.checkpoint.dir``.
 

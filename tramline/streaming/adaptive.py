@@ -20,6 +20,7 @@ from tramline.functions import JOIN_KEYS, time_slot
 from tramline.operators import skew
 from tramline.operators.fact import BOUND_SECONDS, POSITION_COLUMNS, UPDATE_COLUMNS, clean_positions, clean_updates
 from tramline.schemas import BRONZE_TRIP_UPDATE, ROUTE, ROUTE_COUNT, VEHICLE_POSITION, Columns, ddl
+from tramline.session import state_partitions
 from tramline.sources.commits import CommitLog, new_files, new_run
 from tramline.sources.tables import append_stream, read_table, stream_table, with_source_row
 from tramline.streaming.jobs import LATENESS_SECONDS, both_sides_split, timed
@@ -115,7 +116,7 @@ class Routing:
                 F.max("left_rows").alias("left_rows"), F.max("right_rows").alias("right_rows"), F.max("latest").alias("latest")
             )
         )
-        hot = skew.plan_split(cells, rows_per_task).hot
+        hot = skew.plan_split(cells, rows_per_task, tasks=state_partitions(self.spark)).hot
         grown = self._grown(cells, hot, len(before) + 1) if hot is not None else self.spark.createDataFrame([], ddl(ROUTE))
         grown.write.parquet(f"{self.path}/routes/run={run}")
         self.log.commit(run, names)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +26,7 @@ from tramline.operators.fact import (
 from tramline.operators.messages import decode, encode, stamp_ingest
 from tramline.operators.resent import join_stretches, streamed_stretches
 from tramline.schemas import BRONZE_TRIP_UPDATE, FACT, TRIP_UPDATE, VEHICLE_POSITION, ddl
+from tramline.session import state_partitions
 from tramline.sources.static import stream_snapshots
 from tramline.sources.tables import FIFTEEN_SECONDS, TWO_MINUTES, append_stream, read_table, stream_table, with_source_row
 from tramline.sources.topics import POSITIONS_OPTIONS, UPDATES_OPTIONS, read_topic
@@ -154,12 +157,8 @@ def stream_fact(
     right = clean_updates(updates).filter(F.col("ingested_at").isNotNull())
     if hot is None and resent:
         right = streamed_stretches(timed(right, [*JOIN_KEYS, *UPDATE_COLUMNS]), JOIN_KEYS, bound)
-        # A stretch ends at held_at; its polls are up to one bound before, and reach one further either way.
-        reached = F.expr(
-            f"vehicle_timestamp BETWEEN held_at - INTERVAL {2 * bound + 1} SECONDS AND held_at + INTERVAL {bound + 1} SECONDS"
-        )
         left = slotted(timed(left, POSITION_COLUMNS), "vehicle_timestamp", bound)
-        return join_stretches(left, in_reach(right, bound, "first", "last"), bound, [*JOIN_KEYS, "slot"], reached)
+        return join_stretches(left, in_reach(right, bound, "first", "last"), bound, [*JOIN_KEYS, "slot"], step_in_reach(bound))
     if hot is None:
         left, right = timed(left, POSITION_COLUMNS), timed(right, [*JOIN_KEYS, *UPDATE_COLUMNS])
         if bound is None:  # Spark refuses to start it: no position could ever be given up on
@@ -182,7 +181,12 @@ def stream_fact(
 
 def both_sides_split(left: DataFrame, right: DataFrame, bound: int, keys: list[str]) -> DataFrame:
     """The outer join with both sides split: every pair of parts meets in one task, and positions
-    without a partner come from a second join with one row per key and ingest time."""
+    without a partner come from a second join with one row per key and step of one bound.
+
+    A step is shorter than the reach of a position, so one of its updates is within the bound if its first
+    or its last is; a position meets a few rows, however many updates there are. Copies go first, as
+    that drops the same late updates as the join of the pairs; a step is given once it is over.
+    """
     left, keys = slotted(left, "vehicle_timestamp", bound), [*keys, "slot"]
     pairs = (
         left.withColumn("right_part", skew.every_part("right_parts"))
@@ -190,12 +194,30 @@ def both_sides_split(left: DataFrame, right: DataFrame, bound: int, keys: list[s
         .filter(within(bound))
     )
     moments = right.select(*JOIN_KEYS, "ingested_at", "left_parts").dropDuplicates([*JOIN_KEYS, "ingested_at"])
-    no_values = {name: F.lit(None).cast(FACT[name]) for name in UPDATE_COLUMNS if name != "ingested_at"}
-    seen = in_reach(_for_every_left_part(moments).withColumns(no_values), bound)
-    lonely = join_updates(left, seen, bound, keys).filter(F.col("ingested_at").isNull())
+    steps = moments.groupBy(*JOIN_KEYS, F.window("ingested_at", f"{bound} seconds").alias("step")).agg(
+        F.min("ingested_at").alias("first"), F.max("ingested_at").alias("last"), F.max("left_parts").alias("left_parts")
+    )
+    steps = steps.withColumn("held_at", F.window_time("step")).drop("step")
+    seen = in_reach(_for_every_left_part(steps), bound, "first", "last").alias("seen")
+    positions, at = left.alias("positions"), F.col("vehicle_timestamp")
+    reach = F.expr(f"INTERVAL {bound} SECONDS")
+    on = [F.col(f"positions.{key}") == F.col(f"seen.{key}") for key in keys]
+    on += [F.col("first").between(at - reach, at + reach) | F.col("last").between(at - reach, at + reach)]
+    on += [step_in_reach(bound)]
+    lonely = positions.join(seen, reduce(and_, on), "left_outer").filter(F.col("first").isNull())
+    no_update = [F.lit(None).cast(FACT[name]).alias(name) for name in UPDATE_COLUMNS]
+    lonely = lonely.select(*(f"positions.{name}" for name in POSITION_COLUMNS), *no_update).select(*FACT)
     return pairs.select(*FACT).unionByName(lonely)
 
 
+def step_in_reach(bound: int) -> Column:
+    """Tells a stream's join when to forget rows: a step of one bound ends at ``held_at``, its updates are up
+    to one bound before, and reach one further either way."""
+    return F.expr(
+        f"vehicle_timestamp BETWEEN held_at - INTERVAL {2 * bound + 1} SECONDS AND held_at + INTERVAL {bound + 1} SECONDS"
+    )
+
+
 def timed(rows: DataFrame, columns: list[str]) -> DataFrame:
     """The columns a join needs, watermarked on the event time among them."""
     time = "vehicle_timestamp" if "vehicle_timestamp" in columns else "ingested_at"
@@ -219,14 +241,16 @@ def plan_stream_split(
     """Hot cells (cell, left_parts, right_parts) of two bronze tables, or None.
 
     The state holds a key's rows for the bound and the lateness on either side, not its history, so rows
-    are counted per cell and window of that length, and a cell is judged by its fullest window.
+    are counted per cell and window of that length, and a cell is judged by its fullest window. How far it is
+    cut depends on the state partitions of the session the tables are of.
     """
     width = 2 * (bound + LATENESS_SECONDS)
     left = clean_positions(positions).filter(F.col("vehicle_timestamp").isNotNull())
     right = clean_updates(updates).filter(F.col("ingested_at").isNotNull())
     left = left.withColumn("slot", time_slot(F.unix_micros("vehicle_timestamp"), width))
     right = right.withColumn("slot", time_slot(F.unix_micros("ingested_at"), width))
-    return skew.plan_split(skew.stored(skew.window_counts(left, right, JOIN_KEYS, "slot")), rows_per_task).hot
+    counts = skew.stored(skew.window_counts(left, right, JOIN_KEYS, "slot"))
+    return skew.plan_split(counts, rows_per_task, tasks=state_partitions(positions.sparkSession)).hot
 
 
 def _frozen_split(
