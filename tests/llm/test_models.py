@@ -42,6 +42,26 @@ def test_fast_test_misses_no_pattern(spark):
         assert flag or not hit
 
 
+def test_signs_of_every_script_are_seen():
+    _, kind = toxicity._classes()
+    texts = ["हिन्दी", "s\u2010c", "чч", "a\x1cb", "a\u2028b", "日本"]
+    assert toxicity.suspicious(texts, kind).tolist() == [1, 1, 1, 0, 0, 0]
+
+
+def test_batches_restore_what_single_texts_do(decoder):
+    _, kind = toxicity._classes()
+    texts = ["the l0ser of", "m o r o n and tr@sh!!", None, "", "plain words", "a letter...\x1cl0ser\n\n\n$tuuuupid", "s c u m tr@sh###"]
+    learned = toxicity.Decoder(np.array(decoder.costs), {"trash ", "letter "})
+    assert toxicity._restored(texts, learned, kind) == [learned.restore(toxicity.plain(t)) for t in texts]
+
+
+def test_only_suspicious_tokens_are_remembered(decoder):
+    _, kind = toxicity._classes()
+    own = toxicity.Decoder(np.array(decoder.costs))
+    toxicity._restored(["some plain words and a l0ser", "other plain words of a l0ser"], own, kind)
+    assert list(own.tokens) == ["l0ser"]
+
+
 def test_toxicity_on_held_out_rows(spark):
     docs, labels = spark.read.parquet(f"{SF_MORE}/documents.parquet"), spark.read.parquet(f"{SF_MORE}/labels.parquet")
     got = toxicity.toxic_scores(docs, labels).join(labels, "doc_id").filter("held_out").toPandas()

@@ -92,6 +92,7 @@ SIGNS = "".join(re.escape(c) for c in LOOK_ALIKES) + UNSEEN
 SUSPECT = re.compile(rf"[{SIGNS}]|({_L})\1|{_L}[\W_]+{_L}")
 SUSPECT_LETTER = re.compile(f"[{''.join(c for c in LOOK_ALIKES if c.isalpha())}]")
 ONLY_LETTERS = re.compile(rf"{_L}+")
+GAPS = re.compile(r"\s+")
 TRIPLE = re.compile(r"(.)\1\1")
 PAIR, DOUBLES = re.compile(rf"({_L})\1"), re.compile(rf"(?:({_L})\1){{3,}}")
 # Signs at the end of a token that may well be punctuation.
@@ -105,17 +106,20 @@ def _classes() -> tuple[np.ndarray, np.ndarray]:
     letter, kind = np.zeros(0x110000, np.uint8), np.full(0x110000, 4, np.uint8)
     for point in range(0x250):
         if chr(point).isalpha():
-            letter[point], kind[point] = 1, 1
-    letter[0x250:0x2000], kind[0x250:0x2000] = 1, 1
+            letter[point] = 1
+    letter[0x250:0x2000] = 1
+    every = "".join(map(chr, range(0x110000)))
+    for pattern, which in ((ONLY_LETTERS, 1), (GAPS, 0)):
+        for run in pattern.finditer(every):
+            kind[run.start() : run.end()] = which
     for i, c in enumerate(LETTERS):
         letter[ord(c)] = i + 2
     for c in LOOK_ALIKES:
         kind[ord(c)] = 2
     for c in UNSEEN:
         kind[ord(c)] = 2
-    for c in FILLERS:
+    for c in FILLERS.strip():
         kind[ord(c)] = 2 if c in LOOK_ALIKES else 3
-    kind[[9, 10, 11, 12, 13, 32]] = 0
     return letter, kind
 
 
@@ -127,10 +131,13 @@ def _count_trigrams(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     letter, _ = _classes()
     counts = np.zeros(SIZE**3, np.int64)
     for frame in frames:
-        for text in frame["text"]:
-            if text:
-                c = letter[_points(f"  {text.lower()} ")].astype(np.int32)
-                counts += np.bincount((c[:-2] * SIZE + c[1:-1]) * SIZE + c[2:], minlength=SIZE**3)
+        for start in range(0, len(frame), 256):
+            texts = [f"  {text.lower()} " for text in frame["text"][start : start + 256] if text]
+            if texts:
+                c = letter[_points("".join(texts))].astype(np.int32)
+                codes = (c[:-2] * SIZE + c[1:-1]) * SIZE + c[2:]
+                ends = np.cumsum([len(text) for text in texts])[:-1]
+                counts += np.bincount(np.delete(codes, np.concatenate([ends - 2, ends - 1])), minlength=SIZE**3)
     some = np.flatnonzero(counts)
     yield pd.DataFrame({"code": some, "n": counts[some]})
 
@@ -158,18 +165,29 @@ def _learned_word(word: str, words: Collection[str]) -> bool:
     return f"{word} " in words or any(word[:n] in words for n in PREFIXES if n < len(word))
 
 
+def _spelled(path: tuple | None) -> str:
+    letters = []
+    while path is not None:
+        letters.append(path[0])
+        path = path[1]
+    return "".join(reversed(letters))
+
+
 class Decoder:
-    """Restores disguised words; remembers what it has decoded, up to so many entries and letters of either kind."""
+    """Restores disguised words; remembers what it has decoded, up to so many entries and letters of each kind."""
 
-    REMEMBERED, LETTERS = 50_000, 2_000_000
+    REMEMBERED, LETTERS, SIGNS = 50_000, 2_000_000, 10_000
 
     def __init__(self, costs: np.ndarray, words: Collection[str] = ()):
-        self.costs = costs.tolist()
+        self.costs = costs.reshape(-1, SIZE).tolist()
         self.words = words
         self.code = {c: i + 2 for i, c in enumerate(LETTERS)}
         self.known: dict[str, str] = {}
         self.tokens: dict[str, str] = {}
-        self.letters = {id(self.known): 0, id(self.tokens): 0}
+        self.ends: dict[str, str] = {}
+        self.letters = {id(self.known): 0, id(self.tokens): 0, id(self.ends): 0}
+        self.begins = {w[:n] for w in words for n in (1, 2)}
+        self.lattice: dict[tuple, list[tuple[str, int, float]]] = {}
 
     def _remember(self, memory: dict[str, str], key: str, found: str) -> str:
         used = self.letters[id(memory)] + len(key) + len(found)
@@ -195,12 +213,25 @@ class Decoder:
             return [(sign, 0.0)] + ([("", REPEATED if run > 2 else DOUBLED)] if run else [])
         return [("", put), (" " if sign.isspace() else sign, gap)]
 
+    def numbered(self, sign: str, run: int, put: float, gap: float, meant: float) -> list[tuple[str, int, float]]:
+        """``options`` with the model's letter between them, -1 for the empty one; remembered for the signs in use."""
+        key = (sign, min(run, 3), put, gap, meant)
+        found = self.lattice.get(key)
+        if found is None:
+            if len(self.lattice) >= self.SIGNS:
+                self.lattice.clear()
+            options = self.options(sign, min(run, 3), put, gap, meant)
+            number = lambda c: self.code.get(c, 1 if c.isalpha() else 0) if c else -1
+            found = self.lattice[key] = [(c, number(c), extra) for c, extra in options]
+        return found
+
     def undoubled(self, word: str) -> str:
         """``word`` with as few doubled letters written once as make it a learned word, if any do.
 
         Letters alone do not tell: many plain words have pairs that are as rare as a disguise.
         """
-        if not self.words or _learned_word(word, self.words):
+        # The first two letters stay whichever are taken out, but for a pair of them.
+        if word[: 1 if word[:1] == word[1:2] else 2] not in self.begins or _learned_word(word, self.words):
             return word
         pairs = [m.start() for m in PAIR.finditer(word)][:MOST_PAIRS]
         for size in range(1, len(pairs) + 1):
@@ -225,31 +256,43 @@ class Decoder:
         put, gap = (FILLED, WORD_GAP) if one_by_one else (PARTED, SHORT_GAP)
         meant = MEANT if any(map(str.isalpha, span)) else NUMBER
         closing = end.start() if (end := CLOSING.search(span)) else len(span)
-        beam: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
+        choices = []
         for i, sign in enumerate(span):
             repeat = i > 0 and span[i - 1] == sign
-            options = self.options(sign, (3 if doubled else runs[i]) if repeat else 0, put, gap, 0.0 if i >= closing else meant)
-            following: dict[tuple[int, int], tuple[float, tuple | None]] = {}
-            for (p, q), (cost, path) in beam.items():
-                for letter, extra in options:
-                    if letter and not letter.isalpha() and q == 0:  # one boundary, however many signs
-                        key, total, way = (p, q), cost + extra, (letter, path)
-                    elif letter:
-                        c = self.code.get(letter, 1 if letter.isalpha() else 0)
-                        key, total, way = (q, c), cost + extra + self.costs[p][q][c], (letter, path)
+            choices.append(self.numbered(sign, (3 if doubled else runs[i]) if repeat else 0, put, gap, 0.0 if i >= closing else meant))
+        beam = self._follow({0: (0.0, None)}, choices[:closing])
+        if closing == len(span) or len(beam) > 1:
+            return self._likeliest(self._follow(beam, choices[closing:]))
+        # From a single state on, the signs at the end alone decide.
+        ((state, (_, path)),) = beam.items()
+        key = f"{state} {put} {gap} {span[closing:]}"
+        end = self.ends.get(key)
+        if end is None:
+            end = self._remember(self.ends, key, self._likeliest(self._follow({state: (0.0, None)}, choices[closing:])))
+        return _spelled(path) + end
+
+    def _follow(self, beam: dict[int, tuple[float, tuple | None]], choices: list[list[tuple[str, int, float]]]) -> dict[int, tuple[float, tuple | None]]:
+        """The best way to each state after ``choices``; a state is the last two letters of the model, as one number."""
+        for options in choices:
+            following: dict[int, tuple[float, tuple | None]] = {}
+            for state, (cost, path) in beam.items():
+                row, q = self.costs[state], state % SIZE
+                for letter, c, extra in options:
+                    if c < 0 or not c and not q:  # one boundary, however many signs
+                        key, total = state, cost + extra
                     else:
-                        key, total, way = (p, q), cost + extra, path
-                    if key not in following or total < following[key][0]:
-                        following[key] = (total, way)
+                        key, total = q * SIZE + c, cost + extra + row[c]
+                    best = following.get(key)
+                    if best is None or total < best[0]:
+                        following[key] = (total, path if c < 0 else (letter, path))
             if len(following) > BEAM:
                 following = dict(sorted(following.items(), key=lambda x: x[1][0])[:BEAM])
             beam = following
-        _, path = min((cost + (self.costs[p][q][0] if q else 0.0), i, path) for i, ((p, q), (cost, path)) in enumerate(beam.items()))[1:]
-        letters = []
-        while path is not None:
-            letters.append(path[0])
-            path = path[1]
-        return "".join(reversed(letters))
+        return beam
+
+    def _likeliest(self, beam: dict[int, tuple[float, tuple | None]]) -> str:
+        ways = [(cost + (self.costs[state][0] if state % SIZE else 0.0), i, path) for i, (state, (cost, path)) in enumerate(beam.items())]
+        return _spelled(min(ways)[2])
 
     def token(self, word: str) -> str:
         """A token of a text, decoded if anything in it is suspicious."""
@@ -268,15 +311,29 @@ class Decoder:
     def restore(self, text: str, fragments: bool = True) -> str:
         """Lower-case ``text`` with every suspicious span decoded."""
         if fragments:
-            text = SPACED.sub(lambda m: self.decode(m[0]), text)
-            text = FRAGMENTS.sub(lambda m: self.decode(m[0]), text)
-        changed = {w: new for w in set(text.split()) if (new := self.token(w)) != w}
+            text = self.joined(text)
+        changed = {w: new for w in set(text.split()) if SUSPECT.search(w) and (new := self.token(w)) != w}
         return TOKEN.sub(lambda m: changed.get(m[0], m[0]), text) if changed else text
 
+    def joined(self, text: str) -> str:
+        """Lower-case ``text`` with runs of fragments decoded."""
+        text = SPACED.sub(lambda m: self.decode(m[0]), text)
+        return FRAGMENTS.sub(lambda m: self.decode(m[0]), text)
 
-def suspicious(texts: list[str], kind: np.ndarray) -> np.ndarray:
-    """Which lower-case texts may hold something disguised, 2 if fragments; a fast test that misses none of the patterns."""
-    points = _points(BETWEEN + BETWEEN.join(texts) + 8 * "\n")
+
+@dataclass(frozen=True)
+class Suspects:
+    """What a fast test finds in lower-case texts; it misses none of the patterns."""
+
+    flags: np.ndarray  # 1 if a text may hold something disguised, 2 if fragments
+    whole: str  # all texts, one after the other
+    starts: np.ndarray  # places of the texts in it
+    tokens: np.ndarray  # text, start and end of each token that may be disguised
+
+
+def suspects(texts: list[str], kind: np.ndarray) -> Suspects:
+    whole = BETWEEN + BETWEEN.join(texts) + 8 * "\n"
+    points = _points(whole)
     k = kind[points]
     count = len(points) - 8
     letter, blank, filler = k == 1, k == 0, (k == 3) | (k == 4)
@@ -284,17 +341,25 @@ def suspicious(texts: list[str], kind: np.ndarray) -> np.ndarray:
     flags |= filler[:count] & ~blank[1 : count + 1] & np.concatenate([[False], ~blank[: count - 1]])
     flags |= letter[:count] & (points[1 : count + 1] == points[:count])
     # Four fragments of one or two characters in a row.
-    edges = np.flatnonzero(np.diff(((k == 1) | (k == 2) | (points >= 0x2000)).astype(np.int8)))
+    edges = np.flatnonzero(np.diff(((k == 1) | (k == 2) | (points >= 0x250)).astype(np.int8)))
     begins, ends = edges[::2], edges[1::2]
     short = ends - begins <= 2
     joined = short[:-1] & short[1:] & (begins[1:] - ends[:-1] <= 3)
     runs = begins[:-3][joined[:-2] & joined[1:-1] & joined[2:]] + 1 if len(joined) > 2 else begins[:0]
     places = np.flatnonzero(flags)
-    starts = np.cumsum([0, *[len(t) + len(BETWEEN) for t in texts]])
+    starts = np.cumsum([0, *[len(t) + len(BETWEEN) for t in texts]])[:-1] + len(BETWEEN)
+    edges = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+    found = np.unique(np.searchsorted(edges, places, side="right") - 1)  # a place is in no blank
+    of = np.searchsorted(starts, edges[found], side="right") - 1
     out = np.zeros(len(texts), np.uint8)
-    out[np.clip(np.searchsorted(starts, places, side="right") - 1, 0, len(texts) - 1)] = 1
+    out[of] = 1
     out[np.clip(np.searchsorted(starts, runs, side="right") - 1, 0, len(texts) - 1)] = 2
-    return out
+    return Suspects(out, whole, starts, np.stack([of, edges[found], edges[found + 1]], axis=1))
+
+
+def suspicious(texts: list[str], kind: np.ndarray) -> np.ndarray:
+    """Which lower-case texts may hold something disguised, 2 if fragments."""
+    return suspects(texts, kind).flags
 
 
 def plain(text: str | None) -> str:
@@ -307,7 +372,25 @@ def _restored(texts: list[str | None], decoder: Decoder, kind: np.ndarray) -> li
     lower = [plain(t) for t in texts]
     if not lower:
         return []
-    return [decoder.restore(t, odd == 2) if odd else t for t, odd in zip(lower, suspicious(lower, kind), strict=True)]
+    found = suspects(lower, kind)
+    out = list(lower)
+    for i in np.flatnonzero(found.flags == 2).tolist():
+        lower[i] = decoder.joined(lower[i])
+    if any(text is not old for text, old in zip(lower, out, strict=True)):  # some tokens are others now
+        found, out = suspects(lower, kind), list(lower)
+    changes: dict[int, list[tuple[int, int, str]]] = {}
+    for i, start, end in found.tokens.tolist():
+        word = found.whole[start:end]
+        new = decoder.token(word)
+        if new != word:
+            changes.setdefault(i, []).append((start, end, new))
+    for i, parts in changes.items():
+        text, at, first = [], 0, int(found.starts[i])
+        for start, end, new in parts:
+            text += [lower[i][at : start - first], new]
+            at = end - first
+        out[i] = "".join([*text, lower[i][at:]])
+    return out
 
 
 def features(text: str) -> set[str]:
