@@ -1,5 +1,7 @@
 """Near copies, repeated paragraphs and long repeats against brute force."""
 
+import os
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -135,3 +137,19 @@ def test_large_anchors_are_not_indexed_together(spark):
     got = repeats.without_long_repeats(frame, anchor_bytes=500).collect()
     assert sorted(tuple(r[c] for c in columns) for r in got) == helpers.long_repeats(docs)
     assert any(r["n_removed"] for r in got)
+
+
+def test_staged_tables_leave_no_shuffle_files(spark):
+    from tramline.llm.common import CLEAN_UP, deleted, staged
+
+    root = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        return {f for f in root.getAllFiles().mkString("\n").split("\n") if "shuffle_" in f}
+
+    before = files()
+    table = staged(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    assert not files() - before
+    assert spark.conf.get(CLEAN_UP, None) != "true" and table.count() == 7
+    deleted(table)
+    assert table.inputFiles() and not any(os.path.exists(f.removeprefix("file://")) for f in table.inputFiles())

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.llm.common import staged, table
+from tramline.llm.common import deleted, staged, table
 
 CLUSTERS = 40
 ROUNDS = 5
@@ -130,14 +130,6 @@ def _moved(state: DataFrame, old: np.ndarray) -> np.ndarray:
     return new
 
 
-def _deleted(state: DataFrame) -> None:
-    """Remove a written state that a later one has replaced."""
-    jvm, session = state.sparkSession._jvm, state.sparkSession._jsparkSession
-    for name in {file.rpartition("/")[0] for file in state.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(name)
-        path.getFileSystem(session.sessionState().newHadoopConf()).delete(path, True)
-
-
 STATE = "vec_id string, v array<long>, cluster int, distance long, known binary, seen binary, compared long"
 
 
@@ -158,7 +150,7 @@ def clustered(
     for i in range(rounds + 1):
         last, state = state, staged(state.mapInPandas(_assigner(history), STATE), "assigned")
         compared.append(state.agg(F.sum("compared")).first()[0] or 0)
-        _deleted(vectors if i == 0 else last)
+        deleted(vectors if i == 0 else last)
         if i < rounds:
             history.append(_moved(state, history[-1]))
             state = state.drop("distance", "compared")

@@ -9,6 +9,7 @@ from tramline.session import run_dir
 
 # A word is a run of anything but these characters. The same set is what ``bytes.split()`` splits on.
 BLANKS = " \t\n\x0b\x0c\r"
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 GAP = r"[\x20\x09-\x0D]+"
 
 
@@ -32,9 +33,25 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage: the rows, row numbers included, are the same for every later reader,
     whichever executors are lost meanwhile.
     """
-    path = run_dir(df.sparkSession, f"llm-{name}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = run_dir(spark, f"llm-{name}")
+    # The files of its shuffles go with the end of this write, not when the driver's garbage happens to be collected.
+    before = spark.conf.get(CLEAN_UP, None)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEAN_UP) if before is None else spark.conf.set(CLEAN_UP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def deleted(*tables: DataFrame) -> None:
+    """Remove staged tables that nothing reads any more."""
+    for df in tables:
+        jvm, session = df.sparkSession._jvm, df.sparkSession._jsparkSession
+        for name in {file.rpartition("/")[0] for file in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(session.sessionState().newHadoopConf()).delete(path, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

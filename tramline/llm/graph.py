@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tramline.llm.common import staged
+from tramline.llm.common import deleted, staged
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -34,7 +34,8 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         small = small.unionByName(least.select("a", F.col("m").alias("b"))).filter("a <> b").distinct()
-        current = staged(small, name)
+        last, current = current, staged(small, name)
+        deleted(last)
         now = _state(current)
         if now == seen:
             break

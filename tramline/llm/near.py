@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tramline.llm.common import staged, table, words
+from tramline.llm.common import deleted, staged, table, words
 from tramline.llm.graph import components
 
 SHINGLE = 5
@@ -181,7 +181,9 @@ def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
     joined = staged(components(ends), "joined")
     new = joined.select(F.col("node").alias("root"), F.col("root").alias("new"))
     moved = roots.join(new, "root", "left").select("node", F.coalesce("new", "root").alias("root"))
-    return staged(moved.unionByName(joined.join(roots, "node", "left_anti").select("node", "root")), "roots")
+    merged = staged(moved.unionByName(joined.join(roots, "node", "left_anti").select("node", "root")), "roots")
+    deleted(joined, roots)
+    return merged
 
 
 def _prefix_pairs(nodes: DataFrame, sets: DataFrame, needed: int) -> DataFrame:
@@ -255,6 +257,7 @@ def near_classes(
     split = rooted.groupBy("bucket").agg(F.min("node_root").alias("r1"), F.max("node_root").alias("r2")).filter("r1 <> r2")
     contested = rooted.join(split, "bucket", "left_semi").select("node", F.col("node_root").alias("root")).distinct()
     found = staged(_verified(_prefix_pairs(contested, sets, needed), sets, needed), "links")
+    deleted(members, sets, met)
     links, roots = links.unionByName(found), _merged(roots, found)
 
     degree = links.distinct().select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("links"))

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.llm.common import remainder, staged, table, text_or_empty
+from tramline.llm.common import deleted, remainder, staged, table, text_or_empty
 from tramline.llm.near import near_classes
 
 # Letters that a sign or digit may stand for.
@@ -108,7 +108,7 @@ def _classes() -> tuple[np.ndarray, np.ndarray]:
         if chr(point).isalpha():
             letter[point] = 1
     letter[0x250:0x2000] = 1
-    every = "".join(map(chr, range(0x110000)))
+    every = np.arange(0x110000, dtype="<u4").tobytes().decode("utf-32-le", "surrogatepass")
     for pattern, which in ((ONLY_LETTERS, 1), (GAPS, 0)):
         for run in pattern.finditer(every):
             kind[run.start() : run.end()] = which
@@ -131,8 +131,8 @@ def _count_trigrams(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     letter, _ = _classes()
     counts = np.zeros(SIZE**3, np.int64)
     for frame in frames:
-        for start in range(0, len(frame), 256):
-            texts = [f"  {text.lower()} " for text in frame["text"][start : start + 256] if text]
+        for start in range(0, len(frame), 64):
+            texts = [f"  {text.lower()} " for text in frame["text"][start : start + 64] if text]
             if texts:
                 c = letter[_points("".join(texts))].astype(np.int32)
                 codes = (c[:-2] * SIZE + c[1:-1]) * SIZE + c[2:]
@@ -502,6 +502,7 @@ def fit(texts: DataFrame, labelled: DataFrame, fit_rows: int = FIT_ROWS) -> Mode
     prior = toxic / (toxic + clean) if toxic else 0.0
     hits = rows.mapInPandas(_scorer(Model(costs, weights, prior, 0.0), ["label"]), "label int, score double")
     none = hits.filter("score = 0").agg(F.sum("label").alias("t"), F.count(F.lit(1)).alias("n")).first()
+    deleted(rows, toxic_rows)
     return Model(costs, weights, prior, ((none["t"] or 0) + 0.05) / (none["n"] + 1))
 
 
