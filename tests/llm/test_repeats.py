@@ -153,3 +153,18 @@ def test_staged_tables_leave_no_shuffle_files(spark):
     assert spark.conf.get(CLEAN_UP, None) != "true" and table.count() == 7
     deleted(table)
     assert table.inputFiles() and not any(os.path.exists(f.removeprefix("file://")) for f in table.inputFiles())
+
+
+def test_ranks_need_few_sorts(monkeypatch):
+    text = np.frombuffer(b"abab" * 20 + b"\xff" + b"abababab" * 30 + b"\xff", np.uint8)
+    calls, dense = [], repeats._dense
+    monkeypatch.setattr(repeats, "_dense", lambda keys, width: calls.append(width) or dense(keys, width))
+    rank, half = repeats._ranks(text)
+    suffixes = [bytes(text[i:]) for i in range(len(text))]
+    order = sorted(set(suffixes))
+    assert rank.tolist() == [order.index(x) for x in suffixes]
+    short = sorted({x[:32] for x in suffixes})
+    assert half.tolist() == [short.index(x[:32]) for x in suffixes]
+    assert len(calls) <= 8
+    keys = np.array([5, 3, 5, 1 << 60], np.uint64)
+    assert [dense(keys, width)[0].tolist() for width in (61, 64)] == [[1, 0, 1, 2]] * 2

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tramline.llm.common import staged, table, text_or_empty
+from tramline.llm.common import deleted, staged, table, text_or_empty
 from tramline.llm.exact import heavy_digests
 from tramline.llm.near import _mixed
 
@@ -73,28 +73,50 @@ class RunIndex:
     ends: np.ndarray  # text place at the last row of the run
     intervals: np.ndarray  # first row of each interval of suffixes equal in LENGTH bytes
     firsts: np.ndarray  # smallest document in it
+    run: np.ndarray  # run of each row
+    interval: np.ndarray  # interval of each row
 
     def back(self, rows: np.ndarray) -> np.ndarray:
         """Rows of the suffixes one place further left."""
-        run = np.searchsorted(self.starts, rows, side="right") - 1
+        run = self.run[rows]
         return self.targets[run] + rows - self.starts[run]
 
     def first(self, rows: np.ndarray) -> np.ndarray:
-        return self.firsts[np.searchsorted(self.intervals, rows, side="right") - 1]
+        return self.firsts[self.interval[rows]]
+
+
+def _dense(keys: np.ndarray, width: int) -> tuple[np.ndarray, int]:
+    """Rank of each of the ``keys``, which have ``width`` bits, and how many ranks there are."""
+    bits = len(keys).bit_length()
+    if width + bits <= 64:  # places travel in the low bits, so whole numbers are sorted
+        both = np.sort((keys << np.uint64(bits)) | np.arange(len(keys), dtype=np.uint64))
+        order, keys = (both & np.uint64((1 << bits) - 1)).astype(np.int64), both >> np.uint64(bits)
+    else:
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+    ranks = np.cumsum(np.concatenate([[False], keys[1:] != keys[:-1]]))
+    out = np.empty(len(keys), np.int64)
+    out[order] = ranks
+    return out, int(ranks[-1]) + 1
 
 
 def _ranks(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rank of every suffix, and rank by its first 32 letters, by prefix doubling."""
-    rank, size, half = text.astype(np.int64), 1, None
+    """Rank of every suffix, and rank by its first 32 letters, by prefix doubling from four letters on."""
+    letters = np.append(text.astype(np.uint64) + np.uint64(1), np.zeros(3, np.uint64))
+    keys, size, half = np.zeros(len(text), np.uint64), 4, None
+    for i in range(size):
+        keys = (keys << np.uint64(9)) | letters[i : i + len(text)]
+    rank, count = _dense(keys, 9 * size)
+    bits = (len(text) + 1).bit_length()
     while True:
-        shifted = np.zeros(len(rank), np.int64)
-        shifted[:-size] = rank[size:] + 1
-        values, rank = np.unique(rank * (int(rank.max()) + 2) + shifted, return_inverse=True)
-        size *= 2
         if size == 32:
             half = rank
-        if len(values) == len(rank) and half is not None or size > len(rank):
+        if count == len(rank) or size > len(rank):
             return rank, half if half is not None else rank
+        shifted = np.zeros(len(rank), np.uint64)
+        shifted[:-size] = rank[size:] + 1
+        rank, count = _dense((rank.astype(np.uint64) << np.uint64(bits)) | shifted, 2 * bits)
+        size *= 2
 
 
 def build(strings: list[bytes], docs: np.ndarray) -> tuple[RunIndex, np.ndarray]:
@@ -117,7 +139,8 @@ def build(strings: list[bytes], docs: np.ndarray) -> tuple[RunIndex, np.ndarray]
     intervals = np.flatnonzero(np.concatenate([[True], ~same]))
     owner = np.repeat(docs, lengths)[order]
     ends = order[starts + sizes - 1]
-    index = RunIndex(starts, heads, targets, ends, intervals, np.minimum.reduceat(owner, intervals))
+    run, interval = np.repeat(np.arange(len(starts), dtype=np.int32), sizes), np.cumsum(np.concatenate([[False], ~same]), dtype=np.int32)
+    index = RunIndex(starts, heads, targets, ends, intervals, np.minimum.reduceat(owner, intervals), run, interval)
     return index, rank[np.cumsum(lengths) - 1]
 
 
@@ -125,15 +148,16 @@ def first_holders(strings: list[bytes], docs: np.ndarray) -> list[np.ndarray]:
     """For each string and each place with LENGTH bytes after it: the smallest document with these bytes."""
     index, rows = build(strings, docs)
     lengths = np.fromiter(map(len, strings), np.int64, len(strings))
-    out = [np.empty(max(n - LENGTH + 1, 0), np.int64) for n in lengths]
+    ends = np.cumsum(np.maximum(lengths - LENGTH + 1, 0))
+    out = np.empty(int(ends[-1]) if len(ends) else 0, np.int64)
+    last = ends + LENGTH - 1  # place 0 of the next string is where the last of this one would end
     on = np.arange(len(strings))
     for step in range(1, int(lengths.max(initial=0)) + 1):
         keep = lengths[on] >= step
         on, rows = on[keep], index.back(rows[keep])
         if step >= LENGTH:
-            for i, doc in zip(on, index.first(rows), strict=True):
-                out[i][lengths[i] - step] = doc
-    return out
+            out[last[on] - step] = index.first(rows)
+    return np.split(out, ends[:-1])
 
 
 def _anchors(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -154,32 +178,49 @@ def _anchors(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     import xxhash
 
+    columns = ["row", "doc", "start", "anchor"]
     for frame in frames:
-        out = []
+        cut, numbers = [], []
+
+        def out():
+            marks = np.fromiter(map(xxhash.xxh3_64_intdigest, cut), np.uint64, len(cut)) ^ np.uint64(1 << 63)
+            found = np.concatenate(numbers, axis=1) if numbers else np.zeros((len(columns), 0), np.int64)
+            return pd.DataFrame(dict(zip(columns, found, strict=True)) | {"mark": marks.view(np.int64), "piece": cut})
+
         for row, doc, text, shared in zip(frame["row"], frame["doc"], frame["text"], frame["shared"], strict=True):
             raw = text.encode("utf-8", "replace")
             anchors, starts, lengths = pieces(raw)
-            for i in np.flatnonzero(np.isin(anchors, np.asarray(shared, np.int64))):
-                piece = raw[starts[i] : starts[i] + lengths[i]]
-                out.append((row, doc, starts[i], anchors[i], xxhash.xxh3_64_intdigest(piece) - (1 << 63), piece))
-            if len(out) > 100_000:
-                yield pd.DataFrame(out, columns=["row", "doc", "start", "anchor", "mark", "piece"])
-                out = []
-        yield pd.DataFrame(out, columns=["row", "doc", "start", "anchor", "mark", "piece"])
+            at = np.flatnonzero(np.isin(anchors, np.asarray(shared, np.int64)))
+            starts = starts[at]
+            cut += [raw[a:b] for a, b in zip(starts.tolist(), (starts + lengths[at]).tolist(), strict=True)]
+            numbers.append(np.stack([np.full(len(at), row), np.full(len(at), doc), starts, anchors[at]]))
+            if len(cut) > 100_000:
+                yield out()
+                cut, numbers = [], []
+        yield out()
 
 
 def _indexed(group: pd.DataFrame) -> pd.DataFrame:
     """Spans of equal first document in the pieces of a group; places count from the piece's start."""
     group = group.sort_values(["anchor", "mark"], ignore_index=True)
-    out = []
     holders = first_holders(group["piece"].tolist(), group["low"].to_numpy())
-    for anchor, mark, low, high, first in zip(group["anchor"], group["mark"], group["low"], group["high"], holders, strict=True):
-        if low == high and (first == low).all():
-            continue
-        cuts = np.flatnonzero(np.concatenate([[True], first[1:] != first[:-1]]))
-        for a, b in zip(cuts, np.append(cuts[1:], len(first)), strict=True):
-            out.append((anchor, mark, a, b - 1 + LENGTH, first[a]))
-    return pd.DataFrame(out, columns=["anchor", "mark", "from", "to", "first"])
+    first, sizes = np.concatenate(holders), np.fromiter(map(len, holders), np.int64, len(holders))
+    begins, of = np.cumsum(sizes) - sizes, np.repeat(np.arange(len(holders)), sizes)
+    cuts = np.flatnonzero(np.concatenate([[True], (first[1:] != first[:-1]) | (of[1:] != of[:-1])]))
+    of, ends = of[cuts], np.append(cuts[1:], len(first))
+    low, high = group["low"].to_numpy(), group["high"].to_numpy()
+    # Of a piece that one document has alone, only what others have as well.
+    keep = (low != high)[of] | (np.bincount(of, minlength=len(holders))[of] > 1) | (first[cuts] != low[of])
+    cuts, ends, of = cuts[keep], ends[keep], of[keep]
+    return pd.DataFrame(
+        {
+            "anchor": group["anchor"].to_numpy()[of],
+            "mark": group["mark"].to_numpy()[of],
+            "from": cuts - begins[of],
+            "to": ends - begins[of] - 1 + LENGTH,
+            "first": first[cuts],
+        }
+    )
 
 
 def _strings(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -274,6 +315,8 @@ def without_long_repeats(docs: DataFrame, with_bytes: bool = False, anchor_bytes
     met = cuts.select("row", "doc", "start", "anchor", "mark").join(spans, ["anchor", "mark"]).filter("first < doc")
     span = F.struct((F.col("start") + F.col("from")).alias("from"), (F.col("start") + F.col("to")).alias("to"))
     ranges = met.select("row", span.alias("span")).distinct().groupBy("row").agg(F.collect_list("span").alias("spans"))
+    ranges = staged(ranges, "ranges")
+    deleted(cuts, distinct, large, hot)
     judged = some.dropDuplicates(["row"]).select("row", "text").join(ranges, "row")
     judged = judged.mapInPandas(_removed, "row long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     if not with_bytes:
