@@ -39,6 +39,8 @@ DIVERGENCE = 20.0
 DISCOUNT = 0.5
 # Numbers of the tree held where texts are read, at most.
 HELD = 300_000
+# Words that a task counts before it gives their counts away.
+WAITING = 100_000
 # Bits of a filter; keys beyond what it can tell apart only travel for nothing.
 BITS = 25
 # Bits by which keys turn from token to token, so that order counts.
@@ -52,7 +54,7 @@ def _count_words(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         for text in frame["text"]:
             learned.update(text.encode("utf-8", "replace").lower().split())
-            if len(learned) > 1_000_000:
+            if len(learned) > WAITING:
                 yield pd.DataFrame({"word": list(learned), "c": list(learned.values())})
                 learned.clear()
     if learned:  # an empty column has no kind
