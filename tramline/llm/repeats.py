@@ -246,8 +246,8 @@ def _by_string(distinct: DataFrame) -> DataFrame:
     return met.select("anchor", "mark", "from", (F.col("from") + LENGTH).alias("to"), "first")
 
 
-def _spans(cuts: DataFrame, anchor_bytes: int) -> DataFrame:
-    """Staged spans of equal first document in the distinct pieces of ``cuts``; all pieces of an anchor are there."""
+def _ranges(cuts: DataFrame, anchor_bytes: int) -> DataFrame:
+    """Staged rows and spans of theirs that an earlier document has; ``cuts`` has all pieces of an anchor or none."""
     distinct = cuts.groupBy("anchor", "mark").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.first("piece").alias("piece"))
     distinct = staged(distinct, "pieces")
     sizes = distinct.groupBy("anchor").agg(F.sum(F.octet_length("piece")).alias("size"))
@@ -260,7 +260,11 @@ def _spans(cuts: DataFrame, anchor_bytes: int) -> DataFrame:
     spans = spans.applyInPandas(_indexed, "anchor long, mark long, from long, to long, first long")
     spans = staged(spans.unionByName(_by_string(distinct.join(large, "anchor", "left_semi"))), "spans")
     deleted(distinct, large)
-    return spans
+    met = cuts.select("row", "doc", "start", "anchor", "mark").join(spans, ["anchor", "mark"]).filter("first < doc")
+    span = F.struct((F.col("start") + F.col("from")).alias("from"), (F.col("start") + F.col("to")).alias("to"))
+    ranges = staged(met.select("row", span.alias("span")).distinct(), "ranges")
+    deleted(spans)
+    return ranges
 
 
 def _removed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -322,14 +326,11 @@ def without_long_repeats(docs: DataFrame, with_bytes: bool = False, anchor_bytes
     cuts = some.mapInPandas(_cut, "row long, doc long, start long, anchor long, mark long, piece binary")
     cuts = staged(cuts, "cuts")
     # One part of the anchors after the other, so that the pieces of a part alone lie beside their shuffle.
-    parts = [_spans(cuts.filter(F.pmod("anchor", F.lit(PARTS)) == i), anchor_bytes) for i in range(PARTS)]
-    spans = parts[0]
+    parts = [_ranges(cuts.filter(F.pmod("anchor", F.lit(PARTS)) == i), anchor_bytes) for i in range(PARTS)]
+    ranges = parts[0]
     for part in parts[1:]:
-        spans = spans.unionByName(part)
-    met = cuts.select("row", "doc", "start", "anchor", "mark").join(spans, ["anchor", "mark"]).filter("first < doc")
-    span = F.struct((F.col("start") + F.col("from")).alias("from"), (F.col("start") + F.col("to")).alias("to"))
-    ranges = met.select("row", span.alias("span")).distinct().groupBy("row").agg(F.collect_list("span").alias("spans"))
-    ranges = staged(ranges, "ranges")
+        ranges = ranges.unionByName(part)
+    ranges = staged(ranges.groupBy("row").agg(F.collect_list("span").alias("spans")), "ranges")
     deleted(cuts, hot, *parts)
     judged = some.dropDuplicates(["row"]).select("row", "text").join(ranges, "row")
     judged = judged.mapInPandas(_removed, "row long, n_removed long, n_spans long, kept_sha256 string, kept binary")
