@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tests.llm import helpers
 from tests.llm.helpers import SF, edge, empty
-from tramline.llm import graph, near, paragraphs, repeats
+from tramline.llm import common, graph, near, paragraphs, repeats
 
 
 @pytest.fixture(scope="module")
@@ -34,6 +34,31 @@ def test_components(spark):
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_that_are_found_take_no_more_passes(spark, monkeypatch):
+    """Stars are written once, not once more to see that nothing changes."""
+    written = []
+    monkeypatch.setattr(graph, "staged", lambda df, name: written.append(name) or common.staged(df, name))
+    stars = [(1, i) for i in range(2, 50)] + [(50, i) for i in range(51, 60)]
+    got = {tuple(r) for r in graph.components(spark.createDataFrame(stars, "a long, b long")).collect()}
+    assert got == {(i, 1) for i in range(1, 50)} | {(i, 50) for i in range(50, 60)} and len(written) == 1
+    met = graph.components(spark.createDataFrame([*stars, (50, 2)], "a long, b long"))
+    assert {tuple(r) for r in met.collect()} == {(i, 1) for i in range(1, 60)} and len(written) <= 5
+
+
+def test_components_of_any_graph(spark):
+    rng = np.random.default_rng(5)
+    edges = [tuple(map(int, e)) for e in rng.integers(0, 400, (330, 2))] + [(i, i + 1) for i in range(1000, 1060)] + [(2000 - i, 2100) for i in range(40)]
+    classes = helpers.Classes({i for e in edges for i in e if e[0] != e[1]})
+    for a, b in edges:
+        if a != b:
+            classes.join(a, b)
+    least = {}
+    for i in sorted(classes.parent):
+        least.setdefault(classes.root(i), i)
+    got = [tuple(r) for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()]
+    assert sorted(got) == sorted((i, least[classes.root(i)]) for i in classes.parent)
+
+
 def test_sketch_estimates_probability_jaccard():
     rng = np.random.default_rng(0)
     shared, own = rng.integers(0, 2**63, 300).astype(np.uint64), rng.integers(0, 2**63, 200).astype(np.uint64)
