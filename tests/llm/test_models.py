@@ -1,15 +1,17 @@
 """Toxicity on held-out rows and disguised words; language model against brute force."""
 
 import math
+import os
 import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.helpers import SF, edge, empty
-from tramline.llm import suffix_tree, toxicity
+from tramline.llm import common, suffix_tree, toxicity
 
 SF_MORE = "/root/testdata/sf0.01"
 
@@ -209,3 +211,32 @@ def test_the_decoders_memory_is_bounded_by_letters(decoder):
         small.token(f"w0rd{i}")
         small.decode("a b c d" + "e" * i)
     assert sum(map(len, small.tokens)) <= 100 and sum(map(len, small.known)) <= 100 + 57
+
+
+def test_few_texts_are_in_python_at_once(spark):
+    before = spark.conf.get(common.BATCH)
+    docs = spark.range(0, 5000, 1, 1).select(F.col("id").alias("doc_id"))
+    sizes = docs.mapInPandas(lambda frames: (pd.DataFrame({"n": [len(f)]}) for f in frames), "n long")
+    with common.texts_at_once(spark, 700):
+        assert sizes.agg(F.max("n")).first()[0] == 700
+    assert spark.conf.get(common.BATCH) == before
+
+
+def test_the_most_used_numbers_are_found_by_counts(spark):
+    tree = spark.createDataFrame([(i, 0.5, 2 + 1000 // (i + 1)) for i in range(1000)], "key long, value double, n long")
+    uses = {r["key"]: r["n"] for r in tree.collect()}
+    for held in (0, 3, 100, 999, 1000, 5000):
+        top, far = ([r["key"] for r in part.collect()] for part in suffix_tree._most_used(tree, held))
+        assert len(top) <= held and sorted(top + far) == list(range(1000))
+        assert min((uses[k] for k in top), default=9999) > max((uses[k] for k in far), default=0)
+    assert len(suffix_tree._most_used(tree, 100)[0].collect()) > 80
+
+
+def test_spent_tables_of_the_tree_are_removed(spark):
+    written = []
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(suffix_tree, "staged", lambda df, name: written.append(common.staged(df, name)) or written[-1])
+        got = suffix_tree.op7_lm_scoring(spark, SF)
+    assert got.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
+    left = [df for df in written if any(os.path.exists(f.removeprefix("file:").replace("///", "/")) for f in df.inputFiles())]
+    assert len(written) > 10 and left == [written[-1]]

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +13,7 @@ from tramline.session import run_dir
 # A word is a run of anything but these characters. The same set is what ``bytes.split()`` splits on.
 BLANKS = " \t\n\x0b\x0c\r"
 CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 GAP = r"[\x20\x09-\x0D]+"
 
 
@@ -45,6 +49,18 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def texts_at_once(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Within, tasks hand at most ``rows`` rows at a time to Python, so that neither side holds a whole file of texts."""
+    before = spark.conf.get(BATCH, None)
+    most = int(before or 0)  # none set, or no limit
+    spark.conf.set(BATCH, str(min(rows, most) if most > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.unset(BATCH) if before is None else spark.conf.set(BATCH, before)
+
+
 def deleted(*tables: DataFrame) -> None:
     """Remove staged tables that nothing reads any more."""
     for df in tables:

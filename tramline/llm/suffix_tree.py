@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.llm.common import remainder, staged, table, text_or_empty
+from tramline.llm.common import deleted, remainder, staged, table, text_or_empty, texts_at_once
 from tramline.llm.near import _mixed
 
 # Least share of all tokens that a word needs to be held where texts are read: at most 1 / LEAST_WORD words.
@@ -39,6 +39,8 @@ DIVERGENCE = 20.0
 DISCOUNT = 0.5
 # Numbers of the tree held where texts are read, at most.
 HELD = 300_000
+# Texts that a task holds in Python at once.
+TEXTS = 1_000
 # Words that a task counts before it gives their counts away.
 WAITING = 100_000
 # Bits of a filter; keys beyond what it can tell apart only travel for nothing.
@@ -91,11 +93,9 @@ class Words:
         return np.where(counts > 0, (counts - self.discount()) / max(self.tokens, 1), self.unseen())
 
 
-def _places(text: str, at: dict[bytes, int], end: int) -> tuple[list[bytes], np.ndarray]:
-    """Tokens of a text, and for each and the end its place among the frequent words, -1 for others."""
-    tokens = text.encode("utf-8", "replace").lower().split()
-    places = np.fromiter((at.get(w, -1) for w in tokens), np.int64, len(tokens))
-    return tokens, np.append(places, end)
+def _places(tokens: list[bytes], at: dict[bytes, int], end: int) -> np.ndarray:
+    """For each token and the end its place among the frequent words, -1 for others."""
+    return np.append(np.fromiter(map(at.get, tokens, repeat(-1)), np.int64, len(tokens)), end)
 
 
 def _hashes(tokens: list[bytes]) -> np.ndarray:
@@ -188,7 +188,8 @@ def _grown(training: DataFrame, counted: DataFrame, words: Words, divergence: fl
     """key, value, n: what each state and each of its continuations adds to the logarithm of a probability."""
     ends = training.sparkSession.createDataFrame([(int(END.view(np.int64)), words.texts)], "symbol long, c long")
     counts = counted.select(F.xxhash64("word").alias("symbol"), "c").unionByName(ends.filter("c > 0"))
-    lower = staged(counts.select("symbol", ((F.col("c") - words.discount()) / max(words.tokens, 1)).alias("lower")), "root")
+    last = staged(counts.select("symbol", ((F.col("c") - words.discount()) / max(words.tokens, 1)).alias("lower")), "root")
+    lower = last
     totals, on, parts = counts.filter(F.col("c") >= LEAST_STATE).select(F.col("symbol").alias("state"), F.col("c").alias("t")), ["symbol"], []
     totals = staged(totals, "totals")
     key = _after_column(F.col("state"), F.col("symbol"))
@@ -211,15 +212,34 @@ def _grown(training: DataFrame, counted: DataFrame, words: Words, divergence: fl
         grown = kept.join(states, "state")
         grown = grown.withColumn("p", F.when(F.col("is"), (F.col("n") - DISCOUNT) / F.col("t") + F.col("left") * F.col("lower")).otherwise(F.col("lower")))
         grown = staged(grown.select("state", "symbol", "n", "is", "left", "lower", "p"), "grown")
-        parts.append(states.filter("is").select(F.bitwise_not("state").alias("key"), F.log10("left").alias("value"), F.col("t").alias("n")))
         added = F.log10("p") - F.log10("lower") - F.log10("left")
-        parts.append(grown.filter("is").select(key.alias("key"), added.alias("value"), "n"))
+        part = states.filter("is").select(F.bitwise_not("state").alias("key"), F.log10("left").alias("value"), F.col("t").alias("n"))
+        parts.append(staged(part.unionByName(grown.filter("is").select(key.alias("key"), added.alias("value"), "n")), "tree"))
+        spent = (totals, kept, states, last)
         totals = staged(grown.filter(F.col("n") >= LEAST_STATE).select(key.alias("state"), F.col("n").alias("t")), "totals")
-        lower, on = grown.select(F.col("state").alias("suffix"), "symbol", F.col("p").alias("lower")), ["suffix", "symbol"]
+        deleted(*spent)
+        last, lower, on = grown, grown.select(F.col("state").alias("suffix"), "symbol", F.col("p").alias("lower")), ["suffix", "symbol"]
+    deleted(totals, last)
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    return staged(out, "tree")
+    return out
+
+
+def _most_used(tree: DataFrame, held: int) -> tuple[DataFrame, DataFrame]:
+    """At most ``held`` numbers of the tree, those used most, and the others.
+
+    Uses are told apart by 64 steps for each doubling, so the driver sees a few thousand counts however large the tree.
+    """
+    step = F.floor(64 * F.log2("n"))
+    counts = sorted(((r["s"], r["k"]) for r in tree.groupBy(step.alias("s")).agg(F.count(F.lit(1)).alias("k")).collect()), reverse=True)
+    least = counts[0][0] + 1 if counts else 0
+    for s, k in counts:
+        held -= k
+        if held < 0:
+            break
+        least = s
+    return tree.filter(step >= least), tree.filter(step < least)
 
 
 def _score(words: Words, held: pd.DataFrame, bits: np.ndarray, depth: int):
@@ -234,13 +254,17 @@ def _score(words: Words, held: pd.DataFrame, bits: np.ndarray, depth: int):
     def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at = {w: i for i, w in enumerate(words.names)}
         counts = np.append(words.counts, words.texts)
+        hashes = _hashes(words.names)
         base = np.log10((counts + 1) / (words.tokens + words.distinct + 1))
         root = np.log10(words.root(counts.astype(float)))
         for frame in frames:
             rows = []
             for doc_id, held_out, text in zip(frame["doc_id"], frame["held_out"], frame["text"], strict=True):
-                tokens, places = _places(text, at, words.end)
-                h = _hashes(tokens)
+                tokens = text.encode("utf-8", "replace").lower().split()
+                places = _places(tokens, at, words.end)
+                others = np.flatnonzero(places < 0)
+                h = hashes[places]
+                h[others] = _hashes([tokens[i] for i in others.tolist()])[:-1]
                 known = places[places >= 0]
                 keys = []
                 for state, _, symbol in _levels(h, depth):
@@ -249,7 +273,7 @@ def _score(words: Words, held: pd.DataFrame, bits: np.ndarray, depth: int):
                 maybe = keys[_passes(near, keys)]
                 found = np.minimum(np.searchsorted(held_keys, maybe), len(held_keys) - 1) if len(held_keys) else None
                 own = held_values[found][held_keys[found] == maybe].sum() if len(held_keys) else 0.0
-                rare, n = np.unique(h[places < 0], return_counts=True)
+                rare, n = np.unique(h[others], return_counts=True)
                 far, m = np.unique(keys[_passes(bits, keys)], return_counts=True)
                 rows.append(
                     (
@@ -286,7 +310,11 @@ def scored_texts(docs: DataFrame, held_out: Column, divergence: float = DIVERGEN
     )
     training = rows.filter(~F.col("held_out")).select("text")
     counted = training.mapInPandas(_count_words, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
-    counted = staged(counted, "words")
+    with texts_at_once(docs.sparkSession, TEXTS):
+        return _learned_and_scored(rows, training, staged(counted, "words"), divergence, depth, held)
+
+
+def _learned_and_scored(rows: DataFrame, training: DataFrame, counted: DataFrame, divergence: float, depth: int, held: int) -> DataFrame:
     texts = training.count()
     sums = counted.agg(
         F.coalesce(F.sum("c"), F.lit(0)).alias("n"),
@@ -307,42 +335,41 @@ def scored_texts(docs: DataFrame, held_out: Column, divergence: float = DIVERGEN
         sums["twice"],
     )
     tree = _grown(training, counted, words, divergence, depth)
-    top = tree.orderBy(F.desc("n"), "key").limit(held).toPandas()  # at most ``held`` rows
-    far = tree
-    if len(top):
-        n, key = int(top["n"].iloc[-1]), int(top["key"].iloc[-1])
-        far = tree.filter((F.col("n") < n) | ((F.col("n") == n) & (F.col("key") > key)))
+    top, far = _most_used(tree, held)
+    top = top.toPandas()  # at most ``held`` rows
 
     schema = "doc_id string, held_out boolean, n_tokens long, n_known long, base double, score double, keys array<long>, counts array<long>"
     read = rows.mapInPandas(_score(words, top, _filter(far.select("key")), depth), schema)
-    read = read.withColumn("row", F.monotonically_increasing_id())
-    # The row's own sums stand beside its first key alone.
+    # Whole numbers from here on: sums over columns of fixed size need no sort.
+    read = read.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("row", F.monotonically_increasing_id())
+    # The row's own sums stand beside its first key alone, as one value, which is mostly null.
     own = ["doc_id", "held_out", "n_tokens", "n_known", "base", "score"]
-    spread = read.select("row", *own, F.posexplode_outer(F.arrays_zip("keys", "counts")))
+    spread = read.select("row", F.struct(*own).alias("own"), F.posexplode_outer(F.arrays_zip("keys", "counts")))
     first = F.coalesce(F.col("pos"), F.lit(0)) == 0
-    spread = spread.select(
-        "row", *[F.when(first, F.col(c)).alias(c) for c in own], F.col("col.keys").alias("key"), F.col("col.counts").alias("m")
-    )
+    spread = spread.select("row", F.when(first, F.col("own")).alias("own"), F.col("col.keys").alias("key"), F.col("col.counts").alias("times"))
     # Words and numbers of the tree are kinds of their own, so one join serves both.
-    spread = spread.withColumn("is_word", F.col("m") > 0).withColumn("m", F.abs("m"))
     looked = counted.filter(~is_frequent).select(F.xxhash64("word").alias("key"), F.lit(True).alias("is_word"), "c", F.lit(None).cast("double").alias("value"))
     looked = looked.unionByName(far.select("key", F.lit(False).alias("is_word"), F.lit(None).cast("long").alias("c"), "value"))
-    met = spread.join(looked, ["key", "is_word"], "left")
+    met = spread.join(looked.withColumnRenamed("key", "k"), (F.col("key") == F.col("k")) & ((F.col("times") > 0) == F.col("is_word")), "left")
+    met = met.select("row", *[F.col(f"own.{c}").alias(c) for c in own], "c", "value", (F.col("times") > 0).alias("is_word"), F.abs("times").alias("m"))
     c = F.coalesce("c", F.lit(0))
     word_base = F.log10((c + 1) / F.lit(float(tokens + words.distinct + 1)))
     word_root = F.log10(F.when(c > 0, (c - words.discount()) / float(max(tokens, 1))).otherwise(words.unseen()))
     added = F.when(F.col("is_word"), word_root).otherwise(F.coalesce("value", F.lit(0.0)))
     summed = met.groupBy("row").agg(
-        F.max("doc_id").cast("long").alias("doc_id"),
+        F.max("doc_id").alias("doc_id"),
         F.max("held_out").alias("held_out"),
         F.max("n_tokens").alias("n_tokens"),
         (F.sum("n_known") + F.coalesce(F.sum(F.when(c > 0, F.col("m"))), F.lit(0))).alias("n_known"),
         (F.sum("base") + F.coalesce(F.sum(F.when(F.col("is_word"), F.col("m") * word_base)), F.lit(0.0))).alias("base_score"),
         (F.sum("score") + F.coalesce(F.sum(F.col("m") * added), F.lit(0.0))).alias("score"),
     )
-    return summed.select(
+    summed = summed.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score"
     )
+    summed = staged(summed, "scores")
+    deleted(counted, tree)
+    return summed
 
 
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
