@@ -193,3 +193,36 @@ def test_ranks_need_few_sorts(monkeypatch):
     assert len(calls) <= 8
     keys = np.array([5, 3, 5, 1 << 60], np.uint64)
     assert [dense(keys, width)[0].tolist() for width in (61, 64)] == [[1, 0, 1, 2]] * 2
+
+
+def test_no_texts_lie_beside_their_pieces(spark, monkeypatch):
+    """While anchors are indexed, of all tables written before only facts, heavy and hot ones and the pieces are left."""
+    written, left = {}, []
+
+    def kept(df, name):
+        written[name] = common.staged(df, name)
+        return written[name]
+
+    def ranges(cuts, anchor_bytes, own=repeats._ranges):
+        files = {name: df.inputFiles() for name, df in written.items() if name in ("facts", "heavy", "hot", "shared", "cuts")}
+        left.append({name for name, names in files.items() if any(os.path.exists("/" + f.removeprefix("file:").lstrip("/")) for f in names)})
+        return own(cuts, anchor_bytes)
+
+    monkeypatch.setattr(repeats, "staged", kept)
+    monkeypatch.setattr(repeats, "_ranges", ranges)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    got = repeats.without_long_repeats(docs).collect()
+    assert left == [{"facts", "heavy", "hot", "cuts"}] * repeats.PARTS
+    want = helpers.long_repeats([(r["doc_id"], r["text"]) for r in docs.collect()])
+    assert sorted(tuple(r) for r in got) == want
+
+
+def test_anchors_of_many_texts_are_shared_by_all(spark):
+    """Anchors that the sample finds hot, also of document 0, and anchors of one document alone."""
+    rng = np.random.default_rng(9)
+    words = lambda n: " ".join(f"w{i}" for i in rng.integers(0, 10**9, n))
+    common_text = words(40)
+    docs = [(i, f"{words(12)} {common_text} {words(12)}") for i in range(3000)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r["doc_id"]: r["n_removed"] for r in repeats.without_long_repeats(frame).collect()}
+    assert got[0] == 0 and all(got[i] >= len(common_text) for i in range(1, 3000)) and len(got) == 3000
