@@ -2,6 +2,7 @@ import hashlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -163,3 +164,31 @@ def test_ids_of_whole_texts_and_a_small_memory(monkeypatch):
     monkeypatch.setattr(alignment, "KNOWN_WORDS", 50)
     assert a.encode(texts[:50]) == [e.ids for e in whole[:50]]
     assert len(a.known) < 100_000
+
+
+def test_words_in_use_are_taken_over_and_unspelled_ones_end_a_text():
+    merged = []
+
+    def merge(word):
+        merged.append(word)
+        if word == "bad":
+            raise alignment.Unspelled
+        return [len(word)]
+
+    known = alignment.Known(merge, {"old": [7], "unused": [8]})
+    assert [known[w] for w in ("old", "word", "old", "word")] == [[7], [4], [7], [4]]
+    assert merged == ["word"] and dict(known) == {"old": [7], "word": [4]} and known.letters == 7
+    with pytest.raises(alignment.Unspelled):
+        known["bad"]
+    assert "bad" not in known and known.letters == 7
+
+
+def test_blocks_do_not_search_remembered_words_for_cycles(monkeypatch):
+    """After a block only what is new since the last ones is searched."""
+    searched = []
+    monkeypatch.setattr(alignment.gc, "collect", lambda generation=2: searched.append(generation) or 0)
+    monkeypatch.setattr(alignment.TaskContext, "get", classmethod(lambda cls: type("T", (), {"partitionId": lambda self: 0})()))
+    frame = pd.DataFrame({"doc_id": [str(i) for i in range(40)], "text": [f"some words and {i} more of them" for i in range(40)]})
+    made = list(alignment._blocks(None, None, 64, 16)(iter([frame])))
+    assert sum(len(b["doc_id"].iloc[0]) for b in made) == 40
+    assert searched and set(searched) == {1}

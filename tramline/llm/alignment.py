@@ -86,6 +86,25 @@ def words_of_sure_signs():
     ).findall
 
 
+class Unspelled(Exception):
+    """A word's ids do not give its bytes."""
+
+
+class Known(dict):
+    """Words and their ids; a word it lacks is taken over from the memory before, or merged."""
+
+    def __init__(self, merged, before: dict[str, list[int]]) -> None:
+        self.merged, self.before, self.letters = merged, before, 0
+
+    def __missing__(self, word: str) -> list[int]:
+        own = self.before.get(word)
+        if own is None:
+            own = self.merged(word)
+        self[word] = own
+        self.letters += len(word)
+        return own
+
+
 class ByteLevel(Side):
     """A byte-level BPE in JSON form.
 
@@ -104,9 +123,7 @@ class ByteLevel(Side):
         super().__init__([bytes(alphabet[c] for c in n) if all(c in alphabet for c in n) else n.encode() for n in names])
         self.cut = self._cutter()
         self.letters = {b: c for c, b in alphabet.items()}
-        self.known: dict[str, list[int]] = {}
-        self.before: dict[str, list[int]] = {}
-        self.known_letters = 0
+        self.known = Known(self._merged, {})
 
     def _cutter(self):
         """The function that cuts a text of sure signs into words, if the tokenizer is of the plain byte-level kind."""
@@ -124,25 +141,22 @@ class ByteLevel(Side):
         }
         return [found[i] if i in found else self._by_word(" " + t) for i, t in enumerate(texts)]
 
-    def _merged(self, word: str) -> list[int] | None:
+    def _merged(self, word: str) -> list[int]:
         spelled = word.encode().decode("latin-1").translate(self.letters)
         ids = [t.id for t in self.tokenizer.model.tokenize(spelled)]
-        return ids if self.spells(ids, word.encode()) else None
+        if not self.spells(ids, word.encode()):
+            raise Unspelled
+        return ids
 
     def _by_word(self, text: str) -> list[int] | None:
-        known, ids = self.known, []
-        for word in self.cut(text):
-            own = known.get(word)
-            if own is None:
-                own = self.before[word] if word in self.before else self._merged(word)
-                if own is None:
-                    return None
-                known[word] = own
-                self.known_letters += len(word)
-            ids.extend(own)
-        if len(known) > KNOWN_WORDS or self.known_letters > KNOWN_LETTERS:
+        known = self.known
+        try:
+            ids = list(chain.from_iterable(map(known.__getitem__, self.cut(text))))
+        except Unspelled:
+            ids = None
+        if len(known) > KNOWN_WORDS or known.letters > KNOWN_LETTERS:
             # Words in use are taken over from the memory before; the rest goes with the next.
-            self.before, self.known, self.known_letters = known, {}, 0
+            self.known = Known(self._merged, dict(known))
         return ids
 
 
@@ -333,7 +347,7 @@ def _blocks(a_path: str | None, b_path: str | None, batch_bytes: int, block_pair
             if held >= block_pairs or len(docs) >= block_pairs:
                 yield _block(number, docs)
                 number, held, docs = number + 1, 0, []
-                gc.collect()
+                gc.collect(1)  # this block's cycles and those that the one before still used, not the words remembered
         if docs:
             yield _block(number, docs)
 
