@@ -239,4 +239,17 @@ def test_spent_tables_of_the_tree_are_removed(spark):
         got = suffix_tree.op7_lm_scoring(spark, SF)
     assert got.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
     left = [df for df in written if any(os.path.exists(f.removeprefix("file:").replace("///", "/")) for f in df.inputFiles())]
-    assert len(written) > 10 and left == [written[-1]]
+    assert len(written) > 10 and left == written[-suffix_tree.PARTS :]  # the scores
+
+
+def test_a_continuation_is_looked_up_only_if_its_context_may_be_a_state():
+    words = suffix_tree.Words([b"a", b"b"], np.array([9, 9]), 20, 3, 2, 1, 0)
+    held = pd.DataFrame({"key": np.zeros(0, np.int64), "value": np.zeros(0)})
+    h = suffix_tree._hashes([b"a", b"b"])
+    pair = suffix_tree._after(h[:1], h[1:2])
+    frame = pd.DataFrame({"doc_id": ["1"], "held_out": [True], "text": ["a b"]})
+    for keys, found in ((pair, 0), (np.concatenate([~h[:1], pair]), 2)):
+        bits = np.zeros(1 << (suffix_tree.BITS - 3), np.uint8)
+        suffix_tree._mark(bits, keys)
+        row = next(suffix_tree._score(words, held, bits, 3)(iter([frame]))).iloc[0]
+        assert (row["counts"] < 0).sum() == found

@@ -44,7 +44,9 @@ TEXTS = 1_000
 # Words that a task counts before it gives their counts away.
 WAITING = 100_000
 # Bits of a filter; keys beyond what it can tell apart only travel for nothing.
-BITS = 25
+BITS = 26
+# Parts of the texts scored one after the other; what one looks up is gone before the next begins.
+PARTS = 2
 # Bits by which keys turn from token to token, so that order counts.
 TURN = 13
 SEED = 42  # of Spark's xxhash64
@@ -132,16 +134,20 @@ def _bits(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (mixed & mask).astype(np.int64), (mixed >> np.uint64(64 - BITS)).astype(np.int64)
 
 
+def _mark(bits: np.ndarray, keys: np.ndarray) -> None:
+    for place in _bits(keys):
+        np.bitwise_or.at(bits, place >> 3, np.left_shift(1, place & 7).astype(np.uint8))
+
+
 def _filter(keys: DataFrame) -> np.ndarray:
     """A filter of fixed size that lets all ``keys`` (one column of longs) through."""
     name = keys.columns[0]
 
     def fill(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bits = np.zeros(1 << BITS, bool)
+        bits = np.zeros(1 << (BITS - 3), np.uint8)
         for frame in frames:
-            for place in _bits(frame[name].to_numpy(np.int64).view(np.uint64)):
-                bits[place] = True
-        yield pd.DataFrame({"bits": [np.packbits(bits, bitorder="little").tobytes()]})
+            _mark(bits, frame[name].to_numpy(np.int64).view(np.uint64))
+        yield pd.DataFrame({"bits": [bits.tobytes()]})
 
     out = np.zeros(1 << (BITS - 3), np.uint8)
     for row in keys.coalesce(4).mapInPandas(fill, "bits binary").toLocalIterator():  # at most 4 filters
@@ -247,11 +253,10 @@ def _score(words: Words, held: pd.DataFrame, bits: np.ndarray, depth: int):
     held_keys = held["key"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(held_keys)
     held_keys, held_values = held_keys[order], held["value"].to_numpy(float)[order]
-    near = np.zeros(1 << (BITS - 3), np.uint8)
-    for place in _bits(held_keys):
-        np.bitwise_or.at(near, place >> 3, np.left_shift(1, place & 7).astype(np.uint8))
 
     def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        near = np.zeros(1 << (BITS - 3), np.uint8)
+        _mark(near, held_keys)
         at = {w: i for i, w in enumerate(words.names)}
         counts = np.append(words.counts, words.texts)
         hashes = _hashes(words.names)
@@ -266,15 +271,19 @@ def _score(words: Words, held: pd.DataFrame, bits: np.ndarray, depth: int):
                 h = hashes[places]
                 h[others] = _hashes([tokens[i] for i in others.tolist()])[:-1]
                 known = places[places >= 0]
-                keys = []
+                maybe, far = [], []
                 for state, _, symbol in _levels(h, depth):
-                    keys += [~state, _after(state, symbol)]
-                keys = np.concatenate(keys)
-                maybe = keys[_passes(near, keys)]
+                    # A continuation is in the tree only if its context is.
+                    is_near, is_far = _passes(near, ~state), _passes(bits, ~state)
+                    use = is_near | is_far
+                    after = _after(state[use], symbol[use])
+                    maybe += [~state[is_near], after[_passes(near, after)]]
+                    far += [~state[is_far], after[_passes(bits, after)]]
+                maybe = np.concatenate(maybe)
                 found = np.minimum(np.searchsorted(held_keys, maybe), len(held_keys) - 1) if len(held_keys) else None
                 own = held_values[found][held_keys[found] == maybe].sum() if len(held_keys) else 0.0
                 rare, n = np.unique(h[others], return_counts=True)
-                far, m = np.unique(keys[_passes(bits, keys)], return_counts=True)
+                far, m = np.unique(np.concatenate(far), return_counts=True)
                 rows.append(
                     (
                         doc_id,
@@ -339,7 +348,21 @@ def _learned_and_scored(rows: DataFrame, training: DataFrame, counted: DataFrame
     top = top.toPandas()  # at most ``held`` rows
 
     schema = "doc_id string, held_out boolean, n_tokens long, n_known long, base double, score double, keys array<long>, counts array<long>"
-    read = rows.mapInPandas(_score(words, top, _filter(far.select("key")), depth), schema)
+    looked = counted.filter(~is_frequent).select(F.xxhash64("word").alias("k"), F.lit(True).alias("is_word"), "c", F.lit(None).cast("double").alias("value"))
+    looked = looked.unionByName(far.select(F.col("key").alias("k"), F.lit(False).alias("is_word"), F.lit(None).cast("long").alias("c"), "value"))
+    score = _score(words, top, _filter(far.select("key")), depth)
+    part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(PARTS))
+    read = [rows.filter(part == i).mapInPandas(score, schema) for i in range(PARTS)]
+    scores = [staged(_summed(r, looked, words), "scores") for r in read]
+    deleted(counted, tree)
+    out = scores[0]
+    for more in scores[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def _summed(read: DataFrame, looked: DataFrame, words: Words) -> DataFrame:
+    """The scores of texts that ``_score`` has read, with what they look up."""
     # Whole numbers from here on: sums over columns of fixed size need no sort.
     read = read.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("row", F.monotonically_increasing_id())
     # The row's own sums stand beside its first key alone, as one value, which is mostly null.
@@ -348,13 +371,11 @@ def _learned_and_scored(rows: DataFrame, training: DataFrame, counted: DataFrame
     first = F.coalesce(F.col("pos"), F.lit(0)) == 0
     spread = spread.select("row", F.when(first, F.col("own")).alias("own"), F.col("col.keys").alias("key"), F.col("col.counts").alias("times"))
     # Words and numbers of the tree are kinds of their own, so one join serves both.
-    looked = counted.filter(~is_frequent).select(F.xxhash64("word").alias("key"), F.lit(True).alias("is_word"), "c", F.lit(None).cast("double").alias("value"))
-    looked = looked.unionByName(far.select("key", F.lit(False).alias("is_word"), F.lit(None).cast("long").alias("c"), "value"))
-    met = spread.join(looked.withColumnRenamed("key", "k"), (F.col("key") == F.col("k")) & ((F.col("times") > 0) == F.col("is_word")), "left")
+    met = spread.join(looked, (F.col("key") == F.col("k")) & ((F.col("times") > 0) == F.col("is_word")), "left")
     met = met.select("row", *[F.col(f"own.{c}").alias(c) for c in own], "c", "value", (F.col("times") > 0).alias("is_word"), F.abs("times").alias("m"))
     c = F.coalesce("c", F.lit(0))
-    word_base = F.log10((c + 1) / F.lit(float(tokens + words.distinct + 1)))
-    word_root = F.log10(F.when(c > 0, (c - words.discount()) / float(max(tokens, 1))).otherwise(words.unseen()))
+    word_base = F.log10((c + 1) / F.lit(float(words.tokens + words.distinct + 1)))
+    word_root = F.log10(F.when(c > 0, (c - words.discount()) / float(max(words.tokens, 1))).otherwise(words.unseen()))
     added = F.when(F.col("is_word"), word_root).otherwise(F.coalesce("value", F.lit(0.0)))
     summed = met.groupBy("row").agg(
         F.max("doc_id").alias("doc_id"),
@@ -364,12 +385,9 @@ def _learned_and_scored(rows: DataFrame, training: DataFrame, counted: DataFrame
         (F.sum("base") + F.coalesce(F.sum(F.when(F.col("is_word"), F.col("m") * word_base)), F.lit(0.0))).alias("base_score"),
         (F.sum("score") + F.coalesce(F.sum(F.col("m") * added), F.lit(0.0))).alias("score"),
     )
-    summed = summed.select(
-        "doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score"
+    return summed.select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(words.tokens).cast("long").alias("train_tokens"), "base_score", "score"
     )
-    summed = staged(summed, "scores")
-    deleted(counted, tree)
-    return summed
 
 
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
