@@ -33,6 +33,8 @@ BATCH_BYTES = 1 << 18
 BLOCK_PAIRS = 1 << 18
 # Words, and letters of them, whose ids a task remembers; it holds twice as many at most.
 KNOWN_WORDS, KNOWN_LETTERS = 1 << 16, 1 << 21
+# One block in so many is followed by a search for cycles among all objects.
+SEARCHED = 4
 # Groups with more links than this are counted by distinct ids instead of link by link.
 WIDE = 4096
 
@@ -347,7 +349,8 @@ def _blocks(a_path: str | None, b_path: str | None, batch_bytes: int, block_pair
             if held >= block_pairs or len(docs) >= block_pairs:
                 yield _block(number, docs)
                 number, held, docs = number + 1, 0, []
-                gc.collect(1)  # this block's cycles and those that the one before still used, not the words remembered
+                # New objects' cycles; those still in use then are found by a search through all, words remembered too.
+                gc.collect(1 if number % SEARCHED else 2)
         if docs:
             yield _block(number, docs)
 
