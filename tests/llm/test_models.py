@@ -253,3 +253,24 @@ def test_a_continuation_is_looked_up_only_if_its_context_may_be_a_state():
         suffix_tree._mark(bits, keys)
         row = next(suffix_tree._score(words, held, bits, 3)(iter([frame]))).iloc[0]
         assert (row["counts"] < 0).sum() == found
+
+
+def test_the_filter_grows_with_its_keys(spark, monkeypatch):
+    monkeypatch.setattr(suffix_tree, "BITS", 10)
+    bits = suffix_tree._filter(spark.range(20_000).select(F.xxhash64("id").alias("key")))
+    keys = {r["key"] for r in spark.range(20_000).select(F.xxhash64("id").alias("key")).collect()}
+    others = np.random.default_rng(3).integers(-(1 << 63), 1 << 63, 20_000)
+    assert suffix_tree._passes(bits, np.array(list(keys), np.int64).view(np.uint64)).all()
+    assert suffix_tree._passes(bits, others.view(np.uint64)).mean() < 0.1
+
+
+def test_many_groups_of_keys_and_small_batches_change_no_score(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    held_out = common.remainder(docs["doc_id"], 7) == 2
+    want = {r["doc_id"]: tuple(r) for r in suffix_tree.scored_texts(docs, held_out, held=50).collect()}
+    for name, size in (("TEXTS", 30), ("TEXTS_PER_GROUP", 40), ("TOKENS_PER_GROUP", 9_000), ("NUMBERS_PER_GROUP", 700)):
+        monkeypatch.setattr(suffix_tree, name, size)
+    got = {r["doc_id"]: tuple(r) for r in suffix_tree.scored_texts(docs, held_out, held=50).collect()}
+    assert len(got) == len(want) == docs.count()
+    for i, row in got.items():
+        assert row[:5] == want[i][:5] and np.allclose(row[5:], want[i][5:], rtol=1e-9)
