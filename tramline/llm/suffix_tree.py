@@ -73,7 +73,7 @@ def _count_words(lead: int):
         learned: Counter[bytes] = Counter()
 
         def out():
-            words, n = np.array(list(learned), object), np.fromiter(learned.values(), np.int32, len(learned))
+            words, n = np.array(list(learned), object), np.fromiter(learned.values(), np.int64, len(learned))
             keys = _hashes(words.tolist())[:-1]
             order = np.argsort(keys)
             group, cuts = _groups(keys[order], lead)
@@ -96,7 +96,7 @@ def _count_words(lead: int):
 def _word_sums(group: pd.DataFrame) -> pd.DataFrame:
     total: dict[bytes, int] = {}
     for words, n in zip(group["words"], group["n"], strict=True):
-        for word, c in zip(words.split(), np.frombuffer(n, np.int32).tolist(), strict=True):
+        for word, c in zip(words.split(), np.frombuffer(n, np.int64).tolist(), strict=True):
             total[word] = total.get(word, 0) + c
     return pd.DataFrame({"word": list(total), "symbol": _hashes(list(total))[:-1].view(np.int64), "c": list(total.values())})
 
