@@ -3,6 +3,7 @@
 import os
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -226,3 +227,82 @@ def test_anchors_of_many_texts_are_shared_by_all(spark):
     frame = spark.createDataFrame(docs, "doc_id long, text string")
     got = {r["doc_id"]: r["n_removed"] for r in repeats.without_long_repeats(frame).collect()}
     assert got[0] == 0 and all(got[i] >= len(common_text) for i in range(1, 3000)) and len(got) == 3000
+
+
+def test_only_tied_suffixes_are_sorted_again(monkeypatch):
+    """One long run of a letter among other text: its doublings do not sort the rest again."""
+    rng = np.random.default_rng(2)
+    text = np.concatenate([rng.integers(97, 123, 20_000), np.full(2_000, 98), [255]]).astype(np.uint8)
+    keys = []
+    for name in ("sort", "argsort"):
+        own = getattr(np, name)
+        monkeypatch.setattr(repeats.np, name, lambda x, *a, own=own, **b: keys.append(len(x)) or own(x, *a, **b))
+    rank, half = repeats._ranks(text)
+    monkeypatch.undo()
+    raw = text.tobytes()
+    assert np.argsort(rank).tolist() == sorted(range(len(raw)), key=lambda i: raw[i:])
+    short = sorted({raw[i : i + 32] for i in range(len(raw))})
+    assert [short[r] for r in half.tolist()] == [raw[i : i + 32] for i in range(len(raw))]
+    assert sum(keys) < 3 * len(text)
+
+
+def test_ranks_at_the_end_of_the_text():
+    """Texts that end in letters smaller than all others, and noughts before the end."""
+    rng = np.random.default_rng(4)
+    for letters in (1, 2, 4):
+        for _ in range(40):
+            text = rng.integers(0, letters, int(rng.integers(1, 200))).astype(np.uint8)
+            text[rng.random(len(text)) < 0.1] = 255
+            rank, half = repeats._ranks(text)
+            raw = text.tobytes()
+            order, short = sorted(raw[i:] for i in range(len(raw))), sorted({raw[i : i + 32] for i in range(len(raw))})
+            assert [order[r] for r in rank.tolist()] == [raw[i:] for i in range(len(raw))]
+            assert [short[r] for r in half.tolist()] == [raw[i : i + 32] for i in range(len(raw))]
+
+
+def test_long_strings_go_back_as_short_ones_do(monkeypatch):
+    rng = np.random.default_rng(6)
+    strings = [bytes(rng.integers(97, 99, int(n)).astype(np.uint8)) for n in (*rng.integers(0, 90, 40), 700, 650, 49, 50)]
+    strings += [strings[-4][100:400], strings[-3]]
+    docs, holder = rng.permutation(len(strings)), {}
+    for doc, s in zip(docs.tolist(), strings, strict=True):
+        for i in range(len(s) - repeats.LENGTH + 1):
+            holder[s[i : i + repeats.LENGTH]] = min(doc, holder.get(s[i : i + repeats.LENGTH], doc))
+    want = [[holder[s[i : i + repeats.LENGTH]] for i in range(len(s) - repeats.LENGTH + 1)] for s in strings]
+    for few in (0, 1, 8, 1000):
+        monkeypatch.setattr(repeats, "FEW", few)
+        assert [x.tolist() for x in repeats.first_holders(strings, docs)] == want
+
+
+def test_texts_hashed_together_have_their_own_pieces():
+    rng = np.random.default_rng(8)
+    raws = [bytes(rng.integers(97, 100, int(n)).astype(np.uint8)) for n in (0, 300, 49, 50, 51, 0, 24, 500, 1)]
+    raws.append(raws[7][20:300])
+    anchors, starts, lengths, of = repeats.pieces_of(raws)
+    alone = [(a, s, n, i) for i, raw in enumerate(raws) for a, s, n in zip(*(x.tolist() for x in repeats.pieces(raw)), strict=True)]
+    assert list(zip(anchors.tolist(), starts.tolist(), lengths.tolist(), of.tolist(), strict=True)) == alone
+    by_string = {}  # a string has one anchor wherever it is
+    for a, s, n, i in alone:
+        for at in range(s, s + n - repeats.LENGTH + 1):
+            assert by_string.setdefault(raws[i][at : at + repeats.LENGTH], a) == a
+    assert sum(n - repeats.LENGTH + 1 for n in lengths.tolist()) == sum(max(len(r) - repeats.LENGTH + 1, 0) for r in raws)
+
+
+def test_anchors_travel_as_arrays():
+    """What is dealt out is a row per task and cell; anchors with no company or in one text alone give nothing."""
+    rng = np.random.default_rng(10)
+    texts = ["".join(map(chr, rng.integers(97, 123, 4_000))) for _ in range(300)]
+    texts = [t + texts[(i * 7) % 50][100:300] for i, t in enumerate(texts)]
+    frame = pd.DataFrame({"name": np.arange(300), "text": texts})
+    found = [(a, i) for i, t in enumerate(texts) for a in set(repeats.pieces(t.encode())[0].tolist())]
+    names = {}
+    for a, i in found:
+        names.setdefault(a, set()).add(i)
+    hot = np.sort(np.array([a for a, own in names.items() if len(own) > 5], np.int64))
+    dealt = pd.concat(repeats._dealt(7, hot)(iter([frame.iloc[:100], frame.iloc[100:]])))
+    assert len(dealt) <= 7 * (1 + len(found) // (7 << 14))
+    met = pd.concat([repeats._met(5)(g) for _, g in dealt.groupby("cell")])
+    shared = pd.concat([repeats._by_name(g) for _, g in met.groupby("cell")])
+    want = {(i, a) for a, own in names.items() if len(own) > 1 and a not in set(hot.tolist()) for i in own}
+    assert {(n, a) for n, own in zip(shared["name"], shared["shared"], strict=True) for a in own.tolist()} == want
+    assert shared["name"].is_unique and want

@@ -13,17 +13,18 @@ place falls into tells whether an earlier document has its string.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.llm.common import deleted, staged, table, text_or_empty
+from tramline.llm.common import deleted, staged, table, text_or_empty, texts_at_once
 from tramline.llm.exact import heavy_digests
-from tramline.llm.near import _mixed
+from tramline.llm.near import GOLD, _mixed
 
 LENGTH = 50
 # Shorter grams are fewer, but many texts share some by chance.
@@ -35,33 +36,76 @@ SAMPLE = 64
 HOT = 512
 # Bytes of distinct pieces of one anchor that are still indexed; the strings of others meet one by one.
 ANCHOR_BYTES = 16 * INDEX_BYTES
+# Bytes of text hashed in one go, few enough for a processor's cache.
+HASHED_BYTES = 1 << 16
+# Texts handed to Python at once, and pieces given back.
+TEXTS, MOST_PIECES = 500, 1 << 15
+# Bytes of text whose anchors make a cell, one in 14; anchors that a task holds before it gives them away.
+CELL_BYTES, MOST_HELD = 1 << 23, 1 << 20
 # Parts of the anchors indexed one after the other; their pieces are never all on disk twice.
 PARTS = 2
 SEPARATOR = 0xFF  # in no UTF-8 text
+# So many strings or fewer go back through the index one by one, more of them side by side.
+FEW = 8
 
 LAST = (1 << 63) - 1
 
 
-def pieces(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor, start and length of the pieces of a text. Piece i holds the strings that have its anchor."""
-    none = np.zeros(0, np.int64)
-    if len(raw) < LENGTH:
-        return none, none, none
-    h, size = np.frombuffer(raw, np.uint8).astype(np.uint64) + np.uint64(1), 1
+def _pairs_mixed() -> np.ndarray:
+    """Hashes of all strings of two bytes, by their number."""
+    number = np.arange(1 << 16, dtype=np.uint64)
     with np.errstate(over="ignore"):
-        while size < GRAM:
-            step = min(size, GRAM - size)  # the last two halves may overlap
-            h, size = _mixed(h[:-step] * np.uint64(0x9E3779B97F4A7C15) + h[step:]), size + step
-    span, least = LENGTH - GRAM + 1, h
+        return _mixed(((number >> np.uint64(8)) + np.uint64(1)) * GOLD + (number & np.uint64(0xFF)) + np.uint64(1))
+
+
+PAIRS = _pairs_mixed()
+
+
+def _least(raw: bytes) -> np.ndarray:
+    """For each place with LENGTH bytes after it: the smallest hash of the k-grams in them."""
+    h, size, factor = PAIRS[np.ndarray(len(raw) - 1, ">u2", raw, strides=(1,))], 2, int(GOLD)
+    while size < GRAM:
+        step = min(size, GRAM - size)  # the last two halves may overlap
+        # Sums of hashes times powers, which wrap; the powers tell the order of the letters.
+        both = h[:-step] * np.uint64(factor)
+        both += h[step:]
+        h, size, factor = both, size + step, factor * factor % (1 << 64)
+    span, least = LENGTH - GRAM + 1, _mixed(h)
     size = 1
     while 2 * size <= span:
         least = np.minimum(least[:-size], least[size:])
         size *= 2
     if size < span:
         least = np.minimum(least[: len(least) - (span - size)], least[span - size :])
-    first = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
-    ends = np.append(first[1:], len(least))
-    return least[first].view(np.int64), first, ends - first + LENGTH - 1
+    return least
+
+
+def pieces_of(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Anchor, start and length of the pieces of texts, and whose each is. Piece i holds the strings that have its anchor."""
+    lengths = np.fromiter(map(len, raws), np.int64, len(raws))
+    counts = np.maximum(lengths - LENGTH + 1, 0)
+    total = int(counts.sum())
+    if not total:
+        none = np.zeros(0, np.int64)
+        return none, none, none, none
+    # All texts are hashed in one go; strings that begin in one text and end in another are left out.
+    before = np.cumsum(counts) - counts
+    of = np.repeat(np.arange(len(raws)), counts)
+    least = _least(b"".join(raws))
+    if len(raws) > 1:
+        least = least[np.arange(total) + (np.cumsum(lengths) - lengths - before)[of]]
+    new = np.empty(total, bool)
+    np.not_equal(least[1:], least[:-1], out=new[1:])
+    new[before[counts > 0]] = True
+    first = np.flatnonzero(new)
+    ends = np.append(first[1:], total)
+    of = of[first]
+    return least[first].view(np.int64), first - before[of], ends - first + LENGTH - 1, of
+
+
+def pieces(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Anchor, start and length of the pieces of a text."""
+    return pieces_of([raw])[:3]
 
 
 @dataclass(frozen=True)
@@ -86,38 +130,77 @@ class RunIndex:
         return self.firsts[self.interval[rows]]
 
 
-def _dense(keys: np.ndarray, width: int) -> tuple[np.ndarray, int]:
-    """Rank of each of the ``keys``, which have ``width`` bits, and how many ranks there are."""
+def _ordered(keys: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the ``keys``, which have ``width`` bits, in ascending order, and which differ from the one before."""
     bits = len(keys).bit_length()
     if width + bits <= 64:  # places travel in the low bits, so whole numbers are sorted
         both = np.sort((keys << np.uint64(bits)) | np.arange(len(keys), dtype=np.uint64))
-        order, keys = (both & np.uint64((1 << bits) - 1)).astype(np.int64), both >> np.uint64(bits)
+        order, keys = (both & np.uint64((1 << bits) - 1)).view(np.int64), both >> np.uint64(bits)
     else:
-        order = np.argsort(keys, kind="stable")
+        order = np.argsort(keys)
         keys = keys[order]
-    ranks = np.cumsum(np.concatenate([[False], keys[1:] != keys[:-1]]))
+    return order, np.concatenate([[True], keys[1:] != keys[:-1]])
+
+
+def _dense(keys: np.ndarray, width: int) -> tuple[np.ndarray, int]:
+    """Rank of each of the ``keys``, which have ``width`` bits, and how many ranks there are."""
+    order, new = _ordered(keys, width)
+    ranks = np.cumsum(new) - 1
     out = np.empty(len(keys), np.int64)
     out[order] = ranks
     return out, int(ranks[-1]) + 1
 
 
-def _ranks(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rank of every suffix, and rank by its first 32 letters, by prefix doubling from four letters on."""
-    letters = np.append(text.astype(np.uint64) + np.uint64(1), np.zeros(3, np.uint64))
-    keys, size, half = np.zeros(len(text), np.uint64), 4, None
-    for i in range(size):
-        keys = (keys << np.uint64(9)) | letters[i : i + len(text)]
-    rank, count = _dense(keys, 9 * size)
-    bits = (len(text) + 1).bit_length()
-    while True:
+def _suffixes(text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Suffixes in order, one more than the rank of each, and two facts of their first 32 letters: which differ from
+    those of the suffix before, by order, and the rank by them, by place. By prefix doubling from eight letters on.
+
+    A suffix's number is one more than those of smaller beginnings; only suffixes whose beginnings others have
+    as well are sorted again.
+    """
+    count, size = len(text), 8
+    padded = np.zeros(count + size - 1, np.uint8)
+    padded[:count] = text + (text < SEPARATOR - 1)  # UTF-8 has no 0xFE; nought is what follows the text's end
+    order, new = _ordered(np.ndarray(count, ">u8", padded, strides=(1,)).astype(np.uint64), 8 * size)
+    short = np.uint32 if count < 1 << 31 else np.int64
+    order = order.astype(short)
+    number = np.zeros(count + 1, short)  # the last stands for the end of the text
+    bits = (count + 1).bit_length()
+    starts = np.flatnonzero(new)
+    sizes = np.diff(np.append(starts, count))
+    number[order] = np.repeat((starts + 1).astype(short), sizes)
+    begun, half = new, None  # by order: where suffixes differ from the one before in as many letters
+    several = np.repeat(sizes > 1, sizes)
+    at, tied = np.flatnonzero(several), order[several]
+    while len(tied):
         if size == 32:
-            half = rank
-        if count == len(rank) or size > len(rank):
-            return rank, half if half is not None else rank
-        shifted = np.zeros(len(rank), np.uint64)
-        shifted[:-size] = rank[size:] + 1
-        rank, count = _dense((rank.astype(np.uint64) << np.uint64(bits)) | shifted, 2 * bits)
+            half = begun.copy(), _by_place(begun, order)
+        own = number[tied].astype(np.uint64)
+        later = number[np.minimum(tied + short(size), short(count))]
+        by, new = _ordered((own << np.uint64(bits)) | later, 2 * bits)
+        tied = tied[by]
+        order[at] = tied
+        begun[at] |= new
+        starts = np.flatnonzero(new)
+        sizes = np.diff(np.append(starts, len(tied)))
+        # What was equal so far lies together, from its first one's place on.
+        number[tied] = np.repeat((at[starts] + 1).astype(short), sizes)
+        several = np.repeat(sizes > 1, sizes)
+        at, tied = at[several], tied[several]
         size *= 2
+    return order, number[:count], *(half or (begun, _by_place(begun, order)))
+
+
+def _by_place(begun: np.ndarray, order: np.ndarray) -> np.ndarray:
+    out = np.empty(len(order), np.int32 if len(order) < 1 << 31 else np.int64)
+    out[order] = np.cumsum(begun) - 1
+    return out
+
+
+def _ranks(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rank of every suffix, and rank by its first 32 letters."""
+    _, number, _, half = _suffixes(text)
+    return number.astype(np.int64) - 1, half
 
 
 def build(strings: list[bytes], docs: np.ndarray) -> tuple[RunIndex, np.ndarray]:
@@ -125,93 +208,210 @@ def build(strings: list[bytes], docs: np.ndarray) -> tuple[RunIndex, np.ndarray]
     sep = bytes([SEPARATOR])
     text = np.frombuffer(sep.join(strings) + sep, np.uint8)
     lengths = np.fromiter(map(len, strings), np.int64, len(strings)) + 1
-    rank, half = _ranks(text)
-    order = np.empty(len(text), np.int64)
-    order[rank] = np.arange(len(text))
-    letters = text[order - 1]
+    order, number, begun, half = _suffixes(text)
+    letters = text[order.astype(np.int64) - 1]
     starts = np.flatnonzero(np.concatenate([[True], letters[1:] != letters[:-1]]))
     heads, sizes = letters[starts], np.diff(np.append(starts, len(text)))
     # Rows that begin with a letter lie together, in the order of the rows that the letter precedes.
     by_letter = np.argsort(heads, kind="stable")
     targets = np.empty(len(starts), np.int64)
     targets[by_letter] = np.cumsum(sizes[by_letter]) - sizes[by_letter]
-    later = np.append(half, np.zeros(LENGTH, np.int64))[order + LENGTH - 32]
-    same = (half[order][1:] == half[order][:-1]) & (later[1:] == later[:-1])
-    intervals = np.flatnonzero(np.concatenate([[True], ~same]))
+    # Of neighbours that agree in 32 letters, those that agree in as many further on, up to LENGTH.
+    alike = np.flatnonzero(~begun[1:])
+    half = np.append(half, np.zeros(LENGTH, half.dtype))
+    on = LENGTH - 32
+    begun[1:][alike[half[order[alike] + on] != half[order[alike + 1] + on]]] = True
+    intervals = np.flatnonzero(begun)
     owner = np.repeat(docs, lengths)[order]
     ends = order[starts + sizes - 1]
-    run, interval = np.repeat(np.arange(len(starts), dtype=np.int32), sizes), np.cumsum(np.concatenate([[False], ~same]), dtype=np.int32)
+    run, interval = np.repeat(np.arange(len(starts), dtype=np.int32), sizes), np.cumsum(begun, dtype=np.int32) - 1
     index = RunIndex(starts, heads, targets, ends, intervals, np.minimum.reduceat(owner, intervals), run, interval)
-    return index, rank[np.cumsum(lengths) - 1]
+    return index, number[np.cumsum(lengths) - 1].astype(np.int64) - 1
 
 
-def first_holders(strings: list[bytes], docs: np.ndarray) -> list[np.ndarray]:
-    """For each string and each place with LENGTH bytes after it: the smallest document with these bytes."""
+def _holders(strings: list[bytes], docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each place with LENGTH bytes after it: the smallest document with these bytes; and the places of each string."""
     index, rows = build(strings, docs)
     lengths = np.fromiter(map(len, strings), np.int64, len(strings))
-    ends = np.cumsum(np.maximum(lengths - LENGTH + 1, 0))
-    out = np.empty(int(ends[-1]) if len(ends) else 0, np.int64)
-    last = ends + LENGTH - 1  # place 0 of the next string is where the last of this one would end
-    on = np.arange(len(strings))
-    for step in range(1, int(lengths.max(initial=0)) + 1):
-        keep = lengths[on] >= step
-        on, rows = on[keep], index.back(rows[keep])
+    sizes = np.maximum(lengths - LENGTH + 1, 0)
+    out = np.empty(int(sizes.sum()), np.int64)
+    # Longest first, so that the strings not yet at their start are always the first ones.
+    longest = np.argsort(-lengths, kind="stable")
+    # Place 0 of the next string is where the last of this one would end.
+    last, rows = (np.cumsum(sizes) + LENGTH - 1)[longest], rows[longest]
+    steps = np.arange(1, int(lengths.max(initial=0)) + 1)
+    on = len(strings) - np.searchsorted(np.sort(lengths), steps)
+    for step, count in zip(steps.tolist(), on.tolist(), strict=True):
+        if count <= FEW:
+            break
+        rows = index.back(rows[:count])
         if step >= LENGTH:
-            out[last[on] - step] = index.first(rows)
-    return np.split(out, ends[:-1])
+            out[last[:count] - step] = index.first(rows)
+    else:
+        return out, sizes
+    # A few long strings are left, which go on one by one; the step is that of RunIndex.back.
+    run, shift = memoryview(index.run), memoryview(index.targets - index.starts)
+    for i, row in enumerate(rows[:count].tolist()):
+        passed = []
+        for _ in range(step, int(lengths[longest[i]]) + 1):
+            row += shift[run[row]]
+            passed.append(row)
+        passed = index.first(np.array(passed[max(LENGTH - step, 0) :], np.int64))
+        end = last[i] - max(step, LENGTH) + 1
+        out[end - len(passed) : end] = passed[::-1]
+    return out, sizes
 
 
-def _anchors(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        names, found, size = [], [], 0
-        for name, text in zip(frame["name"], frame["text"], strict=True):
-            anchor = np.unique(pieces(text.encode("utf-8", "replace"))[0])
-            names.append(np.full(len(anchor), name))
-            found.append(anchor)
-            size += len(anchor)
-            if size > 200_000:
-                yield pd.DataFrame({"anchor": np.concatenate(found), "name": np.concatenate(names)})
-                names, found, size = [], [], 0
-        if found:
-            yield pd.DataFrame({"anchor": np.concatenate(found), "name": np.concatenate(names)})
-
-
-def _cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    import xxhash
+def first_holders(strings: list[bytes], docs: np.ndarray) -> list[np.ndarray]:
+    """For each string and each place with LENGTH bytes after it: the smallest document with these bytes."""
+    out, sizes = _holders(strings, docs)
+    return np.split(out, np.cumsum(sizes)[:-1])
 
-    columns = ["row", "doc", "start", "anchor"]
+
+def _encoded(texts: Iterable[str]) -> Iterator[list[bytes]]:
+    """The bytes of texts, about HASHED_BYTES of them at a time."""
+    raws, size = [], 0
+    for text in texts:
+        raws.append(text.encode("utf-8", "replace"))
+        size += len(raws[-1])
+        if size > HASHED_BYTES:
+            yield raws
+            raws, size = [], 0
+    if raws:
+        yield raws
+
+
+def _named(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Anchors of texts and the names of these."""
     for frame in frames:
-        cut, numbers = [], []
+        names, at = frame["name"].to_numpy(), 0
+        for raws in _encoded(frame["text"]):
+            anchors, _, _, of = pieces_of(raws)
+            yield anchors, names[at + of]
+            at += len(raws)
 
-        def out():
-            marks = np.fromiter(map(xxhash.xxh3_64_intdigest, cut), np.uint64, len(cut)) ^ np.uint64(1 << 63)
-            found = np.concatenate(numbers, axis=1) if numbers else np.zeros((len(columns), 0), np.int64)
-            return pd.DataFrame(dict(zip(columns, found, strict=True)) | {"mark": marks.view(np.int64), "piece": cut})
 
-        for row, doc, text, shared in zip(frame["row"], frame["doc"], frame["text"], frame["shared"], strict=True):
-            raw = text.encode("utf-8", "replace")
-            anchors, starts, lengths = pieces(raw)
-            at = np.flatnonzero(np.isin(anchors, np.asarray(shared, np.int64)))
-            starts = starts[at]
-            cut += [raw[a:b] for a, b in zip(starts.tolist(), (starts + lengths[at]).tolist(), strict=True)]
-            numbers.append(np.stack([np.full(len(at), row), np.full(len(at), doc), starts, anchors[at]]))
-            if len(cut) > 100_000:
-                yield out()
-                cut, numbers = [], []
-        yield out()
+def _anchors(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for anchors, names in _named(frames):
+        yield pd.DataFrame({"anchor": anchors, "name": names}).drop_duplicates()
+
+
+def _in(values: np.ndarray, ascending: np.ndarray) -> np.ndarray:
+    """Which of the values occur among others."""
+    if not len(ascending):
+        return np.zeros(len(values), bool)
+    return ascending[np.minimum(np.searchsorted(ascending, values), len(ascending) - 1)] == values
+
+
+def _cells(keys: np.ndarray, count: int) -> np.ndarray:
+    return (_mixed(keys.view(np.uint64)) % np.uint64(count)).astype(np.int64)
+
+
+def _packed(cell: np.ndarray, anchors: np.ndarray, names: np.ndarray) -> pd.DataFrame:
+    """A row per cell with its anchors and names, eight bytes each."""
+    order = np.argsort(cell, kind="stable")
+    cell = cell[order]
+    first = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]) if len(cell) else [])
+    cuts = np.append(first, len(cell)).tolist()
+    own, of = anchors[order], names[order]
+    both = [(own[a:b].tobytes(), of[a:b].tobytes()) for a, b in pairwise(cuts)]
+    return pd.DataFrame({"cell": cell[first], "anchors": [x for x, _ in both], "names": [y for _, y in both]})
+
+
+def _unpacked(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    return tuple(np.frombuffer(b"".join(group[c]), np.int64) for c in ("anchors", "names"))
+
+
+def _dealt(cells: int, hot: np.ndarray):
+    """Anchors and names by cells of the anchors; the hot ones stay away, as they need no company."""
+    most = min(MOST_HELD, cells << 14)
+
+    def dealt(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, size = [], 0
+        for anchors, names in _named(frames):
+            cold = ~_in(anchors, hot)
+            held.append((anchors[cold], names[cold]))
+            size += len(held[-1][0])
+            if size > most:
+                yield _packed(_cells(whole := np.concatenate([a for a, _ in held]), cells), whole, np.concatenate([n for _, n in held]))
+                held, size = [], 0
+        if size:
+            yield _packed(_cells(whole := np.concatenate([a for a, _ in held]), cells), whole, np.concatenate([n for _, n in held]))
+
+    return dealt
+
+
+def _met(cells: int):
+    """Of the anchors of a cell those that several names have, by cells of the names."""
+
+    def met(group: pd.DataFrame) -> pd.DataFrame:
+        anchors, names = _unpacked(group)
+        order = np.argsort(anchors)
+        anchors, names = anchors[order], names[order]
+        first = np.flatnonzero(np.concatenate([[True], anchors[1:] != anchors[:-1]]))
+        company = np.minimum.reduceat(names, first) != np.maximum.reduceat(names, first)
+        company = np.repeat(company, np.diff(np.append(first, len(anchors))))
+        anchors, names = anchors[company], names[company]
+        return _packed(_cells(names, cells), anchors, names)
+
+    return met
+
+
+def _by_name(group: pd.DataFrame) -> pd.DataFrame:
+    """A row per name with its anchors."""
+    anchors, names = _unpacked(group)
+    order = np.argsort(names, kind="stable")
+    anchors, names = anchors[order], names[order]
+    first = np.flatnonzero(np.concatenate([[True], names[1:] != names[:-1]]))
+    return pd.DataFrame({"name": names[first], "shared": np.split(anchors, first[1:])})
+
+
+def _cut(hot: np.ndarray):
+    """Pieces of texts whose anchors are hot or shared, with their marks."""
+    columns = ["row", "doc", "start", "anchor"]
+
+    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import xxhash
+
+        held, numbers = [], []
+
+        def out() -> pd.DataFrame:
+            marks = np.fromiter(map(xxhash.xxh3_64_intdigest, held), np.uint64, len(held)) ^ np.uint64(1 << 63)
+            found = dict(zip(columns, map(np.concatenate, zip(*numbers, strict=True)), strict=True))
+            return pd.DataFrame(found | {"mark": marks.view(np.int64), "piece": held})
+
+        for frame in frames:
+            rows, docs, shared, at = frame["row"].to_numpy(), frame["doc"].to_numpy(), frame["shared"].tolist(), 0
+            for raws in _encoded(frame["text"]):
+                own = [np.zeros(0, np.int64) if x is None else np.asarray(x, np.int64) for x in shared[at : at + len(raws)]]
+                anchors, starts, lengths, of = pieces_of(raws)
+                # An anchor counts for the texts it is shared for; one cut in vain would only be one too many.
+                salt = np.arange(len(raws)).astype(np.uint64) * GOLD
+                wanted = np.concatenate(own).view(np.uint64) ^ np.repeat(salt, [len(x) for x in own])
+                wanted = _in(anchors.view(np.uint64) ^ salt[of], np.sort(wanted)) | _in(anchors, hot)
+                anchors, starts, lengths, of = anchors[wanted], starts[wanted], lengths[wanted], of[wanted]
+                held += [raws[i][a:b] for i, a, b in zip(of.tolist(), starts.tolist(), (starts + lengths).tolist(), strict=True)]
+                numbers.append((rows[at + of], docs[at + of], starts, anchors))
+                at += len(raws)
+                if len(held) > MOST_PIECES:
+                    yield out()
+                    held, numbers = [], []
+        if held:
+            yield out()
+
+    return cut
 
 
 def _indexed(group: pd.DataFrame) -> pd.DataFrame:
     """Spans of equal first document in the pieces of a group; places count from the piece's start."""
     group = group.sort_values(["anchor", "mark"], ignore_index=True)
-    holders = first_holders(group["piece"].tolist(), group["low"].to_numpy())
-    first, sizes = np.concatenate(holders), np.fromiter(map(len, holders), np.int64, len(holders))
-    begins, of = np.cumsum(sizes) - sizes, np.repeat(np.arange(len(holders)), sizes)
+    first, sizes = _holders(group["piece"].tolist(), group["low"].to_numpy())
+    begins, of = np.cumsum(sizes) - sizes, np.repeat(np.arange(len(sizes)), sizes)
     cuts = np.flatnonzero(np.concatenate([[True], (first[1:] != first[:-1]) | (of[1:] != of[:-1])]))
     of, ends = of[cuts], np.append(cuts[1:], len(first))
     low, high = group["low"].to_numpy(), group["high"].to_numpy()
     # Of a piece that one document has alone, only what others have as well.
-    keep = (low != high)[of] | (np.bincount(of, minlength=len(holders))[of] > 1) | (first[cuts] != low[of])
+    keep = (low != high)[of] | (np.bincount(of, minlength=len(sizes))[of] > 1) | (first[cuts] != low[of])
     cuts, ends, of = cuts[keep], ends[keep], of[keep]
     return pd.DataFrame(
         {
@@ -309,24 +509,25 @@ def without_long_repeats(docs: DataFrame, with_bytes: bool = False, anchor_bytes
     # Anchors go by document, whose small numbers compress well; rows without one go by their hash.
     first = first.select("row", "doc", F.when(F.col("doc") < LAST, F.col("doc")).otherwise(F.col("row")).alias("name"), "text")
 
-    anchors = first.select("name", "text").mapInPandas(_anchors, "anchor long, name long")
     sample = first.filter(F.pmod("row", F.lit(SAMPLE)) == 0).select("name", "text").mapInPandas(_anchors, "anchor long, name long")
     hot = sample.agg(F.expr(f"approx_top_k(anchor, {HOT}, {8 * HOT})").alias("top")).select(F.explode("top").alias("t"))
-    # Seen in several sampled texts, so surely shared.
-    hot = staged(hot.filter("t.count >= 16").select(F.col("t.item").alias("anchor"), F.lit(True).alias("hot")), "hot")
-    marked = anchors.join(F.broadcast(hot), "anchor", "left")  # at most HOT numbers
-    # A hot anchor's rows need no company and go each its own way. Dealt once, rows are both counted and met
-    # there; only numbers of anchors that have company are held, so the many that have none are not sorted.
-    way = ["anchor", "hot", "part"]
-    marked = marked.withColumn("hot", F.coalesce("hot", F.lit(False))).withColumn("part", F.when(F.col("hot"), F.col("name")).otherwise(0))
-    marked = marked.repartition(*way)
-    company = marked.groupBy(*way).agg(F.min("name").alias("a"), F.max("name").alias("z")).filter("hot OR a <> z").select(*way)
-    shared = marked.join(company.hint("shuffle_hash"), way)
+    # Seen in several sampled texts, so surely shared: their rows need no company.
+    hot = staged(hot.filter("t.count >= 16").select(F.col("t.item").alias("anchor")), "hot")
+    known = np.sort(np.array([r["anchor"] for r in hot.collect()], np.int64))  # at most HOT numbers
+    # The others meet by cells, which travel as arrays: to Spark a row is what a task has of a cell, not an anchor.
+    size = facts.agg(F.sum("length")).first()[0] or 0
+    cells = max(1, -(-size // CELL_BYTES))
+    packed = "cell long, anchors binary, names binary"
+    shared = first.select("name", "text").mapInPandas(_dealt(cells, known), packed)
+    shared = shared.groupBy("cell").applyInPandas(_met(cells), packed)
+    shared = shared.groupBy("cell").applyInPandas(_by_name, "name long, shared array<long>")
     # Written by itself, so that the anchors' shuffle is gone when the texts travel.
-    shared = staged(shared.groupBy("name").agg(F.collect_set("anchor").alias("shared")), "shared")
-    cuts = first.join(shared, "name").drop("name")
-    cuts = cuts.mapInPandas(_cut, "row long, doc long, start long, anchor long, mark long, piece binary")
-    cuts = staged(cuts, "cuts")
+    with texts_at_once(docs.sparkSession, TEXTS):
+        shared = staged(shared, "shared")
+    cuts = first.join(shared, "name", "left" if len(known) else "inner").select("row", "doc", "text", "shared")
+    cuts = cuts.mapInPandas(_cut(known), "row long, doc long, start long, anchor long, mark long, piece binary")
+    with texts_at_once(docs.sparkSession, TEXTS):
+        cuts = staged(cuts, "cuts")
     deleted(shared)
     # One part of the anchors after the other, so that the pieces of a part alone lie beside their shuffle.
     parts = [_ranges(cuts.filter(F.pmod("anchor", F.lit(PARTS)) == i), anchor_bytes) for i in range(PARTS)]
