@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tests.llm.helpers import SF, edge, empty
-from tramline.llm import alignment
+from tramline.llm import alignment, common
 
 COLUMNS = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
 
@@ -192,3 +192,39 @@ def test_blocks_do_not_search_remembered_words_for_cycles(monkeypatch):
     made = list(alignment._blocks(None, None, 64, 16)(iter([frame])))
     assert sum(len(b["doc_id"].iloc[0]) for b in made) == 40
     assert len(searched) > 8 and searched == [2 if i % alignment.SEARCHED == 0 else 1 for i in range(1, len(searched) + 1)]
+
+
+def test_a_block_travels_small(sides):
+    """Steps and counts of links are small numbers; a row is sorted and handed on whole, so it must not take eight bytes for each."""
+    rng = np.random.default_rng(7)
+    none = np.zeros(0, np.int64)
+    own = [np.sort(rng.choice(20_000, int(n), replace=False)) for n in rng.integers(0, 700, 200)]
+    docs = [(str(i), 1, 1, 1, 1, "", c, rng.integers(1, 9, len(c))) for i, c in enumerate(own)] + [("x", 0, 0, 0, 0, "", none, none)]
+    row = alignment._block(3, docs).iloc[0]
+    links = int(row["held"].sum())
+    assert len(row["steps"]) + len(row["times"]) < 4 * links
+    assert alignment._unplaned(row["times"], links).tolist() == np.concatenate([d[-1] for d in docs]).tolist()
+    for values in ([], [0], [0, 0], [255, 256], [1 << 40, 0, 7], [(1 << 63) - 1, 1]):
+        assert alignment._unplaned(alignment._planes(np.array(values, np.int64)), len(values)).tolist() == values
+
+
+def test_few_texts_are_handed_over_at_once(spark, monkeypatch):
+    seen = {}
+    staged = alignment.staged
+    monkeypatch.setattr(alignment, "staged", lambda df, name: seen.update({name: spark.conf.get(common.BATCH, None)}) or staged(df, name))
+    before = spark.conf.get(common.BATCH, None)
+    assert alignment.aligned_docs(spark.createDataFrame([(1, "a few words")], "doc_id long, text string"))[0].count() == 1
+    assert int(seen["blocks"]) <= 500 and spark.conf.get(common.BATCH, None) == before
+
+
+def test_tokenizers_are_read_once(spark, sides, monkeypatch):
+    """Of a worker's tasks none reads the tokenizers anew: those of tasks before are cycles and stay until these are found."""
+    read = []
+    own = alignment.ByteLevel.__init__
+    monkeypatch.setattr(alignment.ByteLevel, "__init__", lambda self, path: read.append(path) or own(self, path))
+    monkeypatch.setattr(alignment.TaskContext, "get", lambda: type("Task", (), {"partitionId": lambda self: 2})())
+    docs = [(str(i), f"word{i} and some more words") for i in range(6)]
+    make = alignment._blocks(None, None, 1 << 18, 1 << 18)
+    found = [pd.concat(make(iter([pd.DataFrame(docs, columns=["doc_id", "text"])]))) for _ in range(5)]
+    assert len(read) <= 1
+    assert len({str(f.drop(columns=["pairs", "docs"]).to_dict("records")) for f in found}) == 1

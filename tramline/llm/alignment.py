@@ -17,21 +17,26 @@ import json
 import os
 import re
 import unicodedata
+import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.llm.common import staged, table
+from tramline.llm.common import staged, table, texts_at_once
 
 # Bytes of text tokenised together, and pairs of documents in a block; one text may hold more of either.
 BATCH_BYTES = 1 << 18
 BLOCK_PAIRS = 1 << 18
-# Words, and letters of them, whose ids a task remembers; it holds twice as many at most.
+# Texts handed to Python at once.
+TEXTS = 500
+# Words, and letters of them, whose ids a worker remembers; it holds twice as many at most.
 KNOWN_WORDS, KNOWN_LETTERS = 1 << 16, 1 << 21
 # One block in so many is followed by a search for cycles among all objects.
 SEARCHED = 4
@@ -110,7 +115,7 @@ class Known(dict):
 class ByteLevel(Side):
     """A byte-level BPE in JSON form.
 
-    Its words are cut and merged one by one, and words repeat, so a task remembers their ids. Texts with
+    Its words are cut and merged one by one, and words repeat, so a worker remembers their ids. Texts with
     signs that libraries may class differently go whole through the tokenizer.
     """
 
@@ -273,6 +278,13 @@ class Aligned:
         return codes, times
 
 
+@lru_cache(1)
+def _sides(a_path: str, b_path: str) -> tuple[ByteLevel, Pieces, Aligned]:
+    """The two tokenizers, read once in a worker's life: those of tasks before would stay beside until their cycles are found."""
+    a, b = ByteLevel(a_path), Pieces(b_path)
+    return a, b, Aligned(a, b)
+
+
 # A block: its documents' figures as lists, its distinct pairs and how many of its documents hold each,
 # and for every document the numbers of its pairs there (as steps) with the links of each.
 BLOCK = (
@@ -282,12 +294,21 @@ BLOCK = (
 
 
 def _planes(values: np.ndarray) -> bytes:
-    """Numbers as bytes, all lowest bytes first: the higher ones are mostly zero, which compresses."""
-    return np.ascontiguousarray(values.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes()
+    """Numbers as bytes, all lowest bytes first; the higher ones are mostly zero, and those that all are stay away.
+
+    Compressed here and not by Spark alone, which would sort and hand on rows of many megabytes.
+    """
+    planes = np.ascontiguousarray(values.astype("<i8").view(np.uint8).reshape(-1, 8).T)
+    used = np.flatnonzero(planes.any(axis=1))
+    return zlib.compress(planes[: used[-1] + 1 if len(used) else 0].tobytes(), 1)
 
 
-def _unplaned(raw: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view("<i8").ravel()
+def _unplaned(raw: bytes, count: int) -> np.ndarray:
+    planes = np.zeros((8, count), np.uint8)
+    found = np.frombuffer(zlib.decompress(raw), np.uint8)
+    if len(found):
+        planes[: len(found) // count] = found.reshape(-1, count)
+    return np.ascontiguousarray(planes.T).view("<i8").ravel()
 
 
 def _block(number: int, docs: list[tuple]) -> pd.DataFrame:
@@ -328,8 +349,8 @@ def _blocks(a_path: str | None, b_path: str | None, batch_bytes: int, block_pair
             gc.enable()
 
     def made(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        a, b = ByteLevel(a_path or default_a()), Pieces(b_path or default_b())
-        aligned, size = Aligned(a, b), len(a.bytes) * len(b.bytes)
+        a, b, aligned = _sides(a_path or default_a(), b_path or default_b())
+        size = len(a.bytes) * len(b.bytes)
         number, held, docs = TaskContext.get().partitionId() << 24, 0, []
         for ids, texts in batches(frames):
             at, a_lists, b_lists = [], [], []
@@ -351,6 +372,7 @@ def _blocks(a_path: str | None, b_path: str | None, batch_bytes: int, block_pair
                 number, held, docs = number + 1, 0, []
                 # New objects' cycles; those still in use then are found by a search through all, words remembered too.
                 gc.collect(1 if number % SEARCHED else 2)
+                pa.default_memory_pool().release_unused()  # it would keep what texts passed through
         if docs:
             yield _block(number, docs)
 
@@ -367,14 +389,15 @@ def _scored(blocks: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
     block = blocks.iloc[0]
     held = np.asarray(block["held"], np.int64)
     starts = _starts(held)
-    which = np.cumsum(_unplaned(block["steps"]))
+    steps = _unplaned(block["steps"], int(held.sum()))
+    which = np.cumsum(steps)
     if len(which):
         # Steps of a document begin anew.
         some = held > 0
         before = np.zeros(len(held), np.int64)
-        before[some] = which[starts[some]] - _unplaned(block["steps"])[starts[some]]
+        before[some] = which[starts[some]] - steps[starts[some]]
         which -= np.repeat(before, held)
-    times = _unplaned(block["times"])
+    times = _unplaned(block["times"], len(steps))
     count, best = np.zeros(len(counts), np.int64), np.zeros(len(counts), np.int64)
     number = counts["number"].to_numpy()
     count[number], best[number] = counts["count"].to_numpy(), counts["best"].to_numpy()
@@ -404,7 +427,8 @@ def aligned_docs(
     """
     # Ids travel as text: pandas would turn whole numbers beside nulls into floats.
     text = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    blocks = staged(text.mapInPandas(_blocks(a_path, b_path, batch_bytes, block_pairs), BLOCK), "blocks")
+    with texts_at_once(docs.sparkSession, TEXTS):
+        blocks = staged(text.mapInPandas(_blocks(a_path, b_path, batch_bytes, block_pairs), BLOCK), "blocks")
     width = len(Pieces(b_path or default_b()).bytes)
     named = blocks.select("block", F.posexplode(F.arrays_zip("pairs", "docs")).alias("number", "p"))
     named = named.select("block", "number", F.col("p.pairs").alias("pair"), F.col("p.docs").alias("docs"))
