@@ -306,3 +306,24 @@ def test_anchors_travel_as_arrays():
     want = {(i, a) for a, own in names.items() if len(own) > 1 and a not in set(hot.tolist()) for i in own}
     assert {(n, a) for n, own in zip(shared["name"], shared["shared"], strict=True) for a in own.tolist()} == want
     assert shared["name"].is_unique and want
+
+
+def test_rows_given_many_times_have_their_spans_once(spark, monkeypatch):
+    """Spans travel as one number each, and those of equal rows are not kept for every one of them."""
+    rng = np.random.default_rng(12)
+    passage, other = ("".join(map(chr, rng.integers(97, 123, 120))) for _ in range(2))
+    docs = [(1, f"{passage} first"), *[(2, f"ä {passage} and {passage}")] * 30, (3, f"{other} {passage[:70]} ü {other}"), (9, other)]
+    spans = []
+
+    def kept(df, name):
+        out = common.staged(df, name)
+        if name == "ranges" and "spans" in out.columns:
+            assert dict(out.dtypes)["spans"] == "array<bigint>"
+            spans.extend(len(r["spans"]) for r in out.collect())
+        return out
+
+    monkeypatch.setattr(repeats, "staged", kept)
+    got = repeats.without_long_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    columns = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert sorted((str(tuple(r[c] for c in columns)) for r in got)) == sorted(map(str, helpers.long_repeats(docs)))
+    assert len(spans) == 3 and max(spans) <= 2 * 2 * 120

@@ -448,10 +448,11 @@ def _by_string(distinct: DataFrame) -> DataFrame:
 def _ranges(cuts: DataFrame, anchor_bytes: int) -> DataFrame:
     """Staged rows and spans of theirs that an earlier document has; ``cuts`` has all pieces of an anchor or none."""
     distinct = cuts.groupBy("anchor", "mark").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.first("piece").alias("piece"))
-    distinct = staged(distinct, "pieces")
-    sizes = distinct.groupBy("anchor").agg(F.sum(F.octet_length("piece")).alias("size"))
+    distinct = staged(distinct.withColumn("size", F.octet_length("piece")), "pieces")
+    sizes = distinct.groupBy("anchor").agg(F.sum("size").alias("size"))
     large = staged(sizes.filter(F.col("size") > anchor_bytes).select("anchor"), "large")
-    size = distinct.agg(F.sum(F.octet_length("piece"))).first()[0] or 0
+    size = distinct.agg(F.sum("size")).first()[0] or 0
+    distinct = distinct.drop("size")
     groups = max(1, -(-size // INDEX_BYTES))
     small = distinct.join(large, "anchor", "left_anti")
     # The anchors of a part agree in their last bits, so groups go by a hash.
@@ -460,8 +461,9 @@ def _ranges(cuts: DataFrame, anchor_bytes: int) -> DataFrame:
     spans = staged(spans.unionByName(_by_string(distinct.join(large, "anchor", "left_semi"))), "spans")
     deleted(distinct, large)
     met = cuts.select("row", "doc", "start", "anchor", "mark").join(spans, ["anchor", "mark"]).filter("first < doc")
-    span = F.struct((F.col("start") + F.col("from")).alias("from"), (F.col("start") + F.col("to")).alias("to"))
-    ranges = staged(met.select("row", span.alias("span")).distinct(), "ranges")
+    # Both ends in one number; a text has less than 2^31 bytes.
+    span = F.shiftleft(F.col("start") + F.col("from"), 32).bitwiseOR(F.col("start") + F.col("to"))
+    ranges = staged(met.select("row", span.alias("span")), "ranges")
     deleted(spans)
     return ranges
 
@@ -471,11 +473,9 @@ def _removed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out = []
         for row, text, spans in zip(frame["row"], frame["text"], frame["spans"], strict=True):
             raw = text.encode("utf-8", "replace")
-            marks = np.zeros(len(raw) + 1, np.int64)
-            for span in spans:
-                marks[span["from"]] += 1
-                marks[span["to"]] -= 1
-            gone = np.cumsum(marks[:-1]) > 0
+            spans = np.asarray(spans, np.int64)
+            begun, ended = (np.bincount(x, minlength=len(raw) + 1) for x in (spans >> 32, spans & 0xFFFFFFFF))
+            gone = np.cumsum((begun - ended)[:-1]) > 0
             kept = np.frombuffer(raw, np.uint8)[~gone].tobytes()
             edges = int((gone & ~np.concatenate([[False], gone[:-1]])).sum())
             out.append((row, int(gone.sum()), edges, hashlib.sha256(kept).hexdigest(), kept))
@@ -534,7 +534,7 @@ def without_long_repeats(docs: DataFrame, with_bytes: bool = False, anchor_bytes
     ranges = parts[0]
     for part in parts[1:]:
         ranges = ranges.unionByName(part)
-    ranges = staged(ranges.groupBy("row").agg(F.collect_list("span").alias("spans")), "ranges")
+    ranges = staged(ranges.groupBy("row").agg(F.collect_set("span").alias("spans")), "ranges")
     deleted(cuts, hot, *parts)
     judged = first.dropDuplicates(["row"]).select("row", "text").join(ranges, "row")
     judged = judged.mapInPandas(_removed, "row long, n_removed long, n_spans long, kept_sha256 string, kept binary")
