@@ -327,3 +327,20 @@ def test_rows_given_many_times_have_their_spans_once(spark, monkeypatch):
     columns = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
     assert sorted((str(tuple(r[c] for c in columns)) for r in got)) == sorted(map(str, helpers.long_repeats(docs)))
     assert len(spans) == 3 and max(spans) <= 2 * 2 * 120
+
+
+def test_a_large_group_is_indexed_in_bounded_memory():
+    """One anchor's pieces, 4 MB of them: an index of as many as are allowed must leave a worker room."""
+    import tracemalloc
+
+    rng = np.random.default_rng(14)
+    passage, noise = b"this sentence stands in very many of the texts. ", rng.integers(97, 123, (55_000, 28)).astype(np.uint8)
+    strings = [passage + n.tobytes() for n in noise]
+    tracemalloc.start()
+    try:
+        holders = repeats.first_holders(strings, np.arange(len(strings)))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 55 * sum(map(len, strings)) and len(holders) == len(strings)
+    assert all(h[0] == i or noise[h[0]][:2].tobytes() == noise[i][:2].tobytes() for i, h in enumerate(holders[:2000]))

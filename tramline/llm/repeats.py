@@ -44,6 +44,8 @@ TEXTS, MOST_PIECES = 500, 1 << 15
 CELL_BYTES, MOST_HELD = 1 << 23, 1 << 20
 # Parts of the anchors indexed one after the other; their pieces are never all on disk twice.
 PARTS = 2
+# Sorted keys compared at once.
+COMPARED = 1 << 20
 SEPARATOR = 0xFF  # in no UTF-8 text
 # So many strings or fewer go back through the index one by one, more of them side by side.
 FEW = 8
@@ -136,10 +138,13 @@ def _ordered(keys: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     if width + bits <= 64:  # places travel in the low bits, so whole numbers are sorted
         both = np.sort((keys << np.uint64(bits)) | np.arange(len(keys), dtype=np.uint64))
         order, keys = (both & np.uint64((1 << bits) - 1)).view(np.int64), both >> np.uint64(bits)
-    else:
-        order = np.argsort(keys)
-        keys = keys[order]
-    return order, np.concatenate([[True], keys[1:] != keys[:-1]])
+        return order, np.concatenate([[True], keys[1:] != keys[:-1]])
+    order = np.argsort(keys)
+    new = np.ones(len(keys), bool)
+    for i in range(0, len(keys) - 1, COMPARED):  # a large group's keys are not held twice
+        own = keys[order[i : i + COMPARED + 1]]
+        new[i + 1 : i + len(own)] = own[1:] != own[:-1]
+    return order, new
 
 
 def _dense(keys: np.ndarray, width: int) -> tuple[np.ndarray, int]:
@@ -164,27 +169,30 @@ def _suffixes(text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     order, new = _ordered(np.ndarray(count, ">u8", padded, strides=(1,)).astype(np.uint64), 8 * size)
     short = np.uint32 if count < 1 << 31 else np.int64
     order = order.astype(short)
+    del padded
     number = np.zeros(count + 1, short)  # the last stands for the end of the text
     bits = (count + 1).bit_length()
-    starts = np.flatnonzero(new)
-    sizes = np.diff(np.append(starts, count))
-    number[order] = np.repeat((starts + 1).astype(short), sizes)
+    starts = np.flatnonzero(new).astype(short)
+    sizes = np.diff(starts, append=short(count))
+    number[order] = np.repeat(starts + short(1), sizes)
     begun, half = new, None  # by order: where suffixes differ from the one before in as many letters
     several = np.repeat(sizes > 1, sizes)
-    at, tied = np.flatnonzero(several), order[several]
+    at, tied = np.flatnonzero(several).astype(short), order[several]
     while len(tied):
         if size == 32:
             half = begun.copy(), _by_place(begun, order)
-        own = number[tied].astype(np.uint64)
-        later = number[np.minimum(tied + short(size), short(count))]
-        by, new = _ordered((own << np.uint64(bits)) | later, 2 * bits)
+        keys = number[tied].astype(np.uint64)
+        keys <<= np.uint64(bits)
+        keys |= number[np.minimum(tied + short(size), short(count))]
+        by, new = _ordered(keys, 2 * bits)
         tied = tied[by]
+        del keys, by
         order[at] = tied
         begun[at] |= new
-        starts = np.flatnonzero(new)
-        sizes = np.diff(np.append(starts, len(tied)))
+        starts = np.flatnonzero(new).astype(short)
+        sizes = np.diff(starts, append=short(len(tied)))
         # What was equal so far lies together, from its first one's place on.
-        number[tied] = np.repeat((at[starts] + 1).astype(short), sizes)
+        number[tied] = np.repeat(at[starts] + short(1), sizes)
         several = np.repeat(sizes > 1, sizes)
         at, tied = at[several], tied[several]
         size *= 2
@@ -209,24 +217,33 @@ def build(strings: list[bytes], docs: np.ndarray) -> tuple[RunIndex, np.ndarray]
     text = np.frombuffer(sep.join(strings) + sep, np.uint8)
     lengths = np.fromiter(map(len, strings), np.int64, len(strings)) + 1
     order, number, begun, half = _suffixes(text)
-    letters = text[order.astype(np.int64) - 1]
-    starts = np.flatnonzero(np.concatenate([[True], letters[1:] != letters[:-1]]))
-    heads, sizes = letters[starts], np.diff(np.append(starts, len(text)))
-    # Rows that begin with a letter lie together, in the order of the rows that the letter precedes.
-    by_letter = np.argsort(heads, kind="stable")
-    targets = np.empty(len(starts), np.int64)
-    targets[by_letter] = np.cumsum(sizes[by_letter]) - sizes[by_letter]
+    rows = number[np.cumsum(lengths) - 1].astype(np.int64) - 1
+    del number
     # Of neighbours that agree in 32 letters, those that agree in as many further on, up to LENGTH.
     alike = np.flatnonzero(~begun[1:])
     half = np.append(half, np.zeros(LENGTH, half.dtype))
-    on = LENGTH - 32
-    begun[1:][alike[half[order[alike] + on] != half[order[alike + 1] + on]]] = True
+    later = half[order[alike] + (LENGTH - 32)]
+    later = later != half[order[alike + 1] + (LENGTH - 32)]
+    begun[1:][alike[later]] = True
+    del half, alike, later
     intervals = np.flatnonzero(begun)
-    owner = np.repeat(docs, lengths)[order]
-    ends = order[starts + sizes - 1]
-    run, interval = np.repeat(np.arange(len(starts), dtype=np.int32), sizes), np.cumsum(begun, dtype=np.int32) - 1
-    index = RunIndex(starts, heads, targets, ends, intervals, np.minimum.reduceat(owner, intervals), run, interval)
-    return index, number[np.cumsum(lengths) - 1].astype(np.int64) - 1
+    interval = np.cumsum(begun, dtype=np.int32)
+    interval -= 1
+    held, holder = np.unique(docs, return_inverse=True)  # numbers of half the size stand for the documents
+    owner = np.repeat(holder.astype(np.int32), lengths)[order]
+    firsts = held[np.minimum.reduceat(owner, intervals)]
+    del owner, begun
+    letters = np.roll(text, 1)[order]
+    short = np.int32 if len(text) < 1 << 31 else np.int64
+    starts = np.flatnonzero(np.concatenate([[True], letters[1:] != letters[:-1]])).astype(short)
+    heads, sizes = letters[starts], np.diff(starts, append=short(len(text)))
+    # Rows that begin with a letter lie together, in the order of the rows that the letter precedes.
+    by_letter = np.argsort(heads, kind="stable")
+    targets = np.empty(len(starts), short)
+    targets[by_letter] = np.cumsum(sizes[by_letter], dtype=short) - sizes[by_letter]
+    del letters, by_letter
+    run = np.repeat(np.arange(len(starts), dtype=np.int32), sizes)
+    return RunIndex(starts, heads, targets, order[starts + sizes - 1], intervals, firsts, run, interval), rows
 
 
 def _holders(strings: list[bytes], docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
